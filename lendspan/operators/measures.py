@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import flag, in_buckets, money, ratio
 from ..params import BUCKETS_30P, BUCKETS_60P, BUCKETS_90P, DEFAULTS, Params
+from ..session import materialise
 from ..tables import Tables
 from .commercial import MEASURE_COLUMNS, with_commercial
 from .ledger import loan_months
@@ -26,8 +27,13 @@ def portfolio_measures(
     """
     months = with_commercial(loan_months(t, params), params, base="principal_base")
     if scores is not None:
-        months = months.join(
-            scores.select("loan_id", "month_end", "risk_score"), ["loan_id", "month_end"], "left"
+        # read by the totals and by the ranking, so the ledger is computed once
+        months = materialise(
+            months.join(
+                scores.select("loan_id", "month_end", "risk_score"), ["loan_id", "month_end"], "left"
+            ).select(
+                *dict.fromkeys([*by, "dpd_bucket", "eop_balance", *MEASURE_COLUMNS, "risk_score"])
+            )
         )
     bucket, balance = F.col("dpd_bucket"), F.col("eop_balance")
     bad = in_buckets(bucket, BUCKETS_60P)

@@ -88,7 +88,9 @@ def _latest_month(t: Tables, loans: DataFrame, as_of: Optional[date]) -> DataFra
     )
 
 
-def training_window(df: DataFrame, months: int = DEFAULTS.training_months, latest: Optional[DataFrame] = None) -> DataFrame:
+def training_window(
+    df: DataFrame, months: int = DEFAULTS.training_months, latest: Optional[DataFrame] = None
+) -> DataFrame:
     """Rows of the last `months` months. `latest` may give the newest month as a one-value frame."""
     newest = latest if latest is not None else df.agg(F.max("month_end").alias("latest"))
     return df.where(F.col("month_end") >= F.add_months(newest.scalar(), -months))
@@ -106,17 +108,20 @@ def recent_labels(t: Tables, params: Params = DEFAULTS, as_of: Optional[date] =
     )
 
 
+def labelled_features(t: Tables, params: Params = DEFAULTS, as_of: Optional[date] = None) -> DataFrame:
+    """Features with their label, both cut from the same ledger row, so without a join."""
+    months = loan_months(t, params, as_of, _customer_loans(t), CUSTOMER_COLUMNS)
+    return _with_features(months, params).select(*FEATURE_COLUMNS, _label(params).alias(LABEL))
+
+
 def training_set(t: Tables, params: Params = DEFAULTS, as_of: Optional[date] = None) -> DataFrame:
-    """Recent features with their label.
+    """Recent labelled rows with their rolling features known.
 
-    Both sides are cut from the same ledger row, so no join is needed. Every feature
-    row is also a label row, so the newest label month is never the earlier one and
-    its window alone decides.
+    Every feature row is also a label row, so the newest label month is never the
+    earlier one and its window alone decides.
     """
-    months = loan_months(t, params, as_of, _customer_loans(t), CUSTOMER_COLUMNS)
-    labelled = _with_features(months, params).select(*FEATURE_COLUMNS, _label(params).alias(LABEL))
     return training_window(
-        labelled, params.training_months, _latest_month(t, t.loans, as_of)
+        labelled_features(t, params, as_of), params.training_months, _latest_month(t, t.loans, as_of)
     ).dropna(subset=["roll3_paid_full_rate", "roll3_avg_arrears"])
 
 
