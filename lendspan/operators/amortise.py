@@ -1,5 +1,7 @@
 """Annuity payments and installment schedules as closed-form expressions."""
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,7 +24,9 @@ def _opening_balance(principal: Column, rate: Column, payment: Column, paid_mont
 
 
 def _to_cents(value: Column) -> Column:
-    return F.round(value.cast("decimal(28,8)"), 2).cast("decimal(14,2)")
+    """Half up to cents. A shortfall below 5e-9 counts as float noise of an exact half cent."""
+    cents = F.floor(value * 100 + 0.5 + 5e-7)
+    return (cents.cast("decimal(14,0)") * F.lit(Decimal("0.01"))).cast("decimal(14,2)")
 
 
 def amortise(loans: DataFrame, capped: bool = True) -> DataFrame:

@@ -6,8 +6,10 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# AQE sizes the shuffles, splits skewed join partitions and turns a sort-merge join
-# into a broadcast or hash join only after it has measured the side.
+# No side is broadcast on an estimate: joins are planned with a shuffle, and AQE turns
+# one into a broadcast join once it has measured that the side is small.
+# AQE sizes the shuffles, splits skewed join partitions and may pick a hash join
+# for partitions that it has measured to be small.
 # requireAllClusterKeysForCoPartition=false lets a join on (loan_id, month_end) keep
 # a partitioning on loan_id, so loan-month frames are not shuffled a second time; a
 # loan has one row per calendar month, so loan_id alone spreads them well.
@@ -16,8 +18,12 @@ SESSION_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "10MB",
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
     "spark.sql.session.timeZone": "UTC",
+    # plans here are built from many small expressions; skip the call-site capture for each
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

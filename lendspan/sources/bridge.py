@@ -1,29 +1,42 @@
 """Project the order/lineitem test tables onto the loan star schema.
 
 Every rule is a per-row expression, apart from the earliest ship date of an order,
-which is a partial-aggregated minimum.
+which is a partial-aggregated minimum. The test tables hold money as double; it is
+turned into whole cents once and stays exact from there.
 """
 
 import posixpath
-from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from ..tables import Tables
 from . import dims
 
+# Only the columns that the rules use; given as types so that no file is opened to infer them.
+SOURCE_COLUMNS = {
+    "region": "r_regionkey INT, r_name STRING",
+    "nation": "n_nationkey INT, n_regionkey INT",
+    "customer": "c_custkey BIGINT, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_totalprice DOUBLE, o_orderdate TIMESTAMP_NTZ",
+    "lineitem": (
+        "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE, "
+        "l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, l_returnflag STRING, "
+        "l_linestatus STRING, l_shipdate TIMESTAMP_NTZ"
+    ),
+}
 
-def load_bridged(spark: SparkSession, folder: str) -> Tables:
-    def table(name: str) -> DataFrame:
-        return spark.read.parquet(posixpath.join(folder, name + ".parquet"))
 
-    lineitem = table("lineitem")
+def load_bridged(spark: SparkSession, folder: str) -> Tables:
+    source = {
+        name: spark.read.schema(columns).parquet(posixpath.join(folder, name + ".parquet"))
+        for name, columns in SOURCE_COLUMNS.items()
+    }
+    lineitem = source["lineitem"]
     return Tables(
-        customers=_customers(table("customer"), table("nation"), table("region")),
+        customers=_customers(source["customer"], source["nation"], source["region"]),
         products=dims.products(spark),
         channels=dims.channels(spark),
-        loans=_loans(table("orders"), lineitem),
+        loans=_loans(source["orders"], lineitem),
         schedule=_schedule(lineitem),
         payments=_payments(lineitem),
         collections=_collections(lineitem),
@@ -31,106 +44,83 @@ def load_bridged(spark: SparkSession, folder: str) -> Tables:
     )
 
 
-def _money(name: str) -> Column:
-    return F.col(name).cast("decimal(14,2)")
+def _hundredths(column: str) -> str:
+    return f"CAST(rint({column} * 100) AS BIGINT)"
+
 
+def _money(cents: str, precision: int = 14) -> str:
+    return f"CAST(CAST({cents} AS DECIMAL(14,0)) * 0.01BD AS DECIMAL({precision},2))"
 
-def _pick(key: Column, *cases: tuple) -> Column:
-    """First label whose upper limit exceeds the key; the last label is the default."""
-    *bounded, (_, default) = cases
-    expr = F
-    for limit, label in bounded:
-        expr = expr.when(key < limit, label)
-    return expr.otherwise(default)
+
+def _percent_of(cents: str, percent: str) -> str:
+    """A whole percentage of non-negative cents, half up."""
+    return f"({cents} * {percent} + 50) DIV 100"
 
 
 def _customers(customer: DataFrame, nation: DataFrame, region: DataFrame) -> DataFrame:
-    key = F.col("c_custkey")
-    segment = F.col("c_mktsegment")
-    employment = (
-        F.when(segment == "BUILDING", "Salaried")
-        .when(segment == "AUTOMOBILE", "Self-employed")
-        .when(segment == "MACHINERY", "Contractor")
-        .when(segment == "HOUSEHOLD", "Student")
-        .when(segment == "FURNITURE", "Unemployed")
-    )
-    places = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(
-        "n_nationkey", "r_name"
-    )
-    return customer.join(places, F.col("c_nationkey") == F.col("n_nationkey")).select(
-        key.alias("customer_id"),
-        (18 + key * 13 % 58).cast("int").alias("age"),
-        (18000 + (_money("c_acctbal") + 1000) * 20).cast("decimal(12,2)").alias("annual_income_nzd"),
-        employment.alias("employment_type"),
-        F.col("r_name").alias("region"),
-        (450 + key * 37 % 401).cast("int").alias("credit_score"),
-        (1 + key * 7 % 180).cast("int").alias("tenure_months"),
+    places = nation.join(region, nation.n_regionkey == region.r_regionkey)
+    income = f"1800000 + ({_hundredths('c_acctbal')} + 100000) * 20"
+    return customer.join(places, customer.c_nationkey == places.n_nationkey).selectExpr(
+        "c_custkey AS customer_id",
+        "CAST(18 + c_custkey * 13 % 58 AS INT) AS age",
+        f"{_money(income, 12)} AS annual_income_nzd",
+        """CASE c_mktsegment WHEN 'BUILDING' THEN 'Salaried' WHEN 'AUTOMOBILE' THEN 'Self-employed'
+           WHEN 'MACHINERY' THEN 'Contractor' WHEN 'HOUSEHOLD' THEN 'Student'
+           WHEN 'FURNITURE' THEN 'Unemployed' END AS employment_type""",
+        "r_name AS region",
+        "CAST(450 + c_custkey * 37 % 401 AS INT) AS credit_score",
+        "CAST(1 + c_custkey * 7 % 180 AS INT) AS tenure_months",
     )
 
 
 def _loans(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
-    first_ship = lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
-        F.min(F.col("l_shipdate").cast("date")).alias("first_ship")
-    )
-    key = F.col("o_orderkey")
-    return orders.join(first_ship, "o_orderkey", "left").select(
-        key.alias("loan_id"),
-        F.col("o_custkey").alias("customer_id"),
-        _pick(key % 20, (11, "Personal"), (15, "Auto"), (18, "Mortgage"), (None, "SME")).alias(
-            "product_type"
-        ),
-        F.least(F.col("o_orderdate").cast("date"), F.col("first_ship")).alias("origination_date"),
-        _money("o_totalprice").alias("principal_nzd"),
-        ((3 + key % 37).cast("decimal(4,0)") * F.lit(Decimal("0.01")))
-        .cast("decimal(6,4)")
-        .alias("interest_rate_apr"),
-        (12 + key % 4 * 12).cast("int").alias("term_months"),
-        _pick(
-            F.floor(key / 20) % 20, (7, "Online"), (13, "Broker"), (17, "Branch"), (None, "Partner")
-        ).alias("channel"),
-        F.lit("Active").alias("status"),
+    first_ship = lineitem.selectExpr("l_orderkey AS o_orderkey", "CAST(l_shipdate AS DATE) AS shipped")
+    first_ship = first_ship.groupBy("o_orderkey").agg({"shipped": "min"})
+    return orders.join(first_ship, "o_orderkey", "left").selectExpr(
+        "o_orderkey AS loan_id",
+        "o_custkey AS customer_id",
+        """CASE WHEN o_orderkey % 20 < 11 THEN 'Personal' WHEN o_orderkey % 20 < 15 THEN 'Auto'
+           WHEN o_orderkey % 20 < 18 THEN 'Mortgage' ELSE 'SME' END AS product_type""",
+        "least(CAST(o_orderdate AS DATE), `min(shipped)`) AS origination_date",
+        f"{_money(_hundredths('o_totalprice'))} AS principal_nzd",
+        "CAST(CAST(3 + o_orderkey % 37 AS DECIMAL(4,0)) * 0.01BD AS DECIMAL(6,4)) AS interest_rate_apr",
+        "CAST(12 + o_orderkey % 4 * 12 AS INT) AS term_months",
+        """CASE WHEN o_orderkey DIV 20 % 20 < 7 THEN 'Online' WHEN o_orderkey DIV 20 % 20 < 13 THEN 'Broker'
+           WHEN o_orderkey DIV 20 % 20 < 17 THEN 'Branch' ELSE 'Partner' END AS channel""",
+        "'Active' AS status",
     )
 
 
 def _schedule(lineitem: DataFrame) -> DataFrame:
-    amount = _money("l_extendedprice")
-    interest = F.round(amount * F.col("l_tax").cast("decimal(4,2)"), 2).cast("decimal(14,2)")
-    return lineitem.select(
-        F.col("l_orderkey").alias("loan_id"),
-        F.col("l_linenumber").cast("int").alias("installment_no"),
-        F.col("l_shipdate").cast("date").alias("due_date"),
-        amount.alias("scheduled_amount"),
-        (amount - interest).cast("decimal(14,2)").alias("scheduled_principal"),
-        interest.alias("scheduled_interest"),
+    amount = _hundredths("l_extendedprice")
+    interest = _percent_of(amount, _hundredths("l_tax"))
+    return lineitem.selectExpr(
+        "l_orderkey AS loan_id",
+        "l_linenumber AS installment_no",
+        "CAST(l_shipdate AS DATE) AS due_date",
+        f"{_money(amount)} AS scheduled_amount",
+        f"{_money(f'{amount} - {interest}')} AS scheduled_principal",
+        f"{_money(interest)} AS scheduled_interest",
     )
 
 
-def _is_paid() -> Column:
-    return (F.col("l_returnflag") != "R") | (F.col("l_linenumber") <= 3)
-
-
 def _payments(lineitem: DataFrame) -> DataFrame:
-    partial = (F.col("l_linestatus") == "O") & (F.col("l_returnflag") == "A")
-    kept = F.when(partial, 1 - 5 * F.col("l_discount").cast("decimal(4,2)")).otherwise(1)
-    days = (7 * (F.col("l_quantity").cast("int") % 5)).cast("int")
-    return lineitem.where(_is_paid()).select(
-        F.col("l_orderkey").alias("loan_id"),
-        F.date_add(F.col("l_shipdate").cast("date"), days).alias("payment_date"),
-        F.round(_money("l_extendedprice") * kept, 2).cast("decimal(14,2)").alias("paid_amount"),
+    share = f"""CASE WHEN l_linestatus = 'O' AND l_returnflag = 'A'
+                THEN 100 - 5 * {_hundredths('l_discount')} ELSE 100 END"""
+    paid = _percent_of(_hundredths("l_extendedprice"), share)
+    return lineitem.where("l_returnflag <> 'R' OR l_linenumber <= 3").selectExpr(
+        "l_orderkey AS loan_id",
+        "date_add(CAST(l_shipdate AS DATE), 7 * (CAST(l_quantity AS INT) % 5)) AS payment_date",
+        f"{_money(paid)} AS paid_amount",
     )
 
 
 def _collections(lineitem: DataFrame) -> DataFrame:
-    due = F.col("l_shipdate").cast("date")
-    line = F.col("l_linenumber")
-    action = (
-        F.when(line == 4, "SMS").when(line == 5, "Call").when(line == 6, "Email").otherwise("Agent")
-    )
-    return lineitem.where(~_is_paid()).select(
-        F.col("l_orderkey").alias("loan_id"),
-        F.date_add(due, (3 + F.col("l_partkey") % 23).cast("int")).alias("event_date"),
-        action.alias("action_type"),
-        F.when(line < 7, F.date_add(due, (7 + F.col("l_suppkey") % 34).cast("int"))).alias(
-            "promised_to_pay_date"
-        ),
+    return lineitem.where("l_returnflag = 'R' AND l_linenumber > 3").selectExpr(
+        "l_orderkey AS loan_id",
+        "date_add(CAST(l_shipdate AS DATE), CAST(3 + l_partkey % 23 AS INT)) AS event_date",
+        """CASE l_linenumber WHEN 4 THEN 'SMS' WHEN 5 THEN 'Call' WHEN 6 THEN 'Email'
+           ELSE 'Agent' END AS action_type""",
+        """CASE WHEN l_linenumber < 7
+           THEN date_add(CAST(l_shipdate AS DATE), CAST(7 + l_suppkey % 34 AS INT)) END AS promised_to_pay_date""",
     )
