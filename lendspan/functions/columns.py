@@ -5,7 +5,7 @@ from decimal import Decimal
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..params import BUCKETS, Params
+from ..params import BUCKETS
 
 def no_cents() -> Column:
     return F.lit(0).cast("long")
@@ -58,18 +58,22 @@ def bucket_rank(bucket: Column) -> Column:
     return (F.array_position(F.array(*[F.lit(b) for b in BUCKETS]), bucket) - 1).cast("int")
 
 
-def pd_of_bucket(bucket: Column, params: Params) -> Column:
-    """Default probability of a bucket; NULL or unknown takes the worst one."""
+def by_bucket(bucket: Column, values: dict) -> Column:
+    """A value per bucket; NULL or unknown takes that of the worst one."""
     *better, worst = BUCKETS
     expr = F
     for name in better:
-        expr = expr.when(bucket == name, F.lit(params.pd_by_bucket[name]))
-    return expr.otherwise(F.lit(params.pd_by_bucket[worst]))
+        expr = expr.when(bucket == name, F.lit(values[name]))
+    return expr.otherwise(F.lit(values[worst]))
 
 
-def round_money(value: Column) -> Column:
-    """Half-up to cents; the value must be an exact decimal."""
-    return F.round(value.cast("decimal(38,10)"), 2).cast("decimal(18,2)")
+def half_up(numerator: Column, denominator: int) -> Column:
+    """Quotient of whole numbers, rounded half away from zero, in long arithmetic."""
+    twice, half = 2 * numerator, F.lit(denominator).cast("long")
+    whole = F.lit(2 * denominator).cast("long")
+    return F.when(numerator >= 0, F.call_function("div", twice + half, whole)).otherwise(
+        F.call_function("div", twice - half, whole)
+    )
 
 
 def months_between(later: Column, earlier: Column) -> Column:

@@ -19,12 +19,13 @@ def running_totals(df: DataFrame, order: str, totals: tuple, ranges: int = RANGE
     most `ranges` + 1 rows) adds what lies before it. Results are exact: the cut
     points only decide which task does the work.
     """
-    cuts = [i / ranges for i in range(1, ranges)]
+    shares = ", ".join(f"{i / ranges!r}D" for i in range(1, ranges))
+    cuts = F.expr(f"percentile_approx({order}, array({shares}), {ranges * 10})")
     # The sums make this aggregate read the columns that the other branches read, so
     # that Spark can reuse their exchange.
     limits = df.agg(
         F.struct(
-            F.percentile_approx(order, cuts, ranges * 10).alias("cuts"),
+            cuts.alias("cuts"),
             *[F.sum(c).alias(c) for c in totals],
         ).alias("limits")
     ).scalar()

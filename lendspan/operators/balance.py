@@ -64,7 +64,9 @@ def balance_eop(t: Tables) -> DataFrame:
             "loan_id",
             "month_end",
             F.lead("month_end").over(by_loan()).alias("next_change"),
-            F.greatest(F.col("lent") - F.sum("principal").over(running()), no_cents()).alias("balance"),
+            money(
+                F.greatest(F.col("lent") - F.sum("principal").over(running()), no_cents())
+            ).alias("eop_balance"),
         )
     )
     held = F.filter(
@@ -73,7 +75,7 @@ def balance_eop(t: Tables) -> DataFrame:
         & (F.col("next_change").isNull() | (m < F.col("next_change"))),
     )
     return changes.withColumn("months", months).select(
-        "loan_id", F.explode(held).alias("month_end"), money(F.col("balance")).alias("eop_balance")
+        "loan_id", F.explode(held).alias("month_end"), "eop_balance"
     )
 
 

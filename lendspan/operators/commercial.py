@@ -5,16 +5,16 @@ Every column is a projection of the snapshot, so the marts add no join and no sh
 """
 
 from decimal import Decimal
-from typing import Optional
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import in_buckets, pd_of_bucket, ratio, round_money, share
+from ..functions.columns import by_bucket, cents, half_up, in_buckets, money, ratio, share
 from ..params import BUCKETS_60P, DEFAULTS, Params
 from ..tables import Tables
 from .ledger import loan_months
 
+RATE_DIGITS = 4  # decimals of an interest rate
 MEASURE_COLUMNS = (
     "interest_income_est",
     "funding_cost_est",
@@ -24,26 +24,45 @@ MEASURE_COLUMNS = (
 )
 
 
+def _whole(rate: Decimal, digits: int) -> int:
+    """A decimal rate in units of its last digit."""
+    units = Decimal(rate).scaleb(digits)
+    if units != units.to_integral_value():
+        raise ValueError(f"{rate} has more than {digits} decimals")
+    return int(units)
+
+
 def with_commercial(
-    months: DataFrame, params: Params = DEFAULTS, balance: str = "principal", base: Optional[str] = None
+    months: DataFrame, params: Params = DEFAULTS, balance: str = "principal", base: str = "eop_balance"
 ) -> DataFrame:
-    """Add the commercial columns; the balance used is written to `base` (default eop_balance)."""
+    """Add the commercial columns; the balance used is written to `base`.
+
+    All of them are quotients of whole numbers: cents times a rate in units of its
+    last digit. So they are exact up to the rounding, without wide decimals.
+    """
     if balance not in ("principal", "eop"):
         raise ValueError("balance must be 'principal' or 'eop'")
-    base = base or "eop_balance"
     source = "principal_nzd" if balance == "principal" else "eop_balance"
     df = months.withColumn(base, F.col(source).cast("decimal(14,2)"))
-    amount, apr = F.col(base), F.col("interest_rate_apr")
-    funding = F.lit(Decimal(params.funding_rate)).cast("decimal(6,4)")
-    loss = amount * F.col("pd_proxy") * F.lit(Decimal(params.lgd))
+    amount = cents(base)
+    apr = (F.col("interest_rate_apr").cast("decimal(6,4)") * 10**RATE_DIGITS).cast("long")
+    funding = _whole(params.funding_rate, RATE_DIGITS)
+    months_in_units = 12 * 10**RATE_DIGITS
+    loss_rates = {name: pd * Decimal(params.lgd) for name, pd in params.pd_by_bucket.items()}
+    digits = max(-rate.as_tuple().exponent for rate in loss_rates.values())
+    loss_units = by_bucket(
+        F.col("dpd_bucket"), {name: _whole(rate, digits) for name, rate in loss_rates.items()}
+    )
+    nii = half_up(amount * (apr - funding), months_in_units)
+    loss = amount * loss_units
     return (
-        df.withColumn("pd_proxy", pd_of_bucket(F.col("dpd_bucket"), params))
-        .withColumn("interest_income_est", round_money(amount * apr / 12))
-        .withColumn("funding_cost_est", round_money(amount * funding / 12))
-        .withColumn("nii_est", round_money(amount * (apr - funding) / 12))
-        .withColumn("expected_loss_est", round_money(loss))
+        df.withColumn("pd_proxy", by_bucket(F.col("dpd_bucket"), params.pd_by_bucket))
+        .withColumn("interest_income_est", money(half_up(amount * apr, months_in_units)))
+        .withColumn("funding_cost_est", money(half_up(amount * funding, months_in_units)))
+        .withColumn("nii_est", money(nii))
+        .withColumn("expected_loss_est", money(half_up(loss, 10**digits)))
         # rounded income less the loss before rounding
-        .withColumn("rar_profit_est", round_money(F.col("nii_est") - loss))
+        .withColumn("rar_profit_est", money(half_up(nii * 10**digits - loss, 10**digits)))
     )
 
 
