@@ -205,6 +205,23 @@ BUILDERS: dict[str, Callable[[Tables], DataFrame]] = {
     "fct_collections": lambda t: t.collections,
 }
 
+# The others run a job while they are built: they write a shared intermediate or fit a model.
+QUERIES_WITH_LAZY_PLANS = sorted(
+    set(BUILDERS)
+    - {
+        "encoded_features",
+        "stratified_split_counts",
+        "score_evaluation",
+        "model_scores",
+        "model_metrics",
+        "score_histogram",
+        "score_box_plot",
+        "measures_by_month",
+        "measures_by_product_channel",
+        "measures_total",
+    }
+)
+
 
 def _query(build: Callable[[Tables], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, sf_dir: presentable(build(load_bridged(spark, sf_dir)))

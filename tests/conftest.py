@@ -66,7 +66,7 @@ def paid(loan_id, on, amount):
 
 
 def customer(customer_id=1, income="65000.00", employment="Salaried", region="Otago", score=650):
-    return (customer_id, 40, Decimal(income), employment, region, score, 12)
+    return (customer_id, 40, income and Decimal(income), employment, region, score, 12)
 
 
 def relaxed(schema):
