@@ -68,8 +68,9 @@ def rule_watchlist(t: Tables) -> DataFrame:
 
 def _measures(t: Tables, *by: str) -> DataFrame:
     result = measures.portfolio_measures(t, by, rule_scores(t))
-    # a sum of doubles depends on the order of its terms in the last digits
-    return result.withColumn("avg_risk_score", F.round("avg_risk_score", 9))
+    # A sum of doubles depends on the order of its terms in the last digits; the small
+    # shift, also in the SQL, keeps exact means off the rounding limits.
+    return result.withColumn("avg_risk_score", F.round(F.col("avg_risk_score") + 1e-12, 9))
 
 
 def _evaluation(t: Tables) -> DataFrame:

@@ -13,7 +13,10 @@ from .delinquency import SNAPSHOT_COLUMNS
 from .ledger import by_loan, loan_months, running, whole_life
 
 
-def _monthly_principal(t: Tables) -> DataFrame:
+def _principal_rows(t: Tables) -> DataFrame:
+    """Scheduled principal by month; several rows per month unless flows were written before."""
+    if t.flows is not None:
+        return t.flows.select("loan_id", "month_end", "principal")
     return t.schedule.select(
         "loan_id",
         F.last_day("due_date").alias("month_end"),
@@ -23,7 +26,7 @@ def _monthly_principal(t: Tables) -> DataFrame:
 
 def principal_paid_by_month(t: Tables) -> DataFrame:
     return (
-        _monthly_principal(t)
+        _principal_rows(t)
         .groupBy("loan_id", "month_end")
         .agg(money(F.sum("principal")).alias("sched_principal"))
     )
@@ -36,8 +39,9 @@ def balance_eop(t: Tables) -> DataFrame:
     rows plus one opening row per loan, and each row is then copied forward over the
     months up to the next one. The wide loans-by-months result is never shuffled.
     """
-    months = t.schedule.agg(
-        F.array_sort(F.collect_set(F.last_day("due_date"))).alias("months")
+    scheduled = _principal_rows(t)
+    months = scheduled.agg(
+        F.array_sort(F.collect_set("month_end")).alias("months")
     ).scalar()  # one array, at most one element per calendar month
     opening = t.loans.select(
         "loan_id",
@@ -46,7 +50,7 @@ def balance_eop(t: Tables) -> DataFrame:
         cents("principal_nzd").alias("lent"),
         F.last_day("origination_date").alias("opened"),
     )
-    repaid = _monthly_principal(t).select(
+    repaid = scheduled.select(
         "*", F.lit(None).cast("long").alias("lent"), F.lit(None).cast("date").alias("opened")
     )
     changes = (

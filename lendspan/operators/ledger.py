@@ -47,6 +47,8 @@ def monthly_flows(t: Tables, as_of: Optional[date] = None) -> DataFrame:
     installments and payments are left out; `life_due` and `life_count` still
     describe the whole schedule.
     """
+    if t.flows is not None and as_of is None:
+        return t.flows
     due = t.schedule.select(
         "loan_id",
         F.last_day("due_date").alias("month_end"),

@@ -8,6 +8,7 @@ turned into whole cents once and stays exact from there.
 import posixpath
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..tables import Tables
 from . import dims
@@ -58,7 +59,9 @@ def _percent_of(cents: str, percent: str) -> str:
 
 
 def _customers(customer: DataFrame, nation: DataFrame, region: DataFrame) -> DataFrame:
-    places = nation.join(region, nation.n_regionkey == region.r_regionkey)
+    # Broadcast by name: these tables have 25 and 5 rows at every scale, and 25 keys
+    # would leave a shuffle of the customers on a few tasks.
+    places = F.broadcast(nation.join(F.broadcast(region), nation.n_regionkey == region.r_regionkey))
     income = f"1800000 + ({_hundredths('c_acctbal')} + 100000) * 20"
     return customer.join(places, customer.c_nationkey == places.n_nationkey).selectExpr(
         "c_custkey AS customer_id",

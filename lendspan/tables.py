@@ -16,6 +16,8 @@ class Tables:
     payments: DataFrame
     collections: DataFrame
     macro: Optional[DataFrame] = None
+    # monthly flows written earlier (see plans.layout); the operators then skip the raw rows
+    flows: Optional[DataFrame] = None
 
     def by_name(self) -> dict:
         """Table name -> frame, parents before children."""

@@ -353,7 +353,7 @@ JOIN (SELECT {keys}sum(interest_income_est) AS interest_income_est FROM income {
 JOIN (SELECT {keys}sum(funding_cost_est) AS funding_cost_est FROM nii {group}) {using}
 JOIN (SELECT {keys}sum(nii_est) AS nii_est, sum(expected_loss_est) AS expected_loss_est,
              sum(rar_profit_est) AS rar_profit_est FROM rar {group}) {using}
-JOIN (SELECT {keys}round(avg(risk_score), 9) AS avg_risk_score FROM watchlist {group}) {using}
+JOIN (SELECT {keys}round(avg(risk_score) + CAST(1e-12 AS DOUBLE), 9) AS avg_risk_score FROM watchlist {group}) {using}
 LEFT JOIN (SELECT {keys}sum(eop_balance) AS top_balance
            FROM (SELECT *, rank() OVER ({part} ORDER BY risk_score DESC) AS place FROM watchlist)
            WHERE place <= 100 {group}) {using}"""

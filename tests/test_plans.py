@@ -103,3 +103,23 @@ def test_hot_loan_is_combined_before_the_shuffle(spark, make_tables):
     flows = monthly_flows(hot).where("loan_id = 1")
     assert flows.count() <= 10
     assert flows.agg(F.sum("installments")).first()[0] == 20000
+
+
+def test_stored_layout_gives_the_same_marts_without_a_loan_shuffle(spark):
+    from lendspan.plans.layout import bucket_by_loan
+    from lendspan.sources.bridge import load_bridged
+
+    t = load_bridged(spark, "/root/testdata/sf0.001")
+    laid_out = bucket_by_loan(t, 4, "layout_test")
+    try:
+        for mart in (balance.portfolio_snapshot_v2, delinquency.loan_dpd_bucket, risk.labels_60p_3m):
+            plain, stored = mart(t), mart(laid_out)
+            assert exchanges(stored) == [], mart.__name__
+            assert stored.count() == plain.count() > 0
+            assert plain.exceptAll(stored).count() == 0
+        assert balance.balance_eop(t).exceptAll(balance.balance_eop(laid_out)).count() == 0
+        # only the loans with their customer's columns are shuffled, not the flows
+        assert keys(risk.features_3m(laid_out)).count("loan_id") == 1
+    finally:
+        for name in ("layout_test_monthly_flows", "layout_test_loans"):
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
