@@ -74,7 +74,7 @@ def _measures(t: Tables, *by: str) -> DataFrame:
 
 
 def _evaluation(t: Tables) -> DataFrame:
-    return scores.evaluate_scores(materialise(rule_scores(t)), risk.LABEL)
+    return scores.evaluate_scores(rule_scores(t), risk.LABEL)
 
 
 def _split_counts(t: Tables) -> DataFrame:
@@ -166,7 +166,7 @@ BUILDERS: dict[str, Callable[[Tables], DataFrame]] = {
     "migration_total_loans": lambda t: reports.migration_total(t, "loans"),
     "migration_total_pivot": lambda t: reports.migration_total_pivot(t, "loans"),
     "vintage_average": reports.vintage_average,
-    "score_histogram": lambda t: scores.score_histogram(materialise(rule_scores(t))),
+    "score_histogram": lambda t: scores.score_histogram(rule_scores(t)),
     "score_box_plot": lambda t: scores.score_box_plot(rule_scores(t)),
     "commercial_trend": reports.commercial_trend,
     "dashboard_trend": reports.dashboard_trend,

@@ -2,7 +2,7 @@
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import flag
@@ -10,43 +10,68 @@ from ..schemas import FOREIGN_KEYS, PRIMARY_KEYS, TABLE_SCHEMAS
 from ..tables import Tables
 
 
-def _rule(df: DataFrame, table: str, rule: str) -> DataFrame:
-    """One row from a frame with a `violations` column to be summed."""
-    total = F.coalesce(F.sum("violations"), F.lit(0)).cast("long").alias("violations")
-    return df.agg(total).select(F.lit(table).alias("table"), F.lit(rule).alias("rule"), "violations")
+def _total(value: Column) -> Column:
+    return F.coalesce(F.sum(value), F.lit(0)).cast("long")
 
 
-def _duplicate_keys(df: DataFrame, table: str, key: tuple) -> DataFrame:
-    repeated = df.groupBy(*key).agg((F.count(F.lit(1)) - 1).alias("violations"))
-    return _rule(repeated, table, "unique " + ", ".join(key))
+def _required(table: str) -> list[str]:
+    return [f.name for f in TABLE_SCHEMAS[table].fields if not f.nullable]
 
 
-def _orphans(child: DataFrame, parent: DataFrame, table: str, column: str, parent_column: str) -> DataFrame:
-    # Counted per key first: a key that fills much of the child table joins as one row.
-    keys = child.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("violations"))
-    known = parent.select(F.col(parent_column).alias(column))
-    return _rule(keys.join(known, column, "left_anti"), table, f"{column} refers to a known row")
+def _per_key(df: DataFrame, key: tuple, missing: list[str]) -> DataFrame:
+    """Row and missing-value counts of each key, combined before the shuffle.
 
-
-def _missing(df: DataFrame, table: str) -> DataFrame:
-    """All required columns of a table in one scan."""
-    required = [f.name for f in TABLE_SCHEMAS[table].fields if not f.nullable]
-    counts = df.agg(
-        *[F.coalesce(F.sum(flag(F.col(c).isNull())), F.lit(0)).cast("long").alias(c) for c in required]
+    A key that fills much of the table is a single row from here on.
+    """
+    return df.groupBy(*key).agg(
+        F.count(F.lit(1)).alias("rows"),
+        *[F.sum(flag(F.col(c).isNull())).alias(f"missing_{c}") for c in missing],
     )
-    pairs = [F.struct(F.lit(f"{c} is required").alias("rule"), F.col(c).alias("violations")) for c in required]
-    return counts.select(F.explode(F.array(*pairs)).alias("r")).select(
+
+
+def _findings(per_key: DataFrame, table: str, rules: dict) -> DataFrame:
+    """One row per rule from one aggregate over the keys."""
+    totals = per_key.agg(*[_total(value).alias(f"r{i}") for i, value in enumerate(rules.values())])
+    pairs = [
+        F.struct(F.lit(rule).alias("rule"), F.col(f"r{i}").alias("violations"))
+        for i, rule in enumerate(rules)
+    ]
+    return totals.select(F.explode(F.array(*pairs)).alias("r")).select(
         F.lit(table).alias("table"), "r.rule", "r.violations"
     )
 
 
+def _missing_rules(columns: list[str]) -> dict:
+    return {f"{c} is required": F.col(f"missing_{c}") for c in columns}
+
+
+def _audit_keyed(df: DataFrame, table: str, key: tuple) -> DataFrame:
+    """Repeated primary keys and missing values, in one scan."""
+    required = _required(table)
+    rules = {"unique " + ", ".join(key): F.col("rows") - 1, **_missing_rules(required)}
+    return _findings(_per_key(df, key, required), table, rules)
+
+
+def _audit_reference(
+    child: DataFrame, parent: DataFrame, table: str, column: str, parent_column: str, missing: list[str]
+) -> DataFrame:
+    """Rows that refer to no parent, and missing values, in one scan of the child."""
+    known = parent.groupBy(F.col(parent_column).alias(column)).agg(F.lit(True).alias("known"))
+    joined = _per_key(child, (column,), missing).join(known, column, "left")
+    orphan = F.when(F.col(column).isNotNull() & F.col("known").isNull(), F.col("rows"))
+    return _findings(
+        joined, table, {f"{column} refers to a known row": orphan, **_missing_rules(missing)}
+    )
+
+
 def integrity_audit(t: Tables) -> DataFrame:
     """One row per table and rule with the number of rows that break it."""
     frames = t.by_name()
-    checks = [_duplicate_keys(frames[table], table, key) for table, key in PRIMARY_KEYS.items()]
-    checks += [
-        _orphans(frames[child], frames[parent], child, column, parent_column)
-        for child, column, parent, parent_column in FOREIGN_KEYS
-    ]
-    checks += [_missing(frames[table], table) for table in TABLE_SCHEMAS]
+    checks = [_audit_keyed(frames[table], table, key) for table, key in PRIMARY_KEYS.items()]
+    for child, column, parent, parent_column in FOREIGN_KEYS:
+        # a table with a primary key has had its missing values counted above
+        missing = [] if child in PRIMARY_KEYS else _required(child)
+        checks.append(
+            _audit_reference(frames[child], frames[parent], child, column, parent_column, missing)
+        )
     return reduce(DataFrame.unionByName, checks)

@@ -62,4 +62,7 @@ def portfolio_measures(
     top = top_risk_balance(months, by, params).drop("top_risk_loans")
     if not by:
         return measured.select("*", top.select("top_risk_balance").scalar().alias("top_risk_balance"))
-    return measured.join(top, list(by), "left")
+    # a slice whose key is NULL keeps its top balance
+    renamed = top.select(*[F.col(k).alias(f"_{k}") for k in by], "top_risk_balance")
+    same_slice = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in by]
+    return measured.join(renamed, same_slice, "left").drop(*[f"_{k}" for k in by])

@@ -1,6 +1,6 @@
 """Evaluation, distribution and ranking of risk scores."""
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import flag, ratio
@@ -30,14 +30,31 @@ def rank_watchlist_by_month(watchlist: DataFrame, n: int) -> DataFrame:
     )
 
 
-def confusion_metrics(scored: DataFrame, label: str, threshold: float) -> DataFrame:
+def _per_score(scores: DataFrame, *totals: Column) -> DataFrame:
+    """One row per distinct score, written once: several passes follow.
+
+    However many rows share a score, it is one row here.
+    """
+    return materialise(scores.groupBy("risk_score").agg(*totals))
+
+
+def _classes(scored: DataFrame, label: str) -> DataFrame:
+    return _per_score(
+        scored,
+        F.sum(flag(F.col(label) == 1)).alias("bad"),
+        F.sum(flag(F.col(label) == 0)).alias("good"),
+    )
+
+
+def _confusion(classes: DataFrame, threshold: float) -> DataFrame:
     """Counts, precision, recall and F1 at a threshold; 0 where undefined."""
-    hit, bad = F.col("risk_score") >= threshold, F.col(label) == 1
-    counts = scored.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.coalesce(F.sum(flag(hit & bad)), F.lit(0)).alias("tp"),
-        F.coalesce(F.sum(flag(hit & ~bad)), F.lit(0)).alias("fp"),
-        F.coalesce(F.sum(flag(~hit & bad)), F.lit(0)).alias("fn"),
+    hit, bad, good = F.col("risk_score") >= threshold, F.col("bad"), F.col("good")
+    total = lambda value: F.coalesce(F.sum(value), F.lit(0))
+    counts = classes.agg(
+        total(bad + good).alias("n"),
+        total(F.when(hit, bad)).alias("tp"),
+        total(F.when(hit, good)).alias("fp"),
+        total(F.when(~hit, bad)).alias("fn"),
     )
     tp, fp, fn = F.col("tp"), F.col("fp"), F.col("fn")
     zero = F.lit(0.0)
@@ -49,31 +66,32 @@ def confusion_metrics(scored: DataFrame, label: str, threshold: float) -> DataFr
     )
 
 
-def area_under_roc(scored: DataFrame, label: str) -> DataFrame:
-    """Exact AUC as the rank-sum statistic; a tie counts one half. NULL with one class only."""
-    per_score = materialise(
-        scored.groupBy("risk_score").agg(
-            F.sum(flag(F.col(label) == 1)).alias("bad"),
-            F.sum(flag(F.col(label) == 0)).alias("good"),
-        )
-    )
-    ordered = running_totals(per_score, "risk_score", ("good", "bad"))
+def _rank_sum(classes: DataFrame) -> DataFrame:
+    """Share of bad-good pairs in which the bad row scores higher; a tie counts one half."""
+    ordered = running_totals(classes.where("risk_score IS NOT NULL"), "risk_score", ("good", "bad"))
     # twice the number of pairs won, as a whole number
     won = F.col("bad").cast("decimal(19,0)") * (2 * F.col("good_before") + F.col("good"))
     return ordered.agg(
         F.sum(won).alias("won2"), F.sum("bad").alias("bad"), F.sum("good").alias("good")
-    ).select(ratio(F.col("won2").cast("double") / 2, F.col("bad").cast("double") * F.col("good")).alias("auc"))
+    ).select(
+        ratio(
+            F.col("won2").cast("double") / 2, F.col("bad").cast("double") * F.col("good")
+        ).alias("auc")
+    )
 
 
 def evaluate_scores(scored: DataFrame, label: str, threshold: float = DEFAULTS.threshold) -> DataFrame:
-    """One row: counts, precision, recall, F1 and AUC."""
-    auc = area_under_roc(scored, label)
-    return confusion_metrics(scored, label, threshold).select("*", auc.scalar().alias("auc"))
+    """One row: counts, precision, recall, F1 and exact AUC (NULL with one class only).
+
+    The scored rows are read once.
+    """
+    classes = _classes(scored, label)
+    return _confusion(classes, threshold).select("*", _rank_sum(classes).scalar().alias("auc"))
 
 
 def score_histogram(scores: DataFrame, bins: int = DEFAULTS.histogram_bins) -> DataFrame:
     """Equal-width bins over the score range with the last one closed; empty bins count 0."""
-    known = scores.where(F.col("risk_score").isNotNull()).select("risk_score")
+    known = _per_score(scores.where(F.col("risk_score").isNotNull()), F.count(F.lit(1)).alias("n"))
     span = known.agg(
         F.struct(F.min("risk_score").alias("lo"), F.max("risk_score").alias("hi")).alias("span")
     )
@@ -90,7 +108,7 @@ def score_histogram(scores: DataFrame, bins: int = DEFAULTS.histogram_bins) -> D
     position = (F.col("risk_score") - limits["lo"]) / (limits["hi"] - limits["lo"]) * bins
     counts = known.groupBy(
         (F.least(F.floor(position), F.lit(bins - 1)) + 1).cast("int").alias("bin")
-    ).agg(F.count(F.lit(1)).alias("scores"))
+    ).agg(F.sum("n").alias("scores"))
     edges = span.where(F.col("span.lo").isNotNull()).select(
         F.explode(F.sequence(F.lit(1), F.lit(bins))).alias("bin"), "span"
     )
@@ -105,11 +123,7 @@ def score_histogram(scores: DataFrame, bins: int = DEFAULTS.histogram_bins) -> D
 
 def score_box_plot(scores: DataFrame) -> DataFrame:
     """Quartiles and whiskers (the outermost scores within 1.5 interquartile ranges)."""
-    per_score = materialise(
-        scores.where(F.col("risk_score").isNotNull())
-        .groupBy("risk_score")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    per_score = _per_score(scores.where(F.col("risk_score").isNotNull()), F.count(F.lit(1)).alias("n"))
     ordered = running_totals(per_score, "risk_score", ("n",))
     total = per_score.agg(F.sum("n").alias("n")).scalar()
 

@@ -141,3 +141,12 @@ def test_measures_of_an_empty_slice_are_blank(make_tables, spark):
     assert found[day("2024-02-29")].avg_risk_score is None
     (total,) = measures.portfolio_measures(t, (), scores).collect()
     assert (total.loans, total.loans_60p, total.rate_60p) == (2, 1, 0.5)
+
+
+def test_measures_keep_a_slice_without_a_key(make_tables, spark):
+    t = make_tables([loan(1, product=None), loan(2)], [due(1, "2024-02-10", "5", "0"), due(2, "2024-02-10", "5", "0")])
+    scores = spark.createDataFrame(
+        [(i, day("2024-02-29"), 0.5) for i in (1, 2)], "loan_id long, month_end date, risk_score double"
+    )
+    found = measures.portfolio_measures(t, ("product_type",), scores)
+    assert rows(found, "product_type", "top_risk_balance") == [(None, D("1000.00")), ("Personal", D("1000.00"))]
