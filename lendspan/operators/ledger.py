@@ -8,7 +8,7 @@ same partitioning and order, so they share one exchange on loan_id.
 """
 
 from datetime import date
-from typing import Optional
+from typing import Callable, Optional
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -133,21 +133,27 @@ def loan_months(
     as_of: Optional[date] = None,
     loans: Optional[DataFrame] = None,
     extra_columns: tuple = (),
+    widen: Callable[[DataFrame], DataFrame] = lambda months: months,
 ) -> DataFrame:
     """Ledger rows of known loans with loan columns, delinquency and balance.
 
-    `loans` may be the loan table widened with `extra_columns`. The balance is
-    NULL before the origination month; a month without an installment would add
-    nothing, so the running sum over ledger rows equals one over all months.
+    `loans` may be the loan table widened with `extra_columns`; `widen` adds further
+    loan windows. All windows in month order run before the join, on narrow rows: the
+    join needs them by loan, so they are sorted once.
+
+    The balance is NULL before the origination month. A month without an installment
+    would add nothing, so the running sum over ledger rows equals one over all months.
     """
     loan_side = (t.loans if loans is None else loans).select("loan_id", *LOAN_COLUMNS, *extra_columns)
-    joined = monthly_flows(t, as_of).join(loan_side, "loan_id")
+    months = widen(with_delinquency(monthly_flows(t, as_of), params, {"repaid": "principal"}))
     on_books = F.col("month_end") >= F.last_day("origination_date")
-    counted = joined.withColumn("counted", F.when(on_books, F.col("principal")).otherwise(no_cents()))
-    left = F.greatest(cents("principal_nzd") - F.col("repaid"), no_cents())
-    return with_delinquency(counted, params, {"repaid": "counted"}).withColumn(
-        "eop_balance", F.when(on_books, money(left))
+    # installments that lie before the origination month do not reduce the balance
+    early = F.sum(F.when(on_books, no_cents()).otherwise(F.col("principal"))).over(
+        Window.partitionBy("loan_id")
     )
+    joined = months.join(loan_side, "loan_id").withColumn("early", early)
+    left = F.greatest(cents("principal_nzd") - (F.col("repaid") - F.col("early")), no_cents())
+    return joined.withColumn("eop_balance", F.when(on_books, money(left)))
 
 
 def flag_60p() -> Column:

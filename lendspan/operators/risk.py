@@ -1,12 +1,12 @@
 """Risk features and labels per loan and month."""
 
 from datetime import date
-from typing import Optional
+from typing import Callable, Optional
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import no_cents, flag, money
+from ..functions.columns import flag, money, no_cents
 from ..params import DEFAULTS, Params
 from ..tables import Tables
 from .ledger import by_loan, flag_60p, loan_months, monthly_flows
@@ -45,12 +45,11 @@ def pay_behaviour_monthly(t: Tables) -> DataFrame:
     )
 
 
-def _with_features(months: DataFrame, params: Params) -> DataFrame:
+def _rolling(months: DataFrame, params: Params) -> DataFrame:
     """Rolling columns over the loan's current and preceding rows; short histories use fewer."""
     recent = by_loan().rowsBetween(1 - params.lookback_months, Window.currentRow)
     return months.select(
         "*",
-        money(F.col("arrears")).alias("arrears_amt"),
         F.avg(_paid_full().cast("double")).over(recent).alias("roll3_paid_full_rate"),
         F.sum(1 - _paid_full()).over(recent).alias("roll3_missed_cnt"),
         (
@@ -70,13 +69,20 @@ def _customer_loans(t: Tables) -> DataFrame:
     return t.loans.join(t.customers.select("customer_id", *CUSTOMER_COLUMNS), "customer_id")
 
 
+def _feature_months(
+    t: Tables, params: Params, as_of: Optional[date], widen: Callable[[DataFrame], DataFrame]
+) -> DataFrame:
+    months = loan_months(t, params, as_of, _customer_loans(t), CUSTOMER_COLUMNS, widen)
+    return months.withColumn("arrears_amt", money(F.col("arrears")))
+
+
 def features_3m(t: Tables, params: Params = DEFAULTS, as_of: Optional[date] = None) -> DataFrame:
-    months = loan_months(t, params, as_of, _customer_loans(t), CUSTOMER_COLUMNS)
-    return _with_features(months, params).select(*FEATURE_COLUMNS)
+    return _feature_months(t, params, as_of, lambda m: _rolling(m, params)).select(*FEATURE_COLUMNS)
 
 
 def labels_60p_3m(t: Tables, params: Params = DEFAULTS, as_of: Optional[date] = None) -> DataFrame:
-    return loan_months(t, params, as_of).select("loan_id", "month_end", _label(params).alias(LABEL))
+    months = loan_months(t, params, as_of, widen=lambda m: m.withColumn(LABEL, _label(params)))
+    return months.select("loan_id", "month_end", LABEL)
 
 
 def _latest_month(t: Tables, loans: DataFrame, as_of: Optional[date]) -> DataFrame:
@@ -110,8 +116,10 @@ def recent_labels(t: Tables, params: Params = DEFAULTS, as_of: Optional[date] =
 
 def labelled_features(t: Tables, params: Params = DEFAULTS, as_of: Optional[date] = None) -> DataFrame:
     """Features with their label, both cut from the same ledger row, so without a join."""
-    months = loan_months(t, params, as_of, _customer_loans(t), CUSTOMER_COLUMNS)
-    return _with_features(months, params).select(*FEATURE_COLUMNS, _label(params).alias(LABEL))
+    months = _feature_months(
+        t, params, as_of, lambda m: _rolling(m.withColumn(LABEL, _label(params)), params)
+    )
+    return months.select(*FEATURE_COLUMNS, LABEL)
 
 
 def training_set(t: Tables, params: Params = DEFAULTS, as_of: Optional[date] = None) -> DataFrame:
