@@ -5,7 +5,7 @@ from typing import Optional
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import flag, in_buckets, money, ratio
+from ..functions.columns import flag, in_buckets, ratio
 from ..params import BUCKETS_30P, BUCKETS_60P, BUCKETS_90P, DEFAULTS, Params
 from ..session import materialise
 from ..tables import Tables

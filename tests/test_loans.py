@@ -4,7 +4,7 @@ from datetime import date
 from decimal import Decimal as D
 
 import pytest
-from conftest import customer, day, loan, rows
+from conftest import customer, day, loan
 from pyspark.sql import functions as F
 
 from lendspan.operators import amortise as am

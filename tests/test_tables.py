@@ -94,6 +94,8 @@ def test_jdbc_options():
 
 
 def test_marts_are_registered_by_name(spark, small):
+    for name in ("mart_portfolio_snapshot", "mart_portfolio_snapshot_v2"):
+        spark.catalog.dropTempView(name)  # another test may have registered marts
     with pytest.raises(LookupError):
         balance.richest_snapshot(spark)
     delinquency.portfolio_snapshot(small).createOrReplaceTempView("mart_portfolio_snapshot")
