@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import sys
+import tempfile
 from collections.abc import Callable
 from datetime import date
 from pathlib import Path
@@ -224,8 +225,35 @@ QUERIES_WITH_LAZY_PLANS = sorted(
 )
 
 
+def _with_shared_folder(spark: SparkSession) -> SparkSession:
+    """Name a folder for intermediate tables where neither the session nor its user did."""
+    context = spark.sparkContext
+    if not (context.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)):
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="spark-checkpoint-"))
+    return spark
+
+
 def _query(build: Callable[[Tables], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    return lambda spark, sf_dir: presentable(build(load_bridged(spark, sf_dir)))
+    return lambda spark, sf_dir: presentable(build(load_bridged(_with_shared_folder(spark), sf_dir)))
+
+
+def _corpus_query(build: Callable) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, sf_dir: build(_with_shared_folder(spark), sf_dir)
+
+
+try:
+    import corpus_pipeline
+    from lendspan.llm import queries as corpus_queries
+
+    CORPUS_QUERIES = {**corpus_queries.QUERIES, "pipeline": corpus_pipeline.run}
+    CORPUS_ORACLES = corpus_queries.ORACLES
+except ModuleNotFoundError as missing:
+    # the corpus operators can be left out; any other missing module is an error
+    if missing.name not in ("corpus_pipeline", "lendspan.llm", "lendspan.llm.queries"):
+        raise
+    CORPUS_QUERIES, CORPUS_ORACLES = {}, {}
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -234,8 +262,10 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: _query(build) for name, build in BUILDERS.items()}
+    return {name: _query(build) for name, build in BUILDERS.items()} | {
+        name: _corpus_query(build) for name, build in CORPUS_QUERIES.items()
+    }
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLES)
+    return {**ORACLES, **CORPUS_ORACLES}

@@ -1,8 +1,9 @@
 """Session settings that suit these plans, and the shared checkpoint folder."""
 
+import atexit
 import posixpath
-import tempfile
 import uuid
+import weakref
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -37,25 +38,78 @@ def build_session(app_name: str = "lendspan", master: str | None = None, **conf:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The checkpoint folder the cluster names; a made-up one only in a local session."""
+    """The checkpoint folder that the session names in `spark.checkpoint.dir`.
+
+    Where it is unset the caller chooses one with `SparkContext.setCheckpointDir`.
+    """
     context = spark.sparkContext
     if not context.getCheckpointDir():
         configured = spark.conf.get("spark.checkpoint.dir", None)
-        if configured:
-            context.setCheckpointDir(configured)
-        elif context.master.startswith("local"):
-            context.setCheckpointDir(tempfile.mkdtemp(prefix="lendspan-checkpoint-"))
-        else:
+        if not configured:
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        context.setCheckpointDir(configured)
     return context.getCheckpointDir()
 
 
-def materialise(df: DataFrame) -> DataFrame:
-    """Write `df` once to the shared folder and read it back.
+class Scratch:
+    """Intermediate tables in one folder of the shared storage, deleted together.
 
-    For a result that several branches or passes read: it is computed once, later
-    reads take only the columns they need, and they survive the loss of executors.
+    A stored result is computed once; later reads take only the columns they need and
+    survive the loss of executors. Use it as a context manager where everything that
+    reads the tables ends inside, or keep it until `release`.
     """
-    path = posixpath.join(shared_folder(df.sparkSession), uuid.uuid4().hex)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark = spark
+        self.root = posixpath.join(shared_folder(spark), f"scratch-{uuid.uuid4().hex}")
+
+    def store(self, df: DataFrame) -> DataFrame:
+        path = posixpath.join(self.root, uuid.uuid4().hex)
+        df.write.option("compression", "zstd").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def release(self) -> None:
+        """Delete every table stored here; safe to call again."""
+        _delete(self.spark, self.root)
+
+    def drop(self, stored: DataFrame) -> None:
+        """Delete one table stored here."""
+        for path in {posixpath.dirname(f) for f in stored.inputFiles()}:
+            if posixpath.basename(self.root) in path:
+                _delete(self.spark, path)
+
+    def __enter__(self) -> "Scratch":
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.release()
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
+_BY_SESSION: "weakref.WeakKeyDictionary[SparkSession, Scratch]" = weakref.WeakKeyDictionary()
+
+
+def session_scratch(spark: SparkSession) -> Scratch:
+    """Scratch tables behind frames that are returned lazily; gone when the session ends."""
+    held = _BY_SESSION.get(spark)
+    if held is None:
+        held = _BY_SESSION[spark] = Scratch(spark)
+        atexit.register(release_session, spark)
+    return held
+
+
+def release_session(spark: SparkSession) -> None:
+    """Delete what lazily returned frames read; for the end of a session."""
+    held = _BY_SESSION.pop(spark, None)
+    if held is not None and spark.sparkContext._jsc is not None:
+        held.release()
+
+
+def materialise(df: DataFrame) -> DataFrame:
+    """Write `df` once to the shared folder and read it back, until the session ends."""
+    return session_scratch(df.sparkSession).store(df)

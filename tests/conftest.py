@@ -13,7 +13,7 @@ from lendspan.sources import dims  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
         "lendspan-tests",
         "local[4]",
@@ -24,6 +24,7 @@ def spark():
         },
     )
     session.sparkContext.setLogLevel("ERROR")
+    session.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("checkpoint")))
     yield session
     session.stop()
 
