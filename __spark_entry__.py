@@ -243,17 +243,20 @@ def _corpus_query(build: Callable) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, sf_dir: build(_with_shared_folder(spark), sf_dir)
 
 
+CORPUS_QUERIES: dict[str, Callable] = {}
+CORPUS_ORACLES: dict[str, str] = {}
+# The corpus operators can be left out; any other missing module is an error.
 try:
+    import lendspan.llm.queries as corpus_queries
+
+    CORPUS_QUERIES |= corpus_queries.QUERIES
+    CORPUS_ORACLES |= corpus_queries.ORACLES
     import corpus_pipeline
-    from lendspan.llm import queries as corpus_queries
 
-    CORPUS_QUERIES = {**corpus_queries.QUERIES, "pipeline": corpus_pipeline.run}
-    CORPUS_ORACLES = corpus_queries.ORACLES
+    CORPUS_QUERIES["pipeline"] = corpus_pipeline.run
 except ModuleNotFoundError as missing:
-    # the corpus operators can be left out; any other missing module is an error
     if missing.name not in ("corpus_pipeline", "lendspan.llm", "lendspan.llm.queries"):
         raise
-    CORPUS_QUERIES, CORPUS_ORACLES = {}, {}
 
 
 def entry(spark: SparkSession) -> DataFrame:
