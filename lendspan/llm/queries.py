@@ -2,7 +2,11 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import simhash
+from . import decontaminate, mixing, oracles, pii, simhash
+
+
+# The key of the registered query; users pass their own.
+PSEUDONYM_KEY = "check"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -13,7 +17,27 @@ def op2_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_totals(_table(spark, sf_dir, "documents"))
+
+
+def op7_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.pseudonyms(docs, PSEUDONYM_KEY)
+
+
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.drop("text_key")
+
+
 QUERIES = {
+    "op1_mixing": op1_mixing,
     "op2_simhash_near_duplicates": op2_simhash_near_duplicates,
+    "op7_pii_pseudonyms": op7_pii_pseudonyms,
+    "op9_decontamination": op9_decontamination,
+}
+ORACLES = {
+    "op1_mixing": oracles.MIXING,
+    "op9_decontamination": oracles.DECONTAMINATION,
 }
-ORACLES: dict[str, str] = {}
