@@ -1,8 +1,9 @@
 """The registered query of each corpus operator, over its whole table."""
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, mixing, oracles, pii, simhash
+from . import decontaminate, mixing, oracles, pii, simhash, tokens
 
 
 # The key of the registered query; users pass their own.
@@ -21,6 +22,10 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_totals(_table(spark, sf_dir, "documents"))
 
 
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.token_counts(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op7_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return pii.pseudonyms(docs, PSEUDONYM_KEY)
@@ -34,6 +39,7 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_simhash_near_duplicates": op2_simhash_near_duplicates,
+    "op3_token_counts": op3_token_counts,
     "op7_pii_pseudonyms": op7_pii_pseudonyms,
     "op9_decontamination": op9_decontamination,
 }
