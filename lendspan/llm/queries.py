@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, mixing, oracles, pii, simhash, tokens
+from . import decontaminate, mixing, oracles, parsing, pii, simhash, tokens
 
 
 # The key of the registered query; users pass their own.
@@ -31,6 +31,10 @@ def op7_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pseudonyms(docs, PSEUDONYM_KEY)
 
 
+def op8_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parsing.fingerprints(_table(spark, sf_dir, "documents"))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     return found.drop("text_key")
@@ -41,6 +45,7 @@ QUERIES = {
     "op2_simhash_near_duplicates": op2_simhash_near_duplicates,
     "op3_token_counts": op3_token_counts,
     "op7_pii_pseudonyms": op7_pii_pseudonyms,
+    "op8_document_fingerprints": op8_document_fingerprints,
     "op9_decontamination": op9_decontamination,
 }
 ORACLES = {
