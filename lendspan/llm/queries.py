@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, mixing, oracles, parsing, pii, simhash, tokens, toxicity
+from . import brown, decontaminate, html, mixing, oracles, parsing, pii, simhash, tokens, toxicity
 
 
 # The key of the registered query; users pass their own.
@@ -26,6 +26,10 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_counts(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op4_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.main_texts(_table(spark, sf_dir, "pages"))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -44,14 +48,20 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("text_key")
 
 
+def op10_brown_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return brown.scores(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_simhash_near_duplicates": op2_simhash_near_duplicates,
     "op3_token_counts": op3_token_counts,
+    "op4_main_text": op4_main_text,
     "op6_toxicity": op6_toxicity,
     "op7_pii_pseudonyms": op7_pii_pseudonyms,
     "op8_document_fingerprints": op8_document_fingerprints,
     "op9_decontamination": op9_decontamination,
+    "op10_brown_scores": op10_brown_scores,
 }
 ORACLES = {
     "op1_mixing": oracles.MIXING,
