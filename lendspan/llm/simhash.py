@@ -62,21 +62,30 @@ def _bit_counts(shingles: list[bytes]) -> np.ndarray:
     return bits.sum(axis=0, dtype=np.int64)
 
 
-def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per document: doc_id and fp, the fingerprint as a signed long. NULL text is empty."""
-    schema = docs.select(F.col(doc_id).alias("doc_id"), F.lit(0).cast("long").alias("fp")).schema
+def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", key: str | None = None) -> DataFrame:
+    """One row per document: doc_id, fp, the fingerprint as a signed long, and text_key, a column
+    carried along (NULL without one). NULL text is empty."""
+    text_key = F.col(key) if key else F.lit(None)
+    chosen = docs.select(
+        F.col(doc_id).alias("doc_id"),
+        F.col(text).cast("string").alias("text"),
+        text_key.cast("long").alias("text_key"),
+    )
+    schema = chosen.select("doc_id", F.lit(0).cast("long").alias("fp"), "text_key").schema
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(_normal(batch), 1):
                 found = np.array([fingerprint(t) for t in texts(part.column(1))], np.uint64).view(np.int64)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found)], ["doc_id", "fp"])
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array(found), part.column(2)], ["doc_id", "fp", "text_key"]
+                )
 
-    return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(work, schema)
+    return chosen.mapInArrow(work, schema)
 
 
 def _normal(batch: pa.RecordBatch) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([batch.column(0), string_texts(batch, 1)], ["doc_id", "text"])
+    return pa.RecordBatch.from_arrays([batch.column(0), string_texts(batch, 1), batch.column(2)], ["doc_id", "text", "text_key"])
 
 
 def _segment(bits: str, start: int) -> str:
@@ -178,3 +187,22 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     return prints.join(by_print, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of `docs` with one document of each class kept, columns unchanged.
+
+    Kept is the document of the smallest id, of several rows with that id one with the
+    smallest text hash; ids that are NULL come last.
+    """
+    scratch = session_scratch(docs.sparkSession)
+    row = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "text_key")
+    prints = scratch.store(fingerprints(docs.withColumn("_key", F.xxhash64(text)), doc_id, text, "_key"))
+    per_print = scratch.store(prints.groupBy("fp").agg(F.min(row).alias("first")))
+    classes = link_classes(per_print.select("fp"), scratch)
+    heads = scratch.store(
+        classes.join(per_print, "fp").groupBy("label").agg(F.min("first").alias("head")).select("head.*")
+    )
+    kept = heads.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_text"))
+    same = docs[doc_id].eqNullSafe(F.col("_id")) & (F.xxhash64(docs[text]) == F.col("_text"))
+    return docs.join(kept, same, "left_semi").dropDuplicates([doc_id, text])
