@@ -1,6 +1,7 @@
 """Session settings that suit these plans, and the shared checkpoint folder."""
 
 import atexit
+import gc
 import posixpath
 import uuid
 import weakref
@@ -78,6 +79,15 @@ class Scratch:
             if posixpath.basename(self.root) in path:
                 _delete(self.spark, path)
 
+    def settle(self) -> None:
+        """Let Spark delete the shuffle files of results that nothing refers to any more.
+
+        Its cleaner acts when the driver's references are collected, which a long job of
+        few objects may not do for hours.
+        """
+        gc.collect()
+        self.spark.sparkContext._jvm.System.gc()
+
     def __enter__(self) -> "Scratch":
         return self
 
