@@ -81,3 +81,30 @@ SELECT d.doc_id, d.n::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, co
        sha256(coalesce(ids, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
 FROM docs d LEFT JOIN covered USING (nr) LEFT JOIN found USING (nr)
 """
+
+REPEATS = r"""
+WITH docs AS MATERIALIZED (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents
+), starts AS (
+  SELECT doc_id, p, md5(substr(x, (2 * p + 1)::INT, 200)) AS win
+  FROM docs, LATERAL (SELECT unnest(generate_series(0, (length(x) // 2 - 100)::BIGINT)) AS p) WHERE length(x) >= 200
+), later AS (
+  SELECT doc_id, p FROM starts QUALIFY row_number() OVER (PARTITION BY win ORDER BY doc_id, p) > 1
+), steps AS (
+  SELECT doc_id, p, coalesce(p > lag(p) OVER w + 100, true)::INT AS new FROM later WINDOW w AS (PARTITION BY doc_id ORDER BY p)
+), runs AS (
+  SELECT doc_id, p, sum(new) OVER (PARTITION BY doc_id ORDER BY p) AS run FROM steps
+), spans AS (
+  SELECT doc_id, run, min(p) AS a, max(p) + 100 AS b FROM runs GROUP BY doc_id, run
+), gaps AS (
+  SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS kept_from FROM spans
+), removed AS (
+  SELECT g.doc_id, sum(b - a)::BIGINT AS n_removed, count(*)::BIGINT AS n_spans,
+         string_agg(substr(d.x, (2 * kept_from + 1)::INT, (2 * (a - kept_from))::INT), '' ORDER BY a) AS kept, max(b) AS last_end
+  FROM gaps g JOIN docs d USING (doc_id) GROUP BY g.doc_id
+)
+SELECT d.doc_id, (length(x) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed,
+       coalesce(n_spans, 0)::BIGINT AS n_spans,
+       sha256(unhex(coalesce(kept, '') || substr(x, (2 * coalesce(last_end, 0) + 1)::INT))) AS kept_sha256
+FROM docs d LEFT JOIN removed r USING (doc_id)
+"""

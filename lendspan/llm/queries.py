@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import brown, decontaminate, html, mixing, oracles, parsing, pii, simhash, tokens, toxicity
+from . import brown, decontaminate, html, mixing, oracles, parsing, pii, repeats, simhash, tokens, toxicity
 
 
 # The key of the registered query; users pass their own.
@@ -30,6 +30,10 @@ def op4_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.main_texts(_table(spark, sf_dir, "pages"))
 
 
+def op5_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.without_repeats(_table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -57,6 +61,7 @@ QUERIES = {
     "op2_simhash_near_duplicates": op2_simhash_near_duplicates,
     "op3_token_counts": op3_token_counts,
     "op4_main_text": op4_main_text,
+    "op5_repeated_strings": op5_repeated_strings,
     "op6_toxicity": op6_toxicity,
     "op7_pii_pseudonyms": op7_pii_pseudonyms,
     "op8_document_fingerprints": op8_document_fingerprints,
