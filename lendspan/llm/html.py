@@ -151,6 +151,10 @@ class Page:
                     found.append("-".join(words))
         return found
 
+    def plain_inline(self) -> np.ndarray:
+        """Elements within a line and without a name: they go with their parent."""
+        return np.array([t in INLINE and not self.names(k) for k, t in enumerate(self.tags)])
+
     def labels(self) -> np.ndarray:
         """Training labels that rebuilt pages carry; -1 without one."""
         found = [_LABEL.search(a) for a in self.attributes]
@@ -288,13 +292,13 @@ class Boosted:
 
 
 def decode(parent: list[int], margin: np.ndarray) -> np.ndarray:
-    """Which elements are kept: nothing below a dropped element, highest total log-likelihood."""
+    """Which elements are kept: nothing below a dropped element, highest total log-likelihood; ties are kept."""
     keep = (-np.logaddexp(0, -margin)).tolist()
     drop = (-np.logaddexp(0, margin)).tolist()
     choice = [False] * len(parent)
     for node in range(len(parent) - 1, 0, -1):
         up = parent[node]
-        choice[node] = keep[node] > drop[node]
+        choice[node] = keep[node] >= drop[node]
         keep[up] += max(keep[node], drop[node])
         drop[up] += drop[node]
     kept = np.zeros(len(parent), bool)
@@ -331,7 +335,8 @@ class Extractor:
         found, at = [], 0
         for page in pages:
             size = len(page.tags)
-            found.append(blocks(page, decode(page.parent, margins[at : at + size])))
+            margin = np.where(page.plain_inline(), 0.0, margins[at : at + size])
+            found.append(blocks(page, decode(page.parent, margin)))
             at += size
         return found
 

@@ -134,7 +134,8 @@ def mixed_documents(
 ) -> DataFrame:
     """The mix itself: the input's columns for each copy taken, with copy, mix_start and words.
 
-    mix_start is the copy's place in the mix, words how many of its words are taken.
+    mix_start is the copy's place in the mix, words how many of its words are taken; columns
+    of these names in the input are replaced.
     """
     scratch = session_scratch(docs.sparkSession)
     served = scratch.store(virtual_times(sized(docs, doc_id, text, source), weights, times, scratch))
@@ -146,10 +147,11 @@ def mixed_documents(
         F.expr(nth.format("doc_id, text_key, source_rank, copy", "begin")).alias("_nth"),
         F.col("source").alias("_source"), "copy", "mix_start", "words",
     )
-    rows = docs.withColumn("_key", F.xxhash64(text)).withColumn(
+    named = [c for c in docs.columns if c not in ("copy", "mix_start", "words")]
+    rows = docs.select(*[F.col(f"`{c}`") for c in named]).withColumn("_key", F.xxhash64(text)).withColumn(
         "_number", F.expr(nth.format(f"`{doc_id}`, _key, `{source}`", "1"))
     )
-    kept = [F.col(f"`{c}`") for c in docs.columns if c not in ("copy", "mix_start", "words")]
+    kept = [F.col(f"`{c}`") for c in named]
     same = (
         rows[doc_id].eqNullSafe(F.col("_id"))
         & rows[source].eqNullSafe(F.col("_source"))

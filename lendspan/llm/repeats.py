@@ -74,11 +74,11 @@ def window_hashes(data: np.ndarray, length: int, which: int = 0) -> np.ndarray:
     return raw ^ (raw >> np.uint64(29))
 
 
-def pieces(text: bytes) -> Iterator[tuple[int, bytes]]:
+def pieces(text: bytes, size: int) -> Iterator[tuple[int, bytes]]:
     """(offset, bytes) that share out a text's window starts, each with the rest of its last window."""
     starts = len(text) - LENGTH + 1
-    for at in range(0, max(starts, 0), PIECE):
-        yield at, text[at : min(at + PIECE, starts) + LENGTH - 1]
+    for at in range(0, max(starts, 0), size):
+        yield at, text[at : min(at + size, starts) + LENGTH - 1]
 
 
 def block_spans(data: np.ndarray) -> np.ndarray:
@@ -88,7 +88,7 @@ def block_spans(data: np.ndarray) -> np.ndarray:
     return np.unique(np.concatenate([[0], anchors, [starts]]))
 
 
-def _blocks(docs: DataFrame) -> DataFrame:
+def _blocks(docs: DataFrame, size: int) -> DataFrame:
     """(h1, h2, id, text_key, begin, end) of all blocks."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -96,7 +96,7 @@ def _blocks(docs: DataFrame) -> DataFrame:
             out: list[list] = [[] for _ in range(6)]
             rows = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), string_texts(batch, 2).cast(pa.binary()), strict=True)
             for id_, key, text in rows:
-                for offset, piece in pieces(text.as_py()):
+                for offset, piece in pieces(text.as_py(), size):
                     bounds = block_spans(np.frombuffer(piece, np.uint8))
                     for begin, end in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
                         digest = hashlib.blake2b(piece[begin : end + LENGTH - 1], digest_size=16).digest()
@@ -135,15 +135,15 @@ def _unpack(packed: bytes) -> np.ndarray:
 class Sender:
     """Sorts entries and sends them by bucket; what repeats within a flush is settled here."""
 
-    def __init__(self, buckets: int) -> None:
-        self.buckets = buckets
+    def __init__(self, buckets: int, limit: int) -> None:
+        self.buckets, self.limit = buckets, limit
         self.held: list[tuple[np.ndarray, ...]] = []
         self.count = 0
 
     def add(self, *columns: np.ndarray) -> Iterator[pa.RecordBatch]:
         self.held.append(columns)
         self.count += len(columns[0])
-        if self.count >= FLUSH:
+        if self.count >= self.limit:
             yield from self.flush()
 
     def flush(self) -> Iterator[pa.RecordBatch]:
@@ -202,13 +202,15 @@ class WindowSender(Sender):
 
 
 def _firsts(columns: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
-    """Windows in order of (hash, document, start), and which are the first of their kind."""
+    """Windows in order of (hash, document, start), and which are the first of their kind.
+
+    The same window of a repeated row counts once.
+    """
     order = np.lexsort((columns[3], columns[2], columns[1], columns[0]))
     columns = [c[order] for c in columns]
-    first = np.ones(len(order), bool)
-    same = (columns[0][1:] == columns[0][:-1]) & (columns[1][1:] == columns[1][:-1])
-    first[1:] = ~same
-    return columns, first
+    equal = [np.concatenate([[False], c[1:] == c[:-1]]) for c in columns]
+    new = ~(equal[0] & equal[1] & equal[2] & equal[3])
+    return [c[new] for c in columns], ~(equal[0] & equal[1])[new]
 
 
 def _by_document(numbers: np.ndarray, values: np.ndarray) -> pa.Table:
@@ -271,13 +273,13 @@ def _samples(data: np.ndarray, offset: int, near: np.ndarray) -> tuple[np.ndarra
     return positions, window_hashes(data, GRAM)[positions]
 
 
-def _grams(docs: DataFrame, buckets: int) -> DataFrame:
+def _grams(docs: DataFrame, buckets: int, size: int, flush: int) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sender = GramSender(buckets)
+        sender = GramSender(buckets, flush)
         for batch in batches:
             for number, spans, text in zip(*(batch.column(c) for c in range(3)), strict=True):
                 number, spans = number.as_py(), [(s["begin"], s["end"]) for s in spans.as_py() or []]
-                for offset, piece in pieces((text.as_py() or "").encode()):
+                for offset, piece in pieces((text.as_py() or "").encode(), size):
                     data = np.frombuffer(piece, np.uint8)
                     _, grams = _samples(data, offset, _live(len(data) - LENGTH + 1, offset, spans))
                     yield from sender.add(grams, np.full(len(grams), number, np.int64))
@@ -286,14 +288,14 @@ def _grams(docs: DataFrame, buckets: int) -> DataFrame:
     return docs.select("no", "spans", "text").mapInArrow(work, _SENT)
 
 
-def _windows(docs: DataFrame, buckets: int) -> DataFrame:
+def _windows(docs: DataFrame, buckets: int, size: int, flush: int) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sender = WindowSender(buckets)
+        sender = WindowSender(buckets, flush)
         for batch in batches:
             for number, spans, found, text in zip(*(batch.column(c) for c in range(4)), strict=True):
                 number, spans = number.as_py(), [(s["begin"], s["end"]) for s in spans.as_py() or []]
                 repeated = np.unique(np.concatenate([_unpack(f) for f in found.as_py()]))
-                for offset, piece in pieces((text.as_py() or "").encode()):
+                for offset, piece in pieces((text.as_py() or "").encode(), size):
                     data = np.frombuffer(piece, np.uint8)
                     live = _live(len(data) - LENGTH + 1, offset, spans)
                     positions, grams = _samples(data, offset, live)
@@ -327,12 +329,15 @@ def _cleaned(text: bytes, spans: list, starts: np.ndarray) -> tuple[int, int, by
     return int(gone.sum()), runs, np.frombuffer(text, np.uint8)[~gone].tobytes()
 
 
-def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def without_repeats(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", piece: int = PIECE, flush: int = FLUSH
+) -> DataFrame:
     """Per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256 and kept, the bytes left.
 
     NULL texts are empty; a NULL id comes before all others. Rows alike in id and text are
     one document and get one result each; rows of one id and different texts follow each
-    other by a hash of their text.
+    other by a hash of their text. `piece` and `flush` bound what a task holds: bytes of a
+    text worked on at once, entries sorted at once; results do not depend on them.
     """
     spark = docs.sparkSession
     scratch = session_scratch(spark)
@@ -348,7 +353,7 @@ def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     distinct = keyed.select(*key).distinct().withColumn("no", F.lit(1).cast("long"))
     numbered = running_totals(in_ranges(distinct, order, scratch), order, ("no",)).select(*key, F.col("no_before").alias("no"))
 
-    blocks = scratch.store(_blocks(keyed))
+    blocks = scratch.store(_blocks(keyed, piece))
     place = F.struct("id", "text_key", "begin")
     first = blocks.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
     first = scratch.store(first.drop("n"))
@@ -358,10 +363,10 @@ def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     scratch.drop(blocks)
     scratch.settle()
 
-    grams = _settle(_grams(keyed.drop("doc_id").join(meta, key), buckets), _repeated_grams, scratch)
+    grams = _settle(_grams(keyed.drop("doc_id").join(meta, key), buckets, piece, flush), _repeated_grams, scratch)
     scratch.settle()
     flagged = meta.join(grams, "no")
-    later_starts = _settle(_windows(keyed.drop("doc_id").join(flagged, key), buckets), _later_windows, scratch)
+    later_starts = _settle(_windows(keyed.drop("doc_id").join(flagged, key), buckets, piece, flush), _later_windows, scratch)
     scratch.settle()
     marks = scratch.store(
         meta.join(later_starts, "no", "left").where("spans IS NOT NULL OR found IS NOT NULL").select(*key, "spans", "found")
