@@ -1,7 +1,6 @@
 """Session settings that suit these plans, and the shared checkpoint folder."""
 
 import atexit
-import gc
 import posixpath
 import uuid
 import weakref
@@ -29,6 +28,10 @@ SESSION_CONF = {
 }
 
 
+# Once a result is stored, the shuffle files behind it are of no more use.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def build_session(app_name: str = "lendspan", master: str | None = None, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
     if master:
@@ -66,7 +69,12 @@ class Scratch:
 
     def store(self, df: DataFrame) -> DataFrame:
         path = posixpath.join(self.root, uuid.uuid4().hex)
-        df.write.option("compression", "zstd").parquet(path)
+        before = self.spark.conf.get(SHUFFLE_CLEANUP)
+        self.spark.conf.set(SHUFFLE_CLEANUP, "true")
+        try:
+            df.write.option("compression", "zstd").parquet(path)
+        finally:
+            self.spark.conf.set(SHUFFLE_CLEANUP, before)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def release(self) -> None:
@@ -79,15 +87,6 @@ class Scratch:
             if posixpath.basename(self.root) in path:
                 _delete(self.spark, path)
 
-    def settle(self) -> None:
-        """Let Spark delete the shuffle files of results that nothing refers to any more.
-
-        Its cleaner acts when the driver's references are collected, which a long job of
-        few objects may not do for hours.
-        """
-        gc.collect()
-        self.spark.sparkContext._jvm.System.gc()
-
     def __enter__(self) -> "Scratch":
         return self
 
