@@ -361,13 +361,10 @@ def without_repeats(
     spans = later.groupBy(*key).agg(F.collect_set(F.struct("begin", "end")).alias("spans"))
     meta = scratch.store(numbered.join(spans, key, "left"))
     scratch.drop(blocks)
-    scratch.settle()
 
     grams = _settle(_grams(keyed.drop("doc_id").join(meta, key), buckets, piece, flush), _repeated_grams, scratch)
-    scratch.settle()
     flagged = meta.join(grams, "no")
     later_starts = _settle(_windows(keyed.drop("doc_id").join(flagged, key), buckets, piece, flush), _later_windows, scratch)
-    scratch.settle()
     marks = scratch.store(
         meta.join(later_starts, "no", "left").where("spans IS NOT NULL OR found IS NOT NULL").select(*key, "spans", "found")
     )
