@@ -65,8 +65,9 @@ class Units:
         memory = self.memory
         if len(memory) > 300_000:
             memory.clear()
-        for word in set(words) - memory.keys():
-            memory[word] = self.core.get(word) or group_of(word)
+        for word in set(words):
+            if word not in memory:
+                memory[word] = self.core.get(word) or group_of(word)
         return [memory[w] for w in words]
 
 
