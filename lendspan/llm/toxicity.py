@@ -59,8 +59,9 @@ class Chain:
         known = self.known
         if len(known) > 300_000:
             known.clear()
-        for word in set(tokens) - known.keys():
-            known[word] = next((self.units_known[u] for u in units(word) if u in self.units_known), 0)
+        for word in set(tokens):
+            if word not in known:
+                known[word] = next((self.units_known[u] for u in units(word) if u in self.units_known), 0)
         return [known[w] for w in tokens]
 
     def marginals(self, index: list[int]) -> tuple[list[float], float]:
