@@ -39,7 +39,7 @@ COVER = (0, 1, 3, 13, 32, 36, 43, 52)
 GRAM = LENGTH - MODULUS + 1
 ANCHOR = 16
 # One position in so many begins a block.
-SPACING = 256
+SPACING = 128
 PIECE = 1 << 21
 FLUSH = 1 << 21
 BUCKETS_A_PARTITION = 8
@@ -121,15 +121,19 @@ _BLOCK = ["h1", "h2", "id", "text_key", "begin", "end"]
 
 
 def _pack(values: np.ndarray) -> bytes:
-    """Numbers as compressed byte planes of their differences."""
-    differ = np.diff(values.astype(np.uint64), prepend=np.uint64(0))
-    planes = differ.view(np.uint8).reshape(-1, 8).T.tobytes()
-    return zstandard.ZstdCompressor(level=1).compress(planes)
+    """Numbers as compressed byte planes, of their differences where they ascend."""
+    values = values.astype(np.uint64)
+    ascending = bool((values[1:] >= values[:-1]).all())
+    if ascending:
+        values = np.diff(values, prepend=np.uint64(0))
+    planes = values.view(np.uint8).reshape(-1, 8).T.tobytes()
+    return bytes([ascending]) + zstandard.ZstdCompressor(level=1).compress(planes)
 
 
 def _unpack(packed: bytes) -> np.ndarray:
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), np.uint8)
-    return np.cumsum(np.ascontiguousarray(planes.reshape(8, -1).T).view(np.uint64).ravel(), dtype=np.uint64)
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed[1:]), np.uint8)
+    values = np.ascontiguousarray(planes.reshape(8, -1).T).view(np.uint64).ravel()
+    return np.cumsum(values, dtype=np.uint64) if packed[0] else values
 
 
 class Sender:
