@@ -68,7 +68,7 @@ def by_bucket(bucket: Column, values: dict) -> Column:
 
 
 def half_up(numerator: Column, denominator: int) -> Column:
-    """Quotient of whole numbers, rounded half away from zero, in long arithmetic."""
+    """Quotient of whole numbers (longs or wide decimals), rounded half away from zero."""
     twice, half = 2 * numerator, F.lit(denominator).cast("long")
     whole = F.lit(2 * denominator).cast("long")
     return F.when(numerator >= 0, F.call_function("div", twice + half, whole)).otherwise(

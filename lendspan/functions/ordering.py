@@ -3,73 +3,22 @@
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-RANGES = 512
-# Up to this limit Spark itself trims each input split to its best n rows before the
-# shuffle of a row_number() <= n filter.
-PRE_SHUFFLE_LIMIT = 1000
+# Parts into which a group is split for the first pass.
 SALTS = 256
 
 
-def running_totals(df: DataFrame, order: str, totals: tuple, ranges: int = RANGES) -> DataFrame:
-    """Totals of all rows with a smaller `order` value, as `<name>_before`.
+def top_n_per_group(df: DataFrame, groups: tuple, order: tuple, n: int, salt_by: tuple) -> DataFrame:
+    """The first n rows of each group. `order` must leave no ties.
 
-    `df` has one row per distinct value of `order`. The values are cut at approximate
-    quantiles, so each range holds about the same number of rows whatever the
-    distribution is; windows run within a range, and one over the range totals (at
-    most `ranges` + 1 rows) adds what lies before it. Results are exact: the cut
-    points only decide which task does the work.
+    A first pass keeps the first n of each of SALTS parts of a group, so no task gets a
+    whole group; `salt_by` names columns that spread its rows.
     """
-    shares = ", ".join(f"{i / ranges!r}D" for i in range(1, ranges))
-    cuts = F.expr(f"percentile_approx({order}, array({shares}), {ranges * 10})")
-    # The sums make this aggregate read the columns that the other branches read, so
-    # that Spark can reuse their exchange.
-    limits = df.agg(
-        F.struct(
-            cuts.alias("cuts"),
-            *[F.sum(c).alias(c) for c in totals],
-        ).alias("limits")
-    ).scalar()
-    value = F.col(order)
-    ranged = (
-        df.withColumn("_cuts", limits["cuts"])
-        .withColumn("_range", F.size(F.filter("_cuts", lambda cut: cut < value)))
-        .drop("_cuts")
-    )
-    before_range = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        ranged.groupBy("_range")
-        .agg(*[F.sum(c).alias(c) for c in totals])
-        .select(
-            "_range",
-            *[F.coalesce(F.sum(c).over(before_range), F.lit(0)).alias(f"_offset_{c}") for c in totals],
-        )
-    )
-    before_value = (
-        Window.partitionBy("_range").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    )
-    return (
-        ranged.select(
-            "*",
-            *[F.coalesce(F.sum(c).over(before_value), F.lit(0)).alias(f"_within_{c}") for c in totals],
-        )
-        .join(F.broadcast(offsets), "_range")
-        .select(
-            *df.columns,
-            *[(F.col(f"_within_{c}") + F.col(f"_offset_{c}")).alias(f"{c}_before") for c in totals],
-        )
-    )
-
-
-def top_n_per_group(df: DataFrame, groups: tuple, order: tuple, n: int, salt_by: tuple) -> DataFrame:
-    """The first n rows of each group. `order` must leave no ties."""
     def first(rows: DataFrame, keys: list) -> DataFrame:
         position = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
         return rows.withColumn("_position", position).where(F.col("_position") <= n).drop("_position")
 
-    if n > PRE_SHUFFLE_LIMIT:
-        salted = df.withColumn("_salt", F.pmod(F.xxhash64(*salt_by), F.lit(SALTS)))
-        df = first(salted, [*groups, "_salt"]).drop("_salt")
-    return first(df, list(groups))
+    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*salt_by), F.lit(SALTS)))
+    return first(first(salted, [*groups, "_salt"]).drop("_salt"), list(groups))
 
 
 def quantile_position(count: Column, q: float) -> Column:

@@ -83,6 +83,14 @@ def fit_encoder(df: DataFrame) -> PipelineModel:
     return encoder().fit(_numeric_as_double(df))
 
 
+def _check_numbers(df: DataFrame) -> None:
+    """Name the numeric columns that hold NULL before a fit fails on one."""
+    missing = df.agg(*[F.count(F.when(F.col(c).isNull(), 1)).alias(c) for c in NUMERIC]).first()
+    bad = ", ".join(f"{c} ({n})" for c, n in missing.asDict().items() if n)
+    if bad:
+        raise ValueError(f"NULL in numeric features: {bad}")
+
+
 def fit_risk_model(train: DataFrame, params: Params = DEFAULTS) -> PipelineModel:
     """Logistic regression with class weights n / (2 * class size) and an L2 penalty of 1.
 
@@ -102,6 +110,7 @@ def fit_risk_model(train: DataFrame, params: Params = DEFAULTS) -> PipelineModel
         elasticNetParam=0.0,
         standardization=False,
     )
+    _check_numbers(train)
     weighted = _numeric_as_double(train).withColumn("class_weight", weight)
     return Pipeline(stages=[*encoder().getStages(), regression]).fit(weighted)
 
@@ -113,6 +122,14 @@ def score(model: PipelineModel, df: DataFrame) -> DataFrame:
     )
 
 
+def score_with_coefficients(named: DataFrame, coefficients: dict[str, float], intercept: float) -> DataFrame:
+    """Scores of rows with one column per feature, from coefficients that were fitted before."""
+    total = F.lit(float(intercept))
+    for name, weight in coefficients.items():
+        total = total + F.lit(float(weight)) * F.col(f"`{name}`")
+    return named.select("loan_id", "month_end", (1 / (1 + F.exp(-total))).alias("risk_score"))
+
+
 def train_risk_model(t: Tables, params: Params = DEFAULTS, as_of: Optional[date] = None) -> TrainedRisk:
     """Train on a stratified share, evaluate on the rest, score every recent loan-month.
 

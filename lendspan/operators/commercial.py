@@ -14,7 +14,8 @@ from ..params import BUCKETS_60P, DEFAULTS, Params
 from ..tables import Tables
 from .ledger import loan_months
 
-RATE_DIGITS = 4  # decimals of an interest rate
+APR_DIGITS = 4  # decimals of a loan's interest rate
+AMOUNT_DIGITS = 14  # digits of an amount in cents
 MEASURE_COLUMNS = (
     "interest_income_est",
     "funding_cost_est",
@@ -24,12 +25,18 @@ MEASURE_COLUMNS = (
 )
 
 
+def _exact(rate) -> Decimal:
+    """A rate as the decimal that is written; a float stands for its shortest form."""
+    return rate if isinstance(rate, Decimal) else Decimal(str(rate))
+
+
+def _digits(rate: Decimal) -> int:
+    return max(0, -rate.normalize().as_tuple().exponent)
+
+
 def _whole(rate: Decimal, digits: int) -> int:
     """A decimal rate in units of its last digit."""
-    units = Decimal(rate).scaleb(digits)
-    if units != units.to_integral_value():
-        raise ValueError(f"{rate} has more than {digits} decimals")
-    return int(units)
+    return int(rate.scaleb(digits))
 
 
 def with_commercial(
@@ -38,31 +45,40 @@ def with_commercial(
     """Add the commercial columns; the balance used is written to `base`.
 
     All of them are quotients of whole numbers: cents times a rate in units of its
-    last digit. So they are exact up to the rounding, without wide decimals.
+    last digit, so they are exact up to the rounding. Plain longs hold them for rates of
+    usual length; longer rates go through wide decimals.
     """
     if balance not in ("principal", "eop"):
         raise ValueError("balance must be 'principal' or 'eop'")
     source = "principal_nzd" if balance == "principal" else "eop_balance"
     df = months.withColumn(base, F.col(source).cast("decimal(14,2)"))
-    amount = cents(base)
-    apr = (F.col("interest_rate_apr").cast("decimal(6,4)") * 10**RATE_DIGITS).cast("long")
-    funding = _whole(params.funding_rate, RATE_DIGITS)
-    months_in_units = 12 * 10**RATE_DIGITS
-    loss_rates = {name: pd * Decimal(params.lgd) for name, pd in params.pd_by_bucket.items()}
-    digits = max(-rate.as_tuple().exponent for rate in loss_rates.values())
+    funding_rate = _exact(params.funding_rate)
+    rate_digits = max(APR_DIGITS, _digits(funding_rate))
+    loss_rates = {name: _exact(pd) * _exact(params.lgd) for name, pd in params.pd_by_bucket.items()}
+    loss_digits = max(_digits(rate) for rate in loss_rates.values())
+    # the longest number is twice a cent amount times either scale, or a monthly result times the loss scale
+    fits = AMOUNT_DIGITS + 2 + max(rate_digits, loss_digits) <= 18
+    whole = "long" if fits else "decimal(38,0)"
+    amount = cents(base).cast(whole)
+    apr = (F.col("interest_rate_apr").cast(f"decimal(6,{APR_DIGITS})") * 10**APR_DIGITS).cast("long")
+    apr = apr * F.lit(10 ** (rate_digits - APR_DIGITS)).cast("long")
+    funding = _whole(funding_rate, rate_digits)
+    months_in_units = 12 * 10**rate_digits
     loss_units = by_bucket(
-        F.col("dpd_bucket"), {name: _whole(rate, digits) for name, rate in loss_rates.items()}
+        F.col("dpd_bucket"), {name: _whole(rate, loss_digits) for name, rate in loss_rates.items()}
     )
-    nii = half_up(amount * (apr - funding), months_in_units)
-    loss = amount * loss_units
+    product = lambda a, b: (a * b.cast("long" if fits else "decimal(18,0)")).cast(whole)
+    nii = half_up(product(amount, apr - funding), months_in_units)
+    loss = product(amount, loss_units)
+    loss_scale = F.lit(10**loss_digits).cast("long")
     return (
         df.withColumn("pd_proxy", by_bucket(F.col("dpd_bucket"), params.pd_by_bucket))
-        .withColumn("interest_income_est", money(half_up(amount * apr, months_in_units)))
-        .withColumn("funding_cost_est", money(half_up(amount * funding, months_in_units)))
+        .withColumn("interest_income_est", money(half_up(product(amount, apr), months_in_units)))
+        .withColumn("funding_cost_est", money(half_up(product(amount, F.lit(funding)), months_in_units)))
         .withColumn("nii_est", money(nii))
-        .withColumn("expected_loss_est", money(half_up(loss, 10**digits)))
+        .withColumn("expected_loss_est", money(half_up(loss, 10**loss_digits)))
         # rounded income less the loss before rounding
-        .withColumn("rar_profit_est", money(half_up(nii * 10**digits - loss, 10**digits)))
+        .withColumn("rar_profit_est", money(half_up(product(nii.cast(whole), loss_scale) - loss, 10**loss_digits)))
     )
 
 

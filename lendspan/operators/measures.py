@@ -7,11 +7,23 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import flag, in_buckets, ratio
 from ..params import BUCKETS_30P, BUCKETS_60P, BUCKETS_90P, DEFAULTS, Params
-from ..session import materialise
 from ..tables import Tables
 from .commercial import MEASURE_COLUMNS, with_commercial
 from .ledger import loan_months
-from .scores import top_risk_balance
+from .scores import top_balance_of_scores
+
+
+# Decimals of a score in its average, which is exact and so does not depend on row order.
+SCORE_TYPE = "decimal(18,12)"
+
+
+def measured_months(t: Tables, scores: Optional[DataFrame] = None, params: Params = DEFAULTS) -> DataFrame:
+    """The loan-months that measures read, joined with a stored score table if one is given."""
+    months = with_commercial(loan_months(t, params), params, base="principal_base")
+    if scores is None:
+        return months
+    found = scores.select("loan_id", "month_end", "risk_score")
+    return months.join(found, ["loan_id", "month_end"], "left")
 
 
 def portfolio_measures(
@@ -25,28 +37,39 @@ def portfolio_measures(
     Margins divide principal-based results by the amortised balance. With `scores`,
     the average risk score and the balance of the top scored loans are added.
     """
-    months = with_commercial(loan_months(t, params), params, base="principal_base")
-    if scores is not None:
-        # read by the totals and by the ranking, so the ledger is computed once
-        months = materialise(
-            months.join(
-                scores.select("loan_id", "month_end", "risk_score"), ["loan_id", "month_end"], "left"
-            ).select(
-                *dict.fromkeys([*by, "dpd_bucket", "eop_balance", *MEASURE_COLUMNS, "risk_score"])
-            )
-        )
+    return measures_of(measured_months(t, scores, params), by, scores is not None, params)
+
+
+def measures_of(months: DataFrame, by: tuple, scored: bool, params: Params = DEFAULTS) -> DataFrame:
+    """The measures of loan-months that carry the commercial columns and, if scored, risk_score.
+
+    Scored rows are first summed per slice and score; the totals and the ranking both
+    read these sums.
+    """
     bucket, balance = F.col("dpd_bucket"), F.col("eop_balance")
     bad = in_buckets(bucket, BUCKETS_60P)
-    totals = months.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("loans"),
-        F.sum(flag(in_buckets(bucket, BUCKETS_30P))).alias("loans_30p"),
-        F.sum(flag(bad)).alias("loans_60p"),
-        F.sum(flag(in_buckets(bucket, BUCKETS_90P))).alias("loans_90p"),
-        F.sum(balance).alias("eop_balance_total"),
-        F.sum(F.when(bad, balance)).alias("eop_60p_balance"),
-        *[F.sum(c).alias(c) for c in MEASURE_COLUMNS],
-        *([F.avg("risk_score").alias("avg_risk_score")] if scores is not None else []),
-    )
+    sums = {
+        "loans": F.count(F.lit(1)),
+        "loans_30p": F.sum(flag(in_buckets(bucket, BUCKETS_30P))),
+        "loans_60p": F.sum(flag(bad)),
+        "loans_90p": F.sum(flag(in_buckets(bucket, BUCKETS_90P))),
+        "eop_balance_total": F.sum(balance),
+        "eop_60p_balance": F.sum(F.when(bad, balance)),
+        **{c: F.sum(c) for c in MEASURE_COLUMNS},
+    }
+    named = [value.alias(name) for name, value in sums.items()]
+    if scored:
+        per_score = months.groupBy(*by, "risk_score").agg(*named)
+        known = F.when(F.col("risk_score").isNotNull(), F.col("loans"))
+        total = F.sum(F.col("risk_score").cast(SCORE_TYPE) * F.col("loans"))
+        totals = per_score.groupBy(*by).agg(
+            *[F.sum(name).alias(name) for name in sums], ratio(total, F.sum(known)).alias("avg_risk_score")
+        )
+        if not by:
+            # a total over no rows counts zero loans
+            totals = totals.fillna(0, ["loans"])
+    else:
+        totals = months.groupBy(*by).agg(*named)
     loans, held = F.col("loans"), F.col("eop_balance_total")
     measured = totals.select(
         "*",
@@ -57,9 +80,10 @@ def portfolio_measures(
         ratio(F.col("nii_est"), held).alias("nii_margin"),
         ratio(F.col("rar_profit_est"), held).alias("rar_margin"),
     )
-    if scores is None:
+    if not scored:
         return measured
-    top = top_risk_balance(months, by, params).drop("top_risk_loans")
+    per_score = per_score.select(*by, "risk_score", "loans", F.col("eop_balance_total").alias("balance"))
+    top = top_balance_of_scores(per_score, by, params).drop("top_risk_loans")
     if not by:
         return measured.select("*", top.select("top_risk_balance").scalar().alias("top_risk_balance"))
     # a slice whose key is NULL keeps its top balance

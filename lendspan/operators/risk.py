@@ -80,18 +80,31 @@ def features_3m(t: Tables, params: Params = DEFAULTS, as_of: Optional[date] = No
     return _feature_months(t, params, as_of, lambda m: _rolling(m, params)).select(*FEATURE_COLUMNS)
 
 
+def rolling_months(
+    t: Tables, params: Params = DEFAULTS, as_of: Optional[date] = None, all_loans: bool = False
+) -> DataFrame:
+    """Ledger rows with the rolling features and the customer's columns, cut from one ledger.
+
+    With `all_loans`, loans of unknown customers stay, their customer columns NULL.
+    """
+    customers = t.customers.select("customer_id", *CUSTOMER_COLUMNS)
+    loans = t.loans.join(customers, "customer_id", "left" if all_loans else "inner")
+    return loan_months(t, params, as_of, loans, CUSTOMER_COLUMNS, lambda m: _rolling(m, params))
+
+
 def labels_60p_3m(t: Tables, params: Params = DEFAULTS, as_of: Optional[date] = None) -> DataFrame:
     months = loan_months(t, params, as_of, widen=lambda m: m.withColumn(LABEL, _label(params)))
     return months.select("loan_id", "month_end", LABEL)
 
 
 def _latest_month(t: Tables, loans: DataFrame, as_of: Optional[date]) -> DataFrame:
-    """Latest ledger month of the given loans, from two schedule columns only."""
-    schedule = t.schedule if as_of is None else t.schedule.where(F.col("due_date") <= as_of)
-    last_due = schedule.groupBy("loan_id").agg(F.max("due_date").alias("last_due"))
-    return last_due.join(loans.select("loan_id"), "loan_id", "left_semi").agg(
-        F.last_day(F.max("last_due")).alias("latest")
-    )
+    """Latest ledger month of the given loans; from the stored flows if there are any."""
+    if t.flows is not None and as_of is None:
+        months = t.flows.groupBy("loan_id").agg(F.max("month_end").alias("last"))
+    else:
+        schedule = t.schedule if as_of is None else t.schedule.where(F.col("due_date") <= as_of)
+        months = schedule.groupBy("loan_id").agg(F.last_day(F.max("due_date")).alias("last"))
+    return months.join(loans.select("loan_id"), "loan_id", "left_semi").agg(F.max("last").alias("latest"))
 
 
 def training_window(

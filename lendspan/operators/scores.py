@@ -4,9 +4,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import flag, ratio
-from ..functions.ordering import quantile_position, running_totals, top_n_per_group
+from ..functions.ordering import quantile_position, top_n_per_group
+from ..functions.ranges import in_ranges, running_totals
 from ..params import DEFAULTS, Params
-from ..session import materialise
+from ..session import Scratch
 
 
 def _watchlist_order() -> tuple:
@@ -30,20 +31,21 @@ def rank_watchlist_by_month(watchlist: DataFrame, n: int) -> DataFrame:
     )
 
 
-def _per_score(scores: DataFrame, *totals: Column) -> DataFrame:
-    """One row per distinct score, written once: several passes follow.
+def _by_score() -> tuple:
+    return (F.col("risk_score"),)
+
+
+def _ranged(scores: DataFrame, scratch: Scratch, *totals: Column) -> DataFrame:
+    """One row per distinct score with its totals, range-partitioned and stored once.
 
     However many rows share a score, it is one row here.
     """
-    return materialise(scores.groupBy("risk_score").agg(*totals))
+    return in_ranges(scores.groupBy("risk_score").agg(*totals), _by_score(), scratch)
 
 
-def _classes(scored: DataFrame, label: str) -> DataFrame:
-    return _per_score(
-        scored,
-        F.sum(flag(F.col(label) == 1)).alias("bad"),
-        F.sum(flag(F.col(label) == 0)).alias("good"),
-    )
+def _one_row(result: DataFrame) -> DataFrame:
+    """A result of one row, computed now, so that what it was read from can go."""
+    return result.sparkSession.createDataFrame(result.collect(), result.schema)
 
 
 def _confusion(classes: DataFrame, threshold: float) -> DataFrame:
@@ -68,7 +70,7 @@ def _confusion(classes: DataFrame, threshold: float) -> DataFrame:
 
 def _rank_sum(classes: DataFrame) -> DataFrame:
     """Share of bad-good pairs in which the bad row scores higher; a tie counts one half."""
-    ordered = running_totals(classes.where("risk_score IS NOT NULL"), "risk_score", ("good", "bad"))
+    ordered = running_totals(classes, _by_score(), ("good", "bad"))
     # twice the number of pairs won, as a whole number
     won = F.col("bad").cast("decimal(19,0)") * (2 * F.col("good_before") + F.col("good"))
     return ordered.agg(
@@ -83,32 +85,48 @@ def _rank_sum(classes: DataFrame) -> DataFrame:
 def evaluate_scores(scored: DataFrame, label: str, threshold: float = DEFAULTS.threshold) -> DataFrame:
     """One row: counts, precision, recall, F1 and exact AUC (NULL with one class only).
 
-    The scored rows are read once.
+    Rows without a score enter nothing but n_unscored. The scored rows are read once, by a
+    job that runs now.
     """
-    classes = _classes(scored, label)
-    return _confusion(classes, threshold).select("*", _rank_sum(classes).scalar().alias("auc"))
+    known = F.col("risk_score").isNotNull()
+    with Scratch(scored.sparkSession) as scratch:
+        # a row without a score is kept as one of the distinct scores until it is counted
+        totals = scratch.store(
+            scored.groupBy("risk_score").agg(
+                F.sum(flag(F.col(label) == 1)).alias("bad"),
+                F.sum(flag(F.col(label) == 0)).alias("good"),
+                F.count(F.lit(1)).alias("rows"),
+            )
+        )
+        unscored = totals.agg(F.coalesce(F.sum(F.when(~known, F.col("rows"))), F.lit(0)).alias("n_unscored"))
+        classes = in_ranges(totals.where(known).drop("rows"), _by_score(), scratch)
+        return _one_row(
+            _confusion(classes, threshold).select(
+                "*", _rank_sum(classes).scalar().alias("auc"), unscored.scalar().alias("n_unscored")
+            )
+        )
 
 
 def score_histogram(scores: DataFrame, bins: int = DEFAULTS.histogram_bins) -> DataFrame:
-    """Equal-width bins over the score range with the last one closed; empty bins count 0."""
-    known = _per_score(scores.where(F.col("risk_score").isNotNull()), F.count(F.lit(1)).alias("n"))
-    span = known.agg(
-        F.struct(F.min("risk_score").alias("lo"), F.max("risk_score").alias("hi")).alias("span")
-    )
-    low, high = F.col("span.lo"), F.col("span.hi")
-    # A single value gets a range of one around it.
-    single = low == high
+    """Equal-width bins over the score range with the last one closed; empty bins count 0.
+
+    Two passes over the scores: their span, then the counts, summed per bin in each task.
+    """
+    known = scores.where(F.col("risk_score").isNotNull()).select("risk_score")
+    span = known.agg(F.min("risk_score").alias("low"), F.max("risk_score").alias("high"))
+    # a single value gets a range of one around it
+    single = F.col("low") == F.col("high")
     span = span.select(
         F.struct(
-            F.when(single, low - 0.5).otherwise(low).alias("lo"),
-            F.when(single, high + 0.5).otherwise(high).alias("hi"),
+            F.when(single, F.col("low") - 0.5).otherwise(F.col("low")).alias("lo"),
+            F.when(single, F.col("high") + 0.5).otherwise(F.col("high")).alias("hi"),
         ).alias("span")
     )
     limits = span.scalar()
     position = (F.col("risk_score") - limits["lo"]) / (limits["hi"] - limits["lo"]) * bins
     counts = known.groupBy(
         (F.least(F.floor(position), F.lit(bins - 1)) + 1).cast("int").alias("bin")
-    ).agg(F.sum("n").alias("scores"))
+    ).agg(F.count(F.lit(1)).alias("scores"))
     edges = span.where(F.col("span.lo").isNotNull()).select(
         F.explode(F.sequence(F.lit(1), F.lit(bins))).alias("bin"), "span"
     )
@@ -122,9 +140,14 @@ def score_histogram(scores: DataFrame, bins: int = DEFAULTS.histogram_bins) -> D
 
 
 def score_box_plot(scores: DataFrame) -> DataFrame:
-    """Quartiles and whiskers (the outermost scores within 1.5 interquartile ranges)."""
-    per_score = _per_score(scores.where(F.col("risk_score").isNotNull()), F.count(F.lit(1)).alias("n"))
-    ordered = running_totals(per_score, "risk_score", ("n",))
+    """Quartiles and whiskers (the outermost scores within 1.5 interquartile ranges), by a job that runs now."""
+    with Scratch(scores.sparkSession) as scratch:
+        known = scores.where(F.col("risk_score").isNotNull())
+        return _one_row(_box(_ranged(known, scratch, F.count(F.lit(1)).alias("n"))))
+
+
+def _box(per_score: DataFrame) -> DataFrame:
+    ordered = running_totals(per_score, _by_score(), ("n",))
     total = per_score.agg(F.sum("n").alias("n")).scalar()
 
     def at(position):
@@ -177,13 +200,16 @@ def top_risk_balance(watchlist: DataFrame, by: tuple = ("month_end",), params: P
     `top_risk_loans` distinct scores of a slice, so no more than that reach one task
     from any input split, however many loans tie.
     """
-    n = params.top_risk_loans
-    per_score = (
-        watchlist.where(F.col("risk_score").isNotNull())
-        .groupBy(*by, "risk_score")
-        .agg(F.count(F.lit(1)).alias("loans"), F.sum("eop_balance").alias("balance"))
+    per_score = watchlist.groupBy(*by, "risk_score").agg(
+        F.count(F.lit(1)).alias("loans"), F.sum("eop_balance").alias("balance")
     )
-    return _top_scores(per_score, by, n).groupBy(*by).agg(
+    return top_balance_of_scores(per_score, by, params)
+
+
+def top_balance_of_scores(per_score: DataFrame, by: tuple, params: Params = DEFAULTS) -> DataFrame:
+    """The same from rows (by, risk_score, loans, balance) that were summed before."""
+    known = per_score.where(F.col("risk_score").isNotNull())
+    return _top_scores(known, by, params.top_risk_loans).groupBy(*by).agg(
         F.sum("loans").alias("top_risk_loans"), F.sum("balance").alias("top_risk_balance")
     )
 

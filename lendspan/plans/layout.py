@@ -12,12 +12,11 @@ from dataclasses import replace
 from pyspark.sql import DataFrame
 
 from ..operators.ledger import LOAN_COLUMNS, monthly_flows
-from ..session import shared_folder
 from ..tables import Tables
 
 
-def _write_bucketed(df: DataFrame, name: str, order: tuple, buckets: int) -> DataFrame:
-    path = posixpath.join(shared_folder(df.sparkSession), name)
+def _write_bucketed(df: DataFrame, folder: str, name: str, order: tuple, buckets: int) -> DataFrame:
+    path = posixpath.join(folder, name)
     (
         # one task per bucket, so that each bucket is one file
         df.repartition(buckets, "loan_id")
@@ -30,9 +29,11 @@ def _write_bucketed(df: DataFrame, name: str, order: tuple, buckets: int) -> Dat
     return df.sparkSession.table(name)
 
 
-def bucket_by_loan(t: Tables, buckets: int, prefix: str | None = None) -> Tables:
+def bucket_by_loan(t: Tables, buckets: int, folder: str, prefix: str | None = None) -> Tables:
     """Tables that read the stored layout; `buckets` sets the parallelism of all later marts.
 
+    The files stay in `folder`, which all executors share, for as long as the tables are used.
+
     Flows hold at most one row per loan and month, so a loan with very many raw rows
     does not fill a bucket.
     """
@@ -40,9 +41,9 @@ def bucket_by_loan(t: Tables, buckets: int, prefix: str | None = None) -> Tables
     return replace(
         t,
         flows=_write_bucketed(
-            monthly_flows(t), f"{prefix}_monthly_flows", ("loan_id", "month_end"), buckets
+            monthly_flows(t), folder, f"{prefix}_monthly_flows", ("loan_id", "month_end"), buckets
         ),
         loans=_write_bucketed(
-            t.loans.select("loan_id", *LOAN_COLUMNS, "status"), f"{prefix}_loans", ("loan_id",), buckets
+            t.loans.select("loan_id", *LOAN_COLUMNS, "status"), folder, f"{prefix}_loans", ("loan_id",), buckets
         ),
     )

@@ -1,6 +1,13 @@
-"""CSV and Parquet sources and sinks for the portfolio tables."""
+"""CSV and Parquet sources and sinks for the portfolio tables.
+
+A stored portfolio and a stored scores table are folders of generations. A reload writes a
+new generation next to the current one and then switches a small pointer file, so what is
+stored stays whole if the reload fails, and a reload may read the folder it replaces.
+"""
 
 import posixpath
+import uuid
+from contextlib import suppress
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -36,11 +43,16 @@ def read_portfolio(spark: SparkSession, folder: str, suffix: str = ".csv", macro
 
 
 def read_parquet_portfolio(spark: SparkSession, folder: str) -> Tables:
+    """The portfolio that `reload_portfolio` stored, or plain table folders."""
+    at = _current(spark, folder)
+    schemas = dict(TABLE_SCHEMAS)
+    macro = "dim_macro_monthly"
+    has_macro = _exists(spark, posixpath.join(at, macro))
     frames = {
-        name: spark.read.schema(schema).parquet(posixpath.join(folder, name))
-        for name, schema in TABLE_SCHEMAS.items()
+        name: spark.read.schema(schema).parquet(posixpath.join(at, name)) for name, schema in schemas.items()
     }
-    return _tables(frames, dims.macro_monthly(spark))
+    stored = spark.read.schema(MACRO_MONTHLY).parquet(posixpath.join(at, macro)) if has_macro else None
+    return _tables(frames, stored if has_macro else dims.macro_monthly(spark))
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -48,24 +60,91 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def reload_portfolio(tables: Tables, folder: str) -> None:
-    """Full reload: every table is replaced, parents before children."""
-    for name in TABLE_SCHEMAS:
-        tables.by_name()[name].write.mode("overwrite").parquet(posixpath.join(folder, name))
+    """Full reload: every table is replaced at once, when all of them are written.
+
+    The generation before is kept until the next reload, for readers that still use it.
+    """
+    spark = tables.loans.sparkSession
+    with _new_generation(spark, folder) as at:
+        for name, frame in tables.by_name().items():
+            frame.write.parquet(posixpath.join(at, name))
 
 
 def append_portfolio(tables: Tables, folder: str) -> None:
     """Add rows to the tables of an earlier load."""
-    for name in TABLE_SCHEMAS:
-        tables.by_name()[name].write.mode("append").parquet(posixpath.join(folder, name))
+    at = _current(tables.loans.sparkSession, folder)
+    for name, frame in tables.by_name().items():
+        frame.write.mode("append").parquet(posixpath.join(at, name))
 
 
 def save_scores(scores: DataFrame, target: str, as_table: bool = False) -> None:
-    """Replace the scored table, as a path or as a catalog table."""
-    writer = scores.write.mode("overwrite").format("parquet")
+    """Replace the scored table: a folder read by `read_scores`, or a catalog table."""
     if as_table:
-        writer.saveAsTable(target)
-    else:
-        writer.save(target)
+        scores.write.mode("overwrite").format("parquet").saveAsTable(target)
+        return
+    with _new_generation(scores.sparkSession, target) as at:
+        scores.write.parquet(posixpath.join(at, "scores"))
+
+
+def read_scores(spark: SparkSession, target: str) -> DataFrame:
+    return spark.read.parquet(posixpath.join(_current(spark, target), "scores"))
+
+
+POINTER = "_current"
+
+
+def _file_system(spark: SparkSession, path: str):
+    found = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), found
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    system, found = _file_system(spark, path)
+    return system.exists(found)
+
+
+def _pointed(spark: SparkSession, folder: str) -> str | None:
+    """Name of the current generation, if the folder has any."""
+    system, path = _file_system(spark, posixpath.join(folder, POINTER))
+    if not system.exists(path):
+        return None
+    stream = system.open(path)
+    try:
+        return stream.readUTF()
+    finally:
+        stream.close()
+
+
+def _current(spark: SparkSession, folder: str) -> str:
+    name = _pointed(spark, folder)
+    return posixpath.join(folder, name) if name else folder
+
+
+class _new_generation:
+    """A folder to write to, which becomes the current one if the block ends without an error."""
+
+    def __init__(self, spark: SparkSession, folder: str) -> None:
+        self.spark, self.folder = spark, folder
+        self.name = f"generation-{uuid.uuid4().hex}"
+
+    def __enter__(self) -> str:
+        return posixpath.join(self.folder, self.name)
+
+    def __exit__(self, kind, *_) -> None:
+        system, _ = _file_system(self.spark, self.folder)
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        if kind is not None:
+            with suppress(Exception):  # the error that ended the block is the one to report
+                system.delete(path(posixpath.join(self.folder, self.name)), True)
+            return
+        before = _pointed(self.spark, self.folder)
+        stream = system.create(path(posixpath.join(self.folder, POINTER)), True)
+        stream.writeUTF(self.name)
+        stream.close()
+        for entry in system.listStatus(path(self.folder)):
+            name = entry.getPath().getName()
+            if name.startswith("generation-") and name not in (self.name, before):
+                system.delete(entry.getPath(), True)
 
 
 def _tables(frames: dict, macro: DataFrame) -> Tables:

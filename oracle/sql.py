@@ -67,7 +67,7 @@ fct_collections AS (
 """
 
 MARTS = """
-due_paid AS (
+due_paid AS MATERIALIZED (
   SELECT s.loan_id, s.due_month_end, s.scheduled_amt, coalesce(p.paid_amt, 0) AS paid_amt_same_month
   FROM (SELECT loan_id, last_day(due_date) AS due_month_end, sum(scheduled_amount) AS scheduled_amt
         FROM fct_schedule GROUP BY 1, 2) s
@@ -93,14 +93,14 @@ missed AS (
               CAST(CAST(a.arrears_amt AS DECIMAL(18,2)) * 100 AS DOUBLE) * l.installments / l.total_cents) END AS missed_inst
   FROM arrears a LEFT JOIN life l ON l.loan_id = a.loan_id
 ),
-dpd AS (
+dpd AS MATERIALIZED (
   SELECT loan_id, month_end, arrears_amt, missed_inst,
          CASE WHEN arrears_amt <= 0 THEN 'DPD_0' WHEN missed_inst < 1 THEN 'DPD_1_29'
               WHEN missed_inst < 2 THEN 'DPD_30_59' WHEN missed_inst < 3 THEN 'DPD_60_89'
               ELSE 'DPD_90_PLUS' END AS dpd_bucket
   FROM missed
 ),
-snapshot AS (
+snapshot AS MATERIALIZED (
   SELECT d.month_end, l.loan_id, l.customer_id, l.product_type, l.channel, l.origination_date,
          l.principal_nzd, l.interest_rate_apr, l.term_months, d.arrears_amt, d.dpd_bucket
   FROM dpd d JOIN fct_loans l ON l.loan_id = d.loan_id
@@ -134,7 +134,7 @@ balance AS (
         LEFT JOIN principal_paid p ON p.loan_id = l.loan_id AND p.month_end = m.month_end
         WHERE m.month_end >= last_day(l.origination_date))
 ),
-snapshot2 AS (
+snapshot2 AS MATERIALIZED (
   SELECT s.*, b.eop_balance
   FROM snapshot s LEFT JOIN balance b ON b.loan_id = s.loan_id AND b.month_end = s.month_end
 ),
@@ -173,7 +173,7 @@ training AS (
   FROM recent_features f JOIN recent_labels l ON l.loan_id = f.loan_id AND l.month_end = f.month_end
   WHERE f.roll3_paid_full_rate IS NOT NULL AND f.roll3_avg_arrears IS NOT NULL
 ),
-scores AS (
+scores AS MATERIALIZED (
   SELECT f.loan_id, f.month_end,
          CAST(0.4 AS DOUBLE) * (CASE f.dpd_bucket WHEN 'DPD_0' THEN CAST(0 AS DOUBLE) WHEN 'DPD_1_29' THEN 1
            WHEN 'DPD_30_59' THEN 2 WHEN 'DPD_60_89' THEN 3 ELSE 4 END / CAST(4 AS DOUBLE))
@@ -191,7 +191,7 @@ income AS (
          round(CAST(principal_nzd * interest_rate_apr / 12 AS DECIMAL(28,10)), 2) AS interest_income_est
   FROM snapshot
 ),
-nii AS (
+nii AS MATERIALIZED (
   SELECT month_end, loan_id, product_type, channel, principal_nzd AS eop_balance,
          round(CAST(principal_nzd * interest_rate_apr / 12 AS DECIMAL(28,10)), 2) AS interest_income_est,
          round(CAST(principal_nzd * 0.055 / 12 AS DECIMAL(28,10)), 2) AS funding_cost_est,
@@ -353,7 +353,7 @@ JOIN (SELECT {keys}sum(interest_income_est) AS interest_income_est FROM income {
 JOIN (SELECT {keys}sum(funding_cost_est) AS funding_cost_est FROM nii {group}) {using}
 JOIN (SELECT {keys}sum(nii_est) AS nii_est, sum(expected_loss_est) AS expected_loss_est,
              sum(rar_profit_est) AS rar_profit_est FROM rar {group}) {using}
-JOIN (SELECT {keys}round(avg(risk_score) + CAST(1e-12 AS DOUBLE), 9) AS avg_risk_score FROM watchlist {group}) {using}
+JOIN (SELECT {keys}CAST(sum(CAST(risk_score AS DECIMAL(18,12))) AS DOUBLE) / count(risk_score) AS avg_risk_score FROM watchlist {group}) {using}
 LEFT JOIN (SELECT {keys}sum(eop_balance) AS top_balance
            FROM (SELECT *, rank() OVER ({part} ORDER BY risk_score DESC) AS place FROM watchlist)
            WHERE place <= 100 {group}) {using}"""
@@ -495,8 +495,26 @@ UNION ALL SELECT 'comm_rar_monthly', count(*) FROM rar"""
   CASE WHEN is_test THEN CAST(ceil(n * 0.25) AS BIGINT) ELSE n - CAST(ceil(n * 0.25) AS BIGINT) END AS rows
 FROM (SELECT will_be_60p_in_3m, count(*) AS n FROM training GROUP BY 1) CROSS JOIN (VALUES (true), (false)) s(is_test)"""
     ),
+    "scores_of_coefficients": marts(
+        """SELECT loan_id, month_end, round(1 / (1 + exp(-(CAST(1.25 AS DOUBLE)
+  + CAST(-0.004 AS DOUBLE) * CAST(credit_score AS DOUBLE) + CAST(-1.5 AS DOUBLE) * CAST(roll3_paid_full_rate AS DOUBLE)
+  + CAST(0.7 AS DOUBLE) * CAST(roll3_missed_cnt AS DOUBLE) + CAST(2.0 AS DOUBLE) * CAST(interest_rate_apr AS DOUBLE)
+  + CAST(0.9 AS DOUBLE) * CASE WHEN dpd_bucket = 'DPD_60_89' THEN 1 ELSE 0 END
+  + CAST(0.25 AS DOUBLE) * CASE WHEN employment_type = 'Student' THEN 1 ELSE 0 END))), 9) AS risk_score
+FROM training"""
+    ),
+    "csv_round_trip": base("SELECT loan_id, payment_date, CAST(paid_amount AS DOUBLE) AS paid_amount FROM fct_payments"),
+    "reload_then_append": base(
+        " UNION ALL ".join(
+            f"SELECT '{t}' AS \"table\", 2 * count(*) AS rows FROM {t}"
+            for t in ("dim_customers", "dim_products", "dim_channels", "fct_loans", "fct_schedule", "fct_payments", "fct_collections")
+        )
+        + " UNION ALL SELECT 'dim_macro_monthly', CAST(0 AS BIGINT)"
+    ),
+    "saved_scores": marts("SELECT loan_id, month_end, risk_score, CAST(will_be_60p_in_3m AS BIGINT) AS will_be_60p_in_3m FROM scores"),
+    "richest_snapshot": marts(f"SELECT {SNAPSHOT}, {money('eop_balance')} FROM snapshot2"),
     "score_evaluation": marts(
-        """SELECT n, tp, fp, fn,
+        """SELECT n, tp, fp, fn, CAST(0 AS BIGINT) AS n_unscored,
   coalesce(CAST(tp AS DOUBLE) / nullif(tp + fp, 0), 0) AS precision,
   coalesce(CAST(tp AS DOUBLE) / nullif(tp + fn, 0), 0) AS recall,
   coalesce(CAST(2 * tp AS DOUBLE) / nullif(2 * tp + fp + fn, 0), 0) AS f1,

@@ -115,12 +115,12 @@ def test_hot_loan_is_combined_before_the_shuffle(spark, make_tables):
     assert flows.agg(F.sum("installments")).first()[0] == 20000
 
 
-def test_stored_layout_gives_the_same_marts_without_a_loan_shuffle(spark):
+def test_stored_layout_gives_the_same_marts_without_a_loan_shuffle(spark, tmp_path):
     from lendspan.plans.layout import bucket_by_loan
     from lendspan.sources.bridge import load_bridged
 
     t = load_bridged(spark, "/root/testdata/sf0.001")
-    laid_out = bucket_by_loan(t, 4, "layout_test")
+    laid_out = bucket_by_loan(t, 4, str(tmp_path / "layout"), "layout_test")
     try:
         for mart in (balance.portfolio_snapshot_v2, delinquency.loan_dpd_bucket, risk.labels_60p_3m):
             plain, stored = mart(t), mart(laid_out)

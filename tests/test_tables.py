@@ -51,12 +51,47 @@ def test_reload_replaces_and_append_adds(spark, small, tmp_path):
     assert files.read_parquet_portfolio(spark, folder).schedule.count() == 6
 
 
+def test_a_folder_can_be_reloaded_from_itself(spark, small, tmp_path):
+    folder = str(tmp_path / "tables")
+    files.reload_portfolio(small, folder)
+    for _ in range(3):
+        files.reload_portfolio(files.read_parquet_portfolio(spark, folder), folder)
+    stored = files.read_parquet_portfolio(spark, folder)
+    assert {n: f.count() for n, f in stored.by_name().items()} == {n: f.count() for n, f in small.by_name().items()}
+
+
+def test_a_failed_reload_leaves_the_stored_tables(spark, small, tmp_path):
+    from dataclasses import replace
+
+    folder = str(tmp_path / "tables")
+    files.reload_portfolio(small, folder)
+    broken = small.payments.withColumn("loan_id", F.raise_error("broken input").cast("long"))
+    with pytest.raises(Exception, match="broken input"):
+        files.reload_portfolio(replace(small, payments=broken), folder)
+    stored = files.read_parquet_portfolio(spark, folder)
+    assert {n: f.count() for n, f in stored.by_name().items()} == {n: f.count() for n, f in small.by_name().items()}
+    assert len([p for p in (tmp_path / "tables").iterdir() if p.name.startswith("generation-")]) == 1
+
+
+def test_macro_rows_are_stored(spark, small, tmp_path):
+    from dataclasses import replace
+    from decimal import Decimal
+
+    folder = str(tmp_path / "tables")
+    month = [(day("2024-01-31"), Decimal("0.0400"), Decimal("101.0000"), Decimal("0.0550"))]
+    files.reload_portfolio(replace(small, macro=spark.createDataFrame(month, schemas.MACRO_MONTHLY)), folder)
+    assert files.read_parquet_portfolio(spark, folder).macro.count() == 1
+
+
 def test_scores_are_replaced(spark, tmp_path):
     frame = spark.createDataFrame([(1, day("2024-01-31"), 0.5, 0)], schemas.RISK_SCORES)
     target = str(tmp_path / "scores")
     files.save_scores(frame, target)
     files.save_scores(frame.withColumn("risk_score", F.lit(0.9)), target)
-    assert rows(spark.read.parquet(target), "risk_score") == [(0.9,)]
+    assert rows(files.read_scores(spark, target), "risk_score") == [(0.9,)]
+    # scores may be made from the scores they replace
+    files.save_scores(files.read_scores(spark, target).withColumn("risk_score", F.col("risk_score") / 3), target)
+    assert rows(files.read_scores(spark, target), "risk_score") == [(0.9 / 3,)]
 
 
 def test_scores_as_a_catalog_table(spark):
