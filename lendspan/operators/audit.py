@@ -18,60 +18,52 @@ def _required(table: str) -> list[str]:
     return [f.name for f in TABLE_SCHEMAS[table].fields if not f.nullable]
 
 
-def _per_key(df: DataFrame, key: tuple, missing: list[str]) -> DataFrame:
-    """Row and missing-value counts of each key, combined before the shuffle.
+def _audit_family(frames: dict, parent: str, column: str, children: list[tuple[str, str]], counted: set) -> DataFrame:
+    """All rules about one key: its uniqueness, rows of other tables that refer to it, missing values.
 
-    A key that fills much of the table is a single row from here on.
+    The parent's and the children's rows are stacked and counted per key, combined before
+    the shuffle, so a key that fills much of a table is a single row from there on.
+    `counted` holds the tables whose missing values are counted here.
     """
-    return df.groupBy(*key).agg(
-        F.count(F.lit(1)).alias("rows"),
-        *[F.sum(flag(F.col(c).isNull())).alias(f"missing_{c}") for c in missing],
+    members = [(parent, column), *children]
+    required = {table: _required(table) if table in counted else [] for table, _ in members}
+    stacked = reduce(
+        lambda a, b: a.unionByName(b, allowMissingColumns=True),
+        [
+            frames[table].select(
+                F.col(own).alias("key"),
+                F.lit(1).cast("long").alias(f"rows_{table}"),
+                *[flag(F.col(c).isNull()).alias(f"missing_{table}_{c}") for c in required[table]],
+            )
+            for table, own in members
+        ],
     )
-
-
-def _findings(per_key: DataFrame, table: str, rules: dict) -> DataFrame:
-    """One row per rule from one aggregate over the keys."""
+    counts = [c for c in stacked.columns if c != "key"]
+    per_key = stacked.groupBy("key").agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in counts])
+    known = F.col(f"rows_{parent}") > 0
+    rules = {(parent, f"unique {column}"): F.when(known, F.col(f"rows_{parent}") - 1)}
+    for table, own in children:
+        orphan = F.col("key").isNotNull() & ~known
+        rules[table, f"{own} refers to a known row"] = F.when(orphan, F.col(f"rows_{table}"))
+    for table, columns in required.items():
+        rules |= {(table, f"{c} is required"): F.col(f"missing_{table}_{c}") for c in columns}
     totals = per_key.agg(*[_total(value).alias(f"r{i}") for i, value in enumerate(rules.values())])
-    pairs = [
-        F.struct(F.lit(rule).alias("rule"), F.col(f"r{i}").alias("violations"))
-        for i, rule in enumerate(rules)
+    found = [
+        F.struct(F.lit(table).alias("table"), F.lit(rule).alias("rule"), F.col(f"r{i}").alias("violations"))
+        for i, (table, rule) in enumerate(rules)
     ]
-    return totals.select(F.explode(F.array(*pairs)).alias("r")).select(
-        F.lit(table).alias("table"), "r.rule", "r.violations"
-    )
-
-
-def _missing_rules(columns: list[str]) -> dict:
-    return {f"{c} is required": F.col(f"missing_{c}") for c in columns}
-
-
-def _audit_keyed(df: DataFrame, table: str, key: tuple) -> DataFrame:
-    """Repeated primary keys and missing values, in one scan."""
-    required = _required(table)
-    rules = {"unique " + ", ".join(key): F.col("rows") - 1, **_missing_rules(required)}
-    return _findings(_per_key(df, key, required), table, rules)
-
-
-def _audit_reference(
-    child: DataFrame, parent: DataFrame, table: str, column: str, parent_column: str, missing: list[str]
-) -> DataFrame:
-    """Rows that refer to no parent, and missing values, in one scan of the child."""
-    known = parent.groupBy(F.col(parent_column).alias(column)).agg(F.lit(True).alias("known"))
-    joined = _per_key(child, (column,), missing).join(known, column, "left")
-    orphan = F.when(F.col(column).isNotNull() & F.col("known").isNull(), F.col("rows"))
-    return _findings(
-        joined, table, {f"{column} refers to a known row": orphan, **_missing_rules(missing)}
-    )
+    return totals.select(F.explode(F.array(*found)).alias("r")).select("r.*")
 
 
 def integrity_audit(t: Tables) -> DataFrame:
-    """One row per table and rule with the number of rows that break it."""
-    frames = t.by_name()
-    checks = [_audit_keyed(frames[table], table, key) for table, key in PRIMARY_KEYS.items()]
-    for child, column, parent, parent_column in FOREIGN_KEYS:
-        # a table with a primary key has had its missing values counted above
-        missing = [] if child in PRIMARY_KEYS else _required(child)
-        checks.append(
-            _audit_reference(frames[child], frames[parent], child, column, parent_column, missing)
-        )
-    return reduce(DataFrame.unionByName, checks)
+    """One row per table and rule with the number of rows that break it.
+
+    One grouping per key; a table that is both parent and child is read for either.
+    """
+    frames, counted, families = t.by_name(), set(), []
+    for parent, (column,) in PRIMARY_KEYS.items():
+        children = [(child, own) for child, own, of, _ in FOREIGN_KEYS if of == parent]
+        here = {parent, *[child for child, _ in children if child not in PRIMARY_KEYS]} - counted
+        counted |= here
+        families.append(_audit_family(frames, parent, column, children, here))
+    return reduce(DataFrame.unionByName, families)

@@ -3,10 +3,10 @@
 from datetime import date
 from typing import Optional
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.columns import no_cents, cents, money
+from ..functions.columns import cents, money, months_between, no_cents
 from ..params import DEFAULTS, Params
 from ..tables import Tables
 from .delinquency import SNAPSHOT_COLUMNS
@@ -40,9 +40,7 @@ def balance_eop(t: Tables) -> DataFrame:
     months up to the next one. The wide loans-by-months result is never shuffled.
     """
     scheduled = _principal_rows(t)
-    months = scheduled.agg(
-        F.array_sort(F.collect_set("month_end")).alias("months")
-    ).scalar()  # one array, at most one element per calendar month
+    calendar = _calendar(scheduled).scalar()
     opening = t.loans.select(
         "loan_id",
         F.last_day("origination_date").alias("month_end"),
@@ -73,16 +71,34 @@ def balance_eop(t: Tables) -> DataFrame:
             ).alias("eop_balance"),
         )
     )
-    held = F.filter(
-        F.col("months"),
-        lambda m: (m >= F.col("month_end"))
-        & (F.col("next_change").isNull() | (m < F.col("next_change"))),
-    )
-    return changes.withColumn("months", months).select(
+    first = _before("month_end")
+    after = F.coalesce(_before("next_change"), F.size("calendar.months"))
+    held = F.slice("calendar.months", first + 1, F.greatest(after - first, F.lit(0)))
+    return changes.withColumn("calendar", calendar).select(
         "loan_id", F.explode(held).alias("month_end"), "eop_balance"
     )
 
 
+def _calendar(rows: DataFrame) -> DataFrame:
+    """One row: the months in use in order, and for each calendar month from the first to one
+    past the last how many of them come before it. Both have at most one element a month."""
+    months = rows.agg(F.array_sort(F.collect_set("month_end")).alias("months"))
+    first, last = F.element_at("months", 1), F.element_at("months", -1)
+    span = F.coalesce(months_between(last, first), F.lit(-1)) + 1
+    before = F.transform(
+        F.sequence(F.lit(0), span),
+        lambda k: F.size(F.filter("months", lambda m: months_between(m, first) < k)),
+    )
+    return months.select(F.struct("months", before.alias("before")).alias("calendar"))
+
+
+def _before(column: str) -> Column:
+    """How many months in use come before the month of `column`; NULL for NULL."""
+    place = months_between(F.col(column), F.element_at("calendar.months", 1))
+    inside = F.least(F.greatest(place, F.lit(0)), F.size("calendar.before") - 1)
+    return F.when(F.col(column).isNotNull(), F.get("calendar.before", inside.cast("int")))
+
+
 def portfolio_snapshot_v2(t: Tables, params: Params = DEFAULTS, as_of: Optional[date] = None) -> DataFrame:
     return (
         loan_months(t, params, as_of)

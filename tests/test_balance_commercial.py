@@ -113,12 +113,24 @@ def test_parameters_change_the_result(make_tables):
     assert (row.nii_est, row.expected_loss_est) == (D("6.00"), D("60.00"))
     (row,) = commercial.rar_monthly(t, params, balance="eop").collect()
     assert (row.eop_balance, row.nii_est, row.expected_loss_est) == (D("1000.00"), D("5.00"), D("50.00"))
-    with pytest.raises(ValueError):
-        commercial.rar_monthly(t, Params(funding_rate=D("0.055555")))
     with pytest.raises(ValueError):
         commercial.rar_monthly(t, balance="other")
 
 
+def test_rates_of_any_length_are_exact(make_tables):
+    from decimal import ROUND_HALF_UP
+
+    t = make_tables([loan(1, principal="999999999999.99", apr="0.1003")], [due(1, "2024-02-10", "200")])
+    cents = lambda v: v.quantize(D("0.01"), ROUND_HALF_UP)
+    for rate in (D("0.05525"), D("0.0555555555"), 0.055, D("0")):
+        exact, lgd = D(str(rate)), D("0.123456789")
+        (row,) = commercial.rar_monthly(t, Params(funding_rate=rate, lgd=lgd)).collect()
+        nii = cents(D("999999999999.99") * (D("0.1003") - exact) / 12)
+        loss = D("999999999999.99") * D("0.1") * lgd
+        assert (row.nii_est, row.expected_loss_est) == (nii, cents(loss))
+        assert row.rar_profit_est == cents(nii - loss)
+
+
 def test_segments_add_up(make_tables):
     t, _, _ = random_tables(make_tables, 4)
     found = commercial.segment_profitability(t).collect()
