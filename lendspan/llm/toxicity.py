@@ -263,8 +263,9 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     The word counts cover all of them; the chain is fitted on up to SAMPLE documents of each
     class, picked by hash. Without both classes, every score is the share of toxic labels.
     """
-    rows = training_rows(docs, labels, doc_id, text)
     scratch = session_scratch(docs.sparkSession)
+    # several passes read these rows; the whole table is read once for them
+    rows = scratch.store(training_rows(docs, labels, doc_id, text))
     totals = rows.agg(F.sum("toxic").alias("toxic"), F.count(F.lit(1)).alias("n")).first()
     n_toxic = int(totals.toxic or 0)
     n_clean = int(totals.n) - n_toxic
@@ -297,12 +298,13 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     )
     chain = Chain({r.unit: i + 1 for i, r in enumerate(lexicon)}, np.zeros(len(lexicon) + 1))
     labels_token = np.array([False, *[r.evidence >= LABEL_EVIDENCE for r in lexicon]])
+    # keys alone are ranked, so that no task gathers the texts of all others' first rows
     usable = rows.where(F.length("text") <= SAMPLE_CHARS)
-    picked = scratch.store(
-        usable.where("toxic = 1").orderBy(F.abs("_key"), "_key").limit(SAMPLE)
-        .unionByName(usable.where("toxic = 0").orderBy(F.abs("_key"), "_key").limit(SAMPLE))
-    )
+    keys = usable.select("_key", "toxic")
+    first = [keys.where(F.col("toxic") == k).orderBy(F.abs("_key"), "_key").limit(SAMPLE) for k in (1, 0)]
+    picked = usable.join(F.broadcast(first[0].unionByName(first[1])), ["_key", "toxic"])
     sample = [(WORD.findall((r.text or "").lower()), r.toxic) for r in picked.orderBy("_key", "toxic").collect()]
+    scratch.drop(rows)
     indexed = [(chain.index(tokens), label) for tokens, label in sample]
     index, gold, mask = _segments(indexed, labels_token)
     chain.weights, chain.start, chain.trans = _fit_chain(index, gold, mask, len(lexicon) + 1)
