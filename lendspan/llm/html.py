@@ -427,20 +427,20 @@ def train(sources: list[str]) -> Extractor:
     return Extractor(weights, Boosted().fit(x, y))
 
 
-def sample(pages: DataFrame, page_id: str, source: str) -> list[str]:
-    """The hashed sample of pages that training reads, at most SAMPLE of at most SAMPLE_CHARS."""
-    chosen = (
-        pages.select(F.col(source).alias("html"), F.xxhash64(page_id, source).alias("order"))
-        .where(F.length("html").between(1, SAMPLE_CHARS))
-        .orderBy("order")
-        .limit(SAMPLE)
+def sample(pages: DataFrame, source: str) -> list[str]:
+    """The hashed sample of distinct pages that training reads, at most SAMPLE of at most SAMPLE_CHARS."""
+    keyed = pages.select(F.col(source).alias("html"), F.xxhash64(source).alias("order")).where(
+        F.length("html").between(1, SAMPLE_CHARS)
     )
+    # keys alone are ranked, so that no task gathers the pages of all others
+    first = keyed.select("order").distinct().orderBy("order").limit(SAMPLE)
+    chosen = keyed.join(F.broadcast(first), "order").dropDuplicates(["order"]).orderBy("order")
     return [r.html for r in chosen.collect()]
 
 
 def main_texts(pages: DataFrame, page_id: str = "page_id", url: str = "url", source: str = "html") -> DataFrame:
     """Per page: page_id, url, text and n_chars. NULL or empty html gives an empty text; every row gives a row."""
-    shared = pages.sparkSession.sparkContext.broadcast(train(sample(pages, page_id, source)))
+    shared = pages.sparkSession.sparkContext.broadcast(train(sample(pages, source)))
     chosen = pages.select(
         F.col(page_id).alias("page_id"), F.col(url).alias("url"), F.col(source).cast("string").alias("html")
     )
