@@ -185,7 +185,7 @@ class GramSender(Sender):
     """(gram, document): a gram that repeats here is reported for its documents and sent without one."""
 
     def sorted_out(self, columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        order = np.argsort(columns[0], kind="stable")
+        order = np.argsort(columns[0])
         grams, numbers = columns[0][order], columns[1][order]
         first = np.concatenate([[True], grams[1:] != grams[:-1]])
         at = np.flatnonzero(first)
@@ -210,7 +210,15 @@ def _firsts(columns: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
 
     The same window of a repeated row counts once.
     """
-    order = np.lexsort((columns[3], columns[2], columns[1], columns[0]))
+    if not len(columns[0]):
+        return columns, np.zeros(0, bool)
+    order = np.argsort(columns[0])
+    hashes = columns[0][order]
+    tie = np.concatenate([[False], hashes[1:] == hashes[:-1]])
+    tie[:-1] |= tie[1:]
+    # only what ties by its first hash needs the other columns
+    tied = order[tie]
+    order[tie] = tied[np.lexsort([c[tied] for c in columns[::-1]])]
     columns = [c[order] for c in columns]
     equal = [np.concatenate([[False], c[1:] == c[:-1]]) for c in columns]
     new = ~(equal[0] & equal[1] & equal[2] & equal[3])
@@ -219,7 +227,7 @@ def _firsts(columns: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
 
 def _by_document(numbers: np.ndarray, values: np.ndarray) -> pa.Table:
     """(no, found): the values of each document, packed."""
-    order = np.lexsort((values, numbers))
+    order = np.argsort(numbers)
     numbers, values = numbers[order], values[order]
     at = np.flatnonzero(np.concatenate([[True], numbers[1:] != numbers[:-1]])) if len(numbers) else np.zeros(0, np.int64)
     found = [_pack(v) for v in np.split(values, at[1:])] if len(at) else []
@@ -236,7 +244,7 @@ def _repeated_grams(table: pa.Table) -> pa.Table:
     if table.column("bucket")[0].as_py() < 0:
         return _by_document(*_unpacked(table, 2))
     grams, whom = _unpacked(table, 2)
-    order = np.argsort(grams, kind="stable")
+    order = np.argsort(grams)
     grams, whom = grams[order], whom[order].view(np.int64)
     same = grams[1:] == grams[:-1]
     several = np.concatenate([[False], same]) | np.concatenate([same, [False]])
