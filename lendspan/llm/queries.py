@@ -31,7 +31,7 @@ def op4_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repeats.without_repeats(_table(spark, sf_dir, "documents")).drop("kept")
+    return repeats.without_repeats(_table(spark, sf_dir, "documents"), with_bytes=False)
 
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

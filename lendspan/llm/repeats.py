@@ -342,9 +342,14 @@ def _cleaned(text: bytes, spans: list, starts: np.ndarray) -> tuple[int, int, by
 
 
 def without_repeats(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", piece: int = PIECE, flush: int = FLUSH
+    docs: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    with_bytes: bool = True,
+    piece: int = PIECE,
+    flush: int = FLUSH,
 ) -> DataFrame:
-    """Per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256 and kept, the bytes left.
+    """Per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256 and, if asked for, kept, the bytes left.
 
     NULL texts are empty; a NULL id comes before all others. Rows alike in id and text are
     one document and get one result each; rows of one id and different texts follow each
@@ -380,10 +385,10 @@ def without_repeats(
     marks = scratch.store(
         meta.join(later_starts, "no", "left").where("spans IS NOT NULL OR found IS NOT NULL").select(*key, "spans", "found")
     )
-    return _finish(keyed.join(marks, key, "left"))
+    return _finish(keyed.join(marks, key, "left"), with_bytes)
 
 
-def _finish(marked: DataFrame) -> DataFrame:
+def _finish(marked: DataFrame, with_bytes: bool) -> DataFrame:
     kind = marked.schema["doc_id"].dataType.simpleString()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -405,7 +410,7 @@ def _finish(marked: DataFrame) -> DataFrame:
                     removed, runs, kept = _cleaned(whole, spans, starts)
                 else:
                     removed, runs, kept = 0, 0, whole
-                for column, value in zip(out, (len(whole), removed, runs, hashlib.sha256(kept).hexdigest(), kept), strict=True):
+                for column, value in zip(out, (len(whole), removed, runs, hashlib.sha256(kept).hexdigest(), kept if with_bytes else None), strict=True):
                     column.append(value)
                 held += len(whole)
                 if held > PIECE:
@@ -417,9 +422,10 @@ def _finish(marked: DataFrame) -> DataFrame:
             if out[0]:
                 yield rows(at)
 
-    return marked.select("doc_id", "text", "spans", "found").mapInArrow(
+    cleaned = marked.select("doc_id", "text", "spans", "found").mapInArrow(
         work, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
     )
+    return cleaned if with_bytes else cleaned.drop("kept")
 
 
 _RESULT = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"]
