@@ -1,6 +1,7 @@
 """Session settings that suit these plans, and the shared checkpoint folder."""
 
 import atexit
+import contextlib
 import posixpath
 import uuid
 import weakref
@@ -108,7 +109,7 @@ def session_scratch(spark: SparkSession) -> Scratch:
     held = _BY_SESSION.get(spark)
     if held is None:
         held = _BY_SESSION[spark] = Scratch(spark)
-        atexit.register(release_session, spark)
+        atexit.register(_at_exit, spark)
     return held
 
 
@@ -119,6 +120,11 @@ def release_session(spark: SparkSession) -> None:
         held.release()
 
 
+def _at_exit(spark: SparkSession) -> None:
+    with contextlib.suppress(Exception):  # the session's JVM may be gone already
+        release_session(spark)
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Write `df` once to the shared folder and read it back, until the session ends."""
     return session_scratch(df.sparkSession).store(df)
