@@ -1,17 +1,20 @@
 """Language-model scores of a Brown class bigram model.
 
-A text is its lower-cased words and one end. Every word belongs to a unit: each of the
-`CORE` most frequent words is one, the others fall into `GROUPS` units by their last
-letters. Exchange clustering moves units between classes while the class bigrams of the
-whole training text become more likely. A token's probability is that of its class after
+A text is its lower-cased words and one end. Every training word has its own class, in two
+steps. First units are clustered on the driver: each of the `CORE` most frequent words is
+one, the others fall into `GROUPS` units by their last letters. From there every word moves
+by itself: Spark counts, for all words, the classes that stand before and after them, and
+in `BATCHES` hashed batches each word goes to the class that makes its neighbours' classes
+most likely; the class totals follow after every batch. A word that training lacks takes
+the class that most training words of its ending have. A token's probability is that of its class after
 the class before it, times that of the word among its class:
 
     P(w | w') = P(c | c') (n(w) + 0.1) / (n(c) + 0.1 (v(c) + 1))
 
 with n the counts and v the distinct words in training; c' is the end's class for the
-first word. Counts cover all training texts and are gathered by Spark; what is clustered
-is bounded by the number of units. Counts of the `FREQUENT` commonest words go to the
-tasks; rarer words of a document, once each, are joined with the count table.
+first word. Counts cover all training texts and are gathered by Spark. Counts and classes of
+the `FREQUENT` commonest words go to the tasks; rarer words of a document, once each, are
+joined with the table of words.
 """
 
 import math
@@ -31,11 +34,16 @@ CORE = 1024
 GROUPS = 255
 CLASSES = 64
 ROUNDS = 6
+BATCHES = 4
+# Tokens whose neighbours a task counts before it passes them on.
+COUNTED = 2_000_000
 FREQUENT = 100_000
 ADD = 0.1
 # Weight of the class's overall share in the smoothed transition.
 PRIOR = 5.0
 END = 0
+# Place of a word in a line whose class is not known yet.
+OPEN = 255
 
 _LOWER = bytes.maketrans(UPPER.encode(), LOWER.encode())
 
@@ -50,8 +58,8 @@ def tokens(text: bytes) -> list[bytes]:
 
 
 def group_of(word: bytes) -> int:
-    """Unit of a word outside the core."""
-    return 1 + CORE + zlib.crc32(word[-3:]) % GROUPS
+    """Which of the groups a word outside the core belongs to, by its ending."""
+    return zlib.crc32(word[-3:]) % GROUPS
 
 
 class Units:
@@ -59,6 +67,7 @@ class Units:
 
     def __init__(self, core: list[bytes]) -> None:
         self.core = {w: 1 + i for i, w in enumerate(core)}
+        self.size = 1 + len(core) + GROUPS
         self.memory: dict[bytes, int] = {}
 
     def of(self, words: list[bytes]) -> list[int]:
@@ -67,13 +76,10 @@ class Units:
             memory.clear()
         for word in set(words):
             if word not in memory:
-                memory[word] = self.core.get(word) or group_of(word)
+                memory[word] = self.core.get(word) or 1 + len(self.core) + group_of(word)
         return [memory[w] for w in words]
 
 
-N_UNITS = 1 + CORE + GROUPS
-
-
 def _xlogx(x: np.ndarray) -> np.ndarray:
     return x * np.log(np.maximum(x, 1e-300))
 
@@ -136,12 +142,12 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
 
 def pair_counts(docs: DataFrame, core: list[bytes]) -> DataFrame:
-    """(pair, n): counts of neighbouring units, pair = left * N_UNITS + right; one row per pair and task shuffled."""
+    """(pair, n): counts of neighbouring units, pair = left * units + right; one row per pair and task shuffled."""
     shared = docs.sparkSession.sparkContext.broadcast(core)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         units = Units(shared.value)
-        total = np.zeros(N_UNITS * N_UNITS, np.int64)
+        total = np.zeros(units.size * units.size, np.int64)
         for batch in batches:
             for part in slices(pa.RecordBatch.from_arrays([string_texts(batch, 0)], ["text"]), 0):
                 line = [END]
@@ -149,7 +155,7 @@ def pair_counts(docs: DataFrame, core: list[bytes]) -> DataFrame:
                     line += units.of(tokens(text))
                     line.append(END)
                 line = np.array(line)
-                total += np.bincount(line[:-1] * N_UNITS + line[1:], minlength=len(total))
+                total += np.bincount(line[:-1] * units.size + line[1:], minlength=len(total))
         found = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(total[found])], ["pair", "n"])
 
@@ -157,122 +163,355 @@ def pair_counts(docs: DataFrame, core: list[bytes]) -> DataFrame:
     return counted.groupBy("pair").agg(F.sum("n").alias("n"))
 
 
-class Model:
-    """What a task needs to score a text but for the counts of rarer words."""
+class _Numbers(dict):
+    """Words by the order in which they are first asked for; the end is number 0."""
 
-    def __init__(self, core, assigned, pairs, types, frequent, n_total, n_types) -> None:
-        member = np.eye(CLASSES)[assigned]
-        joint = member.T @ pairs @ member
-        share = joint.sum(0) / max(1.0, joint.sum())
-        self.transition = np.log10((joint + PRIOR * share + 1e-9) / (joint.sum(1, keepdims=True) + PRIOR + 1e-9 * CLASSES))
-        self.size = np.log10(joint.sum(0) + ADD * (member.T @ types + 1))
-        self.core, self.assigned, self.frequent = core, assigned, frequent
-        self.n_total = n_total
-        self.base = math.log10(n_total + ADD * (n_types + 1))
+    def __missing__(self, word: bytes) -> int:
+        self[word] = number = len(self) + 1
+        return number
 
-    def with_units(self) -> "Model":
-        self.units = Units(self.core)
-        return self
 
-    def read(self, text: bytes) -> tuple[int, int, float, float, Counter]:
-        """Tokens, known among them and log sums without the rarer words, and those with their counts."""
-        words = tokens(text)
-        line = self.assigned[np.array([END, *self.units.of(words), END])]
-        chain = self.transition[line[:-1], line[1:]].sum() - self.size[line[1:]].sum()
-        counts = Counter(words)
-        known, logs, rare = 1, self.end_log, Counter()
-        for word, times in counts.items():
-            value = self.frequent.get(word)
-            if value is None:
-                rare[word] = times
-            else:
-                known += times
-                logs += times * value
-        return len(words) + 1, known, logs, float(chain), rare
+def neighbours(docs: DataFrame, core: list[bytes], assigned: np.ndarray) -> DataFrame:
+    """(word, class, codes, times): a word's first class and how often which class stands beside it.
 
+    A code is the class after the word, or CLASSES more than the class before it. Every word
+    has a single row with each of its codes once.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast((core, assigned))
+
+    def counted(line: list[int], numbers: _Numbers) -> pa.RecordBatch:
+        names = list(numbers)
+        units = Units(shared.value[0])
+        classes = shared.value[1][[END, *units.of(names)]]
+        line = np.array(line)
+        left, right = line[:-1], line[1:]
+        keys = np.concatenate([left * 2 * CLASSES + classes[right], right * 2 * CLASSES + CLASSES + classes[left]])
+        keys, times = np.unique(keys[keys >= 2 * CLASSES], return_counts=True)
+        owners, codes = np.divmod(keys, 2 * CLASSES)
+        bounds = np.searchsorted(owners, np.arange(1, len(names) + 2)).astype(np.int32)
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array([w.decode() for w in names], pa.string()),
+                pa.array(classes[1:], pa.int32()),
+                pa.ListArray.from_arrays(bounds, pa.array(codes, pa.int16())),
+                pa.ListArray.from_arrays(bounds, pa.array(times, pa.int64())),
+            ],
+            ["word", "class", "codes", "times"],
+        )
 
-def learn(training: DataFrame, scratch) -> tuple[Model, DataFrame]:
-    """The model of the training texts, and their word counts."""
-    counts = scratch.store(word_counts(training))
-    n_docs = training.count()
-    totals = counts.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("types")).first()
-    top = counts.orderBy(F.desc("n"), "word").limit(FREQUENT).collect()
-    frequent = {r.word.encode(): math.log10(r.n + ADD) for r in top}
-    core = [r.word.encode() for r in top[:CORE]]
-    pairs = np.zeros(N_UNITS * N_UNITS)
-    for r in pair_counts(training, core).toArrow().to_batches():
-        pairs[r.column(0).to_numpy()] = r.column(1).to_numpy()
-    pairs = pairs.reshape(N_UNITS, N_UNITS)
-    group = F.crc32(F.expr("substr(cast(word AS binary), -3)")) % GROUPS + 1 + CORE
-    types = np.zeros(N_UNITS)
-    for r in counts.groupBy(group.alias("unit")).agg(F.count(F.lit(1)).alias("n")).collect():
-        types[r.unit] = r.n
-    for place, word in enumerate(core):  # a core word is not of its group
-        types[group_of(word)] -= 1
-        types[1 + place] = 1
-    if n_docs:
-        types[END] = 1
-    n_total = int(totals.n or 0) + n_docs
-    model = Model(core, exchange(pairs), pairs, types, frequent, n_total, int(totals.types) + bool(n_docs))
-    model.end_log = math.log10(n_docs + ADD)
-    model.end_known = int(n_docs > 0)
-    return model, counts
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        numbers, line = _Numbers(), [END]
+        for batch in batches:
+            for part in slices(pa.RecordBatch.from_arrays([string_texts(batch, 0)], ["text"]), 0):
+                for text in texts(part.column(0)):
+                    line += [numbers[w] for w in tokens(text)]
+                    line.append(END)
+                if len(line) > COUNTED:
+                    yield counted(line, numbers)
+                    numbers, line = _Numbers(), [END]
+        if numbers:
+            yield counted(line, numbers)
 
+    def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            owners, codes, times = _entries(batch.column(2), batch.column(3))
+            keys, place = np.unique(owners * 2 * CLASSES + codes, return_inverse=True)
+            times = np.bincount(place, times, len(keys)).astype(np.int64)
+            owners, codes = np.divmod(keys, 2 * CLASSES)
+            bounds = np.searchsorted(owners, np.arange(batch.num_rows + 1)).astype(np.int32)
+            lists = [pa.ListArray.from_arrays(bounds, pa.array(x, t)) for x, t in ((codes, pa.int16()), (times, pa.int64()))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *lists], ["word", "class", "codes", "times"])
+
+    schema = "word string, class int, codes array<short>, times array<long>"
+    whole = (
+        docs.select("text")
+        .mapInArrow(work, schema)
+        .groupBy("word")
+        .agg(
+            F.first("class").alias("class"),
+            F.flatten(F.collect_list("codes")).alias("codes"),
+            F.flatten(F.collect_list("times")).alias("times"),
+        )
+    )
+    return whole.mapInArrow(merged, schema)
 
-def scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
-    NULL texts are empty and have their end alone; every row gives a row, repeated rows
-    too. Without any training text nothing is known and all tokens are equally unlikely.
+def _entries(codes: pa.ListArray, times: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, code and count of all entries of two list columns."""
+    lengths = codes.value_lengths().to_numpy(zero_copy_only=False)
+    owners = np.repeat(np.arange(len(codes)), lengths)
+    return owners, codes.flatten().to_numpy().astype(np.int64), times.flatten().to_numpy().astype(np.float64)
+
+
+def best_classes(old: np.ndarray, owners: np.ndarray, codes: np.ndarray, times: np.ndarray, totals: np.ndarray) -> np.ndarray:
+    """Class of each word that makes the classes beside it most likely, given the others' `totals`.
+
+    totals[c, code] counts what stands beside the words of class c, these words included. A
+    word stays where no class is better; the end's class takes none.
     """
-    scratch = session_scratch(docs.sparkSession)
-    chosen = docs.select(
-        F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text")
-    )
-    model, counts = learn(chosen.where(~held_out(F.col("doc_id"))), scratch)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    kind = chosen.schema["doc_id"].dataType.simpleString()
+    if not len(old):
+        return old
+    starts = np.searchsorted(owners, np.arange(len(old)))
+    n = np.add.reduceat(np.where(codes < CLASSES, times, 0.0), starts)
+    beside, size = np.ascontiguousarray(totals.T), totals[:, :CLASSES].sum(1)
+    rows = np.arange(len(old))
+    step = lambda held, more: _xlogx(held + more) - _xlogx(held)
+    known = _xlogx(beside)
+    gain = np.add.reduceat(_xlogx(beside[codes] + times[:, None]) - known[codes], starts)
+    gain -= 2 * step(size[None, :], n[:, None])
+    held = np.maximum(beside[codes, old[owners]] - times, 0.0)
+    gain[rows, old] = np.add.reduceat(step(held, times), starts) - 2 * step(np.maximum(size[old] - n, 0.0), n)
+    gain[:, END] = -np.inf
+    new = gain.argmax(1)
+    return np.where(gain[rows, new] > gain[rows, old] + 1e-9, new, old)
+
+
+def move_words(found: DataFrame, totals: np.ndarray, batch: int) -> DataFrame:
+    """The words of a batch as (word, n, class), and rows (at, change) of what their moves change in `totals`."""
+    shared = found.sparkSession.sparkContext.broadcast(totals)
+    names = ["word", "n", "class", "at", "change"]
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        change = np.zeros(2 * CLASSES * CLASSES)
+        for whole in batches:
+            for at in range(0, whole.num_rows, 2000):
+                part = whole.slice(at, 2000)
+                old = part.column(1).to_numpy().astype(np.int64)
+                owners, codes, times = _entries(part.column(2), part.column(3))
+                new = best_classes(old, owners, codes, times, shared.value)
+                n = np.bincount(owners, np.where(codes < CLASSES, times, 0.0), len(old)).astype(np.int64)
+                change += np.bincount(new[owners] * 2 * CLASSES + codes, times, len(change))
+                change -= np.bincount(old[owners] * 2 * CLASSES + codes, times, len(change))
+                none = [pa.nulls(len(old), t) for t in (pa.int32(), pa.int64())]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n), pa.array(new, pa.int32()), *none], names)
+        at = np.flatnonzero(change)
+        none = [pa.nulls(len(at), t) for t in (pa.string(), pa.int64(), pa.int32())]
+        yield pa.RecordBatch.from_arrays([*none, pa.array(at, pa.int32()), pa.array(change[at].astype(np.int64))], names)
+
+    mine = F.pmod(F.xxhash64("word"), F.lit(BATCHES)) == batch
+    return found.where(mine).mapInArrow(work, "word string, n long, class int, at int, change long")
+
+
+class Classes:
+    """Classes and counts of words as far as a task needs them: those of the frequent ones."""
+
+    def __init__(self, frequent: dict[bytes, tuple[float, int]], groups: np.ndarray) -> None:
+        self.frequent, self.groups = frequent, groups
+
+    def read(self, text: bytes) -> tuple[int, int, float, bytes, np.ndarray, dict]:
+        """Tokens, known among them and log sum without the rarer words, the line of classes,
+        and which rarer word stands in each open place, and those with their counts."""
+        words = tokens(text)
+        known, logs, rare, code = 0, 0.0, {}, {}
+        for word, times in Counter(words).items():
+            entry = self.frequent.get(word)
+            if entry is None:
+                code[word] = CLASSES + len(rare)
+                rare[word] = times
+            else:
+                known += times
+                logs += times * entry[0]
+                code[word] = entry[1]
+        line = np.array([code[w] for w in words], np.int64)
+        is_open = line >= CLASSES
+        return len(words) + 1, known, logs, np.where(is_open, OPEN, line).astype(np.uint8).tobytes(), line[is_open] - CLASSES, rare
+
+
+def cluster(training: DataFrame, scratch) -> tuple[Classes, DataFrame]:
+    """Classes of the training words, and all of them as (word, n, class)."""
+    counts = word_counts(training)
+    core = [r.word.encode() for r in counts.orderBy(F.desc("n"), "word").limit(CORE).collect()]
+    size = Units(core).size
+    pairs = np.zeros(size * size)
+    for r in pair_counts(training, core).toArrow().to_batches():
+        pairs[r.column(0).to_numpy()] = r.column(1).to_numpy()
+    pairs = pairs.reshape(size, size)
+    assigned = exchange(pairs)
+    member = np.eye(CLASSES)[assigned]
+    joint = member.T @ pairs @ member
+    totals = np.concatenate([joint, joint.T], axis=1)
+    found = scratch.store(neighbours(training, core, assigned))
+    moved = []
+    for batch in range(BATCHES):
+        moved.append(scratch.store(move_words(found, totals, batch)))
+        for r in moved[-1].where("at IS NOT NULL").groupBy("at").agg(F.sum("change").alias("change")).collect():
+            totals[divmod(r.at, 2 * CLASSES)] += r.change
+    scratch.drop(found)
+    words = moved[0]
+    for more in moved[1:]:
+        words = words.unionByName(more)
+    words = words.where("word IS NOT NULL").select("word", "n", "class")
+    top = words.orderBy(F.desc("n"), "word").limit(FREQUENT).collect()
+    group = F.crc32(F.expr("substr(cast(word AS binary), -3)")) % GROUPS
+    per_group = words.groupBy(group.alias("group"), "class").agg(F.count(F.lit(1)).alias("types")).collect()
+    groups = assigned[1 + len(core) :].copy()
+    for r in sorted(per_group, key=lambda r: (r.types, -r["class"])):
+        groups[r.group] = r["class"]
+    return Classes({r.word.encode(): (math.log10(r.n + ADD), r["class"]) for r in top}, groups), words
+
+
+def read_lines(docs: DataFrame, classes: Classes, words: DataFrame, scratch) -> DataFrame:
+    """Per row of docs (doc_id, text): doc_id, n_tokens, known, logs and line, the class of each word as a byte."""
+    shared = docs.sparkSession.sparkContext.broadcast(classes)
+    kind = docs.schema["doc_id"].dataType.simpleString()
     rare_type = pa.list_(pa.struct([("word", pa.string()), ("times", pa.int64())]))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = shared.value.with_units()
+        own = shared.value
         for batch in batches:
             batch = pa.RecordBatch.from_arrays([batch.column(0), string_texts(batch, 1)], ["doc_id", "text"])
             for part in slices(batch, 1):
                 read = [own.read(t) for t in texts(part.column(1))]
-                columns = [pa.array(c, t) for c, t in zip(zip(*(r[:4] for r in read), strict=True), _TYPES, strict=True)]
-                rare = [[{"word": w.decode(), "times": n} for w, n in r[4].items()] for r in read]
+                columns = [pa.array(c, t) for c, t in zip(zip(*(r[:5] for r in read), strict=True), _TYPES, strict=True)]
+                rare = [[{"word": w.decode(), "times": n} for w, n in r[5].items()] for r in read]
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), *columns, pa.array(rare, rare_type)],
-                    ["doc_id", "n_tokens", "known", "logs", "chain", "rare"],
+                    ["doc_id", "n_tokens", "known", "logs", "line", "places", "rare"],
                 )
 
-    partial = chosen.mapInArrow(
+    def filled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lines = []
+            for line, places, rare in zip(*(batch.column(c) for c in ("line", "places", "rarer")), strict=True):
+                line = line.as_py()
+                if len(places):
+                    own = np.frombuffer(line, np.uint8).copy()
+                    entries = rare.values.to_numpy()
+                    of = np.zeros(len(entries), np.uint8)
+                    of[entries // CLASSES] = entries % CLASSES
+                    own[own == OPEN] = of[places.values.to_numpy()]
+                    line = own.tobytes()
+                lines.append(line)
+            kept = [batch.column(c) for c in ("doc_id", "n_tokens", "known", "logs")]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(lines, pa.binary())], ["doc_id", "n_tokens", "known", "logs", "line"])
+
+    partial = docs.select("doc_id", "text").mapInArrow(
         work,
-        f"doc_id {kind}, n_tokens long, known long, logs double, chain double, rare array<struct<word:string,times:long>>",
+        f"doc_id {kind}, n_tokens long, known long, logs double, line binary, places array<int>, "
+        "rare array<struct<word:string,times:long>>",
     )
     partial = scratch.store(partial.withColumn("row", F.monotonically_increasing_id()))
+    unseen = F.element_at(
+        F.array(*[F.lit(int(c)) for c in classes.groups]),
+        (F.crc32(F.expr("substr(cast(word AS binary), -3)")) % GROUPS + 1).cast("int"),
+    )
     rarer = (
-        partial.select("row", F.explode("rare").alias("r"))
-        .select("row", "r.word", "r.times")
-        .join(counts, "word", "left")
+        partial.select("row", F.posexplode("rare").alias("place", "r"))
+        .select("row", "place", "r.word", "r.times")
+        .join(words, "word", "left")
         .groupBy("row")
         .agg(
             F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("more_known"),
             F.sum(F.col("times") * F.log10(F.coalesce("n", F.lit(0)) + F.lit(ADD))).alias("more_logs"),
+            F.collect_list(F.col("place").cast("long") * CLASSES + F.coalesce("class", unseen)).alias("rarer"),
+        )
+    )
+    whole = (
+        partial.drop("rare")
+        .join(rarer, "row", "left")
+        .select(
+            "doc_id",
+            "n_tokens",
+            (F.col("known") + F.coalesce("more_known", F.lit(0))).cast("long").alias("known"),
+            (F.col("logs") + F.coalesce("more_logs", F.lit(0.0))).alias("logs"),
+            "line",
+            "places",
+            "rarer",
         )
+        .mapInArrow(filled, f"doc_id {kind}, n_tokens long, known long, logs double, line binary")
+    )
+    stored = scratch.store(whole)
+    scratch.drop(partial)
+    return stored
+
+
+_TYPES = (pa.int64(), pa.int64(), pa.float64(), pa.binary(), pa.list_(pa.int32()))
+
+
+def _ended(lines: pa.Array) -> np.ndarray:
+    """All lines one after the other, with the end's class before, between and after them."""
+    end = bytes([END])
+    return np.frombuffer(end + end.join(lines.to_pylist()) + end, np.uint8).astype(np.int64)
+
+
+def class_pairs(lines: DataFrame) -> np.ndarray:
+    """How often which class follows which in the lines."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(CLASSES * CLASSES, np.int64)
+        for batch in batches:
+            if batch.num_rows:
+                line = _ended(batch.column(0))
+                total += np.bincount(line[:-1] * CLASSES + line[1:], minlength=len(total))
+        found = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(total[found])], ["pair", "n"])
+
+    joint = np.zeros((CLASSES, CLASSES))
+    counted = lines.select("line").mapInArrow(work, "pair long, n long")
+    for r in counted.groupBy("pair").agg(F.sum("n").alias("n")).collect():
+        joint[divmod(r.pair, CLASSES)] = r.n
+    return joint
+
+
+class Model:
+    """Probabilities of classes, and the classes of words as far as tasks hold them."""
+
+    def __init__(self, classes: Classes, words: DataFrame, joint: np.ndarray) -> None:
+        n_docs = int(joint[:, END].sum())
+        types = np.zeros(CLASSES)
+        for r in words.groupBy("class").agg(F.count(F.lit(1)).alias("types")).collect():
+            types[r["class"]] = r.types
+        types[END] = n_docs > 0
+        share = joint.sum(0) / max(1.0, joint.sum())
+        self.transition = np.log10((joint + PRIOR * share + 1e-9) / (joint.sum(1, keepdims=True) + PRIOR + 1e-9 * CLASSES))
+        self.size = np.log10(joint.sum(0) + ADD * (types + 1))
+        self.core = list(classes.frequent)
+        self.assigned = np.array([END, *[c for _, c in classes.frequent.values()], *classes.groups])
+        self.n_total = int(joint.sum())
+        self.base = math.log10(self.n_total + ADD * (types.sum() + 1))
+        self.end_log = math.log10(n_docs + ADD)
+        self.end_known = int(n_docs > 0)
+
+
+def learn(training: DataFrame, scratch) -> tuple[Model, DataFrame]:
+    """The model of the training texts, and their words with counts and classes."""
+    classes, words = cluster(training, scratch)
+    return Model(classes, words, class_pairs(read_lines(training, classes, words, scratch))), words
+
+
+def scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """Per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
+
+    NULL texts are empty and have their end alone; every row gives a row, repeated rows
+    too. Without any training text nothing is known and all tokens are equally unlikely.
+    """
+    scratch = session_scratch(docs.sparkSession)
+    chosen = docs.select(
+        F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text")
     )
-    whole = partial.drop("rare").join(rarer, "row", "left")
-    logs = F.col("logs") + F.coalesce("more_logs", F.lit(0.0))
-    return whole.select(
+    classes, words = cluster(chosen.where(~held_out(F.col("doc_id"))), scratch)
+    lines = read_lines(chosen, classes, words, scratch)
+    model = Model(classes, words, class_pairs(lines.where(~held_out(F.col("doc_id")))))
+    step = model.transition - model.size
+    kind = chosen.schema["doc_id"].dataType.simpleString()
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            line = _ended(batch.column(4))
+            starts = np.cumsum([0, *batch.column(1).to_pylist()[:-1]])
+            chain = np.add.reduceat(step[line[:-1], line[1:]], starts)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(chain)], ["doc_id", "n_tokens", "known", "logs", "chain"])
+
+    chained = lines.mapInArrow(work, f"doc_id {kind}, n_tokens long, known long, logs double, chain double")
+    logs = F.col("logs") + F.lit(model.end_log)
+    return chained.select(
         "doc_id",
         held_out(F.col("doc_id")).alias("held_out"),
         "n_tokens",
-        (F.col("known") - (1 - model.end_known) + F.coalesce("more_known", F.lit(0))).cast("long").alias("n_known"),
+        (F.col("known") + F.lit(model.end_known)).cast("long").alias("n_known"),
         F.lit(model.n_total).cast("long").alias("train_tokens"),
         (logs - F.col("n_tokens") * F.lit(model.base)).alias("base_score"),
         (logs + F.col("chain")).alias("score"),
     )
-
-
-_TYPES = (pa.int64(), pa.int64(), pa.float64(), pa.float64())

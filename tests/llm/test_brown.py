@@ -99,3 +99,31 @@ def test_empty_and_untrained(spark):
     alone = docs.where("doc_id IS NOT NULL AND crc32(cast(doc_id AS string)) % 10 = 0")
     rows = brown.scores(alone).collect()
     assert rows and all(r.n_known == 0 and r.train_tokens == 0 and math.isfinite(r.score) for r in rows)
+
+
+def test_rare_words_are_classed_by_their_neighbours(spark, monkeypatch):
+    monkeypatch.setattr(brown, "CORE", 4)
+    rng = random.Random(2)
+    # two kinds of rare words, alike in their endings and unlike in what stands beside them
+    rows = [(i, " ".join(f"the n{rng.randrange(300)}tail was v{rng.randrange(300)}tail by" for _ in range(20))) for i in range(150)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    from lendspan.session import Scratch
+
+    with Scratch(spark) as scratch:
+        _, words = brown.learn(docs, scratch)
+        found = {r.word: r["class"] for r in words.collect()}
+    kinds = [Counter(c for w, c in found.items() if w[0] == k and w.endswith("tail")) for k in "nv"]
+    assert sum(kinds[0].values()) == sum(kinds[1].values()) == 300
+    assert brown.group_of(b"n1tail") == brown.group_of(b"v1tail")
+    assert not set(kinds[0]) & set(kinds[1])
+
+
+def test_scores_do_not_depend_on_what_tasks_hold(spark, monkeypatch):
+    _, docs = tables(spark)
+    monkeypatch.setattr(brown, "CORE", 3)
+    scored = []
+    for frequent in (100_000, 3):
+        monkeypatch.setattr(brown, "FREQUENT", frequent)
+        scored.append(sorted((tuple(r) for r in brown.scores(docs).collect()), key=str))
+    for one, other in zip(*scored, strict=True):
+        assert one[:5] == other[:5] and np.allclose(one[5:], other[5:])
