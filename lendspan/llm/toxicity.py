@@ -106,9 +106,10 @@ class Chain:
         return self.score(sum(found), none), spans
 
     def blank(self, n: int) -> float:
-        """Score of n words of which none is in the lexicon; far from both ends marginals are constant."""
-        n = min(n, 2000)
+        """Score of n words of which none is in the lexicon; a bounded memory holds lengths."""
         if n not in self.blanks:
+            if len(self.blanks) > 100_000:
+                self.blanks.clear()
             found, none = self.marginals([0] * n) if n else ([], 0.0)
             self.blanks[n] = self.score(sum(found), none)
         return self.blanks[n]

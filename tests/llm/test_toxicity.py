@@ -84,3 +84,12 @@ def test_the_held_out_fold_teaches_nothing(spark):
     rest = labels.where(~toxicity.held_out(labels.doc_id))
     scores = lambda frame: {r.doc_id: r.score for r in toxicity.toxicity(docs, frame).collect()}
     assert scores(labels) == scores(rest.unionByName(turned))
+
+
+def test_long_texts_without_lexicon_words_are_scored_whole():
+    chain = toxicity.Chain({}, np.array([-2.0]), np.array([-3.0, 0.6, 1.0, 0.5]))
+    chain.trans = np.array([[2.0, -2.0], [-1.0, 1.0]])
+    for n in (1, 2000, 2001, 9000):
+        found, none = chain.marginals([0] * n)
+        assert chain.read("word " * n)[0] == chain.score(sum(found), none)
+    assert chain.blank(9000) > chain.blank(2000)
