@@ -152,20 +152,17 @@ def _evidence(toxic, n_toxic: int, n_clean: int):
     return F.log((toxic + 0.5) / (n_toxic + 1)) - F.log((F.col("clean") + 0.5) / (n_clean + 1))
 
 
-def contexts(toxic_rows: DataFrame, candidates: frozenset[str]) -> DataFrame:
-    """(unit, contexts): how many different words stand before a candidate in toxic documents."""
-    shared = toxic_rows.sparkSession.sparkContext.broadcast(candidates)
+def contexts(toxic_rows: DataFrame) -> DataFrame:
+    """(unit, contexts): how many different words stand before a unit in toxic documents."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted = shared.value
         for batch in batches:
             for part in slices(batch, 0):
                 found = set()
                 for text in part.column(0).to_pylist():
                     tokens = WORD.findall((text or "").lower())
-                    pairs = zip(["", *tokens], tokens, strict=False)
-                    found.update((u, left) for left, w in pairs for u in units(w) if u in wanted)
-                pairs = list(found)
+                    found.update(zip(["", *tokens], tokens, strict=False))
+                pairs = list({(u, left) for left, w in found for u in units(w)})
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([w for w, _ in pairs], pa.string()), pa.array([b for _, b in pairs], pa.string())],
                     ["unit", "before"],
@@ -275,28 +272,25 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
         logit = np.array([math.log(share / (1 - share)), 0.0, 0.0, 0.0])
         return Chain({}, np.zeros(1), logit)
     least = max(LEAST_CONTEXTS, LEAST_SHARE * n_toxic)
+    # units of copied texts go before either bound, so that they take no place in them
     toxic = scratch.store(
-        unit_counts(rows.where("toxic = 1")).where(F.col("n") >= least).orderBy(F.desc("n"), "unit").limit(CANDIDATES)
+        unit_counts(rows.where("toxic = 1"))
+        .where(F.col("n") >= least)
+        .join(contexts(rows.where("toxic = 1")).where(F.col("contexts") >= least), "unit")
+        .orderBy(F.desc(F.least("n", "contexts")), "unit")
+        .limit(CANDIDATES)
     ).withColumnRenamed("n", "toxic")
     frequent = frozenset(r.unit for r in toxic.select("unit").collect())
     clean = unit_counts(rows.where("toxic = 0"), frequent).withColumnRenamed("n", "clean")
-    weighed = scratch.store(
+    weighed = (
         toxic.join(clean, "unit", "left")
         .fillna(0, ["clean"])
-        .withColumn("evidence", _evidence(F.col("toxic"), n_toxic, n_clean))
+        .withColumn("evidence", _evidence(F.least("toxic", "contexts"), n_toxic, n_clean))
         .where(F.col("evidence") >= WEIGHT_EVIDENCE)
         .orderBy(F.desc("evidence"), "unit")
         .limit(LEXICON)
     )
-    places = contexts(rows.where("toxic = 1"), frozenset(r.unit for r in weighed.select("unit").collect()))
-    lexicon = (
-        weighed.join(places, "unit")
-        .where(F.col("contexts") >= least)
-        .withColumn("evidence", _evidence(F.least("toxic", "contexts"), n_toxic, n_clean))
-        .where(F.col("evidence") >= WEIGHT_EVIDENCE)
-        .orderBy("unit")
-        .collect()
-    )
+    lexicon = weighed.orderBy("unit").collect()
     chain = Chain({r.unit: i + 1 for i, r in enumerate(lexicon)}, np.zeros(len(lexicon) + 1))
     labels_token = np.array([False, *[r.evidence >= LABEL_EVIDENCE for r in lexicon]])
     # keys alone are ranked, so that no task gathers the texts of all others' first rows

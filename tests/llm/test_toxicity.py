@@ -93,3 +93,19 @@ def test_long_texts_without_lexicon_words_are_scored_whole():
         found, none = chain.marginals([0] * n)
         assert chain.read("word " * n)[0] == chain.score(sum(found), none)
     assert chain.blank(9000) > chain.blank(2000)
+
+
+def test_copied_texts_do_not_crowd_out_the_lexicon(spark, monkeypatch):
+    rng = random.Random(4)
+    plain = [f"plain{a}{b}" for a in "abcdefgh" for b in "klmnop"]
+    text = lambda bad: " ".join(w for _ in range(30) for w in ([rng.choice(plain), "grumk"] if bad else [rng.choice(plain)]))
+    copied = " ".join(f"{chr(97 + k % 26) * 3}{chr(97 + k // 26) * 3}" for k in range(200))
+    # two of three toxic texts are near copies
+    ends = ["".join(chr(97 + int(d)) for d in str(i)) for i in range(240)]
+    rows = [(i, f"{copied} {ends[i]}" if i % 6 in (2, 4) else text(i % 6 == 0), int(i % 2 == 0)) for i in range(240)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    for bound in ("LEXICON", "CANDIDATES"):
+        with monkeypatch.context() as patch:
+            patch.setattr(toxicity, bound, 60)
+            assert "grumk" in toxicity.fit(docs, labels).units_known
