@@ -3,7 +3,22 @@
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import brown, decontaminate, html, mixing, oracles, parsing, pii, repeats, simhash, tokens, toxicity
+from . import (
+    align,
+    brown,
+    decontaminate,
+    html,
+    mixing,
+    oracles,
+    parsing,
+    pii,
+    repeats,
+    secret_scan,
+    simhash,
+    tokens,
+    toxicity,
+    whitening,
+)
 
 
 # The key of the registered query; users pass their own.
@@ -56,6 +71,19 @@ def op10_brown_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return brown.scores(_table(spark, sf_dir, "documents"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a, b = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return align.alignments(_table(spark, sf_dir, "documents"), a, b)
+
+
+def op12_secret_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.digest(secret_scan.secret_spans(_table(spark, sf_dir, "documents")))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_simhash_near_duplicates": op2_simhash_near_duplicates,
@@ -67,6 +95,9 @@ QUERIES = {
     "op8_document_fingerprints": op8_document_fingerprints,
     "op9_decontamination": op9_decontamination,
     "op10_brown_scores": op10_brown_scores,
+    "op11_token_alignment": op11_token_alignment,
+    "op12_secret_spans": op12_secret_spans,
+    "op13_whitening": op13_whitening,
 }
 ORACLES = {
     "op1_mixing": oracles.MIXING,
