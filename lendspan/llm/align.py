@@ -22,7 +22,7 @@ small number a link.
 import hashlib
 import os
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import chain
 
 import numpy as np
@@ -83,16 +83,14 @@ def words_stand_alone(tokenizer: Tokenizer, processor: sentencepiece.SentencePie
 
 def _pieces(text: str, limit: int) -> Iterator[list[str]]:
     """The words of a text, in lists of about `limit` characters."""
-    start, words, held = 0, [], 0
-    for cut in _CUT.finditer(text):
-        words.append(text[start : cut.start()])
-        held += cut.start() - start
+    start = 0
+    while len(text) - start > limit:
+        cut = _CUT.search(text, start + limit)
+        if not cut:
+            break
+        yield _CUT.split(text[start : cut.start()])
         start = cut.end()
-        if held >= limit:
-            yield words
-            words, held = [], 0
-    words.append(text[start:])
-    yield words
+    yield _CUT.split(text[start:] if start else text)
 
 
 class Aligner:
@@ -125,9 +123,9 @@ class Aligner:
     def words(self, text: str) -> Iterator[list[str]]:
         return _pieces(text, PIECE_CHARS) if self.alone else iter([[text]])
 
-    def learn(self, words: list[str]) -> None:
+    def learn(self, words: Iterable[list[str]]) -> None:
         """Add the alignment of new words."""
-        fresh = [w for w in dict.fromkeys(words) if w not in self.known]
+        fresh = list(set().union(*words).difference(self.known))
         for at in range(0, len(fresh), 20_000):
             self._learn(fresh[at : at + 20_000])
 
@@ -135,24 +133,28 @@ class Aligner:
         spaced = [" " + w for w in fresh]
         raw = [w.encode() for w in spaced]
         a = self.a.encode_batch(spaced, add_special_tokens=False)
-        b = self.b.encode(fresh, return_type="proto", num_threads=1)
         ids_a = [e.ids for e in a]
-        ids_b = [[p.id for p in t.pieces] for t in b]
-        good = self._same(raw, ids_a, self.bytes_a) & self._same(raw, ids_b, self.bytes_b)
+        n_a = np.array([len(i) for i in ids_a], np.int64)
+        flat_a = np.fromiter(chain.from_iterable(ids_a), np.int64, n_a.sum())
+        offsets = np.fromiter(chain.from_iterable(chain.from_iterable(e.offsets for e in a)), np.int64, 2 * n_a.sum())
+        b = [t.pieces for t in self.b.encode(fresh, return_type="proto", num_threads=1)]
+        n_b = np.array([len(t) for t in b], np.int64)
+        told = (v for t in b for p in t for v in (p.id, p.begin, p.end))
+        flat_b, *spans = np.fromiter(told, np.int64, 3 * n_b.sum()).reshape(-1, 3).T
+        good = self._same(raw, flat_a, n_a, self.bytes_a) & self._same(raw, flat_b, n_b, self.bytes_b)
         n = len(fresh)
         sizes = np.zeros((n, 5), np.int64)
         sizes[:, 4] = ~good
         strings = [""] * n
         codes, per_word = np.zeros(0, np.int64), np.zeros(n, np.int64)
-        kept = np.flatnonzero(good).tolist()
-        if kept:
-            base = np.concatenate(([0], np.cumsum([len(raw[k]) for k in kept])))
-            n_a = np.array([len(ids_a[k]) for k in kept], np.int64)
-            n_b = np.array([len(ids_b[k]) for k in kept], np.int64)
-            flat_a = np.fromiter(chain.from_iterable(ids_a[k] for k in kept), np.int64, n_a.sum())
-            flat_b = np.fromiter(chain.from_iterable(ids_b[k] for k in kept), np.int64, n_b.sum())
-            spans_a = self._spans_a([a[k] for k in kept], [spaced[k] for k in kept], b"".join(raw[k] for k in kept), n_a)
-            spans_b = self._spans_b([b[k] for k in kept], base, n_b)
+        kept = np.flatnonzero(good)
+        if len(kept):
+            in_a, in_b = np.repeat(good, n_a), np.repeat(good, n_b)
+            n_a, n_b, flat_a, flat_b = n_a[good], n_b[good], flat_a[in_a], flat_b[in_b]
+            texts, raw = [spaced[k] for k in kept], [raw[k] for k in kept]
+            base = np.concatenate(([0], np.cumsum([len(r) for r in raw])))
+            spans_a = self._spans_a(offsets.reshape(-1, 2)[in_a], texts, b"".join(raw), n_a)
+            spans_b = self._spans_b(np.stack(spans, axis=1)[in_b], base, n_b)
             ends_a, ends_b = self._ends(flat_a, flat_b, spans_a, spans_b)
             # each stretch between neighbouring ends belongs to one token of each side
             cuts = np.union1d(ends_a, ends_b)
@@ -163,7 +165,7 @@ class Aligner:
             groups = np.diff(np.searchsorted(shared, base, side="right"))
             sizes[kept, :4] = np.stack([n_a, n_b, groups, links], axis=1)
             per_word[kept] = links
-            for k, text in zip(kept, self._texts(flat_a, flat_b, ends_a, ends_b, shared, base), strict=True):
+            for k, text in zip(kept.tolist(), self._texts(flat_a, flat_b, ends_a, ends_b, shared, base), strict=True):
                 strings[k] = text
         start = len(self.strings)
         self.known.update(zip(fresh, range(start, start + n), strict=True))
@@ -173,29 +175,26 @@ class Aligner:
         self.codes = np.concatenate((self.codes, codes))
 
     @staticmethod
-    def _same(raw: list[bytes], ids: list[list[int]], table: list[bytes]) -> np.ndarray:
+    def _same(raw: list[bytes], ids: np.ndarray, counts: np.ndarray, table: list[bytes]) -> np.ndarray:
         """Per word: whether the joined bytes of its tokens are its bytes."""
-        return np.array([b"".join([table[i] for i in t]) == r for r, t in zip(raw, ids, strict=True)], bool)
+        tokens = [table[i] for i in ids.tolist()]
+        ends = np.cumsum(counts).tolist()
+        starts = [0, *ends[:-1]]
+        return np.array([b"".join(tokens[s:e]) == r for s, e, r in zip(starts, ends, raw, strict=True)], bool)
 
     @staticmethod
-    def _spans_a(found: list, texts: list[str], raw: bytes, n_a: np.ndarray) -> np.ndarray:
+    def _spans_a(offsets: np.ndarray, texts: list[str], raw: bytes, n_a: np.ndarray) -> np.ndarray:
         """Byte spans (begin, end) of A tokens from their character offsets, one text after the other."""
-        flat = np.fromiter(
-            chain.from_iterable(chain.from_iterable(e.offsets for e in found)), np.int64, 2 * n_a.sum()
-        ).reshape(-1, 2)
         chars = np.concatenate(([0], np.cumsum([len(t) for t in texts])))
-        places = flat + np.repeat(chars[:-1], n_a)[:, None]
+        places = offsets + np.repeat(chars[:-1], n_a)[:, None]
         data = np.frombuffer(raw, np.uint8)
         begins = np.append(np.flatnonzero((data & 0xC0) != 0x80), len(data))
         return begins[places]
 
     @staticmethod
-    def _spans_b(found: list, base: np.ndarray, n_b: np.ndarray) -> np.ndarray:
+    def _spans_b(spans: np.ndarray, base: np.ndarray, n_b: np.ndarray) -> np.ndarray:
         """Byte spans of B pieces; the space that B adds belongs to the first piece."""
-        flat = np.fromiter(
-            chain.from_iterable((p.begin, p.end) for t in found for p in t.pieces), np.int64, 2 * n_b.sum()
-        ).reshape(-1, 2)
-        spans = flat + 1 + np.repeat(base[:-1], n_b)[:, None]
+        spans = spans + 1 + np.repeat(base[:-1], n_b)[:, None]
         spans[np.concatenate(([0], np.cumsum(n_b)[:-1])), 0] = base[:-1]
         return spans
 
@@ -282,7 +281,7 @@ def _aligned(aligner: Aligner, part: pa.RecordBatch, with_groups: bool) -> list[
             return
         if len(aligner.codes) > MEMORY:
             aligner.forget()
-        aligner.learn([w for _, words in pending for w in words])
+        aligner.learn(words for _, words in pending)
         known, strings = aligner.known, aligner.strings
         ids = [[known[w] for w in words] for _, words in pending]
         counts = np.array([len(i) for i in ids], np.int64)
