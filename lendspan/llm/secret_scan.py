@@ -60,10 +60,9 @@ PLACEHOLDER = re.compile(
 
 _OPERATOR = re.compile(r":=|=>|\+=|(?<![=!<>:+])=(?![=~>])|(?<!:):(?![:=/])")
 _WINDOW = 200
-_QUOTED_NAME = re.compile(r"([\"'])([^\"'\n]{1,100})\1[ \t]*\]?[ \t]*$")
-_PLAIN_NAME = re.compile(r"(?<![\w$.\-])([A-Za-z_$][\w$.\-]{0,99})[ \t]*$")
-_TYPED_NAME = re.compile(r"(?<![\w$.\-])([A-Za-z_$][\w$.\-]{0,99})[ \t]*:[ \t]*[A-Za-z_][\w.\[\], |?]{0,60}$")
-_BLANK = re.compile(r"[ \t]*+")
+# read from the operator back to the beginning
+_NAME_BACK = re.compile(r"[\w$.\-]{0,99}[A-Za-z_$](?![\w$.\-])")
+_TYPE = re.compile(r"[ \t]*[A-Za-z_][\w.\[\], |?]{0,60}")
 _CONTINUED = re.compile(r"[ \t]*+\(?[ \t]*+(?:\\?\r?\n[ \t]*+)?")
 _PREFIX = re.compile(r"(?:[rRbBuUfF@$]{1,2})?(\"\"\"|'''|\"|'|`)")
 _STRING = {
@@ -72,7 +71,7 @@ _STRING = {
     "`": re.compile(r"(?:[^`\\]|\\.)*+"),
 }
 _NAME = re.compile(r"[A-Za-z_$][\w$]*+(?:\.[A-Za-z_$][\w$]*+)*+")
-_BARE = re.compile(r"[^\s,;#<>{}()\[\]\"'`]++")
+_BARE = re.compile(r"[^\s,;#<>{}()\[\]\"'`&=:]++={0,2}")
 _JOIN = re.compile(r"[ \t]*+(?:\+|\.\.?|&)?[ \t]*+(?:\\?\r?\n[ \t]*+(?=[\"'+]))?(?:\+[ \t]*+)?")
 # Calls whose argument is the value itself.
 _WRAPPER = re.compile(
@@ -176,17 +175,19 @@ class _Lexer:
         return Assignment(match[1], at, [Literal(start, start + len(value), value, True)], [])
 
     def _target(self, at: int, operator: str) -> str | None:
+        """The name that ends before the operator, on its line."""
         window = self.text[max(0, at - _WINDOW) : at]
-        window = window[window.rfind("\n") + 1 :]
-        quoted = _QUOTED_NAME.search(window)
-        if quoted:
-            return quoted[2]
-        if operator == "=" and ":" in window:
-            typed = _TYPED_NAME.search(window)
-            if typed:
-                return typed[1]
-        plain = _PLAIN_NAME.search(window)
-        return plain[1] if plain else None
+        window = window[window.rfind("\n") + 1 :].rstrip(" \t")
+        quoted = window.removesuffix("]").rstrip(" \t")
+        if quoted.endswith(("\"", "'")):
+            start = quoted.rfind(quoted[-1], 0, -1)
+            return quoted[start + 1 : -1][:100] or None if start >= 0 else None
+        if operator == "=":
+            left, colon, kind = window.rpartition(":")
+            if colon and _TYPE.fullmatch(kind):
+                window = left.rstrip(" \t")
+        name = _NAME_BACK.match(window[::-1])
+        return name[0][::-1] if name else None
 
     def _value(self, at: int) -> tuple[list[Literal], list[str]]:
         """Literals and names of the right side that starts at `at`."""
@@ -371,7 +372,8 @@ def secret_spans(
     `start` and `end` count code points, the end exclusive; `base` holds the spans of the base
     patterns, `found` these and the added ones, by start and then kind. A NULL or empty text
     has none. Every row gives a row, repeated ones too; an id may have any type and be NULL; other
-    columns are not read. Names have up to 100 characters and stand on the line of their operator.
+    columns are not read. Names have up to 100 characters and stand on the line of their operator;
+    a literal without quotes ends at white space, a bracket, a separator, `&`, `=` or `:`.
     """
     chosen = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
     kind = chosen.schema["doc_id"].dataType.simpleString()

@@ -3,7 +3,8 @@
 Entries become whole numbers, x = floor(SCALE * c) + OFFSET. Sums of x are exact; the covariance
 is summed over the rows centred by the whole number next to the mean, and the rest of the
 mean, below one half, is taken off exactly, so no large numbers cancel. Every partial sum
-carries its rounding error along (two doubles a number), so the order of rows does not show.
+carries its rounding error along (two doubles a number), so the order of rows does not show
+in the covariance.
 
 The driver holds the covariance alone, whose size is that of one vector squared. Its
 eigenvectors are found in float32, then corrected by Ogita-Aishima iterations: matrix
