@@ -18,19 +18,23 @@ SIZE = 10
 # The benchmark's side of a join is broadcast up to this measured size, and else shuffled.
 BROADCAST_BYTES = 32 << 20
 
-# What a word is made of after lower-casing, and before.
+# What a word is made of after lower-casing.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-RAW_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
 def words(text: Column) -> Column:
     return F.regexp_extract_all(ascii_lower(F.coalesce(text, F.lit(""))), F.lit(WORD), F.lit(0))
 
 
+def _fits(small: DataFrame, column: str) -> bool:
+    """Whether the measured size of `small` allows a broadcast."""
+    size = small.agg(F.sum(F.length(F.col(column).cast("string")) + 64)).first()[0] or 0
+    return size <= BROADCAST_BYTES
+
+
 def _fitted(small: DataFrame, column: str) -> DataFrame:
     """`small` with a broadcast hint if its measured size allows it."""
-    size = small.agg(F.sum(F.length(F.col(column).cast("string")) + 64)).first()[0] or 0
-    return F.broadcast(small) if size <= BROADCAST_BYTES else small
+    return F.broadcast(small) if _fits(small, column) else small
 
 
 def item_windows(items: DataFrame, item_id: str, text: str, size: int = SIZE) -> DataFrame:
@@ -72,20 +76,21 @@ def prefix_words(windows: DataFrame, docs: DataFrame, scratch: Scratch) -> DataF
 def occurrences(docs: DataFrame, prefixes: DataFrame, size: int = SIZE) -> DataFrame:
     """Rows (doc_id, text_key, start, win) of windows in documents (doc_id, text_key, words).
 
-    What travels with a word is its surroundings of window length, never the whole text.
+    Surroundings of window length are cut for words that begin a search. Where the prefixes are
+    broadcast these are the words that meet one; else every word is shuffled, with its
+    surroundings and never with the whole text.
     """
-    around = docs.select("doc_id", "text_key", "words", F.posexplode("words").alias("pos", "word")).select(
-        "doc_id",
-        "text_key",
-        "word",
-        "pos",
-        F.least(F.col("pos"), F.lit(size - 1)).alias("before"),
-        F.slice("words", F.greatest(F.col("pos") - size + 2, F.lit(1)), F.lit(2 * size - 1)).alias("near"),
-    )
+    each = docs.select("doc_id", "text_key", "words", F.posexplode("words").alias("pos", "word"))
+    before = F.least(F.col("pos"), F.lit(size - 1)).alias("before")
+    near = F.slice("words", F.greatest(F.col("pos") - size + 2, F.lit(1)), F.lit(2 * size - 1)).alias("near")
+    kept = ("doc_id", "text_key", "word", "pos", before, near)
+    if _fits(prefixes, "win"):
+        met = each.join(F.broadcast(prefixes), "word").select(*kept, "place", "win")
+    else:
+        met = each.select(*kept).join(prefixes, "word")
     first = F.col("before") - F.col("place")
     return (
-        around.join(_fitted(prefixes, "win"), "word")
-        .where((first >= 0) & (first + F.size("win") <= F.size("near")))
+        met.where((first >= 0) & (first + F.size("win") <= F.size("near")))
         .where(F.slice("near", F.greatest(first, F.lit(0)) + 1, F.size("win")) == F.col("win"))
         .select("doc_id", "text_key", (F.col("pos") - F.col("place")).alias("start"), "win")
     )
@@ -105,7 +110,8 @@ def contamination(
     keyed = docs.select(
         F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("text_key"), F.col(text).alias("text")
     )
-    split = keyed.select("doc_id", "text_key", words(F.col("text")).alias("words"))
+    # texts are split once; three passes read the words
+    split = scratch.store(keyed.select("doc_id", "text_key", words(F.col("text")).alias("words")))
     windows = scratch.store(item_windows(items, item_id, item_text, size))
     prefixes = prefix_words(windows, split, scratch)
     hits = scratch.store(occurrences(split, prefixes, size).distinct())
@@ -127,9 +133,7 @@ def contamination(
             "left",
         ).select("h.*", "n_items", "ids")
     )
-    counted = keyed.select(
-        "doc_id", "text_key", F.coalesce(F.regexp_count("text", F.lit(RAW_WORD)), F.lit(0)).cast("long").alias("n_words")
-    )
+    counted = split.select("doc_id", "text_key", F.size("words").cast("long").alias("n_words"))
     same = F.col("d.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.col("d.text_key") == F.col("b.text_key"))
     return (
         counted.alias("d")
