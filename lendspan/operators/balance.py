@@ -37,10 +37,26 @@ def balance_eop(t: Tables) -> DataFrame:
 
     The balance changes only in installment months. So the loan windows run on those
     rows plus one opening row per loan, and each row is then copied forward over the
-    months up to the next one. The wide loans-by-months result is never shuffled.
+    months up to the next one. The wide loans-by-months result is never shuffled. For a few
+    months ask `balance_at`.
     """
     scheduled = _principal_rows(t)
     calendar = _calendar(scheduled).scalar()
+    first = _before("from_month")
+    after = F.coalesce(_before("to_month"), F.size("calendar.months"))
+    held = F.slice("calendar.months", first + 1, F.greatest(after - first, F.lit(0)))
+    return balance_intervals(t).withColumn("calendar", calendar).select(
+        "loan_id", F.explode(held).alias("month_end"), "eop_balance"
+    )
+
+
+def balance_intervals(t: Tables) -> DataFrame:
+    """Spans of months over which a loan's scheduled balance stays: loan_id, from_month, to_month, eop_balance.
+
+    A span begins with the origination month or an installment month and ends before
+    `to_month`, the next one; it is NULL for the last span of a loan. There are as many rows
+    as balances change, however many months are asked for later.
+    """
     opening = t.loans.select(
         "loan_id",
         F.last_day("origination_date").alias("month_end"),
@@ -48,10 +64,10 @@ def balance_eop(t: Tables) -> DataFrame:
         cents("principal_nzd").alias("lent"),
         F.last_day("origination_date").alias("opened"),
     )
-    repaid = scheduled.select(
+    repaid = _principal_rows(t).select(
         "*", F.lit(None).cast("long").alias("lent"), F.lit(None).cast("date").alias("opened")
     )
-    changes = (
+    return (
         opening.unionByName(repaid)
         .groupBy("loan_id", "month_end")
         .agg(
@@ -64,19 +80,48 @@ def balance_eop(t: Tables) -> DataFrame:
         .where(F.col("month_end") >= F.col("opened"))
         .select(
             "loan_id",
-            "month_end",
-            F.lead("month_end").over(by_loan()).alias("next_change"),
+            F.col("month_end").alias("from_month"),
+            F.lead("month_end").over(by_loan()).alias("to_month"),
             money(
                 F.greatest(F.col("lent") - F.sum("principal").over(running()), no_cents())
             ).alias("eop_balance"),
         )
     )
-    first = _before("month_end")
-    after = F.coalesce(_before("next_change"), F.size("calendar.months"))
-    held = F.slice("calendar.months", first + 1, F.greatest(after - first, F.lit(0)))
-    return changes.withColumn("calendar", calendar).select(
-        "loan_id", F.explode(held).alias("month_end"), "eop_balance"
+
+
+# Calendar months of one bin of the range join.
+BIN_MONTHS = 12
+
+
+def balance_at(intervals: DataFrame, months: DataFrame) -> DataFrame:
+    """Balances at given months from `balance_intervals`: a range join by bins of months.
+
+    `months` has a date column month_end; any day stands for its month, repeated months and NULL
+    count once or not at all. A span meets only the bins it shares with the months asked for, so
+    one that is not asked for is dropped before the join. The months are broadcast: a calendar has
+    12 a year, however many rows ask for them.
+    """
+    month = lambda c: F.year(c) * 12 + F.month(c) - 1
+    in_bin = lambda number: F.floor(number / BIN_MONTHS)
+    asked = (
+        months.select(F.last_day("month_end").alias("month_end"))
+        .where("month_end IS NOT NULL")
+        .distinct()
+        .withColumn("bin", in_bin(month(F.col("month_end"))))
+    )
+    limits = asked.agg(F.struct(F.min("bin").alias("low"), F.max("bin").alias("high")).alias("limits")).scalar()
+    first = F.greatest(in_bin(month(F.col("from_month"))), F.col("limits.low"))
+    last = F.least(in_bin(month(F.col("to_month")) - 1), F.col("limits.high"))
+    spans = (
+        intervals.withColumn("limits", limits)
+        .select("*", first.alias("first_bin"), last.alias("last_bin"))
+        .where("first_bin <= last_bin")
+        .select("loan_id", "from_month", "to_month", "eop_balance", F.explode(F.sequence("first_bin", "last_bin")).alias("bin"))
+    )
+    inside = (F.col("from_month") <= F.col("month_end")) & (
+        F.col("to_month").isNull() | (F.col("month_end") < F.col("to_month"))
     )
+    return spans.join(F.broadcast(asked), "bin").where(inside).select("loan_id", "month_end", "eop_balance")
 
 
 def _calendar(rows: DataFrame) -> DataFrame:

@@ -23,6 +23,38 @@ MEASURE_COLUMNS = (
     "expected_loss_est",
     "rar_profit_est",
 )
+# Columns of the marts that are cut from the loan-months.
+MART_COLUMNS = {
+    "comm_interest_income_monthly": (
+        "month_end",
+        "loan_id",
+        "product_type",
+        "channel",
+        "eop_balance",
+        "interest_rate_apr",
+        "interest_income_est",
+    ),
+    "comm_nii_monthly": (
+        "month_end",
+        "loan_id",
+        "product_type",
+        "channel",
+        "eop_balance",
+        "interest_income_est",
+        "funding_cost_est",
+        "nii_est",
+    ),
+    "comm_rar_monthly": (
+        "month_end",
+        "loan_id",
+        "product_type",
+        "channel",
+        "eop_balance",
+        "nii_est",
+        "expected_loss_est",
+        "rar_profit_est",
+    ),
+}
 
 
 def _exact(rate) -> Decimal:
@@ -87,28 +119,11 @@ def _commercial(t: Tables, params: Params, balance: str) -> DataFrame:
 
 
 def interest_income_monthly(t: Tables, params: Params = DEFAULTS, balance: str = "principal") -> DataFrame:
-    return _commercial(t, params, balance).select(
-        "month_end",
-        "loan_id",
-        "product_type",
-        "channel",
-        "eop_balance",
-        "interest_rate_apr",
-        "interest_income_est",
-    )
+    return _commercial(t, params, balance).select(*MART_COLUMNS["comm_interest_income_monthly"])
 
 
 def nii_monthly(t: Tables, params: Params = DEFAULTS, balance: str = "principal") -> DataFrame:
-    return _commercial(t, params, balance).select(
-        "month_end",
-        "loan_id",
-        "product_type",
-        "channel",
-        "eop_balance",
-        "interest_income_est",
-        "funding_cost_est",
-        "nii_est",
-    )
+    return _commercial(t, params, balance).select(*MART_COLUMNS["comm_nii_monthly"])
 
 
 def expected_loss(t: Tables, params: Params = DEFAULTS, balance: str = "principal") -> DataFrame:
@@ -118,16 +133,7 @@ def expected_loss(t: Tables, params: Params = DEFAULTS, balance: str = "principa
 
 
 def rar_monthly(t: Tables, params: Params = DEFAULTS, balance: str = "principal") -> DataFrame:
-    return _commercial(t, params, balance).select(
-        "month_end",
-        "loan_id",
-        "product_type",
-        "channel",
-        "eop_balance",
-        "nii_est",
-        "expected_loss_est",
-        "rar_profit_est",
-    )
+    return _commercial(t, params, balance).select(*MART_COLUMNS["comm_rar_monthly"])
 
 
 def segment_profitability(t: Tables, params: Params = DEFAULTS, balance: str = "principal") -> DataFrame:

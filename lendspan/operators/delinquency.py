@@ -77,13 +77,14 @@ def portfolio_snapshot(t: Tables, params: Params = DEFAULTS, as_of: Optional[dat
 
 def dpd_migration(t: Tables, params: Params = DEFAULTS, as_of: Optional[date] = None) -> DataFrame:
     """Loans per month and bucket pair; the earlier bucket is that of the loan's previous row."""
+    months = with_delinquency(monthly_flows(t, as_of), params)
+    return migration_of(months.withColumn("from_bucket", F.lag("dpd_bucket").over(by_loan())))
+
+
+def migration_of(months: DataFrame) -> DataFrame:
+    """The same from loan-months that carry their earlier bucket."""
     return (
-        with_delinquency(monthly_flows(t, as_of), params)
-        .select(
-            "month_end",
-            F.lag("dpd_bucket").over(by_loan()).alias("from_bucket"),
-            F.col("dpd_bucket").alias("to_bucket"),
-        )
+        months.select("month_end", "from_bucket", F.col("dpd_bucket").alias("to_bucket"))
         .where(F.col("from_bucket").isNotNull())
         .groupBy("month_end", "from_bucket", "to_bucket")
         .agg(F.count(F.lit(1)).alias("loan_count"))
@@ -92,11 +93,15 @@ def dpd_migration(t: Tables, params: Params = DEFAULTS, as_of: Optional[date] =
 
 def vintage_60plus(t: Tables, params: Params = DEFAULTS, as_of: Optional[date] = None) -> DataFrame:
     """Share of a cohort that stands at 60+ in each month on books (not "ever reached")."""
+    return vintage_of(loan_months(t, params, as_of))
+
+
+def vintage_of(months: DataFrame) -> DataFrame:
+    """The same from loan-months with a bucket and the loan's origination date."""
     vintage = F.last_day("origination_date")
     bad = F.sum(flag(in_buckets(F.col("dpd_bucket"), BUCKETS_60P)))
     return (
-        loan_months(t, params, as_of)
-        .select(vintage.alias("vintage_month"), "month_end", "dpd_bucket")
+        months.select(vintage.alias("vintage_month"), "month_end", "dpd_bucket")
         .where(F.col("month_end") >= F.col("vintage_month"))
         .groupBy(
             "vintage_month",

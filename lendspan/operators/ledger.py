@@ -40,15 +40,11 @@ def whole_life() -> WindowSpec:
     return by_loan().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
 
 
-def monthly_flows(t: Tables, as_of: Optional[date] = None) -> DataFrame:
-    """Due, principal and paid cents per loan and scheduled month.
+FLOW_SUMS = ("due", "principal", "paid", "installments")
 
-    Payments of a month without an installment do not appear. With `as_of`, later
-    installments and payments are left out; `life_due` and `life_count` still
-    describe the whole schedule.
-    """
-    if t.flows is not None and as_of is None:
-        return t.flows
+
+def _flow_rows(t: Tables, as_of: Optional[date] = None) -> DataFrame:
+    """Schedule and payment rows stacked, in cents."""
     due = t.schedule.select(
         "loan_id",
         F.last_day("due_date").alias("month_end"),
@@ -67,19 +63,29 @@ def monthly_flows(t: Tables, as_of: Optional[date] = None) -> DataFrame:
         no_cents().alias("installments"),
         *([(F.col("payment_date") <= as_of).alias("in_scope")] if as_of else []),
     )
-    rows = due.unionByName(paid)
-    totals = ("due", "principal", "paid", "installments")
+    return due.unionByName(paid)
+
+
+def month_sums(t: Tables) -> DataFrame:
+    """Due, principal and paid cents per loan and month, also of months with payments alone."""
+    return _flow_rows(t).groupBy("loan_id", "month_end").agg(*[F.sum(c).alias(c) for c in FLOW_SUMS])
+
+
+def monthly_flows(t: Tables, as_of: Optional[date] = None) -> DataFrame:
+    """Due, principal and paid cents per loan and scheduled month.
+
+    Payments of a month without an installment do not appear. With `as_of`, later
+    installments and payments are left out; `life_due` and `life_count` still
+    describe the whole schedule.
+    """
     if as_of is None:
-        return (
-            rows.groupBy("loan_id", "month_end")
-            .agg(*[F.sum(c).alias(c) for c in totals])
-            .where(F.col("installments") > 0)
-        )
+        return month_sums(t).where(F.col("installments") > 0) if t.flows is None else t.flows
     life = Window.partitionBy("loan_id")
     return (
-        rows.groupBy("loan_id", "month_end")
+        _flow_rows(t, as_of)
+        .groupBy("loan_id", "month_end")
         .agg(
-            *[F.sum(F.when(F.col("in_scope"), F.col(c)).otherwise(no_cents())).alias(c) for c in totals],
+            *[F.sum(F.when(F.col("in_scope"), F.col(c)).otherwise(no_cents())).alias(c) for c in FLOW_SUMS],
             F.sum("due").alias("month_due"),
             F.sum("installments").alias("month_count"),
         )
@@ -93,6 +99,18 @@ def monthly_flows(t: Tables, as_of: Optional[date] = None) -> DataFrame:
     )
 
 
+def missed_installments() -> Column:
+    """Arrears in average installments of the whole schedule, at least 0; NULL if that average is 0."""
+    missed = F.greatest(
+        F.lit(0.0),
+        F.col("arrears").cast("double")
+        * F.col("life_count").cast("double")
+        / F.nullif(F.col("life_due").cast("double"), F.lit(0.0)),
+    )
+    # greatest() skips NULL; a zero average must stay NULL to reach the worst bucket.
+    return F.when(F.col("life_due") != 0, missed)
+
+
 def with_delinquency(
     flows: DataFrame, params: Params = DEFAULTS, running_sums: Optional[dict] = None
 ) -> DataFrame:
@@ -115,14 +133,7 @@ def with_delinquency(
     arrears = net.select(
         "*", *whole_schedule, *[F.sum(source).over(running()).alias(name) for name, source in sums.items()]
     )
-    missed = F.greatest(
-        F.lit(0.0),
-        F.col("arrears").cast("double")
-        * F.col("life_count").cast("double")
-        / F.nullif(F.col("life_due").cast("double"), F.lit(0.0)),
-    )
-    # greatest() skips NULL; a zero average must stay NULL to reach the worst bucket.
-    return arrears.withColumn("missed_inst", F.when(F.col("life_due") != 0, missed)).withColumn(
+    return arrears.withColumn("missed_inst", missed_installments()).withColumn(
         "dpd_bucket", dpd_bucket(F.col("arrears"), F.col("missed_inst"), params.dpd_cutoffs)
     )
 

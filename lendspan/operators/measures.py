@@ -2,7 +2,7 @@
 
 from typing import Optional
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import flag, in_buckets, ratio
@@ -10,7 +10,7 @@ from ..params import BUCKETS_30P, BUCKETS_60P, BUCKETS_90P, DEFAULTS, Params
 from ..tables import Tables
 from .commercial import MEASURE_COLUMNS, with_commercial
 from .ledger import loan_months
-from .scores import top_balance_of_scores
+from .scores import highest_scores, top_balance_of_scores
 
 
 # Decimals of a score in its average, which is exact and so does not depend on row order.
@@ -40,15 +40,10 @@ def portfolio_measures(
     return measures_of(measured_months(t, scores, params), by, scores is not None, params)
 
 
-def measures_of(months: DataFrame, by: tuple, scored: bool, params: Params = DEFAULTS) -> DataFrame:
-    """The measures of loan-months that carry the commercial columns and, if scored, risk_score.
-
-    Scored rows are first summed per slice and score; the totals and the ranking both
-    read these sums.
-    """
+def _sums() -> dict[str, Column]:
     bucket, balance = F.col("dpd_bucket"), F.col("eop_balance")
     bad = in_buckets(bucket, BUCKETS_60P)
-    sums = {
+    return {
         "loans": F.count(F.lit(1)),
         "loans_30p": F.sum(flag(in_buckets(bucket, BUCKETS_30P))),
         "loans_60p": F.sum(flag(bad)),
@@ -57,21 +52,38 @@ def measures_of(months: DataFrame, by: tuple, scored: bool, params: Params = DEF
         "eop_60p_balance": F.sum(F.when(bad, balance)),
         **{c: F.sum(c) for c in MEASURE_COLUMNS},
     }
-    named = [value.alias(name) for name, value in sums.items()]
-    if scored:
-        per_score = months.groupBy(*by, "risk_score").agg(*named)
-        known = F.when(F.col("risk_score").isNotNull(), F.col("loans"))
-        total = F.sum(F.col("risk_score").cast(SCORE_TYPE) * F.col("loans"))
-        totals = per_score.groupBy(*by).agg(
-            *[F.sum(name).alias(name) for name in sums], ratio(total, F.sum(known)).alias("avg_risk_score")
-        )
-        if not by:
-            # a total over no rows counts zero loans
-            totals = totals.fillna(0, ["loans"])
-    else:
-        totals = months.groupBy(*by).agg(*named)
+
+
+SUMS = ("loans", "loans_30p", "loans_60p", "loans_90p", "eop_balance_total", "eop_60p_balance", *MEASURE_COLUMNS)
+
+
+def _per_score(months: DataFrame, by: tuple) -> DataFrame:
+    """Loan-months summed per slice and score."""
+    return months.groupBy(*by, "risk_score").agg(*[value.alias(name) for name, value in _sums().items()])
+
+
+def _score_sums() -> list[Column]:
+    known = F.when(F.col("risk_score").isNotNull(), F.col("loans"))
+    total = F.sum(F.col("risk_score").cast(SCORE_TYPE) * F.col("loans"))
+    return [total.alias("score_total"), F.sum(known).alias("scored_loans")]
+
+
+def measures_of(months: DataFrame, by: tuple, scored: bool, params: Params = DEFAULTS) -> DataFrame:
+    """The measures of loan-months that carry the commercial columns and, if scored, risk_score.
+
+    Scored rows are first summed per slice and score; the totals and the ranking both
+    read these sums.
+    """
+    if not scored:
+        return _with_rates(months.groupBy(*by).agg(*[value.alias(name) for name, value in _sums().items()]))
+    per_score = _per_score(months, by)
+    totals = per_score.groupBy(*by).agg(*[F.sum(name).alias(name) for name in SUMS], *_score_sums())
+    return _with_scores(totals, per_score, by, params)
+
+
+def _with_rates(totals: DataFrame) -> DataFrame:
     loans, held = F.col("loans"), F.col("eop_balance_total")
-    measured = totals.select(
+    return totals.select(
         "*",
         ratio(F.col("loans_30p"), loans).alias("rate_30p"),
         ratio(F.col("loans_60p"), loans).alias("rate_60p"),
@@ -80,8 +92,15 @@ def measures_of(months: DataFrame, by: tuple, scored: bool, params: Params = DEF
         ratio(F.col("nii_est"), held).alias("nii_margin"),
         ratio(F.col("rar_profit_est"), held).alias("rar_margin"),
     )
-    if not scored:
-        return measured
+
+
+def _with_scores(totals: DataFrame, per_score: DataFrame, by: tuple, params: Params) -> DataFrame:
+    """Measures of summed slices; `per_score` has at least the highest scores of each."""
+    if not by:
+        # a total over no rows counts zero loans
+        totals = totals.fillna(0, ["loans"])
+    average = ratio(F.col("score_total"), F.col("scored_loans")).alias("avg_risk_score")
+    measured = _with_rates(totals.select("*", average).drop("score_total", "scored_loans"))
     per_score = per_score.select(*by, "risk_score", "loans", F.col("eop_balance_total").alias("balance"))
     top = top_balance_of_scores(per_score, by, params).drop("top_risk_loans")
     if not by:
@@ -90,3 +109,33 @@ def measures_of(months: DataFrame, by: tuple, scored: bool, params: Params = DEF
     renamed = top.select(*[F.col(k).alias(f"_{k}") for k in by], "top_risk_balance")
     same_slice = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in by]
     return measured.join(renamed, same_slice, "left").drop(*[f"_{k}" for k in by])
+
+
+# The finest slices of a cube.
+CELL = ("month_end", "product_type", "channel", "region")
+
+
+def measure_cube(months: DataFrame, cell: tuple = CELL, params: Params = DEFAULTS) -> DataFrame:
+    """Cells from which `cube_measures` answers any coarser slice; store it once.
+
+    `months` are scored loan-months with the commercial columns. A cell is one row of sums
+    (risk_score NULL) and one row for each of its highest distinct scores. The loans sought in a
+    coarser slice have fewer loans above them in their cell than in the slice, so cells that
+    keep as many as are sought lose none. Both kinds come from one pass over the loan-months.
+    """
+    per_score = _per_score(months, cell)
+    cells = per_score.groupBy(*cell).agg(*[F.sum(name).alias(name) for name in SUMS], *_score_sums())
+    known = per_score.where(F.col("risk_score").isNotNull()).select(*cell, "risk_score", "loans", "eop_balance_total")
+    tops = highest_scores(known, cell, params.top_risk_loans)
+    return cells.withColumn("risk_score", F.lit(None).cast("double")).unionByName(tops, allowMissingColumns=True)
+
+
+def cube_measures(cube: DataFrame, by: tuple = ("month_end",), params: Params = DEFAULTS) -> DataFrame:
+    """The measures of any slice by columns of the cell, as `portfolio_measures` gives them with scores."""
+    is_cell = F.col("risk_score").isNull()
+    sums = [F.sum(name).alias(name) for name in (*SUMS, "score_total", "scored_loans")]
+    totals = cube.where(is_cell).groupBy(*by).agg(*sums)
+    per_score = cube.where(~is_cell).groupBy(*by, "risk_score").agg(
+        F.sum("loans").alias("loans"), F.sum("eop_balance_total").alias("eop_balance_total")
+    )
+    return _with_scores(totals, per_score, by, params)

@@ -81,15 +81,19 @@ def features_3m(t: Tables, params: Params = DEFAULTS, as_of: Optional[date] = No
 
 
 def rolling_months(
-    t: Tables, params: Params = DEFAULTS, as_of: Optional[date] = None, all_loans: bool = False
+    t: Tables,
+    params: Params = DEFAULTS,
+    as_of: Optional[date] = None,
+    all_loans: bool = False,
+    columns: tuple = CUSTOMER_COLUMNS,
 ) -> DataFrame:
-    """Ledger rows with the rolling features and the customer's columns, cut from one ledger.
+    """Ledger rows with the rolling features and the given customer columns, cut from one ledger.
 
     With `all_loans`, loans of unknown customers stay, their customer columns NULL.
     """
-    customers = t.customers.select("customer_id", *CUSTOMER_COLUMNS)
+    customers = t.customers.select("customer_id", *columns)
     loans = t.loans.join(customers, "customer_id", "left" if all_loans else "inner")
-    return loan_months(t, params, as_of, loans, CUSTOMER_COLUMNS, lambda m: _rolling(m, params))
+    return loan_months(t, params, as_of, loans, columns, lambda m: _rolling(m, params))
 
 
 def labels_60p_3m(t: Tables, params: Params = DEFAULTS, as_of: Optional[date] = None) -> DataFrame:

@@ -35,16 +35,25 @@ def _by_score() -> tuple:
     return (F.col("risk_score"),)
 
 
-def _ranged(scores: DataFrame, scratch: Scratch, *totals: Column) -> DataFrame:
-    """One row per distinct score with its totals, range-partitioned and stored once.
+def score_summary(scored: DataFrame, scratch: Scratch, label: str | None = None) -> DataFrame:
+    """One row per distinct score: rows, bad and good, range-partitioned and stored once.
 
-    However many rows share a score, it is one row here.
+    All statistics below read this. However many rows share a score, it is one row here;
+    rows without a score are one row of their own. Without a label bad and good are 0.
     """
-    return in_ranges(scores.groupBy("risk_score").agg(*totals), _by_score(), scratch)
+    count = lambda value: F.sum(flag(F.col(label) == value)) if label else F.sum(F.lit(0))
+    totals = scored.groupBy("risk_score").agg(
+        F.count(F.lit(1)).alias("rows"), count(1).alias("bad"), count(0).alias("good")
+    )
+    return in_ranges(totals, _by_score(), scratch)
+
+
+def _scored(summary: DataFrame) -> DataFrame:
+    return summary.where(F.col("risk_score").isNotNull())
 
 
-def _one_row(result: DataFrame) -> DataFrame:
-    """A result of one row, computed now, so that what it was read from can go."""
+def _now(result: DataFrame) -> DataFrame:
+    """A result of a few rows, computed now, so that what it was read from can go."""
     return result.sparkSession.createDataFrame(result.collect(), result.schema)
 
 
@@ -82,37 +91,26 @@ def _rank_sum(classes: DataFrame) -> DataFrame:
     )
 
 
+def evaluation_of(summary: DataFrame, threshold: float = DEFAULTS.threshold) -> DataFrame:
+    classes = _scored(summary)
+    unscored = summary.agg(F.coalesce(F.sum(F.when(F.col("risk_score").isNull(), F.col("rows"))), F.lit(0)))
+    return _confusion(classes, threshold).select(
+        "*", _rank_sum(classes).scalar().alias("auc"), unscored.scalar().alias("n_unscored")
+    )
+
+
 def evaluate_scores(scored: DataFrame, label: str, threshold: float = DEFAULTS.threshold) -> DataFrame:
     """One row: counts, precision, recall, F1 and exact AUC (NULL with one class only).
 
     Rows without a score enter nothing but n_unscored. The scored rows are read once, by a
     job that runs now.
     """
-    known = F.col("risk_score").isNotNull()
     with Scratch(scored.sparkSession) as scratch:
-        # a row without a score is kept as one of the distinct scores until it is counted
-        totals = scratch.store(
-            scored.groupBy("risk_score").agg(
-                F.sum(flag(F.col(label) == 1)).alias("bad"),
-                F.sum(flag(F.col(label) == 0)).alias("good"),
-                F.count(F.lit(1)).alias("rows"),
-            )
-        )
-        unscored = totals.agg(F.coalesce(F.sum(F.when(~known, F.col("rows"))), F.lit(0)).alias("n_unscored"))
-        classes = in_ranges(totals.where(known).drop("rows"), _by_score(), scratch)
-        return _one_row(
-            _confusion(classes, threshold).select(
-                "*", _rank_sum(classes).scalar().alias("auc"), unscored.scalar().alias("n_unscored")
-            )
-        )
-
+        return _now(evaluation_of(score_summary(scored, scratch, label), threshold))
 
-def score_histogram(scores: DataFrame, bins: int = DEFAULTS.histogram_bins) -> DataFrame:
-    """Equal-width bins over the score range with the last one closed; empty bins count 0.
 
-    Two passes over the scores: their span, then the counts, summed per bin in each task.
-    """
-    known = scores.where(F.col("risk_score").isNotNull()).select("risk_score")
+def histogram_of(summary: DataFrame, bins: int = DEFAULTS.histogram_bins) -> DataFrame:
+    known = _scored(summary)
     span = known.agg(F.min("risk_score").alias("low"), F.max("risk_score").alias("high"))
     # a single value gets a range of one around it
     single = F.col("low") == F.col("high")
@@ -126,7 +124,7 @@ def score_histogram(scores: DataFrame, bins: int = DEFAULTS.histogram_bins) -> D
     position = (F.col("risk_score") - limits["lo"]) / (limits["hi"] - limits["lo"]) * bins
     counts = known.groupBy(
         (F.least(F.floor(position), F.lit(bins - 1)) + 1).cast("int").alias("bin")
-    ).agg(F.count(F.lit(1)).alias("scores"))
+    ).agg(F.sum("rows").alias("scores"))
     edges = span.where(F.col("span.lo").isNotNull()).select(
         F.explode(F.sequence(F.lit(1), F.lit(bins))).alias("bin"), "span"
     )
@@ -139,19 +137,44 @@ def score_histogram(scores: DataFrame, bins: int = DEFAULTS.histogram_bins) -> D
     )
 
 
+def score_histogram(scores: DataFrame, bins: int = DEFAULTS.histogram_bins) -> DataFrame:
+    """Equal-width bins over the score range with the last one closed; empty bins count 0.
+
+    The scores are read once, by a job that runs now.
+    """
+    with Scratch(scores.sparkSession) as scratch:
+        return _now(histogram_of(score_summary(scores, scratch), bins))
+
+
 def score_box_plot(scores: DataFrame) -> DataFrame:
     """Quartiles and whiskers (the outermost scores within 1.5 interquartile ranges), by a job that runs now."""
     with Scratch(scores.sparkSession) as scratch:
-        known = scores.where(F.col("risk_score").isNotNull())
-        return _one_row(_box(_ranged(known, scratch, F.count(F.lit(1)).alias("n"))))
+        return _now(box_of(score_summary(scores, scratch)))
+
+
+def score_statistics(
+    scored: DataFrame, label: str, threshold: float = DEFAULTS.threshold, bins: int = DEFAULTS.histogram_bins
+) -> DataFrame:
+    """Evaluation, quartiles and histogram of one summary as rows (statistic, value), by jobs that run now."""
+    with Scratch(scored.sparkSession) as scratch:
+        summary = score_summary(scored, scratch, label)
+        parts = []
+        for frame in (evaluation_of(summary, threshold), box_of(summary)):
+            named = [F.struct(F.lit(c).alias("statistic"), F.col(c).cast("double").alias("value")) for c in frame.columns]
+            parts.append(frame.select(F.explode(F.array(*named)).alias("s")).select("s.*"))
+        bars = histogram_of(summary, bins).select(
+            F.format_string("bin_%d", "bin").alias("statistic"), F.col("scores").cast("double").alias("value")
+        )
+        return _now(parts[0].unionByName(parts[1]).unionByName(bars))
 
 
-def _box(per_score: DataFrame) -> DataFrame:
-    ordered = running_totals(per_score, _by_score(), ("n",))
-    total = per_score.agg(F.sum("n").alias("n")).scalar()
+def box_of(summary: DataFrame) -> DataFrame:
+    per_score = _scored(summary)
+    ordered = running_totals(per_score, _by_score(), ("rows",))
+    total = per_score.agg(F.sum("rows").alias("rows")).scalar()
 
     def at(position):
-        here = (F.col("n_before") <= position) & (position < F.col("n_before") + F.col("n"))
+        here = (F.col("rows_before") <= position) & (position < F.col("rows_before") + F.col("rows"))
         return F.max(F.when(here, F.col("risk_score")))
 
     parts = []
@@ -209,18 +232,18 @@ def top_risk_balance(watchlist: DataFrame, by: tuple = ("month_end",), params: P
 def top_balance_of_scores(per_score: DataFrame, by: tuple, params: Params = DEFAULTS) -> DataFrame:
     """The same from rows (by, risk_score, loans, balance) that were summed before."""
     known = per_score.where(F.col("risk_score").isNotNull())
-    return _top_scores(known, by, params.top_risk_loans).groupBy(*by).agg(
+    return highest_scores(known, by, params.top_risk_loans).groupBy(*by).agg(
         F.sum("loans").alias("top_risk_loans"), F.sum("balance").alias("top_risk_balance")
     )
 
 
-def _top_scores(per_score: DataFrame, by: tuple, n: int) -> DataFrame:
+def highest_scores(per_score: DataFrame, by: tuple, n: int) -> DataFrame:
+    """The distinct scores of each slice with fewer than n loans above them."""
     best = (F.col("risk_score").desc(),)
     if by:
         kept = top_n_per_group(per_score, by, best, n, ("risk_score",))
     else:
         kept = per_score.orderBy(*best).limit(n)
     higher = Window.partitionBy(*by).orderBy(*best).rowsBetween(Window.unboundedPreceding, -1)
-    return kept.withColumn("_higher", F.coalesce(F.sum("loans").over(higher), F.lit(0))).where(
-        F.col("_higher") < n
-    )
+    above = F.coalesce(F.sum("loans").over(higher), F.lit(0))
+    return kept.withColumn("_higher", above).where(F.col("_higher") < n).drop("_higher")

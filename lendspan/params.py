@@ -46,6 +46,7 @@ class Params:
     test_share: Decimal = Decimal("0.25")
     split_seed: int = 42
     max_iter: int = 300
+    fit_tolerance: float = 1e-10
     threshold: float = 0.5
 
 

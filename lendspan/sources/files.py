@@ -3,11 +3,16 @@
 A stored portfolio and a stored scores table are folders of generations. A reload writes a
 new generation next to the current one and then switches a small pointer file, so what is
 stored stays whole if the reload fails, and a reload may read the folder it replaces.
+
+An append adds a batch: one folder with its rows of every table, named by the next version of
+the generation (see `versions`). A batch is seen in all tables or in none, and one id counts once.
+Reloads and compactions need the folder to themselves; appends may run side by side.
 """
 
 import posixpath
 import uuid
 from contextlib import suppress
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -15,6 +20,7 @@ from pyspark.sql import types as T
 from ..schemas import MACRO_MONTHLY, TABLE_SCHEMAS
 from ..tables import Tables
 from . import dims
+from .versions import Conflict, Versions, children, delete, file_system
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -42,17 +48,55 @@ def read_portfolio(spark: SparkSession, folder: str, suffix: str = ".csv", macro
     return _tables(frames, macro_frame)
 
 
+MACRO = "dim_macro_monthly"
+
+
 def read_parquet_portfolio(spark: SparkSession, folder: str) -> Tables:
-    """The portfolio that `reload_portfolio` stored, or plain table folders."""
+    """The portfolio that `reload_portfolio` stored with the batches since, or plain table folders."""
     at = _current(spark, folder)
-    schemas = dict(TABLE_SCHEMAS)
-    macro = "dim_macro_monthly"
-    has_macro = _exists(spark, posixpath.join(at, macro))
-    frames = {
-        name: spark.read.schema(schema).parquet(posixpath.join(at, name)) for name, schema in schemas.items()
-    }
-    stored = spark.read.schema(MACRO_MONTHLY).parquet(posixpath.join(at, macro)) if has_macro else None
-    return _tables(frames, stored if has_macro else dims.macro_monthly(spark))
+    _, content = Versions(spark, at).latest()
+    return _stored_tables(spark, [at, *[posixpath.join(at, b["folder"]) for b in content.get("batches", [])]])
+
+
+def _stored_tables(spark: SparkSession, folders: list[str]) -> Tables:
+    held = [(folder, set(children(spark, folder))) for folder in folders]
+
+    def read(name: str, schema: T.StructType) -> DataFrame | None:
+        paths = [posixpath.join(folder, name) for folder, names in held if name in names]
+        return spark.read.schema(schema).parquet(*paths) if paths else None
+
+    frames = {}
+    for name, schema in TABLE_SCHEMAS.items():
+        frame = read(name, schema)
+        if frame is None:
+            raise FileNotFoundError(f"no {name} in {folders[0]}")
+        frames[name] = frame
+    macro = read(MACRO, MACRO_MONTHLY)
+    return _tables(frames, dims.macro_monthly(spark) if macro is None else macro)
+
+
+@dataclass(frozen=True)
+class StoredBatches:
+    """What a stored portfolio is made of: its first load, batches that a compaction has merged
+    into the stored tables, and later batches (id -> folder) in order."""
+
+    origin: str
+    base: str
+    merged: tuple[str, ...]
+    later: dict[str, str]
+
+
+def stored_batches(spark: SparkSession, folder: str) -> StoredBatches:
+    at = _current(spark, folder)
+    _, content = Versions(spark, at).latest()
+    later = {b["id"]: posixpath.join(at, b["folder"]) for b in content.get("batches", [])}
+    origin = content.get("origin", posixpath.basename(at.rstrip("/")))
+    return StoredBatches(origin, at, tuple(content.get("merged", ())), later)
+
+
+def read_batch(spark: SparkSession, path: str) -> Tables:
+    """The rows of one batch, or of the stored tables without later batches."""
+    return _stored_tables(spark, [path])
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -70,11 +114,51 @@ def reload_portfolio(tables: Tables, folder: str) -> None:
             frame.write.parquet(posixpath.join(at, name))
 
 
-def append_portfolio(tables: Tables, folder: str) -> None:
-    """Add rows to the tables of an earlier load."""
-    at = _current(tables.loans.sparkSession, folder)
-    for name, frame in tables.by_name().items():
-        frame.write.mode("append").parquet(posixpath.join(at, name))
+def append_portfolio(tables: Tables, folder: str, batch_id: str | None = None) -> bool:
+    """Add the rows of a batch to all tables at once; False if a batch of this id is stored already.
+
+    A failure before the last step leaves the portfolio as it was, so the same call can be
+    repeated. Without an id every call adds its rows.
+    """
+    spark = tables.loans.sparkSession
+    batch_id = batch_id or uuid.uuid4().hex
+    at = _current(spark, folder)
+    versions = Versions(spark, at)
+    number, content = versions.latest()
+    if _holds(content, batch_id):
+        return False
+    name = f"batch-{uuid.uuid4().hex}"
+    path = posixpath.join(at, name)
+    try:
+        for table, frame in tables.by_name().items():
+            frame.write.parquet(posixpath.join(path, table))
+        while True:
+            grown = {**content, "batches": [*content.get("batches", []), {"id": batch_id, "folder": name}]}
+            try:
+                versions.commit(number + 1, grown)
+                return True
+            except Conflict:
+                number, content = versions.latest()
+                if _holds(content, batch_id):
+                    delete(spark, path)
+                    return False
+    except Exception:
+        with suppress(Exception):  # the error that stopped the append is the one to report
+            delete(spark, path)
+        raise
+
+
+def _holds(content: dict, batch_id: str) -> bool:
+    return batch_id in content.get("merged", ()) or any(b["id"] == batch_id for b in content.get("batches", []))
+
+
+def compact_portfolio(spark: SparkSession, folder: str) -> None:
+    """Store the portfolio anew without separate batches; their ids still count once."""
+    known = stored_batches(spark, folder)
+    with _new_generation(spark, folder) as at:
+        for name, frame in read_parquet_portfolio(spark, folder).by_name().items():
+            frame.write.parquet(posixpath.join(at, name))
+        Versions(spark, at).commit(1, {"origin": known.origin, "merged": [*known.merged, *known.later]})
 
 
 def save_scores(scores: DataFrame, target: str, as_table: bool = False) -> None:
@@ -93,19 +177,9 @@ def read_scores(spark: SparkSession, target: str) -> DataFrame:
 POINTER = "_current"
 
 
-def _file_system(spark: SparkSession, path: str):
-    found = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), found
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    system, found = _file_system(spark, path)
-    return system.exists(found)
-
-
 def _pointed(spark: SparkSession, folder: str) -> str | None:
     """Name of the current generation, if the folder has any."""
-    system, path = _file_system(spark, posixpath.join(folder, POINTER))
+    system, path = file_system(spark, posixpath.join(folder, POINTER))
     if not system.exists(path):
         return None
     stream = system.open(path)
@@ -131,7 +205,7 @@ class _new_generation:
         return posixpath.join(self.folder, self.name)
 
     def __exit__(self, kind, *_) -> None:
-        system, _ = _file_system(self.spark, self.folder)
+        system, _ = file_system(self.spark, self.folder)
         path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path
         if kind is not None:
             with suppress(Exception):  # the error that ended the block is the one to report

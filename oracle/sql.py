@@ -198,18 +198,18 @@ nii AS MATERIALIZED (
          round(CAST(principal_nzd * interest_rate_apr / 12 - principal_nzd * 0.055 / 12 AS DECIMAL(28,10)), 2) AS nii_est
   FROM snapshot
 ),
-pd_map AS (
+pd_map AS MATERIALIZED (
   SELECT loan_id, month_end, dpd_bucket,
          CASE dpd_bucket WHEN 'DPD_0' THEN 0.01 WHEN 'DPD_1_29' THEN 0.03 WHEN 'DPD_30_59' THEN 0.10
               WHEN 'DPD_60_89' THEN 0.30 ELSE 0.55 END AS pd_proxy
   FROM snapshot
 ),
 rar AS (
-  SELECT n.month_end, n.loan_id, s.product_type, s.channel, n.eop_balance, n.nii_est,
+  -- income and loss are of the same snapshot row, so the two views are joined on their key once
+  SELECT n.month_end, n.loan_id, n.product_type, n.channel, n.eop_balance, n.nii_est,
          round(n.eop_balance * p.pd_proxy * 0.55, 2) AS expected_loss_est,
          round(n.nii_est - n.eop_balance * p.pd_proxy * 0.55, 2) AS rar_profit_est
-  FROM nii n JOIN snapshot s ON s.loan_id = n.loan_id AND s.month_end = n.month_end
-  JOIN pd_map p ON p.loan_id = n.loan_id AND p.month_end = n.month_end
+  FROM nii n JOIN pd_map p ON p.loan_id = n.loan_id AND p.month_end = n.month_end
 )
 """
 
@@ -447,6 +447,62 @@ steps AS (
     )
 
 
+EVALUATION = """SELECT n, tp, fp, fn, CAST(0 AS BIGINT) AS n_unscored,
+  coalesce(CAST(tp AS DOUBLE) / nullif(tp + fp, 0), 0) AS precision,
+  coalesce(CAST(tp AS DOUBLE) / nullif(tp + fn, 0), 0) AS recall,
+  coalesce(CAST(2 * tp AS DOUBLE) / nullif(2 * tp + fp + fn, 0), 0) AS f1,
+  (SELECT (sum(CASE WHEN y = 1 THEN mid_rank END) - sum(y) * (sum(y) + 1) / 2.0) / (CAST(sum(y) AS DOUBLE) * (count(*) - sum(y)))
+   FROM (SELECT will_be_60p_in_3m AS y,
+                rank() OVER (ORDER BY risk_score) + (count(*) OVER (PARTITION BY risk_score) - 1) / CAST(2 AS DOUBLE) AS mid_rank
+         FROM scores)) AS auc
+FROM (SELECT count(*) AS n,
+             CAST(sum(CASE WHEN risk_score >= 0.5 AND will_be_60p_in_3m = 1 THEN 1 ELSE 0 END) AS BIGINT) AS tp,
+             CAST(sum(CASE WHEN risk_score >= 0.5 AND will_be_60p_in_3m = 0 THEN 1 ELSE 0 END) AS BIGINT) AS fp,
+             CAST(sum(CASE WHEN risk_score < 0.5 AND will_be_60p_in_3m = 1 THEN 1 ELSE 0 END) AS BIGINT) AS fn
+      FROM scores)"""
+HISTOGRAM = """SELECT CAST(b.bin AS BIGINT) AS bin, lo + (hi - lo) / 50 * (b.bin - 1) AS bin_from, lo + (hi - lo) / 50 * b.bin AS bin_to,
+  coalesce(h.scores, 0) AS scores
+FROM (SELECT min(risk_score) AS lo, max(risk_score) AS hi FROM scores)
+CROSS JOIN (SELECT unnest(generate_series(1, 50)) AS bin) b
+LEFT JOIN (SELECT least(CAST(floor((risk_score - lo) / (hi - lo) * 50) AS BIGINT), 49) + 1 AS bin, count(*) AS scores
+           FROM scores CROSS JOIN (SELECT min(risk_score) AS lo, max(risk_score) AS hi FROM scores) GROUP BY 1) h
+  ON h.bin = b.bin"""
+BOX_PLOT = """SELECT (SELECT min(risk_score) FROM scores WHERE risk_score >= q1 - 1.5 * (q3 - q1)) AS whisker_low, q1, median, q3,
+  (SELECT max(risk_score) FROM scores WHERE risk_score <= q3 + 1.5 * (q3 - q1)) AS whisker_high
+FROM quartiles"""
+QUARTILES = """
+ordered AS (
+  SELECT risk_score, row_number() OVER (ORDER BY risk_score) - 1 AS place, count(*) OVER () - 1 AS last_place FROM scores
+),
+parts AS (
+  SELECT q, max(CASE WHEN place = floor(last_place * q) THEN risk_score END) AS below,
+         max(CASE WHEN place = ceil(last_place * q) THEN risk_score END) AS above,
+         max(last_place * q - floor(last_place * q)) AS share
+  FROM ordered CROSS JOIN (VALUES (CAST(0.25 AS DOUBLE)), (0.5), (0.75)) v(q) GROUP BY 1
+),
+quartiles AS (
+  SELECT max(CASE WHEN q = 0.25 THEN below + (above - below) * share END) AS q1,
+         max(CASE WHEN q = 0.5 THEN below + (above - below) * share END) AS median,
+         max(CASE WHEN q = 0.75 THEN below + (above - below) * share END) AS q3
+  FROM parts
+)"""
+
+
+def score_statistics() -> str:
+    names = {
+        "evaluation": ("n", "tp", "fp", "fn", "precision", "recall", "f1", "auc", "n_unscored"),
+        "box_plot": ("whisker_low", "q1", "median", "q3", "whisker_high"),
+    }
+    rows = [
+        f"SELECT '{column}' AS statistic, CAST({column} AS DOUBLE) AS value FROM {source}"
+        for source, columns in names.items()
+        for column in columns
+    ]
+    rows.append("SELECT 'bin_' || bin, CAST(scores AS DOUBLE) FROM histogram")
+    views = f"{QUARTILES}, evaluation AS ({EVALUATION}), box_plot AS ({BOX_PLOT}), histogram AS ({HISTOGRAM})"
+    return marts(" UNION ALL ".join(rows), views)
+
+
 ORACLES = {
     "month_ends": base(
         """SELECT last_day(CAST(m AS DATE)) AS month_end
@@ -475,6 +531,43 @@ FROM (SELECT unnest(generate_series(date_trunc('month', min(due_date)), date_tru
     ),
     "mart_balance_eop": marts(f"SELECT loan_id, month_end, {money('eop_balance')} FROM balance"),
     "mart_portfolio_snapshot_v2": marts(f"SELECT {SNAPSHOT}, {money('eop_balance')} FROM snapshot2"),
+    "balance_intervals": marts(
+        f"""SELECT loan_id, month_end AS from_month, lead(month_end) OVER w AS to_month,
+  CAST(round(greatest(0, principal_nzd - sum(repaid) OVER w), 2) AS DOUBLE) AS eop_balance
+FROM (SELECT l.loan_id, l.principal_nzd, m.month_end, coalesce(p.sched_principal, 0) AS repaid
+      FROM fct_loans l
+      JOIN (SELECT loan_id, last_day(origination_date) AS month_end FROM fct_loans
+            UNION SELECT loan_id, month_end FROM principal_paid) m ON m.loan_id = l.loan_id
+      LEFT JOIN principal_paid p ON p.loan_id = m.loan_id AND p.month_end = m.month_end
+      WHERE m.month_end >= last_day(l.origination_date))
+WINDOW w AS (PARTITION BY loan_id ORDER BY month_end)"""
+    ),
+    "balance_at_quarters": marts(
+        f"""SELECT loan_id, month_end, {money('eop_balance')} FROM balance
+WHERE month_end IN (SELECT CAST(last_day(q) AS DATE) FROM
+  (SELECT unnest(generate_series(TIMESTAMP '1996-03-01', TIMESTAMP '1998-12-01', INTERVAL 3 MONTH)) AS q))"""
+    ),
+    "maintain_marts": marts(f"SELECT {SNAPSHOT}, {money('eop_balance')} FROM snapshot2"),
+    "stored_mart_totals": marts(
+        """SELECT 'mart_loan_due_paid' AS mart, count(*) AS row_count, CAST(sum(paid_amt_same_month) AS DOUBLE) AS total FROM due_paid
+UNION ALL SELECT 'mart_loan_arrears', count(*), CAST(sum(arrears_amt) AS DOUBLE) FROM arrears
+UNION ALL SELECT 'mart_loan_dpd_bucket', count(*), CAST(sum(CASE WHEN missed_inst >= 1 THEN arrears_amt END) AS DOUBLE) FROM dpd
+UNION ALL SELECT 'mart_dpd_migration', count(*), CAST(sum(CASE WHEN from_bucket < to_bucket THEN loan_count END) AS DOUBLE) FROM migration
+UNION ALL SELECT 'mart_vintage_60plus', count(*), CAST(sum(bad_60plus_cnt) AS DOUBLE) FROM vintage
+UNION ALL SELECT 'mart_principal_paid_by_month', count(*), CAST(sum(sched_principal) AS DOUBLE) FROM principal_paid
+UNION ALL SELECT 'comm_rar_monthly', count(*), CAST(sum(rar_profit_est) AS DOUBLE) FROM rar"""
+    ),
+    "model_gradient": marts(
+        # at the minimum of a convex objective every derivative is 0
+        """SELECT feature, CAST(0 AS DOUBLE) AS gradient
+FROM (VALUES ('intercept'), ('credit_score'), ('annual_income_nzd'), ('roll3_paid_full_rate'), ('roll3_missed_cnt'),
+             ('roll3_avg_arrears'), ('eop_balance'), ('interest_rate_apr')) f(feature)
+UNION ALL SELECT DISTINCT 'product_type=' || product_type, 0 FROM training
+UNION ALL SELECT DISTINCT 'channel=' || channel, 0 FROM training
+UNION ALL SELECT DISTINCT 'employment_type=' || employment_type, 0 FROM training
+UNION ALL SELECT DISTINCT 'dpd_bucket=' || dpd_bucket, 0 FROM training"""
+    ),
+    "stratified_split_rows": marts("SELECT loan_id, month_end, will_be_60p_in_3m, CAST(1 AS BIGINT) AS times FROM training"),
     "registered_mart_counts": marts(
         """SELECT 'mart_portfolio_snapshot' AS mart, count(*) AS row_count FROM snapshot
 UNION ALL SELECT 'mart_portfolio_snapshot_v2', count(*) FROM snapshot2
@@ -513,21 +606,7 @@ FROM training"""
     ),
     "saved_scores": marts("SELECT loan_id, month_end, risk_score, CAST(will_be_60p_in_3m AS BIGINT) AS will_be_60p_in_3m FROM scores"),
     "richest_snapshot": marts(f"SELECT {SNAPSHOT}, {money('eop_balance')} FROM snapshot2"),
-    "score_evaluation": marts(
-        """SELECT n, tp, fp, fn, CAST(0 AS BIGINT) AS n_unscored,
-  coalesce(CAST(tp AS DOUBLE) / nullif(tp + fp, 0), 0) AS precision,
-  coalesce(CAST(tp AS DOUBLE) / nullif(tp + fn, 0), 0) AS recall,
-  coalesce(CAST(2 * tp AS DOUBLE) / nullif(2 * tp + fp + fn, 0), 0) AS f1,
-  (SELECT (sum(CASE WHEN y = 1 THEN mid_rank END) - sum(y) * (sum(y) + 1) / 2.0) / (CAST(sum(y) AS DOUBLE) * (count(*) - sum(y)))
-   FROM (SELECT will_be_60p_in_3m AS y,
-                rank() OVER (ORDER BY risk_score) + (count(*) OVER (PARTITION BY risk_score) - 1) / CAST(2 AS DOUBLE) AS mid_rank
-         FROM scores)) AS auc
-FROM (SELECT count(*) AS n,
-             CAST(sum(CASE WHEN risk_score >= 0.5 AND will_be_60p_in_3m = 1 THEN 1 ELSE 0 END) AS BIGINT) AS tp,
-             CAST(sum(CASE WHEN risk_score >= 0.5 AND will_be_60p_in_3m = 0 THEN 1 ELSE 0 END) AS BIGINT) AS fp,
-             CAST(sum(CASE WHEN risk_score < 0.5 AND will_be_60p_in_3m = 1 THEN 1 ELSE 0 END) AS BIGINT) AS fn
-      FROM scores)"""
-    ),
+    "score_evaluation": marts(EVALUATION),
     "risk_watchlist": marts(
         f"SELECT month_end, loan_id, product_type, channel, dpd_bucket, {money('eop_balance')}, risk_score FROM watchlist"
     ),
@@ -588,36 +667,9 @@ FROM snapshot s JOIN fct_loans l ON l.loan_id = s.loan_id GROUP BY 1, 2 ORDER BY
     "vintage_average": marts(
         "SELECT vintage_month, months_on_books, avg(rate_60plus) AS avg_rate_60plus FROM vintage GROUP BY 1, 2 ORDER BY 1, 2"
     ),
-    "score_histogram": marts(
-        """SELECT CAST(b.bin AS BIGINT) AS bin, lo + (hi - lo) / 50 * (b.bin - 1) AS bin_from, lo + (hi - lo) / 50 * b.bin AS bin_to,
-  coalesce(h.scores, 0) AS scores
-FROM (SELECT min(risk_score) AS lo, max(risk_score) AS hi FROM scores)
-CROSS JOIN (SELECT unnest(generate_series(1, 50)) AS bin) b
-LEFT JOIN (SELECT least(CAST(floor((risk_score - lo) / (hi - lo) * 50) AS BIGINT), 49) + 1 AS bin, count(*) AS scores
-           FROM scores CROSS JOIN (SELECT min(risk_score) AS lo, max(risk_score) AS hi FROM scores) GROUP BY 1) h
-  ON h.bin = b.bin"""
-    ),
-    "score_box_plot": marts(
-        """SELECT (SELECT min(risk_score) FROM scores WHERE risk_score >= q1 - 1.5 * (q3 - q1)) AS whisker_low, q1, median, q3,
-  (SELECT max(risk_score) FROM scores WHERE risk_score <= q3 + 1.5 * (q3 - q1)) AS whisker_high
-FROM quartiles""",
-        """
-ordered AS (
-  SELECT risk_score, row_number() OVER (ORDER BY risk_score) - 1 AS place, count(*) OVER () - 1 AS last_place FROM scores
-),
-parts AS (
-  SELECT q, max(CASE WHEN place = floor(last_place * q) THEN risk_score END) AS below,
-         max(CASE WHEN place = ceil(last_place * q) THEN risk_score END) AS above,
-         max(last_place * q - floor(last_place * q)) AS share
-  FROM ordered CROSS JOIN (VALUES (CAST(0.25 AS DOUBLE)), (0.5), (0.75)) v(q) GROUP BY 1
-),
-quartiles AS (
-  SELECT max(CASE WHEN q = 0.25 THEN below + (above - below) * share END) AS q1,
-         max(CASE WHEN q = 0.5 THEN below + (above - below) * share END) AS median,
-         max(CASE WHEN q = 0.75 THEN below + (above - below) * share END) AS q3
-  FROM parts
-)""",
-    ),
+    "score_histogram": marts(HISTOGRAM),
+    "score_box_plot": marts(BOX_PLOT, QUARTILES),
+    "score_statistics": score_statistics(),
     "commercial_trend": marts(
         """SELECT month_end, CAST(sum(nii_est) AS DOUBLE) AS total_nii, CAST(sum(rar_profit_est) AS DOUBLE) AS total_rar_profit,
   CAST(sum(rar_profit_est) AS DOUBLE) / count(*) AS avg_rar_profit FROM rar GROUP BY 1 ORDER BY 1"""
