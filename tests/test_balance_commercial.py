@@ -10,6 +10,7 @@ from lendspan import Params
 from lendspan.functions.columns import by_bucket, half_up
 from lendspan.operators import balance, commercial, delinquency, measures
 from lendspan.params import DEFAULTS
+from lendspan.session import Scratch
 
 
 def test_balance_clamps_and_covers_every_later_month(make_tables):
@@ -162,3 +163,66 @@ def test_measures_keep_a_slice_without_a_key(make_tables, spark):
     )
     found = measures.portfolio_measures(t, ("product_type",), scores)
     assert rows(found, "product_type", "top_risk_balance") == [(None, D("1000.00")), ("Personal", D("1000.00"))]
+
+
+def random_months(spark, seed, n=400):
+    """Scored loan-months with the commercial columns, keys and scores missing now and then."""
+    from decimal import Decimal
+
+    rng = random.Random(seed)
+    pick = lambda *values: rng.choice(values)
+    amount = lambda: Decimal(rng.randint(-500, 5000)) / 100
+    found = [
+        (
+            pick(day("2024-01-31"), day("2024-02-29")), pick("Auto", "SME", None), pick("Online", "Broker"),
+            pick("Otago", "Waikato", None), pick("DPD_0", "DPD_30_59", "DPD_60_89", "DPD_90_PLUS"), pick(amount(), None),
+            *[amount() for _ in range(5)], pick(round(rng.random(), 1), round(rng.random(), 3), None),
+        )
+        for _ in range(n)
+    ]
+    money = ", ".join(f"{c} decimal(18,2)" for c in ("eop_balance", *commercial.MEASURE_COLUMNS))
+    return spark.createDataFrame(
+        found,
+        f"month_end date, product_type string, channel string, region string, dpd_bucket string, {money}, risk_score double",
+    )
+
+
+@pytest.mark.parametrize("top", [3, 100])
+def test_a_cube_answers_every_slice_as_the_loan_months_do(spark, top):
+    params = Params(top_risk_loans=top)
+    months = random_months(spark, top).coalesce(1)
+    with Scratch(spark) as scratch:
+        cube = scratch.store(measures.measure_cube(months, params=params))
+        # highest scores alone are kept, a few for each cell
+        assert cube.where("risk_score IS NOT NULL").count() <= 24 * 2 * top
+        for by in ((), ("month_end",), ("product_type", "region"), ("region", "channel", "month_end"), measures.CELL):
+            expected = measures.measures_of(months, by, True, params)
+            found = measures.cube_measures(cube, by, params)
+            assert rows(found, *sorted(expected.columns)) == rows(expected, *sorted(expected.columns)), by
+
+
+def test_a_cube_of_no_rows(spark):
+    empty = measures.measure_cube(random_months(spark, 1, 5).limit(0))
+    assert measures.cube_measures(empty, ("region",)).count() == 0
+    assert measures.cube_measures(empty, ()).first().loans == 0
+
+
+def test_balances_at_months_equal_the_expanded_ones(spark, make_tables):
+    rng = random.Random(4)
+    loans, schedule = [], []
+    for i in range(1, 25):
+        loans.append(loan(i, opened=f"202{rng.randint(1, 3)}-0{rng.randint(1, 9)}-15"))
+        for _ in range(rng.randint(0, 6)):
+            schedule.append(due(i, f"202{rng.randint(1, 5)}-{rng.randint(1, 12):02d}-10", "90", f"{rng.randint(0, 400)}.00"))
+    t = make_tables(loans, schedule)
+    spans = balance.balance_intervals(t)
+    in_use = sorted({r.month_end for r in balance.balance_eop(t).select("month_end").distinct().collect()})
+    for asked in (in_use, in_use[::5], in_use[:1], []):
+        months = spark.createDataFrame([(m,) for m in asked] * 2 + [(None,)], "month_end date")
+        found = balance.balance_at(spans, months)
+        assert rows(found) == rows(balance.balance_eop(t).where(F.col("month_end").isin(asked)))
+    # a month without installments, after all of them and before any
+    late, early = (spark.createDataFrame([(day(d),)], "month_end date") for d in ("2035-05-07", "2001-05-07"))
+    assert balance.balance_at(spans, late).count() == 24 and balance.balance_at(spans, early).count() == 0
+    plan = balance.balance_at(spans, late)._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan

@@ -1,6 +1,7 @@
 import random
 from decimal import Decimal as D
 
+import numpy as np
 import pytest
 from conftest import customer, day, due, loan, paid, rows
 from pyspark.sql import functions as F
@@ -119,6 +120,36 @@ def test_model_finds_a_planted_signal(spark):
     assert weights["credit_score"] < 0
 
 
+def test_the_fit_is_at_the_minimum(spark):
+    frame = labelled(spark, 600)
+    model = ml.fit_risk_model(frame)
+    gradient = {r.feature: r.gradient for r in ml.fit_gradient(model, frame).collect()}
+    assert set(gradient) == {"intercept", *ml.feature_names(model)}
+    assert max(abs(g) for g in gradient.values()) < 1e-7
+    # a fit that stops early is not
+    early = {r.feature: r.gradient for r in ml.fit_gradient(ml.fit_risk_model(frame, Params(max_iter=2)), frame).collect()}
+    assert max(abs(g) for g in early.values()) > 1e-4
+    # the derivative by brute force
+    fitted = model.stages[-1]
+    vectors = model.transform(ml._numeric_as_double(frame)).select("features", risk.LABEL).collect()
+    x = np.array([r.features.toArray() for r in vectors])
+    y = np.array([r[risk.LABEL] for r in vectors])
+    weight = np.where(y == 1, len(y) / (2 * y.sum()), len(y) / (2 * (1 - y).sum()))
+
+    def loss(moved):
+        z = x @ (fitted.coefficients.toArray() + moved) + fitted.intercept
+        penalty = ((fitted.coefficients.toArray() + moved) ** 2).sum() / 2
+        return ((weight * np.logaddexp(0, np.where(y == 1, -z, z))).sum() + penalty) / len(y)
+
+    early_model = ml.fit_risk_model(frame, Params(max_iter=2))
+    fitted = early_model.stages[-1]
+    for i, name in enumerate(ml.feature_names(early_model)):
+        step = np.zeros(x.shape[1])
+        step[i] = 1e-4 / (x[:, i].std() or 1)
+        slope = (loss(step) - loss(-step)) / 2e-4
+        assert early[name] == pytest.approx(slope, abs=1e-6)
+
+
 def test_model_needs_both_classes(spark):
     frame = labelled(spark, 30).withColumn(risk.LABEL, F.lit(0))
     with pytest.raises(ValueError):

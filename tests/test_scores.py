@@ -93,6 +93,38 @@ def test_histogram_has_every_bin_and_closes_the_last(spark):
     assert found[0].bin_from == 0.0 and found[-1].bin_to == 1.0
 
 
+def test_statistics_read_one_stored_summary(spark, monkeypatch):
+    rng = random.Random(8)
+    pairs = [(round(rng.random(), 2), int(rng.random() < 0.4)) for _ in range(300)]
+    frame = scored(spark, pairs).unionByName(spark.sql(f"SELECT CAST(NULL AS DOUBLE) AS risk_score, 1 AS {LABEL}"))
+    reads = spark.sparkContext.accumulator(0)
+    seen = F.udf(lambda s: reads.add(1) or s, "double")(F.col("risk_score"))
+    watched = frame.coalesce(1).withColumn("risk_score", seen.alias("risk_score"))
+    stores = []
+    plain = Scratch.store
+    monkeypatch.setattr(Scratch, "store", lambda self, df: stores.append(1) or plain(self, df))
+    found = {r.statistic: r.value for r in scores.score_statistics(watched, LABEL, 0.5, 10).collect()}
+    # every row is read once and one table is stored for all statistics
+    assert (reads.value, len(stores)) == (301, 1)
+    evaluation = scores.evaluate_scores(frame, LABEL, 0.5).first().asDict()
+    assert {k: found[k] for k in evaluation} == evaluation and evaluation["n_unscored"] == 1
+    box = scores.score_box_plot(frame).first().asDict()
+    assert {k: found[k] for k in box} == box
+    bars = scores.score_histogram(frame, 10).collect()
+    assert {f"bin_{r.bin}": r.scores for r in bars} == {k: v for k, v in found.items() if k.startswith("bin_")}
+    stores.clear()
+    scores.score_histogram(frame, 10)
+    assert len(stores) == 1
+
+
+def test_statistics_of_no_scores(spark):
+    empty = scored(spark, []).limit(0)
+    assert scores.score_histogram(empty).count() == 0
+    assert scores.score_box_plot(empty).count() == 0
+    row = scores.evaluate_scores(empty, LABEL).first()
+    assert (row.n, row.auc, row.n_unscored) == (0, None, 0)
+
+
 def test_histogram_of_a_single_value(spark):
     found = scores.score_histogram(scored(spark, [(0.3, 0)] * 4), 50).orderBy("bin").collect()
     assert [r.scores for r in found] == np.histogram([0.3] * 4, bins=50)[0].tolist()

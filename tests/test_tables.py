@@ -1,3 +1,4 @@
+from dataclasses import replace
 from decimal import Decimal as D
 
 import pytest
@@ -51,6 +52,66 @@ def test_reload_replaces_and_append_adds(spark, small, tmp_path):
     assert files.read_parquet_portfolio(spark, folder).schedule.count() == 6
 
 
+def counts(spark, folder):
+    return {n: f.count() for n, f in files.read_parquet_portfolio(spark, folder).by_name().items()}
+
+
+def test_an_append_counts_once_and_in_all_tables(spark, small, tmp_path):
+    folder = str(tmp_path / "tables")
+    files.reload_portfolio(small, folder)
+    once = counts(spark, folder)
+    broken = replace(small, payments=small.payments.withColumn("loan_id", F.raise_error("broken input").cast("long")))
+    with pytest.raises(Exception, match="broken input"):
+        files.append_portfolio(broken, folder, "day 1")
+    assert counts(spark, folder) == once
+    assert not [p for p in (tmp_path / "tables").glob("*/batch-*")]
+    assert files.append_portfolio(small, folder, "day 1")
+    twice = {n: 2 * c for n, c in once.items()}
+    assert counts(spark, folder) == twice
+    assert not files.append_portfolio(small, folder, "day 1")
+    assert counts(spark, folder) == twice
+    files.compact_portfolio(spark, folder)
+    assert not files.append_portfolio(small, folder, "day 1")
+    assert counts(spark, folder) == twice
+    assert files.stored_batches(spark, folder).merged == ("day 1",)
+    files.reload_portfolio(small, folder)
+    assert files.append_portfolio(small, folder, "day 1")
+    assert counts(spark, folder) == twice
+
+
+def test_appends_side_by_side_lose_nothing(spark, small, tmp_path, monkeypatch):
+    folder = str(tmp_path / "tables")
+    files.reload_portfolio(small, folder)
+    plain = files.Versions.commit
+    raced = []
+
+    def late(self, number, content):
+        # another writer is faster, once
+        if not raced:
+            raced.append(1)
+            assert files.append_portfolio(small, folder, "other")
+        plain(self, number, content)
+
+    monkeypatch.setattr(files.Versions, "commit", late)
+    assert files.append_portfolio(small, folder, "one")
+    assert list(files.stored_batches(spark, folder).later) == ["other", "one"]
+    assert files.read_parquet_portfolio(spark, folder).schedule.count() == 9
+    # the same batch sent by both counts once
+    raced.clear()
+    monkeypatch.setattr(files.Versions, "commit", lambda self, number, content: late(self, number, content))
+    assert not files.append_portfolio(small, folder, "other")
+
+
+def test_plain_folders_take_batches(spark, small, tmp_path):
+    folder = str(tmp_path / "plain")
+    for name, frame in small.by_name().items():
+        frame.write.parquet(f"{folder}/{name}")
+    assert files.append_portfolio(small, folder, "one")
+    assert files.read_parquet_portfolio(spark, folder).schedule.count() == 6
+    with pytest.raises(FileNotFoundError):
+        files.read_parquet_portfolio(spark, str(tmp_path / "nothing"))
+
+
 def test_a_folder_can_be_reloaded_from_itself(spark, small, tmp_path):
     folder = str(tmp_path / "tables")
     files.reload_portfolio(small, folder)
