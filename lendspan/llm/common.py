@@ -17,6 +17,18 @@ LOWER = UPPER.lower()
 SLICE_BYTES = 4 << 20
 
 
+def free_names(docs: DataFrame, *wanted: str) -> list[str]:
+    """The wanted names, each with underscores put before it until `docs` has no such column."""
+    taken = {c.lower() for c in docs.columns}
+    names = []
+    for name in wanted:
+        while name.lower() in taken:
+            name = f"_{name}"
+        names.append(name)
+        taken.add(name.lower())
+    return names
+
+
 def word_count(text: Column) -> Column:
     """Number of maximal runs of characters other than the fixed white space; NULL counts 0."""
     return F.coalesce(F.regexp_count(text, F.lit(f"[^{SPACE}]+")), F.lit(0)).cast("long")

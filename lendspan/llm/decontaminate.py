@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import Scratch, session_scratch
-from .common import ascii_lower
+from .common import ascii_lower, free_names
 
 SIZE = 10
 # The benchmark's side of a join is broadcast up to this measured size, and else shuffled.
@@ -151,9 +151,10 @@ def contamination(
 
 
 def clean_documents(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", **names: str) -> DataFrame:
-    """The rows of `docs` that contain no window of an item, columns unchanged."""
+    """The rows of `docs` that contain no window of an item, columns unchanged whatever their names."""
+    id_name, key = free_names(docs, "_id", "_key")
     found = contamination(docs, items, doc_id, text, **names).where("contaminated").select(
-        F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")
+        F.col("doc_id").alias(id_name), F.col("text_key").alias(key)
     ).distinct()
-    same = docs[doc_id].eqNullSafe(F.col("_id")) & (F.xxhash64(docs[text]) == F.col("_key"))
+    same = docs[doc_id].eqNullSafe(F.col(id_name)) & (F.xxhash64(docs[text]) == F.col(key))
     return docs.join(found, same, "left_anti")

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.ranges import in_ranges, running_totals
 from ..session import Scratch, session_scratch
-from .common import word_count
+from .common import free_names, word_count
 
 WEIGHTS = (1, 2, 3)
 MAX_TIMES = 3
@@ -142,20 +142,23 @@ def mixed_documents(
     copies = mix(served, times, scratch).where("words > 0")
     # rows alike in id and text are told apart by a number
     nth = "row_number() OVER (PARTITION BY {} ORDER BY {})"
+    id_name, text_name, nth_name, source_name, key, number = free_names(
+        docs, "_id", "_text", "_nth", "_source", "_key", "_number"
+    )
     taken = copies.select(
-        F.col("doc_id").alias("_id"), F.col("text_key").alias("_text"),
-        F.expr(nth.format("doc_id, text_key, source_rank, copy", "begin")).alias("_nth"),
-        F.col("source").alias("_source"), "copy", "mix_start", "words",
+        F.col("doc_id").alias(id_name), F.col("text_key").alias(text_name),
+        F.expr(nth.format("doc_id, text_key, source_rank, copy", "begin")).alias(nth_name),
+        F.col("source").alias(source_name), "copy", "mix_start", "words",
     )
     named = [c for c in docs.columns if c not in ("copy", "mix_start", "words")]
-    rows = docs.select(*[F.col(f"`{c}`") for c in named]).withColumn("_key", F.xxhash64(text)).withColumn(
-        "_number", F.expr(nth.format(f"`{doc_id}`, _key, `{source}`", "1"))
+    rows = docs.select(*[F.col(f"`{c}`") for c in named]).withColumn(key, F.xxhash64(text)).withColumn(
+        number, F.expr(nth.format(f"`{doc_id}`, {key}, `{source}`", "1"))
     )
     kept = [F.col(f"`{c}`") for c in named]
     same = (
-        rows[doc_id].eqNullSafe(F.col("_id"))
-        & rows[source].eqNullSafe(F.col("_source"))
-        & (F.col("_key") == F.col("_text"))
-        & (F.col("_number") == F.col("_nth"))
+        rows[doc_id].eqNullSafe(F.col(id_name))
+        & rows[source].eqNullSafe(F.col(source_name))
+        & (F.col(key) == F.col(text_name))
+        & (F.col(number) == F.col(nth_name))
     )
     return rows.join(taken, same).select(*kept, "copy", "mix_start", "words")

@@ -28,6 +28,8 @@ LEVELS = 3
 # The phrases of this level and those above it are compared.
 LOWEST = 2
 LANES = 64
+# Characters by which rows of one id are parted; whole texts order them.
+BEGIN = 200
 SLICE = 1 << 20
 
 _RNG = np.random.default_rng(20)
@@ -156,7 +158,8 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     The texts are range-partitioned by id once. Within a range each document meets its
     successor as rows stream by; a range's last document meets the first of the next range
     through a table of two rows a range. NULL texts are empty, NULL ids come first, rows
-    with equal ids follow each other by text; a single document is its own successor.
+    with equal ids follow each other by text; a single document is its own successor. An id may
+    have any type that Spark can sort.
     """
     scratch = session_scratch(docs.sparkSession)
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -168,11 +171,10 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
         f"doc_id {id_type}, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
         "near_edited double, near_next double"
     )
-    arrow_id = pa.from_numpy_dtype(np.int64) if id_type == "bigint" else None
 
-    def rows(columns: list[list], kind: int, part: int, whole: list) -> pa.RecordBatch:
+    def rows(of_id: pa.DataType, columns: list[list], kind: int, part: int, whole: list) -> pa.RecordBatch:
         n = len(columns[0])
-        types = [arrow_id, pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
+        types = [of_id, pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
         arrays = [pa.array(c, t) for c, t in zip(columns, types, strict=True)]
         arrays += [pa.array([kind] * n, pa.int32()), pa.array([part] * n, pa.int32()), pa.array(whole, pa.string())]
         return pa.RecordBatch.from_arrays(arrays, [*NAMES, "kind", "part", "text"])
@@ -181,29 +183,33 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
         part = TaskContext.get().partitionId()
         blank = lambda doc: [[doc], *[[None]] * (len(NAMES) - 1)]
         held: tuple | None = None
+        of_id = pa.null()
         for batch in batches:
+            of_id = batch.column(0).type
             batch = pa.RecordBatch.from_arrays([batch.column(0), string_texts(batch, 1)], ["doc_id", "text"])
             for piece in slices(batch, 1, SLICE):
                 ids, texts = piece.column(0).to_pylist(), piece.column(1).to_pylist()
                 if held is None:
-                    yield rows(blank(ids[0]), 1, part, texts[:1])
+                    yield rows(of_id, blank(ids[0]), 1, part, texts[:1])
                 else:
                     ids, texts = [held[0], *ids], [held[1], *texts]
                 if len(ids) > 1:
                     columns = _compared(ids[:-1], texts[:-1], texts[1:])
-                    yield rows(columns, 0, part, [None] * (len(ids) - 1))
+                    yield rows(of_id, columns, 0, part, [None] * (len(ids) - 1))
                 held = ids[-1], texts[-1]
         if held is not None:
-            yield rows(blank(held[0]), 2, part, [held[1]])
+            yield rows(of_id, blank(held[0]), 2, part, [held[1]])
 
     def across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
                 ids, texts, following = (batch.column(c).slice(row, 1).to_pylist() for c in range(3))
                 columns = _compared(ids, texts, following)
-                yield rows(columns, 0, 0, [None]).select(list(NAMES))
+                yield rows(batch.column(0).type, columns, 0, 0, [None]).select(list(NAMES))
 
-    ordered = chosen.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "text")
+    # many rows of one id, or without one, spread over the ranges by how their texts begin
+    begin = F.substring("text", 1, BEGIN)
+    ordered = chosen.repartitionByRange(parts, F.col("doc_id"), begin).sortWithinPartitions("doc_id", "text")
     met = scratch.store(ordered.mapInArrow(within, f"{result}, kind int, part int, text string"))
     firsts = met.where("kind = 1").select("part", F.col("text").alias("following"))
     numbers = met.where("kind = 1").selectExpr(

@@ -17,6 +17,8 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import free_names
+
 ROUNDS = 8
 KINDS = ("email", "iban", "secret", "date", "ip", "ssn", "card", "phone")
 # Days of one block within which dates are permuted: 270 x 270, about 200 years.
@@ -212,18 +214,20 @@ def pseudonyms(docs: DataFrame, key: str, text: str = "text", kinds: tuple = KIN
     # candidates with their replacement, NULL where validation fails
     found = f"transform(regexp_extract_all({source}, {pattern}, 0), m -> named_struct('m', m, 'r', CASE {tests} END))"
     found = f"if({has_any}, {found}, array())"
+    # a column of the input by this name would else give way to the values found
+    (held,) = free_names(docs, "_found")
     rewritten = (
-        f"array_join(transform(split({source}, {pattern}, -1), (part, j) -> concat(part, if(j < size(_found), "
-        "coalesce(_found[j].r, _found[j].m), ''))), '')"
+        f"array_join(transform(split({source}, {pattern}, -1), (part, j) -> concat(part, if(j < size({held}), "
+        f"coalesce({held}[j].r, {held}[j].m), ''))), '')"
     )
     columns = [c for c in docs.columns if c not in (text, "n_values")]
-    return docs.withColumn("_found", F.expr(found)).select(
+    return docs.withColumn(held, F.expr(found)).select(
         *[
-            F.expr(f"if(size(_found) > 0, {rewritten}, {source})").alias(text) if c == text else _quoted(c)
+            F.expr(f"if(size({held}) > 0, {rewritten}, {source})").alias(text) if c == text else _quoted(c)
             for c in docs.columns
             if c in columns or c == text
         ],
-        F.expr(f"CAST(if({source} IS NULL, 0, size(filter(_found, f -> f.r IS NOT NULL))) AS BIGINT)").alias("n_values"),
+        F.expr(f"CAST(if({source} IS NULL, 0, size(filter({held}, f -> f.r IS NOT NULL))) AS BIGINT)").alias("n_values"),
     )
 
 

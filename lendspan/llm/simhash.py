@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import Scratch, session_scratch
-from .common import LOWER, UPPER, components, slices, string_texts, texts
+from .common import LOWER, UPPER, components, free_names, slices, string_texts, texts
 
 DISTANCE = 4
 SHINGLE = 4
@@ -193,16 +193,17 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     """The rows of `docs` with one document of each class kept, columns unchanged.
 
     Kept is the document of the smallest id, of several rows with that id one with the
-    smallest text hash; ids that are NULL come last.
+    smallest text hash; ids that are NULL come last. Other columns may have any names.
     """
     scratch = session_scratch(docs.sparkSession)
     row = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "text_key")
-    prints = scratch.store(fingerprints(docs.withColumn("_key", F.xxhash64(text)), doc_id, text, "_key"))
+    id_name, text_name, key = free_names(docs, "_id", "_text", "_key")
+    prints = scratch.store(fingerprints(docs.withColumn(key, F.xxhash64(text)), doc_id, text, key))
     per_print = scratch.store(prints.groupBy("fp").agg(F.min(row).alias("first")))
     classes = link_classes(per_print.select("fp"), scratch)
     heads = scratch.store(
         classes.join(per_print, "fp").groupBy("label").agg(F.min("first").alias("head")).select("head.*")
     )
-    kept = heads.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_text"))
-    same = docs[doc_id].eqNullSafe(F.col("_id")) & (F.xxhash64(docs[text]) == F.col("_text"))
+    kept = heads.select(F.col("doc_id").alias(id_name), F.col("text_key").alias(text_name))
+    same = docs[doc_id].eqNullSafe(F.col(id_name)) & (F.xxhash64(docs[text]) == F.col(text_name))
     return docs.join(kept, same, "left_semi").dropDuplicates([doc_id, text])
