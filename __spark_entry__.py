@@ -22,7 +22,7 @@ from lendspan.ml.split import stratified_split  # noqa: E402
 from lendspan.operators import amortise as amort  # noqa: E402
 from lendspan.operators import balance, commercial, delinquency, measures, propensity, risk, scores  # noqa: E402
 from lendspan.operators.audit import integrity_audit  # noqa: E402
-from lendspan.plans import registry, reports, upkeep  # noqa: E402
+from lendspan.plans import audit_upkeep, registry, reports, upkeep  # noqa: E402
 from lendspan.session import materialise, session_scratch  # noqa: E402
 from lendspan.sources import files  # noqa: E402
 from lendspan.sources.bridge import load_bridged  # noqa: E402
@@ -245,6 +245,15 @@ def _stored_mart_totals(t: Tables) -> DataFrame:
     )
 
 
+def _maintained_audit(t: Tables) -> DataFrame:
+    """The audit of a portfolio that was counted as it came in, a batch sent twice among it."""
+    spark, folder = t.loans.sparkSession, _folder(t, "audit")
+    first, second = _parts_of(t)
+    for name, batch in (("first", first), ("second", second), ("second", second)):
+        audit_upkeep.apply_audit_batch(spark, folder, batch, name, buckets=4)
+    return audit_upkeep.maintained_audit(spark, folder)
+
+
 def _saved_scores(t: Tables) -> DataFrame:
     """Scores that replace an earlier, different table of scores."""
     target = _folder(t, "scores")
@@ -372,6 +381,7 @@ BUILDERS: dict[str, Callable[[Tables], DataFrame]] = {
     "saved_scores": _saved_scores,
     "richest_snapshot": _richest_snapshot,
     "integrity_audit": integrity_audit,
+    "maintained_audit": _maintained_audit,
     "fct_loans": lambda t: t.loans,
     "dim_customers": lambda t: t.customers,
     "fct_schedule": lambda t: t.schedule,
@@ -387,6 +397,7 @@ QUERIES_WITH_LAZY_PLANS = sorted(
         "reload_then_append",
         "maintain_marts",
         "stored_mart_totals",
+        "maintained_audit",
         "saved_scores",
         "scores_of_coefficients",
         "encoded_features",

@@ -19,6 +19,7 @@ partitions in place would delete them before their new rows are in place, one by
 
 import posixpath
 import uuid
+from collections.abc import Callable
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -305,10 +306,19 @@ def _new_state(
 def maintain_marts(
     spark: SparkSession, portfolio: str, folder: str, params: Params = DEFAULTS, buckets: int = BUCKETS
 ) -> list[str]:
-    """Bring the marts in `folder` up to date with a stored portfolio; returns the batches applied.
+    """Bring the marts in `folder` up to date with a stored portfolio; returns the batches applied."""
+    return follow(
+        spark, portfolio, folder, lambda batch, name, content: apply_batch(spark, folder, batch, name, params, buckets, content)
+    )
+
+
+def follow(
+    spark: SparkSession, portfolio: str, folder: str, apply: Callable[[Tables, str, dict | None], bool]
+) -> list[str]:
+    """Apply to what is stored in `folder` the batches of a portfolio that it has not seen, in order.
 
-    A reload of the portfolio, or a compaction that merged batches the marts have not seen, starts
-    the marts over from the stored tables.
+    A reload of the portfolio, or a compaction that merged unseen batches, starts over from the
+    stored tables: `apply` then gets the content to begin with.
     """
     known = stored_batches(spark, portfolio)
     _, content = Versions(spark, folder).latest()
@@ -316,11 +326,11 @@ def maintain_marts(
     base = f"{known.origin}:{len(known.merged)}" if known.merged else known.origin
     seen = set(content.get("batches", []))
     if content.get("origin") != known.origin or not set(known.merged) <= seen:
-        start = {"origin": known.origin, "batches": list(known.merged)}
-        apply_batch(spark, folder, read_batch(spark, known.base), base, params, buckets, start)
+        apply(read_batch(spark, known.base), base, {"origin": known.origin, "batches": list(known.merged)})
         applied.append(base)
+        seen = set(known.merged)
     for batch_id, path in known.later.items():
-        if apply_batch(spark, folder, read_batch(spark, path), batch_id, params, buckets):
+        if batch_id not in seen and apply(read_batch(spark, path), batch_id, None):
             applied.append(batch_id)
     return applied
 

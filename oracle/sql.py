@@ -774,6 +774,7 @@ FROM (SELECT l.loan_id,
       FROM fct_loans l JOIN dim_customers c ON c.customer_id = l.customer_id)"""
     ),
     "integrity_audit": audit(),
+    "maintained_audit": audit(),
     "fct_loans": base(
         f"SELECT loan_id, customer_id, product_type, origination_date, {money('principal_nzd', 'interest_rate_apr')}, term_months, channel, status FROM fct_loans"
     ),
