@@ -42,6 +42,8 @@ SPACE_PIECE = "▁"
 BLOCK_BYTES = 8 << 20
 PIECE_CHARS = 1 << 20
 MEMORY = 4_000_000
+# New words encoded as one text.
+JOINED = 400
 # A document with more links than this hands on its distinct pairs with counts.
 LONG = 1 << 20
 
@@ -124,54 +126,67 @@ class Aligner:
         return _pieces(text, PIECE_CHARS) if self.alone else iter([[text]])
 
     def learn(self, words: Iterable[list[str]]) -> None:
-        """Add the alignment of new words."""
-        fresh = list(set().union(*words).difference(self.known))
-        for at in range(0, len(fresh), 20_000):
-            self._learn(fresh[at : at + 20_000])
+        """Add the alignment of new words.
 
-    def _learn(self, fresh: list[str]) -> None:
-        spaced = [" " + w for w in fresh]
-        raw = [w.encode() for w in spaced]
+        They are encoded many at a time, as one text, where they stand alone in it too. If its
+        bytes do not come back, its words are tried one by one.
+        """
+        fresh = list(set().union(*words).difference(self.known))
+        joined = [w for w in fresh if self.alone and w and not (w[0].isspace() or w[-1].isspace())]
+        single = [[w] for w in set(fresh).difference(joined)]
+        texts = [joined[at : at + JOINED] for at in range(0, len(joined), JOINED)]
+        for some, step in ((texts, 50), (single, 20_000)):
+            for at in range(0, len(some), step):
+                failed = self._learn(some[at : at + step])
+                if failed:
+                    self._learn([[w] for t in failed for w in t])
+
+    def _learn(self, texts: list[list[str]]) -> list[list[str]]:
+        """Add the words of some texts; returns texts of several words whose bytes differ."""
+        spaced = [" " + " ".join(t) for t in texts]
+        raw = [t.encode() for t in spaced]
         a = self.a.encode_batch(spaced, add_special_tokens=False)
         ids_a = [e.ids for e in a]
         n_a = np.array([len(i) for i in ids_a], np.int64)
         flat_a = np.fromiter(chain.from_iterable(ids_a), np.int64, n_a.sum())
         offsets = np.fromiter(chain.from_iterable(chain.from_iterable(e.offsets for e in a)), np.int64, 2 * n_a.sum())
-        b = [t.pieces for t in self.b.encode(fresh, return_type="proto", num_threads=1)]
+        b = [t.pieces for t in self.b.encode([t[1:] for t in spaced], return_type="proto", num_threads=1)]
         n_b = np.array([len(t) for t in b], np.int64)
         told = (v for t in b for p in t for v in (p.id, p.begin, p.end))
         flat_b, *spans = np.fromiter(told, np.int64, 3 * n_b.sum()).reshape(-1, 3).T
         good = self._same(raw, flat_a, n_a, self.bytes_a) & self._same(raw, flat_b, n_b, self.bytes_b)
-        n = len(fresh)
-        sizes = np.zeros((n, 5), np.int64)
-        sizes[:, 4] = ~good
-        strings = [""] * n
-        codes, per_word = np.zeros(0, np.int64), np.zeros(n, np.int64)
-        kept = np.flatnonzero(good)
-        if len(kept):
+        kept = np.flatnonzero(good).tolist()
+        if kept:
             in_a, in_b = np.repeat(good, n_a), np.repeat(good, n_b)
             n_a, n_b, flat_a, flat_b = n_a[good], n_b[good], flat_a[in_a], flat_b[in_b]
-            texts, raw = [spaced[k] for k in kept], [raw[k] for k in kept]
+            raw = [raw[k] for k in kept]
             base = np.concatenate(([0], np.cumsum([len(r) for r in raw])))
-            spans_a = self._spans_a(offsets.reshape(-1, 2)[in_a], texts, b"".join(raw), n_a)
+            spans_a = self._spans_a(offsets.reshape(-1, 2)[in_a], [spaced[k] for k in kept], b"".join(raw), n_a)
             spans_b = self._spans_b(np.stack(spans, axis=1)[in_b], base, n_b)
-            ends_a, ends_b = self._ends(flat_a, flat_b, spans_a, spans_b)
-            # each stretch between neighbouring ends belongs to one token of each side
-            cuts = np.union1d(ends_a, ends_b)
-            at_a, at_b = np.searchsorted(ends_a, cuts), np.searchsorted(ends_b, cuts)
-            codes = flat_a[at_a] * self.n_b + flat_b[at_b]
-            shared = np.intersect1d(ends_a, ends_b, assume_unique=True)
-            links = np.diff(np.searchsorted(cuts, base, side="right"))
-            groups = np.diff(np.searchsorted(shared, base, side="right"))
-            sizes[kept, :4] = np.stack([n_a, n_b, groups, links], axis=1)
-            per_word[kept] = links
-            for k, text in zip(kept.tolist(), self._texts(flat_a, flat_b, ends_a, ends_b, shared, base), strict=True):
-                strings[k] = text
+            words = [w for k in kept for w in texts[k]]
+            self._add(words, flat_a, flat_b, *self._ends(flat_a, flat_b, spans_a, spans_b))
+        bad = [t for t, same in zip(texts, good.tolist(), strict=True) if not same]
+        for (word,) in (t for t in bad if len(t) == 1):
+            self._remember([word], [""], np.array([[0, 0, 0, 0, 1]]), np.zeros(0, np.int64))
+        return [t for t in bad if len(t) > 1]
+
+    def _add(self, words: list[str], ids_a, ids_b, ends_a, ends_b) -> None:
+        """Add words that stand one after the other, each behind a space."""
+        base = np.concatenate(([0], np.cumsum([len(w.encode()) + 1 for w in words])))
+        # each stretch between neighbouring ends belongs to one token of each side
+        cuts = np.union1d(ends_a, ends_b)
+        shared = np.intersect1d(ends_a, ends_b, assume_unique=True)
+        codes = ids_a[np.searchsorted(ends_a, cuts)] * self.n_b + ids_b[np.searchsorted(ends_b, cuts)]
+        of_word = lambda ends: np.diff(np.searchsorted(ends, base, side="right"))
+        sizes = np.stack([*map(of_word, (ends_a, ends_b, shared, cuts)), np.zeros(len(words), np.int64)], axis=1)
+        self._remember(words, self._texts(ids_a, ids_b, ends_a, ends_b, shared, base), sizes, codes)
+
+    def _remember(self, words: list[str], strings: Iterable[str], sizes: np.ndarray, codes: np.ndarray) -> None:
         start = len(self.strings)
-        self.known.update(zip(fresh, range(start, start + n), strict=True))
-        self.strings += strings
+        self.known.update(zip(words, range(start, start + len(words)), strict=True))
+        self.strings.extend(strings)
         self.sizes = np.concatenate((self.sizes, sizes))
-        self.first = np.concatenate((self.first, self.first[-1] + np.cumsum(per_word)))
+        self.first = np.concatenate((self.first, self.first[-1] + np.cumsum(sizes[:, 3])))
         self.codes = np.concatenate((self.codes, codes))
 
     @staticmethod
