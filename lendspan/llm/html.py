@@ -33,8 +33,11 @@ BATCH = 256
 
 # Kinds of HTML elements.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-UNSEEN = frozenset("head script style noscript template svg math iframe object canvas title".split())
+UNSEEN = frozenset("script style noscript template svg iframe object canvas title".split())
+# What may stand in a head; anything else ends it, as its closing tag may be left out.
+IN_HEAD = frozenset("base basefont bgsound link meta script style noscript template title".split())
 INLINE = frozenset(
+    "math mfrac mi mn mo mover mrow ms msqrt mstyle msub msubsup msup mtext munder semantics "
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q ruby rt s samp "
     "small span strike strong sub sup time tt u var wbr".split()
 )
@@ -66,7 +69,7 @@ OTHER_NAMES = (
 ).split()
 
 _TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|svg|iframe|title|textarea)\b[^>]*>.*?(?:</\1\s*>|\Z)"
+    r"<!--.*?(?:-->|\Z)|<(script|style|(?:noscript|template|svg|iframe|title|textarea)(?![^>]*/>))\b[^>]*>.*?(?:</\1\s*>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>",
     re.S | re.I,
 )
@@ -87,10 +90,13 @@ class Page:
     def _read(self, source: str) -> None:
         open_, block, at = [0], 0, 0
         tags, parent, attributes, pieces = self.tags, self.parent, self.attributes, self.pieces
-        unseen = 0
+        unseen, in_head = 0, False
         for match in _TAG.finditer(source):
             if match.start() > at and not unseen:
-                pieces.append((open_[-1], block, source[at : match.start()]))
+                # a head also ends at text
+                in_head = in_head and source[at : match.start()].isspace()
+                if not in_head:
+                    pieces.append((open_[-1], block, source[at : match.start()]))
             at = match.end()
             closing, name, rest = match.group(2, 3, 4)
             if name is None:
@@ -100,8 +106,15 @@ class Page:
                 block += 1
             elif name == "br" and not unseen:
                 pieces.append((open_[-1], block, " "))
+            if name == "head":
+                in_head = not closing
+                continue
+            if not closing and name not in IN_HEAD:
+                in_head = False
             if name in UNSEEN:
-                unseen = 0 if closing else unseen + 1
+                # one that is closed within its tag holds nothing
+                if closing or not rest.endswith("/"):
+                    unseen = 0 if closing else unseen + 1
                 continue
             if closing:
                 for k in range(len(open_) - 1, 0, -1):

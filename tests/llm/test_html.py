@@ -72,3 +72,24 @@ def test_rows(spark):
     assert html.main_texts(pages.limit(0)).count() == 0
     empty = spark.createDataFrame([(1, "u", None)], "page_id long, url string, html string")
     assert [tuple(r) for r in html.main_texts(empty).collect()] == [(1, "u", "", 0)]
+
+
+@pytest.mark.parametrize(
+    ("source", "expected"),
+    [
+        # tags that may be left out, and text right behind a head
+        ("<html><head><title>t</title><meta charset=utf-8><article><p>{}</p></article>", ["{}"]),
+        ("<head><title>t</title>{}", ["{}"]),
+        ("<head><title>t</title></head><p>{}", ["{}"]),
+        # closed within the tag
+        ("<body><p>{}<svg/></p><iframe src='x' /><object data=x /><canvas/><p>{}</p>", ["{}", "{}"]),
+        ("<body><svg><text>no</text></svg><p>{}</p><iframe>no</iframe>", ["{}"]),
+        ("<body><p>{} <math><mi>x</mi><mo>+</mo><mn>1</mn></math> {}</p>", ["{} x+1 {}"]),
+    ],
+)
+def test_no_text_is_lost_to_markup_left_out(source, expected):
+    found = html.Page(source.replace("{}", TEXT))
+    texts = {}
+    for _, block, text in found.pieces:
+        texts[block] = texts.get(block, "") + text
+    assert [" ".join(t.split()) for t in texts.values() if t.strip()] == [e.replace("{}", TEXT) for e in expected]
