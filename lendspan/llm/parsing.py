@@ -29,7 +29,7 @@ LEVELS = 3
 LOWEST = 2
 LANES = 64
 # Characters by which rows of one id are parted; whole texts order them.
-BEGIN = 200
+BEGIN = 32
 SLICE = 1 << 20
 
 _RNG = np.random.default_rng(20)
