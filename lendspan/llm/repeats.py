@@ -1,22 +1,22 @@
-"""Removal of long repeated byte strings, by difference-cover samples and suffix buckets.
+"""Removal of long repeated byte strings, by suffix buckets sorted with difference-cover ranks.
 
 A byte goes if a string of `LENGTH` bytes that covers it also starts earlier. A window is
-such a string at one start. Nothing but hashes, ids and positions is shuffled besides
-the texts themselves:
-
-1. Blocks. Texts are cut at content-defined places into blocks of window starts. A block
-   whose bytes (with the rest of its last window) also stand earlier has only repeated
-   windows, and none that another document would need as its source.
-2. Cover ranks. Positions whose number mod 57 lies in a difference cover are samples: for
-   any two starts some shift below 57 brings both to samples. Equal windows thus hold
-   equal sample grams of 100 - 56 bytes. Grams are sorted bucket by bucket; only windows
-   around a gram that occurs twice can be repeated.
-3. Suffix buckets. The remaining windows are ordered one bucket at a time; of equal ones
-   all but the first go. A window enters with a 96-bit hash of its bytes, so ties of any
-   length cost no more than others.
-
-Each task sorts what it has first and sends any gram or window once, so common strings
-do not gather in one bucket; buckets are as many as a multiple of the shuffle partitions.
+such a string at one start.
+
+1. Cells. The smallest hash of the grams (`GRAM` bytes) inside a window names its suffix
+   bucket, so equal windows share one. Neighbours with the same smallest gram, at most
+   `SHIFTS` of them, are a cell. A cell enters as two 64-bit hashes and its place. Of cells with
+   equal bytes all but the first hold later windows only, and nothing another needs as source.
+2. Suffix buckets. Only buckets with several different cells can hold more. One copy of
+   each such cell goes there with its bytes, in order of place.
+3. Cover ranks. A task sorts one block of whole buckets at a time. Positions whose number
+   mod 3 lies in a difference cover are samples, ranked to a depth of `DEPTH` bytes by doubling.
+   Any two windows meet samples at a common shift below 3, so two windows are equal if there
+   the ranks and the two bytes left over are: a tie of any length costs one comparison, and
+   bytes are compared, not hashes.
+
+A bucket with very many different cells is cut by the hash of whole windows into parts, so
+none outgrows a task. All else that is shuffled is aggregated before.
 """
 
 import hashlib
@@ -24,26 +24,28 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.ranges import in_ranges, running_totals
 from ..session import session_scratch
-from .common import string_texts
+from .common import slices, string_texts, text_buffer
 
 LENGTH = 100
-# A perfect difference cover; every number below 57 is a difference of two, mod 57.
-MODULUS = 57
-COVER = (0, 1, 3, 13, 32, 36, 43, 52)
-GRAM = LENGTH - MODULUS + 1
-ANCHOR = 16
-# One position in so many begins a block.
-SPACING = 128
+SHIFTS = 57
+GRAM = LENGTH - SHIFTS + 1
+# Every number below 3 is a difference of two of the cover, mod 3.
+MODULUS = 3
+COVER = (0, 1)
+DEPTH = LENGTH - MODULUS + 1
+# Ranks of 8 bytes come first; each step, a multiple of 3, joins the ranks of two samples.
+FIRST = 8
+STEPS = (6, 12, 24, 48)
 PIECE = 1 << 21
-FLUSH = 1 << 21
-BUCKETS_A_PARTITION = 8
-NOBODY = np.iinfo(np.int64).min
+# Bytes of buckets that a task sorts at once; different cells of one part of a bucket.
+BLOCK = 1 << 21
+PART = 4096
+# Low bits of a gram's sort key that hold its position, so that the leftmost of equal ones wins.
+PLACE_BITS = 24
 
 _RNG = np.random.default_rng(57)
 _TABLES = _RNG.integers(0, 2**63, (2, 256), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -61,284 +63,266 @@ def _powers(base: int, n: int) -> np.ndarray:
     return held[:n]
 
 
+def _sums(data: np.ndarray, which: int) -> np.ndarray:
+    """Sum of the weighted bytes before every position."""
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(_TABLES[which][data] * _powers(_BASES[which], len(data)), out=sums[1:])
+    return sums
+
+
+def _mixed(raw: np.ndarray) -> np.ndarray:
+    return raw ^ (raw >> np.uint64(29))
+
+
 def window_hashes(data: np.ndarray, length: int, which: int = 0) -> np.ndarray:
     """64-bit hash of the `length` bytes at every start."""
     n = len(data)
     if n < length:
         return np.zeros(0, np.uint64)
-    base = _BASES[which]
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum(_TABLES[which][data] * _powers(base, n), out=sums[1:])
-    inverse = _powers(pow(base, -1, 2**64), n - length + 1)
-    raw = (sums[length:] - sums[: n - length + 1]) * inverse
-    return raw ^ (raw >> np.uint64(29))
+    sums = _sums(data, which)
+    inverse = _powers(pow(_BASES[which], -1, 2**64), n - length + 1)
+    return _mixed((sums[length:] - sums[: n - length + 1]) * inverse)
+
+
+def cells(data: np.ndarray, live: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(bucket, hash, begin, number of windows) of the cells of the live window starts."""
+    grams = window_hashes(data, GRAM)
+    key = (grams >> np.uint64(PLACE_BITS) << np.uint64(PLACE_BITS)) | np.arange(len(grams), dtype=np.uint64)
+    width, least = 1, key
+    while 2 * width <= SHIFTS:
+        least = np.minimum(least[: len(least) - width], least[width:])
+        width *= 2
+    rest = SHIFTS - width
+    least = np.minimum(least[: len(least) - rest], least[rest:])
+    starts = np.flatnonzero(live)
+    at = (least[starts] & np.uint64((1 << PLACE_BITS) - 1)).astype(np.int64)
+    new = np.flatnonzero(np.concatenate([[True], (at[1:] != at[:-1]) | (starts[1:] != starts[:-1] + 1)]))
+    begin, count = starts[new], np.diff(np.append(new, len(starts)))
+    sums = _sums(data, 1)
+    inverse = _powers(pow(_BASES[1], -1, 2**64), len(data))
+    whole = (sums[begin + count + LENGTH - 1] - sums[begin]) * inverse[begin]
+    return grams[at[new]], _mixed(whole) + count.astype(np.uint64), begin, count
+
+
+def _stretches(batch: pa.RecordBatch, text: int, size: int) -> Iterator[tuple[np.ndarray, np.ndarray, int, int]]:
+    """(bytes, bounds of the texts, number of the first row, offset): rows together, or a piece of a long one.
+
+    Pieces share out a text's window starts, each with the rest of its last window.
+    """
+    row = 0
+    for part in slices(batch, text, size):
+        data, bounds = text_buffer(part.column(text))
+        if part.num_rows > 1 or len(data) <= size:
+            yield data, bounds, row, 0
+        else:
+            starts = len(data) - LENGTH + 1
+            for at in range(0, max(starts, 0), size):
+                piece = data[at : min(at + size, starts) + LENGTH - 1]
+                yield piece, np.array([0, len(piece)]), row, at
+        row += part.num_rows
+
+
+def _cells(docs: DataFrame, size: int) -> DataFrame:
+    """(doc_id, text_key, bucket, hash, begin, n) of all cells."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            batch = batch.set_column(2, "text", string_texts(batch, 2))
+            for data, bounds, row, offset in _stretches(batch, 2, size):
+                if len(data) < LENGTH:
+                    continue
+                edge = np.zeros(len(data) + 1, np.int32)
+                full = np.flatnonzero(np.diff(bounds) >= LENGTH)
+                edge[bounds[full]] += 1
+                edge[bounds[full + 1] - LENGTH + 1] -= 1
+                live = np.cumsum(edge)[: len(data) - LENGTH + 1] > 0
+                if not live.any():
+                    continue
+                bucket, whole, begin, count = cells(data, live)
+                owner = np.searchsorted(bounds, begin, side="right") - 1
+                rows = pa.array(owner + row)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0).take(rows), batch.column(1).take(rows),
+                        pa.array(bucket.view(np.int64)), pa.array(whole.view(np.int64)),
+                        pa.array(begin - bounds[owner] + offset), pa.array(count.astype(np.int32)),
+                    ],
+                    ["doc_id", "text_key", "bucket", "hash", "begin", "n"],
+                )
+
+    return docs.select("doc_id", "text_key", "text").mapInArrow(
+        work, f"doc_id {_kind(docs)}, text_key long, bucket long, hash long, begin long, n int"
+    )
 
 
-def pieces(text: bytes, size: int) -> Iterator[tuple[int, bytes]]:
-    """(offset, bytes) that share out a text's window starts, each with the rest of its last window."""
-    starts = len(text) - LENGTH + 1
-    for at in range(0, max(starts, 0), size):
-        yield at, text[at : min(at + size, starts) + LENGTH - 1]
+def _kind(docs: DataFrame) -> str:
+    return docs.schema["doc_id"].dataType.simpleString()
 
 
-def block_spans(data: np.ndarray) -> np.ndarray:
-    """Bounds of the blocks of window starts of one piece: content-defined, first and last included."""
-    starts = len(data) - LENGTH + 1
-    anchors = np.flatnonzero(window_hashes(data, ANCHOR)[:starts] % np.uint64(SPACING) == 0)
-    return np.unique(np.concatenate([[0], anchors, [starts]]))
+def _lists(batch: pa.RecordBatch, column: int) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Bounds of each row's list of structs, NULL being empty, and the fields of all lists."""
+    held = batch.column(column)
+    bounds = np.concatenate([[0], np.cumsum(held.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))])
+    return bounds.astype(np.int64), [f.to_numpy(zero_copy_only=False) for f in held.flatten().flatten()]
 
 
-def _blocks(docs: DataFrame, size: int) -> DataFrame:
-    """(h1, h2, id, text_key, begin, end) of all blocks."""
+def _sent(docs: DataFrame) -> DataFrame:
+    """(bucket, doc_id, text_key, begin, bytes): the listed cells, those of cut buckets by parts."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[list] = [[] for _ in range(6)]
-            rows = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), string_texts(batch, 2).cast(pa.binary()), strict=True)
-            for id_, key, text in rows:
-                for offset, piece in pieces(text.as_py(), size):
-                    bounds = block_spans(np.frombuffer(piece, np.uint8))
-                    for begin, end in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
-                        digest = hashlib.blake2b(piece[begin : end + LENGTH - 1], digest_size=16).digest()
-                        for column, value in zip(
-                            out,
-                            (
-                                int.from_bytes(digest[:8], "big", signed=True), int.from_bytes(digest[8:], "big", signed=True),
-                                id_, key, offset + begin, offset + end,
-                            ),
-                            strict=True,
-                        ):
-                            column.append(value)
-                if len(out[0]) > 50_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], _BLOCK)
-                    out = [[] for _ in range(6)]
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], _BLOCK)
-
-    return docs.select("id", "text_key", "text").mapInArrow(work, ", ".join(f"`{c}` long" for c in _BLOCK))
-
-
-_BLOCK = ["h1", "h2", "id", "text_key", "begin", "end"]
-
-
-def _pack(values: np.ndarray) -> bytes:
-    """Numbers as compressed byte planes, of their differences where they ascend."""
-    values = values.astype(np.uint64)
-    ascending = bool((values[1:] >= values[:-1]).all())
-    if ascending:
-        values = np.diff(values, prepend=np.uint64(0))
-    planes = values.view(np.uint8).reshape(-1, 8).T.tobytes()
-    return bytes([ascending]) + zstandard.ZstdCompressor(level=1).compress(planes)
-
-
-def _unpack(packed: bytes) -> np.ndarray:
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed[1:]), np.uint8)
-    values = np.ascontiguousarray(planes.reshape(8, -1).T).view(np.uint64).ravel()
-    return np.cumsum(values, dtype=np.uint64) if packed[0] else values
-
-
-class Sender:
-    """Sorts entries and sends them by bucket; what repeats within a flush is settled here."""
-
-    def __init__(self, buckets: int, limit: int) -> None:
-        self.buckets, self.limit = buckets, limit
-        self.held: list[tuple[np.ndarray, ...]] = []
-        self.count = 0
-
-    def add(self, *columns: np.ndarray) -> Iterator[pa.RecordBatch]:
-        self.held.append(columns)
-        self.count += len(columns[0])
-        if self.count >= self.limit:
-            yield from self.flush()
-
-    def flush(self) -> Iterator[pa.RecordBatch]:
-        if self.count:
-            columns = [np.concatenate(c) for c in zip(*self.held, strict=True)]
-            self.held, self.count = [], 0
-            yield from self.sorted_out(columns)
-
-    def sorted_out(self, columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        raise NotImplementedError
-
-    def rows(self, columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        """Entries sorted by their first column, cut into buckets by its high bits."""
-        width = np.uint64((2**64 - 1) // self.buckets + 1)
-        bounds = np.searchsorted(columns[0], np.arange(1, self.buckets, dtype=np.uint64) * width)
-        for bucket, part in enumerate(zip(*(np.split(c, bounds) for c in columns), strict=True)):
-            if len(part[0]):
-                yield _row(bucket, part)
-
-    def settled(self, columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        """Results known without the others, sent on as they are."""
-        if len(columns[0]):
-            yield _row(-1 - int(columns[0][0]) % self.buckets, columns)
-
-
-def _row(bucket: int, columns) -> pa.RecordBatch:
-    packed = [pa.array([_pack(c)], pa.binary()) for c in columns] + [pa.array([None], pa.binary())] * (4 - len(columns))
-    return pa.RecordBatch.from_arrays([pa.array([bucket], pa.int64()), *packed], ["bucket", "a", "b", "c", "d"])
-
-
-_SENT = "bucket long, a binary, b binary, c binary, d binary"
-
-
-class GramSender(Sender):
-    """(gram, document): a gram that repeats here is reported for its documents and sent without one."""
-
-    def sorted_out(self, columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        order = np.argsort(columns[0])
-        grams, numbers = columns[0][order], columns[1][order]
-        first = np.concatenate([[True], grams[1:] != grams[:-1]])
-        at = np.flatnonzero(first)
-        several = np.diff(np.append(at, len(grams))) > 1
-        repeated = np.repeat(several, np.diff(np.append(at, len(grams))))
-        yield from self.settled([numbers[repeated].astype(np.uint64), grams[repeated]])
-        whom = np.where(several, NOBODY, numbers[at])
-        yield from self.rows([grams[at], whom.astype(np.int64).view(np.uint64)])
+            bounds, (begins, counts, buckets, parts) = _lists(batch, 3)
+            texts = string_texts(batch, 2).cast(pa.binary())
+            rows, keys, places, found, held = [], [], [], [], 0
+
+            def flush(batch: pa.RecordBatch = batch) -> pa.RecordBatch:
+                at = pa.array(rows, pa.int64())
+                return pa.RecordBatch.from_arrays(
+                    [pa.array(keys, pa.int64()), batch.column(0).take(at), batch.column(1).take(at), pa.array(places, pa.int64()), pa.array(found, pa.binary())],
+                    ["bucket", "doc_id", "text_key", "begin", "bytes"],
+                )
+
+            for row in range(batch.num_rows):
+                if bounds[row] == bounds[row + 1]:
+                    continue
+                text = texts[row].as_py()
+                part = slice(bounds[row], bounds[row + 1])
+                for begin, count, bucket, of in zip(*(c[part].tolist() for c in (begins, counts, buckets, parts)), strict=True):
+                    whole = text[begin : begin + count + LENGTH - 1]
+                    if of == 1:
+                        entries = [(bucket, begin, whole)]
+                    else:
+                        share = window_hashes(np.frombuffer(whole, np.uint8), LENGTH) % np.uint64(of)
+                        entries = [
+                            (hash((bucket, s)), begin + k, whole[k : k + LENGTH]) for k, s in enumerate(share.tolist())
+                        ]
+                    for key, place, string in entries:
+                        rows.append(row)
+                        keys.append(key)
+                        places.append(place)
+                        found.append(string)
+                        held += len(string)
+                    if held > PIECE:
+                        yield flush()
+                        held = 0
+                        for column in (rows, keys, places, found):
+                            column.clear()
+            if rows:
+                yield flush()
+
+    return docs.select("doc_id", "text_key", "text", "cells").mapInArrow(
+        work, f"bucket long, doc_id {_kind(docs)}, text_key long, begin long, bytes binary"
+    )
 
 
-class WindowSender(Sender):
-    """(h1, h2, document, start): only the first of equal windows is sent, the others go at once."""
+def _ranks(keys: np.ndarray) -> np.ndarray:
+    """Dense ranks of numbers."""
+    order = np.argsort(keys)
+    held = keys[order]
+    ranks = np.empty(len(keys), np.uint64)
+    ranks[order] = np.cumsum(np.concatenate([[False], held[1:] != held[:-1]]), dtype=np.uint64)
+    return ranks
+
+
+def _is_sample(places: np.ndarray) -> np.ndarray:
+    return np.isin(places % MODULUS, COVER)
+
+
+def sample_ranks(data: np.ndarray) -> np.ndarray:
+    """Rank of the `DEPTH` bytes at each sample position, 0 elsewhere; bytes past the end are 0."""
+    padded = np.concatenate([data, np.zeros(FIRST, np.uint8)])
+    places = np.flatnonzero(_is_sample(np.arange(len(data))))
+    words = np.zeros(len(places), np.uint64)
+    for k in range(FIRST):
+        words = (words << np.uint64(8)) | padded[places + k]
+    ranks = np.zeros(len(data) + max(STEPS), np.uint64)
+    ranks[places] = _ranks(words) + np.uint64(1)
+    for step in STEPS:
+        ranks[places] = _ranks((ranks[places] << np.uint64(32)) | ranks[places + step]) + np.uint64(1)
+    return ranks[: len(data)]
+
+
+def later_windows(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Whether an equal window stands at an earlier of the ascending starts."""
+    ranks = sample_ranks(data)
+    later = np.zeros(len(starts), bool)
+    for shift in range(MODULUS):
+        mine = np.flatnonzero(_is_sample(starts + shift))
+        at = starts[mine]
+        key = ranks[at + shift]
+        for k in (*range(shift), *range(shift + DEPTH, LENGTH)):
+            key = (key << np.uint64(8)) | data[at + k]
+        order = np.argsort(key, kind="stable")
+        held = key[order]
+        later[mine[order[1:][held[1:] == held[:-1]]]] = True
+    return later
+
+
+def _decided(sent: DataFrame, block: int) -> DataFrame:
+    """(doc_id, text_key, begin, end): spans of later windows of the cells sent, bucket by bucket."""
+
+    def spans(rows: pa.Table) -> pa.RecordBatch:
+        rows = _once(rows)
+        strings = rows.column("bytes").combine_chunks()
+        strings = strings.chunk(0) if isinstance(strings, pa.ChunkedArray) else strings
+        data, bounds = text_buffer(strings)
+        count = np.diff(bounds) - LENGTH + 1
+        owner = np.repeat(np.arange(len(count)), count)
+        within = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
+        later = later_windows(data, bounds[owner] + within)
+        # runs of later windows within a cell
+        opens = later & np.concatenate([[True], ~later[:-1] | (owner[1:] != owner[:-1])])
+        closes = later & np.concatenate([~later[1:] | (owner[1:] != owner[:-1]), [True]])
+        at = pa.array(owner[opens])
+        begin = rows.column("begin").to_numpy()[owner[opens]]
+        columns = [rows.column(c).combine_chunks().take(at) for c in ("doc_id", "text_key")]
+        columns = [c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in columns]
+        return pa.RecordBatch.from_arrays(
+            [*columns, pa.array(begin + within[opens]), pa.array(begin + within[closes] + 1)],
+            ["doc_id", "text_key", "begin", "end"],
+        )
 
-    def sorted_out(self, columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        columns, first = _firsts(columns)
-        yield from self.settled([columns[2][~first], columns[3][~first]])
-        yield from self.rows([c[first] for c in columns])
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        size = 0
+        for batch in batches:
+            held.append(batch)
+            size += batch.column("bytes").nbytes
+            if size < block:
+                continue
+            rows = pa.Table.from_batches(held)
+            buckets = rows.column("bucket").to_numpy()
+            cut = int(np.searchsorted(buckets, buckets[-1]))
+            if cut:
+                yield spans(rows.slice(0, cut))
+                held = rows.slice(cut).combine_chunks().to_batches()
+                size = sum(b.column("bytes").nbytes for b in held)
+        if size:
+            yield spans(pa.Table.from_batches(held))
 
+    ordered = sent.repartition("bucket").sortWithinPartitions("bucket", "doc_id", "text_key", "begin")
+    return ordered.mapInArrow(work, f"doc_id {_kind(sent)}, text_key long, begin long, end long")
 
-def _firsts(columns: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
-    """Windows in order of (hash, document, start), and which are the first of their kind.
 
-    The same window of a repeated row counts once.
-    """
-    if not len(columns[0]):
-        return columns, np.zeros(0, bool)
-    order = np.argsort(columns[0])
-    hashes = columns[0][order]
-    tie = np.concatenate([[False], hashes[1:] == hashes[:-1]])
-    tie[:-1] |= tie[1:]
-    # only what ties by its first hash needs the other columns
-    tied = order[tie]
-    order[tie] = tied[np.lexsort([c[tied] for c in columns[::-1]])]
-    columns = [c[order] for c in columns]
-    equal = [np.concatenate([[False], c[1:] == c[:-1]]) for c in columns]
-    new = ~(equal[0] & equal[1] & equal[2] & equal[3])
-    return [c[new] for c in columns], ~(equal[0] & equal[1])[new]
-
-
-def _by_document(numbers: np.ndarray, values: np.ndarray) -> pa.Table:
-    """(no, found): the values of each document, packed."""
-    order = np.argsort(numbers)
-    numbers, values = numbers[order], values[order]
-    at = np.flatnonzero(np.concatenate([[True], numbers[1:] != numbers[:-1]])) if len(numbers) else np.zeros(0, np.int64)
-    found = [_pack(v) for v in np.split(values, at[1:])] if len(at) else []
-    return pa.table({"no": pa.array(numbers[at].astype(np.int64)), "found": pa.array(found, pa.binary())})
-
-
-def _unpacked(table: pa.Table, columns: int) -> list[np.ndarray]:
-    return [
-        np.concatenate([_unpack(v.as_py()) for v in table.column(name)]) for name in ("a", "b", "c", "d")[:columns]
-    ]
-
-
-def _repeated_grams(table: pa.Table) -> pa.Table:
-    if table.column("bucket")[0].as_py() < 0:
-        return _by_document(*_unpacked(table, 2))
-    grams, whom = _unpacked(table, 2)
-    order = np.argsort(grams)
-    grams, whom = grams[order], whom[order].view(np.int64)
-    same = grams[1:] == grams[:-1]
-    several = np.concatenate([[False], same]) | np.concatenate([same, [False]])
-    reported = several & (whom != NOBODY)
-    return _by_document(whom[reported].astype(np.uint64), grams[reported])
-
-
-def _later_windows(table: pa.Table) -> pa.Table:
-    if table.column("bucket")[0].as_py() < 0:
-        return _by_document(*_unpacked(table, 2))
-    columns, first = _firsts(_unpacked(table, 4))
-    return _by_document(columns[2][~first], columns[3][~first])
-
-
-def _settle(sent: DataFrame, decide, scratch) -> DataFrame:
-    """(no, found list) of what each bucket finds about each document."""
-    decided = sent.groupBy("bucket").applyInArrow(lambda table: decide(table), "no long, found binary")
-    return scratch.store(decided.groupBy("no").agg(F.collect_list("found").alias("found")))
-
-
-def _live(size: int, offset: int, spans: list) -> np.ndarray:
-    """Which window starts of a piece lie in no repeated block."""
-    live = np.ones(size, bool)
-    for begin, end in spans:
-        live[max(0, begin - offset) : max(0, end - offset)] = False
-    return live
-
-
-def _samples(data: np.ndarray, offset: int, near: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Sample positions of a piece that lie in a window of `near`, and their grams."""
-    counts = np.zeros(len(near) + 1, np.int32)
-    np.cumsum(near, out=counts[1:])
-    places = np.arange(len(data) - GRAM + 1)
-    held = counts[np.minimum(places + 1, len(near))] > counts[np.clip(places - MODULUS + 1, 0, len(near))]
-    cover = np.zeros(MODULUS, bool)
-    cover[list(COVER)] = True
-    positions = np.flatnonzero(held & cover[(places + offset) % MODULUS])
-    return positions, window_hashes(data, GRAM)[positions]
-
-
-def _grams(docs: DataFrame, buckets: int, size: int, flush: int) -> DataFrame:
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sender = GramSender(buckets, flush)
-        for batch in batches:
-            for number, spans, text in zip(*(batch.column(c) for c in range(3)), strict=True):
-                number, spans = number.as_py(), [(s["begin"], s["end"]) for s in spans.as_py() or []]
-                for offset, piece in pieces((text.as_py() or "").encode(), size):
-                    data = np.frombuffer(piece, np.uint8)
-                    _, grams = _samples(data, offset, _live(len(data) - LENGTH + 1, offset, spans))
-                    yield from sender.add(grams, np.full(len(grams), number, np.int64))
-        yield from sender.flush()
+def _once(rows: pa.Table) -> pa.Table:
+    """Ordered rows without those that a repeated input row sent again."""
+    new = np.zeros(len(rows), bool)
+    new[:1] = True
+    for name in ("bucket", "doc_id", "text_key", "begin"):
+        codes = rows.column(name).combine_chunks().dictionary_encode("encode")
+        codes = codes.combine_chunks() if isinstance(codes, pa.ChunkedArray) else codes
+        codes = codes.indices.to_numpy()
+        new[1:] |= codes[1:] != codes[:-1]
+    return rows if new.all() else rows.filter(pa.array(new))
 
-    return docs.select("no", "spans", "text").mapInArrow(work, _SENT)
 
+def _same(left: DataFrame, right: DataFrame) -> Column:
+    return left["doc_id"].eqNullSafe(right["doc_id"]) & (left["text_key"] == right["text_key"])
 
-def _windows(docs: DataFrame, buckets: int, size: int, flush: int) -> DataFrame:
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sender = WindowSender(buckets, flush)
-        for batch in batches:
-            for number, spans, found, text in zip(*(batch.column(c) for c in range(4)), strict=True):
-                number, spans = number.as_py(), [(s["begin"], s["end"]) for s in spans.as_py() or []]
-                repeated = np.unique(np.concatenate([_unpack(f) for f in found.as_py()]))
-                for offset, piece in pieces((text.as_py() or "").encode(), size):
-                    data = np.frombuffer(piece, np.uint8)
-                    live = _live(len(data) - LENGTH + 1, offset, spans)
-                    positions, grams = _samples(data, offset, live)
-                    hit = positions[np.isin(grams, repeated)]
-                    around = np.zeros(len(live) + MODULUS + 1, np.int32)
-                    np.add.at(around, np.maximum(hit - MODULUS + 1, 0), 1)
-                    np.add.at(around, np.minimum(hit + 1, len(live)), -1)
-                    starts = np.flatnonzero((np.cumsum(around)[: len(live)] > 0) & live)
-                    if len(starts):
-                        yield from sender.add(
-                            window_hashes(data, LENGTH, 0)[starts],
-                            window_hashes(data, LENGTH, 1)[starts] >> np.uint64(32),
-                            np.full(len(starts), number, np.uint64),
-                            (starts + offset).astype(np.uint64),
-                        )
-        yield from sender.flush()
-
-    return docs.select("no", "spans", "found", "text").mapInArrow(work, _SENT)
-
-
-def _cleaned(text: bytes, spans: list, starts: np.ndarray) -> tuple[int, int, bytes]:
-    """Removed bytes, maximal removed runs and what is left."""
-    edge = np.zeros(len(text) + 1, np.int32)
-    for begin, end in spans:
-        edge[begin] += 1
-        edge[end + LENGTH - 1] -= 1
-    np.add.at(edge, starts, 1)
-    np.add.at(edge, starts + LENGTH, -1)
-    gone = np.cumsum(edge[:-1]) > 0
-    runs = int(np.count_nonzero(gone[1:] & ~gone[:-1])) + int(len(gone) > 0 and gone[0])
-    return int(gone.sum()), runs, np.frombuffer(text, np.uint8)[~gone].tobytes()
+
+def _with_list(docs: DataFrame, lists: DataFrame, how: str) -> DataFrame:
+    held = lists.columns[-1]
+    return docs.join(lists, _same(docs, lists), how).select(docs["doc_id"], docs["text_key"], "text", held)
 
 
 def without_repeats(
@@ -347,50 +331,56 @@ def without_repeats(
     text: str = "text",
     with_bytes: bool = True,
     piece: int = PIECE,
-    flush: int = FLUSH,
+    block: int = BLOCK,
+    part: int = PART,
 ) -> DataFrame:
     """Per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256 and, if asked for, kept, the bytes left.
 
-    NULL texts are empty; a NULL id comes before all others. Rows alike in id and text are
-    one document and get one result each; rows of one id and different texts follow each
-    other by a hash of their text. `piece` and `flush` bound what a task holds: bytes of a
-    text worked on at once, entries sorted at once; results do not depend on them.
+    NULL texts are empty; a NULL id comes before all others, ids are of any type that sorts.
+    Rows alike in id and text are one document and get one result each; rows of one id and
+    different texts follow each other by a hash of their text. `piece`, `block` and `part` bound
+    what a task holds: bytes of text worked on at once, bytes of buckets sorted at once,
+    different cells of a bucket that stay together; results do not depend on them.
     """
-    spark = docs.sparkSession
-    scratch = session_scratch(spark)
-    buckets = BUCKETS_A_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keyed = docs.select(
-        F.col(doc_id).alias("doc_id"),
-        F.coalesce(F.col(doc_id).cast("long"), F.lit(int(NOBODY))).alias("id"),
-        F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("text_key"),
-        F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"),
+    if piece >= 1 << PLACE_BITS - 1:
+        raise ValueError(f"piece must be below {1 << PLACE_BITS - 1}")
+    scratch = session_scratch(docs.sparkSession)
+    whole = F.coalesce(F.col(text).cast("string"), F.lit(""))
+    keyed = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(whole).alias("text_key"), whole.alias("text"))
+    key = ["doc_id", "text_key"]
+    place = F.struct(*key, "begin", "n")
+
+    all_cells = scratch.store(_cells(keyed, piece))
+    kinds = scratch.store(
+        all_cells.groupBy("bucket", "hash").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("times"))
     )
-    key = ["id", "text_key"]
-    order = (F.col("id"), F.col("text_key"))
-    distinct = keyed.select(*key).distinct().withColumn("no", F.lit(1).cast("long"))
-    numbered = running_totals(in_ranges(distinct, order, scratch), order, ("no",)).select(*key, F.col("no_before").alias("no"))
-
-    blocks = scratch.store(_blocks(keyed, piece))
-    place = F.struct("id", "text_key", "begin")
-    first = blocks.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    first = scratch.store(first.drop("n"))
-    later = blocks.join(first, ["h1", "h2"]).where(place != F.col("first"))
-    spans = later.groupBy(*key).agg(F.collect_set(F.struct("begin", "end")).alias("spans"))
-    meta = scratch.store(numbered.join(spans, key, "left"))
-    scratch.drop(blocks)
-
-    grams = _settle(_grams(keyed.drop("doc_id").join(meta, key), buckets, piece, flush), _repeated_grams, scratch)
-    flagged = meta.join(grams, "no")
-    later_starts = _settle(_windows(keyed.drop("doc_id").join(flagged, key), buckets, piece, flush), _later_windows, scratch)
-    marks = scratch.store(
-        meta.join(later_starts, "no", "left").where("spans IS NOT NULL OR found IS NOT NULL").select(*key, "spans", "found")
-    )
-    return _finish(keyed.join(marks, key, "left"), with_bytes)
+    copied = kinds.where("times > 1").select("bucket", "hash", "first")
+    copies = all_cells.join(copied, ["bucket", "hash"]).where(~place.eqNullSafe(F.col("first")))
+    copies = scratch.store(copies.select(*key, "begin", (F.col("begin") + F.col("n")).alias("end")))
+    scratch.drop(all_cells)
 
+    shared = kinds.groupBy("bucket").agg(F.count(F.lit(1)).alias("cells")).where("cells > 1")
+    parts = F.floor((F.col("cells") - 1) / part).cast("int") + 1
+    wanted = kinds.join(shared, "bucket").select("first.*", "bucket", parts.alias("parts"))
+    wanted = wanted.groupBy(*key).agg(F.collect_list(F.struct("begin", "n", "bucket", "parts")).alias("cells"))
+    later = scratch.store(_decided(_sent(_with_list(keyed, wanted, "inner")), block))
+    scratch.drop(kinds)
 
-def _finish(marked: DataFrame, with_bytes: bool) -> DataFrame:
-    kind = marked.schema["doc_id"].dataType.simpleString()
+    spans = copies.unionByName(later).groupBy(*key).agg(F.collect_list(F.struct("begin", "end")).alias("spans"))
+    return _finish(_with_list(keyed, spans, "left"), with_bytes)
 
+
+def _cleaned(text: bytes, begins: np.ndarray, ends: np.ndarray) -> tuple[int, int, bytes]:
+    """Removed bytes, maximal removed runs and what is left, by spans of later windows."""
+    edge = np.zeros(len(text) + 1, np.int32)
+    np.add.at(edge, begins, 1)
+    np.add.at(edge, ends + LENGTH - 1, -1)
+    gone = np.cumsum(edge[:-1]) > 0
+    runs = int(np.count_nonzero(gone[1:] & ~gone[:-1])) + int(len(gone) > 0 and gone[0])
+    return int(gone.sum()), runs, np.frombuffer(text, np.uint8)[~gone].tobytes()
+
+
+def _finish(marked: DataFrame, with_bytes: bool) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[list] = [[] for _ in range(5)]
@@ -401,13 +391,12 @@ def _finish(marked: DataFrame, with_bytes: bool) -> DataFrame:
                 types = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary())
                 return pa.RecordBatch.from_arrays([ids, *(pa.array(c, t) for c, t in zip(out, types, strict=True))], _RESULT)
 
-            for text, spans, found in zip(*(batch.column(c) for c in (1, 2, 3)), strict=True):
+            bounds, (begins, ends) = _lists(batch, 2)
+            for row, text in enumerate(batch.column(1)):
                 whole = text.as_py().encode()
-                spans = [(s["begin"], s["end"]) for s in spans.as_py() or []]
-                starts = [_unpack(f).astype(np.int64) for f in found.as_py() or []]
-                if spans or starts:
-                    starts = np.concatenate(starts) if starts else np.zeros(0, np.int64)
-                    removed, runs, kept = _cleaned(whole, spans, starts)
+                mine = slice(bounds[row], bounds[row + 1])
+                if bounds[row] < bounds[row + 1]:
+                    removed, runs, kept = _cleaned(whole, begins[mine], ends[mine])
                 else:
                     removed, runs, kept = 0, 0, whole
                 for column, value in zip(out, (len(whole), removed, runs, hashlib.sha256(kept).hexdigest(), kept if with_bytes else None), strict=True):
@@ -422,8 +411,8 @@ def _finish(marked: DataFrame, with_bytes: bool) -> DataFrame:
             if out[0]:
                 yield rows(at)
 
-    cleaned = marked.select("doc_id", "text", "spans", "found").mapInArrow(
-        work, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
+    cleaned = marked.select("doc_id", "text", "spans").mapInArrow(
+        work, f"doc_id {_kind(marked)}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
     )
     return cleaned if with_bytes else cleaned.drop("kept")
 

@@ -49,10 +49,18 @@ def make_rows():
     return rows + [rows[7]]  # a repeated row
 
 
-@pytest.mark.parametrize("piece,flush", [(1 << 21, 1 << 21), (256, 300)])
-def test_equals_brute_force(spark, piece, flush):
+@pytest.mark.parametrize("sizes", [{}, {"piece": 256, "block": 300, "part": 1}, {"block": 2000, "part": 3}])
+def test_equals_brute_force(spark, sizes):
     rows = make_rows()
-    assert found(spark, rows, piece=piece, flush=flush) == brute(rows)
+    assert found(spark, rows, **sizes) == brute(rows)
+
+
+def test_ids_that_are_no_numbers(spark):
+    rows = make_rows()
+    named = [(None if i is None else f"d{i:06}", t) for i, t in rows]
+    docs = spark.createDataFrame(named, "doc_id string, text string")
+    rows_found = sorted((tuple(r)[:5] for r in repeats.without_repeats(docs).collect()), key=str)
+    assert rows_found == sorted(((None if r[0] is None else f"d{r[0]:06}", *r[1:]) for r in brute(rows)), key=str)
 
 
 def test_equals_sql(spark):
@@ -70,14 +78,35 @@ def test_equals_sql(spark):
 def test_the_cover_meets_every_shift():
     differences = {(a - b) % repeats.MODULUS for a in repeats.COVER for b in repeats.COVER}
     assert differences == set(range(repeats.MODULUS))
-    assert repeats.GRAM + repeats.MODULUS - 1 == repeats.LENGTH
+    assert repeats.FIRST + sum(repeats.STEPS) == repeats.DEPTH
+    depth = repeats.FIRST
+    for step in repeats.STEPS:
+        assert step % repeats.MODULUS == 0 and step <= depth
+        depth += step
 
 
-def test_packed_numbers_come_back():
+def test_ranks_order_samples_as_bytes_do():
     rng = np.random.default_rng(1)
-    values = rng.integers(0, 2**64 - 1, 1000, dtype=np.uint64)
-    assert (repeats._unpack(repeats._pack(values)) == values).all()
-    assert (repeats._unpack(repeats._pack(np.sort(values))) == np.sort(values)).all()
+    data = np.tile(rng.integers(97, 99, 150).astype(np.uint8), 5)
+    data[400] = 120
+    ranks, raw = repeats.sample_ranks(data), data.tobytes() + bytes(repeats.LENGTH)
+    samples = [p for p in range(len(data)) if p % 3 in repeats.COVER]
+    strings = [raw[p : p + repeats.DEPTH] for p in samples]
+    by_bytes = {s: k + 1 for k, s in enumerate(sorted(set(strings)))}
+    assert [by_bytes[s] for s in strings] == ranks[samples].tolist()
+
+
+def test_later_windows_are_found_at_every_phase():
+    rng = np.random.default_rng(3)
+    base = rng.integers(97, 123, 140).astype(np.uint8)
+    data = np.concatenate([base, base[:1], base, base[:1], base, rng.integers(97, 123, 60).astype(np.uint8)])
+    starts = np.arange(len(data) - 99)
+    seen, expected = set(), []
+    for at in starts:
+        window = data[at : at + 100].tobytes()
+        expected.append(window in seen)
+        seen.add(window)
+    assert repeats.later_windows(data, starts).tolist() == expected and sum(expected) > 80
 
 
 def test_window_hashes_depend_on_the_bytes_alone():
