@@ -5,8 +5,9 @@ such a string at one start.
 
 1. Cells. The smallest hash of the grams (`GRAM` bytes) inside a window names its suffix
    bucket, so equal windows share one. Neighbours with the same smallest gram, at most
-   `SHIFTS` of them, are a cell. A cell enters as two 64-bit hashes and its place. Of cells with
-   equal bytes all but the first hold later windows only, and nothing another needs as source.
+   `SHIFTS` of them, are a cell. A cell goes to its bucket as two 64-bit hashes and its place.
+   Of cells with equal bytes all but the first hold later windows only, and nothing another
+   needs as source; a task settles those it meets itself, so common cells go out once a task.
 2. Suffix buckets. Only buckets with several different cells can hold more. One copy of
    each such cell goes there with its bytes, in order of place.
 3. Cover ranks. A task sorts one block of whole buckets at a time. Positions whose number
@@ -16,7 +17,7 @@ such a string at one start.
    bytes are compared, not hashes.
 
 A bucket with very many different cells is cut by the hash of whole windows into parts, so
-none outgrows a task. All else that is shuffled is aggregated before.
+none outgrows a task.
 """
 
 import hashlib
@@ -24,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,7 +33,7 @@ from ..session import session_scratch
 from .common import slices, string_texts, text_buffer
 
 LENGTH = 100
-SHIFTS = 57
+SHIFTS = 69
 GRAM = LENGTH - SHIFTS + 1
 # Every number below 3 is a difference of two of the cover, mod 3.
 MODULUS = 3
@@ -44,6 +46,8 @@ PIECE = 1 << 21
 # Bytes of buckets that a task sorts at once; different cells of one part of a bucket.
 BLOCK = 1 << 21
 PART = 4096
+# Cells that a task settles among themselves before it sends them.
+FLUSH = 1 << 20
 # Low bits of a gram's sort key that hold its position, so that the leftmost of equal ones wins.
 PLACE_BITS = 24
 
@@ -122,10 +126,12 @@ def _stretches(batch: pa.RecordBatch, text: int, size: int) -> Iterator[tuple[np
         row += part.num_rows
 
 
-def _cells(docs: DataFrame, size: int) -> DataFrame:
-    """(doc_id, text_key, bucket, hash, begin, n) of all cells."""
+def _cells(docs: DataFrame, size: int, flush: int) -> DataFrame:
+    """(bucket, hash, doc_id, text_key, begin, n) of all cells; n is negative for those known to come later."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        count = 0
         for batch in batches:
             batch = batch.set_column(2, "text", string_texts(batch, 2))
             for data, bounds, row, offset in _stretches(batch, 2, size):
@@ -138,23 +144,128 @@ def _cells(docs: DataFrame, size: int) -> DataFrame:
                 live = np.cumsum(edge)[: len(data) - LENGTH + 1] > 0
                 if not live.any():
                     continue
-                bucket, whole, begin, count = cells(data, live)
+                bucket, whole, begin, windows = cells(data, live)
                 owner = np.searchsorted(bounds, begin, side="right") - 1
                 rows = pa.array(owner + row)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).take(rows), batch.column(1).take(rows),
-                        pa.array(bucket.view(np.int64)), pa.array(whole.view(np.int64)),
-                        pa.array(begin - bounds[owner] + offset), pa.array(count.astype(np.int32)),
-                    ],
-                    ["doc_id", "text_key", "bucket", "hash", "begin", "n"],
+                held.append(
+                    pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(bucket.view(np.int64)), pa.array(whole.view(np.int64)),
+                            batch.column(0).take(rows), batch.column(1).take(rows),
+                            pa.array(begin - bounds[owner] + offset), pa.array(windows.astype(np.int32)),
+                        ],
+                        _CELL,
+                    )
                 )
+                count += len(begin)
+                if count >= flush:
+                    yield from _settled(pa.Table.from_batches(held))
+                    held, count = [], 0
+        if held:
+            yield from _settled(pa.Table.from_batches(held))
 
     return docs.select("doc_id", "text_key", "text").mapInArrow(
-        work, f"doc_id {_kind(docs)}, text_key long, bucket long, hash long, begin long, n int"
+        work, f"bucket long, hash long, doc_id {_kind(docs)}, text_key long, begin long, n int"
     )
 
 
+_CELL = ["bucket", "hash", "doc_id", "text_key", "begin", "n"]
+_PLACE = ["doc_id", "text_key", "begin"]
+
+
+def _column(rows: pa.Table, name: str) -> pa.Array:
+    column = rows.column(name).combine_chunks()
+    return column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+
+
+def _changes(rows: pa.Table, names: list[str]) -> np.ndarray:
+    """Whether each row differs from the one before it in any of the columns; NULLs are alike."""
+    new = np.zeros(len(rows), bool)
+    new[:1] = True
+    for name in names:
+        codes = _column(rows, name)
+        codes = codes.dictionary_encode("encode").indices if codes.null_count or not pa.types.is_integer(codes.type) else codes
+        codes = codes.to_numpy()
+        new[1:] |= codes[1:] != codes[:-1]
+    return new
+
+
+def _firsts(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Of cells in order: the first of each kind, and the later ones; the same place counts once."""
+    kind = _changes(rows, ["bucket", "hash"])
+    place = _changes(rows, _PLACE) | kind
+    number = np.cumsum(place)
+    later = place & (number != number[np.flatnonzero(kind)][np.cumsum(kind) - 1]) if len(rows) else place
+    return kind, later
+
+
+def _settled(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+    """The first cell of each kind, and the later ones marked, dealt out by their place."""
+    hashes = [rows.column(c).to_numpy() for c in ("bucket", "hash")]
+    order = np.lexsort(hashes)
+    same = np.concatenate([[False], (np.diff(hashes[0][order]) == 0) & (np.diff(hashes[1][order]) == 0)])
+    alike = same.copy()
+    alike[:-1] |= same[1:]
+    yield from rows.take(pa.array(order[~alike])).to_batches()
+    rows = rows.take(pa.array(order[alike]))
+    rows = rows.take(pc.sort_indices(rows, [(c, "ascending") for c in _CELL[:-1]], null_placement="at_start"))
+    first, later = _firsts(rows)
+    yield from rows.filter(pa.array(first)).to_batches()
+    rows = rows.filter(pa.array(later))
+    rows = rows.set_column(0, "bucket", pa.array(rows.column("text_key").to_numpy() ^ (rows.column("begin").to_numpy() << 32)))
+    yield from rows.set_column(5, "n", pa.array(-rows.column("n").to_numpy())).to_batches()
+
+
+def _groups(batches: Iterator[pa.RecordBatch], keys: list[str], size: int) -> Iterator[tuple[pa.Table, int | None]]:
+    """Ordered rows in blocks of whole groups, about `size` bytes each, with the bucket that follows."""
+    held: list[pa.RecordBatch] = []
+    total = 0
+    for batch in batches:
+        held.append(batch)
+        total += batch.nbytes
+        if total < size:
+            continue
+        rows = pa.Table.from_batches(held)
+        cut = int(np.flatnonzero(_changes(rows, keys))[-1]) if len(rows) else 0
+        if cut:
+            yield rows.slice(0, cut), rows.column("bucket")[cut].as_py()
+            held = rows.slice(cut).combine_chunks().to_batches()
+            total = sum(b.nbytes for b in held)
+    if total:
+        yield pa.Table.from_batches(held), None
+
+
+def _judged(sent: DataFrame, block: int) -> DataFrame:
+    """(doc_id, text_key, begin, n, bucket): cells that come later, without a bucket, and those to sort."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        open_bucket = None
+        for rows, following in _groups(batches, ["bucket", "hash"], block):
+            windows = rows.column("n").to_numpy()
+            settled = rows.filter(pa.array(windows < 0))
+            settled = settled.set_column(5, "n", pa.array(-settled.column("n").to_numpy()))
+            rows = rows.filter(pa.array(windows > 0))
+            first, later = _firsts(rows)
+            kinds = rows.filter(pa.array(first))
+            buckets = kinds.column("bucket").to_numpy()
+            shared = np.zeros(len(buckets), bool)
+            same = buckets[1:] == buckets[:-1]
+            shared[1:] |= same
+            shared[:-1] |= same
+            # a bucket that goes on in another block has several kinds
+            for other in (open_bucket, following):
+                if other is not None:
+                    shared |= buckets == other
+            open_bucket = following
+            for part, wanted in ((settled, None), (rows.filter(pa.array(later)), None), (kinds.filter(pa.array(shared)), "bucket")):
+                if len(part):
+                    bucket = part.column(wanted) if wanted else pa.nulls(len(part), pa.int64())
+                    yield from pa.table([*(part.column(c) for c in (*_PLACE, "n")), bucket], [*_PLACE, "n", "bucket"]).to_batches()
+
+    ordered = sent.repartition("bucket").sortWithinPartitions("bucket", "hash", *_PLACE)
+    return ordered.mapInArrow(work, f"doc_id {_kind(sent)}, text_key long, begin long, n int, bucket long")
+
+
 def _kind(docs: DataFrame) -> str:
     return docs.schema["doc_id"].dataType.simpleString()
 
@@ -262,9 +373,9 @@ def _decided(sent: DataFrame, block: int) -> DataFrame:
     """(doc_id, text_key, begin, end): spans of later windows of the cells sent, bucket by bucket."""
 
     def spans(rows: pa.Table) -> pa.RecordBatch:
-        rows = _once(rows)
-        strings = rows.column("bytes").combine_chunks()
-        strings = strings.chunk(0) if isinstance(strings, pa.ChunkedArray) else strings
+        # a repeated row sent its cells again
+        rows = rows.filter(pa.array(_changes(rows, ["bucket", *_PLACE])))
+        strings = _column(rows, "bytes")
         data, bounds = text_buffer(strings)
         count = np.diff(bounds) - LENGTH + 1
         owner = np.repeat(np.arange(len(count)), count)
@@ -275,45 +386,18 @@ def _decided(sent: DataFrame, block: int) -> DataFrame:
         closes = later & np.concatenate([~later[1:] | (owner[1:] != owner[:-1]), [True]])
         at = pa.array(owner[opens])
         begin = rows.column("begin").to_numpy()[owner[opens]]
-        columns = [rows.column(c).combine_chunks().take(at) for c in ("doc_id", "text_key")]
-        columns = [c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in columns]
+        columns = [_column(rows, c).take(at) for c in ("doc_id", "text_key")]
         return pa.RecordBatch.from_arrays(
             [*columns, pa.array(begin + within[opens]), pa.array(begin + within[closes] + 1)],
             ["doc_id", "text_key", "begin", "end"],
         )
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        size = 0
-        for batch in batches:
-            held.append(batch)
-            size += batch.column("bytes").nbytes
-            if size < block:
-                continue
-            rows = pa.Table.from_batches(held)
-            buckets = rows.column("bucket").to_numpy()
-            cut = int(np.searchsorted(buckets, buckets[-1]))
-            if cut:
-                yield spans(rows.slice(0, cut))
-                held = rows.slice(cut).combine_chunks().to_batches()
-                size = sum(b.column("bytes").nbytes for b in held)
-        if size:
-            yield spans(pa.Table.from_batches(held))
-
-    ordered = sent.repartition("bucket").sortWithinPartitions("bucket", "doc_id", "text_key", "begin")
-    return ordered.mapInArrow(work, f"doc_id {_kind(sent)}, text_key long, begin long, end long")
-
+        for rows, _ in _groups(batches, ["bucket"], block):
+            yield spans(rows)
 
-def _once(rows: pa.Table) -> pa.Table:
-    """Ordered rows without those that a repeated input row sent again."""
-    new = np.zeros(len(rows), bool)
-    new[:1] = True
-    for name in ("bucket", "doc_id", "text_key", "begin"):
-        codes = rows.column(name).combine_chunks().dictionary_encode("encode")
-        codes = codes.combine_chunks() if isinstance(codes, pa.ChunkedArray) else codes
-        codes = codes.indices.to_numpy()
-        new[1:] |= codes[1:] != codes[:-1]
-    return rows if new.all() else rows.filter(pa.array(new))
+    ordered = sent.repartition("bucket").sortWithinPartitions("bucket", *_PLACE)
+    return ordered.mapInArrow(work, f"doc_id {_kind(sent)}, text_key long, begin long, end long")
 
 
 def _same(left: DataFrame, right: DataFrame) -> Column:
@@ -331,6 +415,7 @@ def without_repeats(
     text: str = "text",
     with_bytes: bool = True,
     piece: int = PIECE,
+    flush: int = FLUSH,
     block: int = BLOCK,
     part: int = PART,
 ) -> DataFrame:
@@ -338,9 +423,10 @@ def without_repeats(
 
     NULL texts are empty; a NULL id comes before all others, ids are of any type that sorts.
     Rows alike in id and text are one document and get one result each; rows of one id and
-    different texts follow each other by a hash of their text. `piece`, `block` and `part` bound
-    what a task holds: bytes of text worked on at once, bytes of buckets sorted at once,
-    different cells of a bucket that stay together; results do not depend on them.
+    different texts follow each other by a hash of their text. `piece`, `flush`, `block` and `part`
+    bound what a task holds: bytes of text worked on at once, cells settled at once, bytes of
+    buckets sorted at once (sixteen times that of cells), different cells of a bucket that stay
+    together; results do not depend on them.
     """
     if piece >= 1 << PLACE_BITS - 1:
         raise ValueError(f"piece must be below {1 << PLACE_BITS - 1}")
@@ -348,23 +434,15 @@ def without_repeats(
     whole = F.coalesce(F.col(text).cast("string"), F.lit(""))
     keyed = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(whole).alias("text_key"), whole.alias("text"))
     key = ["doc_id", "text_key"]
-    place = F.struct(*key, "begin", "n")
+    judged = scratch.store(_judged(_cells(keyed, piece, flush), 16 * block))
+    copies = judged.where("bucket IS NULL").select(*key, "begin", (F.col("begin") + F.col("n")).alias("end"))
 
-    all_cells = scratch.store(_cells(keyed, piece))
-    kinds = scratch.store(
-        all_cells.groupBy("bucket", "hash").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("times"))
-    )
-    copied = kinds.where("times > 1").select("bucket", "hash", "first")
-    copies = all_cells.join(copied, ["bucket", "hash"]).where(~place.eqNullSafe(F.col("first")))
-    copies = scratch.store(copies.select(*key, "begin", (F.col("begin") + F.col("n")).alias("end")))
-    scratch.drop(all_cells)
-
-    shared = kinds.groupBy("bucket").agg(F.count(F.lit(1)).alias("cells")).where("cells > 1")
-    parts = F.floor((F.col("cells") - 1) / part).cast("int") + 1
-    wanted = kinds.join(shared, "bucket").select("first.*", "bucket", parts.alias("parts"))
+    wanted = judged.where("bucket IS NOT NULL")
+    large = wanted.groupBy("bucket").agg(F.count(F.lit(1)).alias("cells")).where(F.col("cells") > part)
+    parts = F.coalesce(F.floor((F.col("cells") - 1) / part).cast("int") + 1, F.lit(1))
+    wanted = wanted.join(large, "bucket", "left").select(*key, "begin", "n", "bucket", parts.alias("parts"))
     wanted = wanted.groupBy(*key).agg(F.collect_list(F.struct("begin", "n", "bucket", "parts")).alias("cells"))
     later = scratch.store(_decided(_sent(_with_list(keyed, wanted, "inner")), block))
-    scratch.drop(kinds)
 
     spans = copies.unionByName(later).groupBy(*key).agg(F.collect_list(F.struct("begin", "end")).alias("spans"))
     return _finish(_with_list(keyed, spans, "left"), with_bytes)

@@ -49,7 +49,7 @@ def make_rows():
     return rows + [rows[7]]  # a repeated row
 
 
-@pytest.mark.parametrize("sizes", [{}, {"piece": 256, "block": 300, "part": 1}, {"block": 2000, "part": 3}])
+@pytest.mark.parametrize("sizes", [{}, {"piece": 256, "flush": 50, "block": 20, "part": 1}, {"flush": 1, "block": 2000, "part": 3}])
 def test_equals_brute_force(spark, sizes):
     rows = make_rows()
     assert found(spark, rows, **sizes) == brute(rows)
