@@ -37,6 +37,8 @@ ROUNDS = 6
 BATCHES = 4
 # Tokens whose neighbours a task counts before it passes them on.
 COUNTED = 2_000_000
+# Counts of one word that are joined at once; a corpus with more goes through a step in between.
+LISTS = 256
 FREQUENT = 100_000
 ADD = 0.1
 # Weight of the class's overall share in the smoothed transition.
@@ -171,15 +173,26 @@ class _Numbers(dict):
         return number
 
 
-def neighbours(docs: DataFrame, core: list[bytes], assigned: np.ndarray) -> DataFrame:
+def salts(total: int) -> int:
+    """Groups that the counts of one word are summed in first, in a corpus of `total` tokens.
+
+    A word comes once for every COUNTED tokens. Up to LISTS of these are joined at once; of
+    more, F in number, the root of F are, first within each group and then across groups.
+    """
+    flushes = total // COUNTED + 1
+    return 1 if flushes <= LISTS else math.isqrt(flushes - 1) + 1
+
+
+def neighbours(docs: DataFrame, core: list[bytes], assigned: np.ndarray, total: int) -> DataFrame:
     """(word, class, codes, times): a word's first class and how often which class stands beside it.
 
     A code is the class after the word, or CLASSES more than the class before it. Every word
-    has a single row with each of its codes once.
+    has a single row with each of its codes once, so at most twice CLASSES. `total` is the
+    number of tokens; it decides how many rows of a word meet at once, not what they add up to.
     """
     shared = docs.sparkSession.sparkContext.broadcast((core, assigned))
 
-    def counted(line: list[int], numbers: _Numbers) -> pa.RecordBatch:
+    def counted(line: list[int], numbers: _Numbers, flush: int) -> pa.RecordBatch:
         names = list(numbers)
         units = Units(shared.value[0])
         classes = shared.value[1][[END, *units.of(names)]]
@@ -195,22 +208,23 @@ def neighbours(docs: DataFrame, core: list[bytes], assigned: np.ndarray) -> Data
                 pa.array(classes[1:], pa.int32()),
                 pa.ListArray.from_arrays(bounds, pa.array(codes, pa.int16())),
                 pa.ListArray.from_arrays(bounds, pa.array(times, pa.int64())),
+                pa.array(np.full(len(names), flush, np.int32)),
             ],
-            ["word", "class", "codes", "times"],
+            ["word", "class", "codes", "times", "flush"],
         )
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        numbers, line = _Numbers(), [END]
+        numbers, line, flush = _Numbers(), [END], 0
         for batch in batches:
             for part in slices(pa.RecordBatch.from_arrays([string_texts(batch, 0)], ["text"]), 0):
                 for text in texts(part.column(0)):
                     line += [numbers[w] for w in tokens(text)]
                     line.append(END)
                 if len(line) > COUNTED:
-                    yield counted(line, numbers)
-                    numbers, line = _Numbers(), [END]
+                    yield counted(line, numbers, flush)
+                    numbers, line, flush = _Numbers(), [END], flush + 1
         if numbers:
-            yield counted(line, numbers)
+            yield counted(line, numbers, flush)
 
     def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -223,17 +237,21 @@ def neighbours(docs: DataFrame, core: list[bytes], assigned: np.ndarray) -> Data
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *lists], ["word", "class", "codes", "times"])
 
     schema = "word string, class int, codes array<short>, times array<long>"
-    whole = (
-        docs.select("text")
-        .mapInArrow(work, schema)
-        .groupBy("word")
-        .agg(
+
+    def summed(rows: DataFrame, *salt: Column) -> DataFrame:
+        whole = rows.groupBy("word", *salt).agg(
             F.first("class").alias("class"),
             F.flatten(F.collect_list("codes")).alias("codes"),
             F.flatten(F.collect_list("times")).alias("times"),
         )
-    )
-    return whole.mapInArrow(merged, schema)
+        return whole.select("word", "class", "codes", "times").mapInArrow(merged, schema)
+
+    rows = docs.select("text").mapInArrow(work, f"{schema}, flush int")
+    many = salts(total)
+    if many > 1:
+        salt = F.pmod(F.spark_partition_id() + F.col("flush"), F.lit(many)).alias("salt")
+        rows = summed(rows.select("word", "class", "codes", "times", salt), F.col("salt"))
+    return summed(rows)
 
 
 def _entries(codes: pa.ListArray, times: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -330,7 +348,7 @@ def cluster(training: DataFrame, scratch) -> tuple[Classes, DataFrame]:
     member = np.eye(CLASSES)[assigned]
     joint = member.T @ pairs @ member
     totals = np.concatenate([joint, joint.T], axis=1)
-    found = scratch.store(neighbours(training, core, assigned))
+    found = scratch.store(neighbours(training, core, assigned, int(pairs.sum())))
     moved = []
     for batch in range(BATCHES):
         moved.append(scratch.store(move_words(found, totals, batch)))

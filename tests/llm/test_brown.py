@@ -72,6 +72,78 @@ def test_base_scores_by_definition(spark, monkeypatch, frequent):
     assert train_gain > 0
 
 
+@pytest.mark.parametrize("frequent", [100_000, 3])
+def test_scores_by_definition(spark, monkeypatch, frequent):
+    monkeypatch.setattr(brown, "FREQUENT", frequent)
+    monkeypatch.setattr(brown, "CORE", 3)
+    from lendspan.session import Scratch
+
+    rows, docs = tables(spark)
+    held = lambda i: i is not None and zlib.crc32(str(i).encode()) % 10 == 0
+    chosen = docs.select("doc_id", brown.F.coalesce("text", brown.F.lit("")).alias("text"))
+    with Scratch(spark) as scratch:
+        classes, words = brown.cluster(chosen.where(~brown.held_out(brown.F.col("doc_id"))), scratch)
+        class_of = {r.word: r["class"] for r in words.collect()}
+    n, types, follow, size = Counter(), Counter(), Counter(), Counter()
+    for i, t, _ in rows:
+        if held(i):
+            continue
+        before = 0
+        for w in [*split(t), None]:
+            c = class_of.get(w, 0)
+            n[w] += 1
+            size[c] += 1
+            follow[before, c] += 1
+            before = c
+    for w in n:
+        types[class_of.get(w, 0)] += 1
+    total = sum(n.values())
+
+    def score(text):
+        logs, before = 0.0, 0
+        for w in [*split(text), None]:
+            c = 0 if w is None else class_of[w] if w in class_of else int(classes.groups[brown.group_of(w.encode())])
+            step = follow[before, c] + brown.PRIOR * size[c] / total + 1e-9
+            step /= size[before] + brown.PRIOR + 1e-9 * brown.CLASSES
+            logs += math.log10(step) + math.log10((n[w] + 0.1) / (size[c] + 0.1 * (types[c] + 1)))
+            before = c
+        return logs
+
+    expected = sorted(((i, round(score(t), 6)) for i, t, _ in rows), key=str)
+    assert sorted(((r.doc_id, round(r.score, 6)) for r in brown.scores(docs).collect()), key=str) == expected
+
+
+@pytest.mark.parametrize("lists", [256, 1])
+def test_neighbours_are_counted_exactly_however_they_are_joined(spark, monkeypatch, lists):
+    monkeypatch.setattr(brown, "COUNTED", 40)
+    monkeypatch.setattr(brown, "LISTS", lists)
+    rows, docs = tables(spark)
+    core = [b"the", b"dog"]
+    size = 1 + len(core) + brown.GROUPS
+    assigned = np.array([0, *[1 + k % (brown.CLASSES - 1) for k in range(size - 1)]])
+    units, expected, total = brown.Units(core), Counter(), 0
+    of = lambda w: int(assigned[units.of([w.encode()])[0]]) if w else 0
+    for _, t, _ in rows:
+        line = ["", *split(t), ""]
+        total += len(line) - 1
+        for left, right in zip(line, line[1:]):
+            expected[left, of(right)] += 1
+            expected[right, brown.CLASSES + of(left)] += 1
+    assert (brown.salts(total) > 1) == (lists == 1)
+    found = brown.neighbours(docs.repartition(9), core, assigned, total).collect()
+    assert len(found) == len({r.word for r in found})
+    got = {(r.word, c): n for r in found for c, n in zip(r.codes, r.times, strict=True)}
+    assert got == {k: n for k, n in expected.items() if k[0]}
+    assert all(r["class"] == of(r.word) for r in found)
+
+
+def test_groups_of_a_hot_word_grow_with_the_root_of_the_corpus():
+    assert brown.salts(0) == brown.salts(brown.COUNTED * (brown.LISTS - 1)) == 1
+    for total in (brown.COUNTED * brown.LISTS, 10**10, 6 * 10**12):
+        flushes, many = total // brown.COUNTED + 1, brown.salts(total)
+        assert many**2 >= flushes and -(-flushes // many) <= many < 2 * math.sqrt(flushes)
+
+
 def test_probabilities_of_next_words_sum_to_one(spark):
     _, docs = tables(spark)
     from lendspan.session import Scratch
