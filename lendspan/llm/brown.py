@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import session_scratch
-from .common import LOWER, SPACE, UPPER, ascii_lower, slices, string_texts, texts
+from .common import LOWER, UPPER, slices, string_texts, texts
 
 CORE = 1024
 GROUPS = 255
@@ -37,6 +37,8 @@ ROUNDS = 6
 BATCHES = 4
 # Tokens whose neighbours a task counts before it passes them on.
 COUNTED = 2_000_000
+# Distinct words that a task counts before it passes them on.
+HELD = 300_000
 # Counts of one word that are joined at once; a corpus with more goes through a step in between.
 LISTS = 256
 FREQUENT = 100_000
@@ -138,9 +140,25 @@ def exchange(pairs: np.ndarray, classes: int = CLASSES, rounds: int = ROUNDS) ->
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
-    """(word, n) over all texts, summed in each task before the shuffle."""
-    words = F.regexp_extract_all(ascii_lower(F.col("text")), F.lit(f"[^{SPACE}]+"), F.lit(0))
-    return docs.select(F.explode(words).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    """(word, n) over all texts; a task sums its texts and passes on HELD words at a time."""
+
+    def rows(counts: Counter) -> pa.RecordBatch:
+        words = pa.array(list(counts), pa.binary()).cast(pa.string())
+        return pa.RecordBatch.from_arrays([words, pa.array(list(counts.values()), pa.int64())], ["word", "n"])
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = Counter()
+        for batch in batches:
+            for part in slices(pa.RecordBatch.from_arrays([string_texts(batch, 0)], ["text"]), 0):
+                for text in texts(part.column(0)):
+                    counts.update(tokens(text))
+                if len(counts) > HELD:
+                    yield rows(counts)
+                    counts = Counter()
+        if counts:
+            yield rows(counts)
+
+    return docs.select("text").mapInArrow(work, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def pair_counts(docs: DataFrame, core: list[bytes]) -> DataFrame:
@@ -372,7 +390,6 @@ def read_lines(docs: DataFrame, classes: Classes, words: DataFrame, scratch) ->
     """Per row of docs (doc_id, text): doc_id, n_tokens, known, logs and line, the class of each word as a byte."""
     shared = docs.sparkSession.sparkContext.broadcast(classes)
     kind = docs.schema["doc_id"].dataType.simpleString()
-    rare_type = pa.list_(pa.struct([("word", pa.string()), ("times", pa.int64())]))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
@@ -381,9 +398,17 @@ def read_lines(docs: DataFrame, classes: Classes, words: DataFrame, scratch) ->
             for part in slices(batch, 1):
                 read = [own.read(t) for t in texts(part.column(1))]
                 columns = [pa.array(c, t) for c, t in zip(zip(*(r[:5] for r in read), strict=True), _TYPES, strict=True)]
-                rare = [[{"word": w.decode(), "times": n} for w, n in r[5].items()] for r in read]
+                rare = [r[5] for r in read]
+                entries = pa.StructArray.from_arrays(
+                    [
+                        pa.array([w for r in rare for w in r], pa.binary()).cast(pa.string()),
+                        pa.array([n for r in rare for n in r.values()], pa.int64()),
+                    ],
+                    ["word", "times"],
+                )
+                bounds = pa.array(np.cumsum([0, *map(len, rare)]), pa.int32())
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), *columns, pa.array(rare, rare_type)],
+                    [part.column(0), *columns, pa.ListArray.from_arrays(bounds, entries)],
                     ["doc_id", "n_tokens", "known", "logs", "line", "places", "rare"],
                 )
 
