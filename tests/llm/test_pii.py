@@ -1,5 +1,7 @@
+import hashlib
+import random
 import re
-from datetime import date
+from datetime import date, timedelta
 
 from lendspan.llm import pii
 
@@ -61,6 +63,83 @@ def test_equal_values_stay_linked_and_distinct_values_apart(spark):
     assert rewritten(spark, hosts[:3], "other key") != rewritten(spark, hosts[:3])
 
 
+def keyed(kind, round_no, other, at):
+    found = hashlib.sha256(f"k|{kind}|{round_no}|{other}|{(at - 1) // 16}".encode()).hexdigest()
+    place = 4 * ((at - 1) % 16)
+    return int(found[place : place + 4], 16)
+
+
+def moved(char, by, classes):
+    for members in classes:
+        if char in members:
+            return members[(members.index(char) + by) % len(members)]
+    return char
+
+
+PLAIN = ("0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "àáâãäåæçèéêëìíîïðñòóôõö")
+
+
+def permuted(value, kind, classes=PLAIN):
+    halves = [value[: len(value) // 2], value[len(value) // 2 :]]
+    for i in range(8):
+        other = halves[1 - i % 2]
+        halves[i % 2] = "".join(moved(c, keyed(kind, i, other, k + 1), classes) for k, c in enumerate(halves[i % 2]))
+    return "".join(halves)
+
+
+def permuted_pair(a, b, size, kind):
+    pair = [a, b]
+    for i in range(8):
+        pair[i % 2] = (pair[i % 2] + keyed(kind, i, pair[1 - i % 2], 1)) % size
+    return pair
+
+
+def laid_out(value, new):
+    rest = iter(new)
+    return "".join(next(rest) if c.isdigit() or "A" <= c <= "Z" else c for c in value)
+
+
+def test_pseudonyms_by_definition(spark):
+    rng = random.Random(5)
+    some = lambda letters, n: "".join(rng.choice(letters) for _ in range(n))
+    expected = {}
+    for _ in range(25):
+        body = "4" + some("0123456789", rng.choice([12, 14, 15]))
+        number = next(body + str(c) for c in range(10) if luhn(body + str(c)))
+        new = permuted(body, "card")
+        expected[number] = next(new + str(c) for c in range(10) if luhn(new + str(c)))
+
+        ssn = f"{some('0123456789', 3)}-{some('0123456789', 2)}-{some('0123456789', 4)}"
+        expected[ssn] = laid_out(ssn, permuted(ssn.replace("-", ""), "ssn"))
+
+        national = some("23456789", 10)
+        phone = f"+1 ({national[:3]}) {national[3:6]}-{national[6:]}"
+        expected[phone] = laid_out(phone, "1" + permuted(national, "phone"))
+
+        o = [rng.randrange(256) for _ in range(4)]
+        a, b = permuted_pair(o[0] * 256 + o[1], o[2] * 256 + o[3], 65536, "ip")
+        expected[".".join(map(str, o))] = f"{a // 256}.{a % 256}.{b // 256}.{b % 256}"
+
+        day = rng.randrange(-20_000, 90_000)
+        block, within = divmod(day, 270 * 270)
+        a, b = permuted_pair(within // 270, within % 270, 270, "date")
+        start = date(1900, 1, 1)
+        expected[(start + timedelta(day)).isoformat()] = (start + timedelta(block * 270 * 270 + a * 270 + b)).isoformat()
+
+        local = some("abcxyzABC019._é", rng.randint(1, 40))
+        expected[f"{local}@mail.example.org"] = f"{permuted(local, 'email')}@mail.example.org"
+
+        secret = some("0123456789abcdef", rng.randint(16, 64))
+        expected[f"token={secret}"] = f"token={permuted(secret, 'secret', ('0123456789abcdef',))}"
+
+        account = some("ABCDEFGHIJ", 4) + some("0123456789", 14)
+        iban = next(x for c in range(2, 99) if iban_ok(x := f"GB{c:02d}{account}"))
+        new = permuted(account, "iban")
+        expected[iban] = next(x for c in range(2, 99) if iban_ok(x := f"GB{c:02d}{new}"))
+    values = list(expected)
+    assert rewritten(spark, [f"<{v}>" for v in values]) == [(f"<{expected[v]}>", 1) for v in values]
+
+
 def test_a_long_text_with_many_values(spark):
     text = " ".join(f"word{i} 10.0.{i % 256}.9" for i in range(3000))
     ((found, n),) = rewritten(spark, [text])
