@@ -66,22 +66,21 @@ def group_of(word: bytes) -> int:
     return zlib.crc32(word[-3:]) % GROUPS
 
 
-class Units:
-    """Unit numbers of words: the end is 0, then the core, then the groups."""
+class Units(dict):
+    """Unit numbers of words, kept once asked for: the end is 0, then the core, then the groups."""
 
     def __init__(self, core: list[bytes]) -> None:
         self.core = {w: 1 + i for i, w in enumerate(core)}
         self.size = 1 + len(core) + GROUPS
-        self.memory: dict[bytes, int] = {}
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = unit = self.core.get(word) or 1 + len(self.core) + group_of(word)
+        return unit
 
     def of(self, words: list[bytes]) -> list[int]:
-        memory = self.memory
-        if len(memory) > 300_000:
-            memory.clear()
-        for word in set(words):
-            if word not in memory:
-                memory[word] = self.core.get(word) or 1 + len(self.core) + group_of(word)
-        return [memory[w] for w in words]
+        if len(self) > 300_000:
+            self.clear()
+        return [self[w] for w in words]
 
 
 def _xlogx(x: np.ndarray) -> np.ndarray:
