@@ -71,6 +71,45 @@ def test_half_up_rounds_away_from_zero(spark):
     assert {r.n: r.q for r in df.collect()} == {5: 1, -5: -1, 4: 0, -4: 0, 15: 2, -15: -2, 0: 0, 14: 1, -16: -2}
 
 
+@pytest.mark.parametrize("params", [Params(), Params(funding_rate=D("0.0350123456789"), lgd=D("0.4512345"))])
+def test_commercial_columns_of_the_longest_amounts_are_exact(spark, params):
+    rng = random.Random(8)
+    given = []
+    for i in range(3000):
+        amount = rng.choice([-1, 1, 1]) * rng.randint(0, rng.choice([9, 10**5, 10**10, 10**14 - 1]))
+        amount = rng.choice([amount, amount // 10000 * 10000 + 5000])
+        rate = rng.choice([rng.randint(0, 3000), rng.randint(-999999, 999999)])
+        given.append((i, D(amount).scaleb(-2), D(rate).scaleb(-4), rng.choice([*params.pd_by_bucket])))
+    months = spark.createDataFrame(
+        given, "i int, principal_nzd decimal(14,2), interest_rate_apr decimal(6,4), dpd_bucket string"
+    )
+    found = {r.i: r for r in commercial.with_commercial(months, params).collect()}
+
+    def whole(numerator, denominator):  # half away from zero
+        q, rest = divmod(abs(numerator), denominator)
+        return (q + (2 * rest >= denominator)) * (1 if numerator >= 0 else -1)
+
+    cents = lambda v: int(v.scaleb(2).to_integral_value())
+    unit = 10**20
+    for i, principal, apr, bucket in given:
+        amount, rate, funding = cents(principal), int(apr.scaleb(20)), int(params.funding_rate.scaleb(20))
+        loss = int((D(str(params.pd_by_bucket[bucket])) * params.lgd).scaleb(20))
+        nii = whole(amount * (rate - funding), 12 * unit)
+        expected = (
+            whole(amount * rate, 12 * unit), whole(amount * funding, 12 * unit), nii,
+            whole(amount * loss, unit), whole(nii * unit - amount * loss, unit),
+        )
+        assert tuple(cents(found[i][c]) for c in commercial.MEASURE_COLUMNS) == expected, given[i]
+
+
+def test_usual_rates_need_no_wide_decimals(spark):
+    months = spark.range(1).selectExpr(
+        "CAST(id AS DECIMAL(14,2)) AS principal_nzd", "CAST(id AS DECIMAL(6,4)) AS interest_rate_apr", "'DPD_0' AS dpd_bucket"
+    )
+    plan = commercial.with_commercial(months)._jdf.queryExecution().optimizedPlan().toString()
+    assert "decimal(38" not in plan
+
+
 def test_commercial_columns_against_decimal_arithmetic(make_tables):
     t, loans, _ = random_tables(make_tables, 3)
     cent = lambda v: v.quantize(D("0.01"), ROUND_HALF_UP)
