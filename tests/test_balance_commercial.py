@@ -240,6 +240,18 @@ def test_a_cube_answers_every_slice_as_the_loan_months_do(spark, top):
             assert rows(found, *sorted(expected.columns)) == rows(expected, *sorted(expected.columns)), by
 
 
+def test_the_average_score_of_a_cube_keeps_every_decimal(spark):
+    months = random_months(spark, 2, 3).withColumn("risk_score", F.lit(0.123456789012))
+    for found in (measures.cube_measures(measures.measure_cube(months), ()), measures.measures_of(months, (), True)):
+        assert found.first().avg_risk_score == pytest.approx(0.123456789012, rel=1e-14)
+
+
+def test_commercial_sums_are_not_kept_per_score(spark):
+    plan = measures.measure_cube(random_months(spark, 2, 3))._jdf.queryExecution().optimizedPlan().toString()
+    per_score = [line for line in plan.splitlines() if "Aggregate [" in line and "risk_score" in line.split("]")[0]]
+    assert per_score and not any("nii_est" in line for line in per_score)
+
+
 def test_a_cube_of_no_rows(spark):
     empty = measures.measure_cube(random_months(spark, 1, 5).limit(0))
     assert measures.cube_measures(empty, ("region",)).count() == 0
