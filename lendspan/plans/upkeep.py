@@ -96,7 +96,8 @@ def _read(spark: SparkSession, folder: str, table: str, parts: dict[str, str]) -
 def _write(rows: DataFrame, folder: str, table: str, run: str) -> None:
     columns, by = _TABLES[table]
     typed = rows.select(*[F.col(c).cast(k).alias(c) for c, k in {**columns, **by}.items()])
-    typed.repartition(*by).write.partitionBy(*by).parquet(posixpath.join(folder, table, f"run={run}"))
+    # a partition of the table may be larger than a task can hold; Spark cuts it into several files
+    typed.hint("rebalance", *[F.col(c) for c in by]).write.partitionBy(*by).parquet(posixpath.join(folder, table, f"run={run}"))
 
 
 def _in(parts: list[str], place: int, values: set[str]) -> list[str]:

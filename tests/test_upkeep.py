@@ -6,6 +6,7 @@ from functools import reduce
 import pytest
 from conftest import day, due, loan, paid, rows
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from lendspan.operators import balance, commercial, delinquency
 from lendspan.plans import registry, upkeep
@@ -199,3 +200,22 @@ def test_stored_marts_are_read_by_name(spark, make_tables, tmp_path):
     finally:
         for name in names:
             spark.catalog.dropTempView(name)
+
+
+def test_a_large_partition_of_a_table_is_written_by_several_tasks(spark, tmp_path):
+    rows = spark.range(60_000, numPartitions=6).select(
+        F.col("id").alias("loan_id"),
+        *[F.xxhash64("id", F.lit(c)).cast("string").cast(k).alias(c) if k in ("long", "string") else F.lit(None).cast(k).alias(c)
+          for c, k in upkeep._STATE.items() if c != "loan_id"],
+        F.lit(0).alias("loan_bucket"),
+    )
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "200KB")
+    try:
+        upkeep._write(rows, str(tmp_path), "state", "r")
+    finally:
+        spark.conf.set(key, before)
+    assert len(list(tmp_path.glob("state/run=r/loan_bucket=0/*.parquet"))) > 2
+    stored = upkeep._read(spark, str(tmp_path), "state", {"0": "r"})
+    assert stored.count() == 60_000 and stored.exceptAll(rows.select(*stored.columns)).count() == 0
