@@ -19,16 +19,16 @@ joined with the table of words.
 
 import math
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import session_scratch
-from .common import LOWER, UPPER, slices, string_texts, texts
+from .common import slices, string_texts, text_buffer
 
 CORE = 1024
 GROUPS = 255
@@ -48,8 +48,8 @@ PRIOR = 5.0
 END = 0
 # Place of a word in a line whose class is not known yet.
 OPEN = 255
-
-_LOWER = bytes.maketrans(UPPER.encode(), LOWER.encode())
+# Words that a task passes on in one batch.
+PASSED = 50_000
 
 
 def held_out(doc_id: Column) -> Column:
@@ -57,8 +57,32 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 10 == 0, F.lit(False))
 
 
-def tokens(text: bytes) -> list[bytes]:
-    return text.translate(_LOWER).split()
+def coded(column: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """Row and code of every lower-cased word of the texts in turn, and the distinct words by code."""
+    split = pc.ascii_split_whitespace(pc.ascii_lower(column))
+    rows = np.repeat(np.arange(len(column)), split.value_lengths().to_numpy(zero_copy_only=False))
+    found = split.flatten().dictionary_encode()
+    words, codes = found.dictionary, found.indices.to_numpy().astype(np.int64)
+    empty = pc.index(words, "").as_py()  # white space at either end of a text leaves an empty word there
+    if empty >= 0:
+        is_word = codes != empty
+        rows, codes = rows[is_word], codes[is_word]
+        codes -= codes > empty
+        words = words.filter(pc.not_equal(words, ""))
+    return rows, codes, words
+
+
+def chained(rows: np.ndarray, numbers: np.ndarray, texts: int) -> np.ndarray:
+    """The numbers of all words in one line, with an end before, between and after the texts."""
+    line = np.full(len(numbers) + texts + 1, END, np.int64)
+    line[np.arange(1, len(numbers) + 1) + rows] = numbers
+    return line
+
+
+def merged_words(parts: list[pa.Array]) -> tuple[pa.Array, np.ndarray]:
+    """The distinct words of several lists, and the place in them of each listed word."""
+    found = pa.concat_arrays(parts).dictionary_encode()
+    return found.dictionary, found.indices.to_numpy().astype(np.int64)
 
 
 def group_of(word: bytes) -> int:
@@ -82,6 +106,9 @@ class Units(dict):
             self.clear()
         return [self[w] for w in words]
 
+    def of_column(self, words: pa.Array) -> np.ndarray:
+        return np.array(self.of(words.cast(pa.binary()).to_pylist()), np.int64)
+
 
 def _xlogx(x: np.ndarray) -> np.ndarray:
     return x * np.log(np.maximum(x, 1e-300))
@@ -141,21 +168,32 @@ def exchange(pairs: np.ndarray, classes: int = CLASSES, rounds: int = ROUNDS) ->
 def word_counts(docs: DataFrame) -> DataFrame:
     """(word, n) over all texts; a task sums its texts and passes on HELD words at a time."""
 
-    def rows(counts: Counter) -> pa.RecordBatch:
-        words = pa.array(list(counts), pa.binary()).cast(pa.string())
-        return pa.RecordBatch.from_arrays([words, pa.array(list(counts.values()), pa.int64())], ["word", "n"])
+    def merged(held: list[tuple[pa.Array, np.ndarray]]) -> tuple[pa.Array, np.ndarray]:
+        words, places = merged_words([w for w, _ in held])
+        counts = np.zeros(len(words), np.int64)
+        np.add.at(counts, places, np.concatenate([n for _, n in held]))
+        return words, counts
+
+    def rows(words: pa.Array, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for at in range(0, len(words), PASSED):
+            part = [words.slice(at, PASSED), pa.array(counts[at : at + PASSED])]
+            yield pa.RecordBatch.from_arrays(part, ["word", "n"])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = Counter()
+        held, size = [], 0
         for batch in batches:
             for part in slices(pa.RecordBatch.from_arrays([string_texts(batch, 0)], ["text"]), 0):
-                for text in texts(part.column(0)):
-                    counts.update(tokens(text))
-                if len(counts) > HELD:
-                    yield rows(counts)
-                    counts = Counter()
-        if counts:
-            yield rows(counts)
+                _, codes, words = coded(part.column(0))
+                held.append((words, np.bincount(codes, minlength=len(words))))
+                size += len(words)
+                if size > HELD:
+                    held = [merged(held)]
+                    size = len(held[0][0])
+                    if size > HELD:
+                        yield from rows(*held[0])
+                        held, size = [], 0
+        if held:
+            yield from rows(*merged(held))
 
     return docs.select("text").mapInArrow(work, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
@@ -169,11 +207,8 @@ def pair_counts(docs: DataFrame, core: list[bytes]) -> DataFrame:
         total = np.zeros(units.size * units.size, np.int64)
         for batch in batches:
             for part in slices(pa.RecordBatch.from_arrays([string_texts(batch, 0)], ["text"]), 0):
-                line = [END]
-                for text in texts(part.column(0)):
-                    line += units.of(tokens(text))
-                    line.append(END)
-                line = np.array(line)
+                rows, codes, words = coded(part.column(0))
+                line = chained(rows, units.of_column(words)[codes], part.num_rows)
                 total += np.bincount(line[:-1] * units.size + line[1:], minlength=len(total))
         found = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(total[found])], ["pair", "n"])
@@ -182,14 +217,6 @@ def pair_counts(docs: DataFrame, core: list[bytes]) -> DataFrame:
     return counted.groupBy("pair").agg(F.sum("n").alias("n"))
 
 
-class _Numbers(dict):
-    """Words by the order in which they are first asked for; the end is number 0."""
-
-    def __missing__(self, word: bytes) -> int:
-        self[word] = number = len(self) + 1
-        return number
-
-
 def salts(total: int) -> int:
     """Groups that the counts of one word are summed in first, in a corpus of `total` tokens.
 
@@ -206,69 +233,99 @@ def neighbours(docs: DataFrame, core: list[bytes], assigned: np.ndarray, total:
     A code is the class after the word, or CLASSES more than the class before it. Every word
     has a single row with each of its codes once, so at most twice CLASSES. `total` is the
     number of tokens; it decides how many rows of a word meet at once, not what they add up to.
+    Rows of a word come sorted to the task that adds them, each with its counts in one field
+    (times * 2 * CLASSES + code, 8 bytes an entry), so a task holds those of one batch.
     """
     shared = docs.sparkSession.sparkContext.broadcast((core, assigned))
 
-    def counted(line: list[int], numbers: _Numbers, flush: int) -> pa.RecordBatch:
-        names = list(numbers)
-        units = Units(shared.value[0])
-        classes = shared.value[1][[END, *units.of(names)]]
-        line = np.array(line)
-        left, right = line[:-1], line[1:]
-        keys = np.concatenate([left * 2 * CLASSES + classes[right], right * 2 * CLASSES + CLASSES + classes[left]])
+    def packed(names: pa.Array, owners: np.ndarray, entries: np.ndarray, flush: int) -> Iterator[pa.RecordBatch]:
+        bounds = np.searchsorted(owners, np.arange(len(names) + 1))
+        for at in range(0, len(names), PASSED):
+            own = bounds[at : at + PASSED + 1]
+            offsets = (8 * (own - own[0])).astype(np.int32)
+            buffers = [None, pa.py_buffer(offsets), pa.py_buffer(entries[own[0] : own[-1]].copy())]
+            counts = pa.Array.from_buffers(pa.binary(), len(own) - 1, buffers)
+            flushes = pa.array(np.full(len(own) - 1, flush, np.int32))
+            yield pa.RecordBatch.from_arrays([names.slice(at, PASSED), counts, flushes], ["word", "counts", "flush"])
+
+    def counted(held: list[tuple[np.ndarray, np.ndarray, pa.Array, int]], units: Units, flush: int) -> Iterator[pa.RecordBatch]:
+        names, places = merged_words([words for _, _, words, _ in held])
+        classes = shared.value[1][[END, *units.of_column(names)]]
+        keys, at = [], 0
+        for rows, codes, words, texts in held:
+            line = chained(rows, places[at + codes] + 1, texts)
+            at += len(words)
+            left, right = line[:-1], line[1:]
+            keys += [left * 2 * CLASSES + classes[right], right * 2 * CLASSES + CLASSES + classes[left]]
+        keys = np.concatenate(keys)
         keys, times = np.unique(keys[keys >= 2 * CLASSES], return_counts=True)
         owners, codes = np.divmod(keys, 2 * CLASSES)
-        bounds = np.searchsorted(owners, np.arange(1, len(names) + 2)).astype(np.int32)
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array([w.decode() for w in names], pa.string()),
-                pa.array(classes[1:], pa.int32()),
-                pa.ListArray.from_arrays(bounds, pa.array(codes, pa.int16())),
-                pa.ListArray.from_arrays(bounds, pa.array(times, pa.int64())),
-                pa.array(np.full(len(names), flush, np.int32)),
-            ],
-            ["word", "class", "codes", "times", "flush"],
-        )
+        return packed(names, owners - 1, times * 2 * CLASSES + codes, flush)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        numbers, line, flush = _Numbers(), [END], 0
+        units = Units(shared.value[0])
+        held, size, flush = [], 0, 0
         for batch in batches:
             for part in slices(pa.RecordBatch.from_arrays([string_texts(batch, 0)], ["text"]), 0):
-                for text in texts(part.column(0)):
-                    line += [numbers[w] for w in tokens(text)]
-                    line.append(END)
-                if len(line) > COUNTED:
-                    yield counted(line, numbers, flush)
-                    numbers, line, flush = _Numbers(), [END], flush + 1
-        if numbers:
-            yield counted(line, numbers, flush)
-
-    def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+                rows, codes, words = coded(part.column(0))
+                held.append((rows, codes, words, part.num_rows))
+                size += len(codes) + part.num_rows
+                if size > COUNTED:
+                    yield from counted(held, units, flush)
+                    held, size, flush = [], 0, flush + 1
+        if held:
+            yield from counted(held, units, flush)
+
+    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
+        """Words, owners and entries with the rows of a word in turn added up; a word that may go on waits."""
+        word, waiting = pa.array([], pa.string()), np.zeros(0, np.int64)
         for batch in batches:
-            owners, codes, times = _entries(batch.column(2), batch.column(3))
+            if not batch.num_rows:
+                continue
+            words = pa.concat_arrays([word, batch.column(0).cast(pa.string())])
+            data, bounds = text_buffer(batch.column(1).cast(pa.binary()))
+            lengths = np.diff(bounds) // 8
+            if len(word):
+                lengths = np.concatenate([[len(waiting)], lengths])
+            entries = np.concatenate([waiting, np.frombuffer(data.tobytes(), np.int64)])
+            new = np.ones(len(words), bool)
+            new[1:] = pc.not_equal(words.slice(1), words.slice(0, len(words) - 1)).to_numpy(zero_copy_only=False)
+            owners = np.repeat(np.cumsum(new) - 1, lengths)
+            times, codes = np.divmod(entries, 2 * CLASSES)
             keys, place = np.unique(owners * 2 * CLASSES + codes, return_inverse=True)
             times = np.bincount(place, times, len(keys)).astype(np.int64)
             owners, codes = np.divmod(keys, 2 * CLASSES)
-            bounds = np.searchsorted(owners, np.arange(batch.num_rows + 1)).astype(np.int32)
-            lists = [pa.ListArray.from_arrays(bounds, pa.array(x, t)) for x, t in ((codes, pa.int16()), (times, pa.int64()))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *lists], ["word", "class", "codes", "times"])
+            entries = times * 2 * CLASSES + codes
+            words = words.filter(pa.array(new))
+            done = np.searchsorted(owners, len(words) - 1)
+            if len(words) > 1:
+                yield words.slice(0, len(words) - 1), owners[:done], entries[:done]
+            word, waiting = words.slice(len(words) - 1), entries[done:]
+        if len(word):
+            yield word, np.zeros(len(waiting), np.int64), waiting
+
+    def salted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for words, owners, entries in added(batches):
+            for batch in packed(words, owners, entries, 0):
+                yield batch.select(["word", "counts"])
 
-    schema = "word string, class int, codes array<short>, times array<long>"
-
-    def summed(rows: DataFrame, *salt: Column) -> DataFrame:
-        whole = rows.groupBy("word", *salt).agg(
-            F.first("class").alias("class"),
-            F.flatten(F.collect_list("codes")).alias("codes"),
-            F.flatten(F.collect_list("times")).alias("times"),
-        )
-        return whole.select("word", "class", "codes", "times").mapInArrow(merged, schema)
+    def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        units = Units(shared.value[0])
+        for words, owners, entries in added(batches):
+            times, codes = np.divmod(entries, 2 * CLASSES)
+            bounds = np.searchsorted(owners, np.arange(len(words) + 1)).astype(np.int32)
+            lists = [pa.ListArray.from_arrays(bounds, pa.array(x, t)) for x, t in ((codes, pa.int16()), (times, pa.int64()))]
+            classes = pa.array(shared.value[1][units.of_column(words)], pa.int32())
+            yield pa.RecordBatch.from_arrays([words, classes, *lists], ["word", "class", "codes", "times"])
 
-    rows = docs.select("text").mapInArrow(work, f"{schema}, flush int")
+    rows = docs.select("text").mapInArrow(work, "word string, counts binary, flush int")
     many = salts(total)
     if many > 1:
         salt = F.pmod(F.spark_partition_id() + F.col("flush"), F.lit(many)).alias("salt")
-        rows = summed(rows.select("word", "class", "codes", "times", salt), F.col("salt"))
-    return summed(rows)
+        spread = rows.select("word", "counts", salt).repartition("salt", "word").sortWithinPartitions("salt", "word")
+        rows = spread.select("word", "counts").mapInArrow(salted, "word string, counts binary")
+    together = rows.select("word", "counts").repartition("word").sortWithinPartitions("word")
+    return together.mapInArrow(merged, "word string, class int, codes array<short>, times array<long>")
 
 
 def _entries(codes: pa.ListArray, times: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -333,23 +390,11 @@ class Classes:
     def __init__(self, frequent: dict[bytes, tuple[float, int]], groups: np.ndarray) -> None:
         self.frequent, self.groups = frequent, groups
 
-    def read(self, text: bytes) -> tuple[int, int, float, bytes, np.ndarray, dict]:
-        """Tokens, known among them and log sum without the rarer words, the line of classes,
-        and which rarer word stands in each open place, and those with their counts."""
-        words = tokens(text)
-        known, logs, rare, code = 0, 0.0, {}, {}
-        for word, times in Counter(words).items():
-            entry = self.frequent.get(word)
-            if entry is None:
-                code[word] = CLASSES + len(rare)
-                rare[word] = times
-            else:
-                known += times
-                logs += times * entry[0]
-                code[word] = entry[1]
-        line = np.array([code[w] for w in words], np.int64)
-        is_open = line >= CLASSES
-        return len(words) + 1, known, logs, np.where(is_open, OPEN, line).astype(np.uint8).tobytes(), line[is_open] - CLASSES, rare
+    def columns(self) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+        """The frequent words, and their logs and classes with those of a rarer word last."""
+        logs, classes = zip(*self.frequent.values(), strict=True) if self.frequent else ((), ())
+        words = pa.array(list(self.frequent), pa.binary()).cast(pa.string())
+        return words, np.array([*logs, 0.0]), np.array([*classes, OPEN], np.uint8)
 
 
 def cluster(training: DataFrame, scratch) -> tuple[Classes, DataFrame]:
@@ -391,41 +436,55 @@ def read_lines(docs: DataFrame, classes: Classes, words: DataFrame, scratch) ->
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = shared.value
+        frequent, log_of, class_of = shared.value.columns()
         for batch in batches:
             batch = pa.RecordBatch.from_arrays([batch.column(0), string_texts(batch, 1)], ["doc_id", "text"])
             for part in slices(batch, 1):
-                read = [own.read(t) for t in texts(part.column(1))]
-                columns = [pa.array(c, t) for c, t in zip(zip(*(r[:5] for r in read), strict=True), _TYPES, strict=True)]
-                rare = [r[5] for r in read]
-                entries = pa.StructArray.from_arrays(
-                    [
-                        pa.array([w for r in rare for w in r], pa.binary()).cast(pa.string()),
-                        pa.array([n for r in rare for n in r.values()], pa.int64()),
-                    ],
-                    ["word", "times"],
+                n, (rows, codes, words) = part.num_rows, coded(part.column(1))
+                entry = pc.index_in(words, value_set=frequent).fill_null(len(frequent)).to_numpy()[codes]
+                line, is_open = class_of[entry], entry == len(frequent)
+                sizes = np.bincount(rows, minlength=n)
+                # a rarer word of a text is listed once; the open places say which of the list they hold
+                listed, place, times = np.unique(
+                    rows[is_open] * len(words) + codes[is_open], return_inverse=True, return_counts=True
                 )
-                bounds = pa.array(np.cumsum([0, *map(len, rare)]), pa.int32())
+                owners, listed = np.divmod(listed, max(1, len(words)))
+                rare = np.searchsorted(owners, np.arange(n + 1))
+                opened = np.searchsorted(rows[is_open], np.arange(n + 1))
+                places = place - rare[rows[is_open]]
+                ends = np.cumsum([0, *sizes]).astype(np.int32)
+                entries = pa.StructArray.from_arrays([words.take(pa.array(listed)), pa.array(times)], ["word", "times"])
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), *columns, pa.ListArray.from_arrays(bounds, entries)],
+                    [
+                        part.column(0),
+                        pa.array(sizes + 1),
+                        pa.array(np.bincount(rows, ~is_open, n).astype(np.int64)),
+                        pa.array(np.bincount(rows, log_of[entry], n)),
+                        pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(ends), pa.py_buffer(line)]),
+                        pa.ListArray.from_arrays(pa.array(opened, pa.int32()), pa.array(places, pa.int32())),
+                        pa.ListArray.from_arrays(pa.array(rare, pa.int32()), entries),
+                    ],
                     ["doc_id", "n_tokens", "known", "logs", "line", "places", "rare"],
                 )
 
     def filled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lines = []
-            for line, places, rare in zip(*(batch.column(c) for c in ("line", "places", "rarer")), strict=True):
-                line = line.as_py()
-                if len(places):
-                    own = np.frombuffer(line, np.uint8).copy()
-                    entries = rare.values.to_numpy()
-                    of = np.zeros(len(entries), np.uint8)
-                    of[entries // CLASSES] = entries % CLASSES
-                    own[own == OPEN] = of[places.values.to_numpy()]
-                    line = own.tobytes()
-                lines.append(line)
-            kept = [batch.column(c) for c in ("doc_id", "n_tokens", "known", "logs")]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(lines, pa.binary())], ["doc_id", "n_tokens", "known", "logs", "line"])
+            doc, n_tokens, known, logs, lines, places, rarer = (
+                batch.column(c) for c in ("doc_id", "n_tokens", "known", "logs", "line", "places", "rarer")
+            )
+            lines = lines.cast(pa.binary())
+            line, ends = text_buffer(lines)
+            line = line.copy()
+            listed, opened = (pc.fill_null(pc.list_value_length(c), 0).to_numpy() for c in (rarer, places))
+            starts, rows = np.cumsum(listed) - listed, np.arange(len(lines))
+            entries = rarer.flatten().to_numpy()
+            of = np.zeros(len(entries), np.uint8)
+            of[np.repeat(starts, listed) + entries // CLASSES] = entries % CLASSES
+            line[line == OPEN] = of[starts[np.repeat(rows, opened)] + places.flatten().to_numpy()]
+            whole = pa.Array.from_buffers(
+                pa.binary(), len(lines), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(line)]
+            )
+            yield pa.RecordBatch.from_arrays([doc, n_tokens, known, logs, whole], ["doc_id", "n_tokens", "known", "logs", "line"])
 
     partial = docs.select("doc_id", "text").mapInArrow(
         work,
@@ -467,9 +526,6 @@ def read_lines(docs: DataFrame, classes: Classes, words: DataFrame, scratch) ->
     return stored
 
 
-_TYPES = (pa.int64(), pa.int64(), pa.float64(), pa.binary(), pa.list_(pa.int32()))
-
-
 def _ended(lines: pa.Array) -> np.ndarray:
     """All lines one after the other, with the end's class before, between and after them."""
     end = bytes([END])
