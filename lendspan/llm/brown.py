@@ -107,7 +107,19 @@ class Units(dict):
         return [self[w] for w in words]
 
     def of_column(self, words: pa.Array) -> np.ndarray:
-        return np.array(self.of(words.cast(pa.binary()).to_pylist()), np.int64)
+        """The same for a column of words; each ending among them is hashed once."""
+        if not len(words):
+            return np.zeros(0, np.int64)
+        data, bounds = text_buffer(words)
+        sizes = np.minimum(np.diff(bounds), 3)
+        endings = sizes
+        for back in (3, 2, 1):
+            endings = endings * 256 + np.where(sizes >= back, data[np.maximum(bounds[1:] - back, 0)], 0)
+        endings, place = np.unique(endings, return_inverse=True)
+        groups = np.array([group_of((e & 0xFFFFFF).to_bytes(3)[3 - (e >> 24) :]) for e in endings.tolist()])
+        core = pc.index_in(words, value_set=pa.array(list(self.core), pa.binary()).cast(pa.string()))
+        core = core.fill_null(-1).to_numpy().astype(np.int64)
+        return np.where(core >= 0, 1 + core, 1 + len(self.core) + groups[place])
 
 
 def _xlogx(x: np.ndarray) -> np.ndarray:

@@ -4,6 +4,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from lendspan.llm import brown
@@ -199,3 +200,52 @@ def test_scores_do_not_depend_on_what_tasks_hold(spark, monkeypatch):
         scored.append(sorted((tuple(r) for r in brown.scores(docs).collect()), key=str))
     for one, other in zip(*scored, strict=True):
         assert one[:5] == other[:5] and np.allclose(one[5:], other[5:])
+
+
+ODD = ["", "  ", " \x0bThe\tdog\x1c.\r\nthe ", "É é\x85x\xa0y", "a\x00b A\x00b", "the", "K ſ İ a ab abc abcd \U0001f600", "\x0c"]
+
+
+def test_words_of_a_column_are_those_of_its_texts():
+    column = pa.array(["unread", *ODD, *ODD[::-1], "unread"]).slice(1, 2 * len(ODD))
+    rows, codes, words = brown.coded(column)
+    words = words.to_pylist()
+    expected = [(i, w) for i, t in enumerate([*ODD, *ODD[::-1]]) for w in split(t)]
+    assert [(r, words[c]) for r, c in zip(rows.tolist(), codes.tolist(), strict=True)] == expected
+    assert len(set(words)) == len(words) and "" not in words
+    units = brown.Units([b"the", b"abcd"])
+    named = pa.array(words)
+    assert units.of_column(named).tolist() == units.of([w.encode() for w in words])
+    assert units.of_column(named.slice(2, 3)).tolist() == units.of([w.encode() for w in words[2:5]])
+    assert all(not len(part) for part in brown.coded(pa.array(["", " "])))
+
+
+def test_tasks_split_texts_by_column(monkeypatch):
+    """No step of Python runs per word of the texts: tables of words are asked only for what is new."""
+    asked = Counter()
+    monkeypatch.setattr(brown, "group_of", lambda ending: asked.update([ending]) or zlib.crc32(ending[-3:]) % brown.GROUPS)
+    _, codes, words = brown.coded(pa.array(["some words of a text, and some of it again "] * 500))
+    brown.Units([]).of_column(words)
+    assert len(codes) == 5000 and max(asked.values()) == 1 and len(asked) <= len(words) == 8
+
+
+@pytest.mark.parametrize("held", [300_000, 3])
+def test_word_counts_however_many_a_task_holds(spark, monkeypatch, held):
+    monkeypatch.setattr(brown, "HELD", held)
+    monkeypatch.setattr(brown, "PASSED", 2)
+    docs = spark.createDataFrame([(t,) for t in [*ODD, None] * 7], "text string").repartition(2)
+    expected = Counter(w for t in ODD * 7 for w in split(t))
+    assert {r.word: r.n for r in brown.word_counts(docs).collect()} == expected
+
+
+def test_rows_of_a_word_are_added_across_batches(spark, monkeypatch):
+    monkeypatch.setattr(brown, "COUNTED", 40)
+    monkeypatch.setattr(brown, "PASSED", 2)
+    _, docs = tables(spark)
+    assigned = np.arange(1 + brown.GROUPS) % brown.CLASSES
+    found = lambda: sorted((r.word, r.codes, r.times) for r in brown.neighbours(docs, [], assigned, 0).collect())
+    expected, before = found(), spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        assert found() == expected
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
