@@ -252,6 +252,45 @@ def test_commercial_sums_are_not_kept_per_score(spark):
     assert per_score and not any("nii_est" in line for line in per_score)
 
 
+def test_a_cube_ranks_only_scores_that_can_be_among_the_highest(spark, monkeypatch):
+    months = random_months(spark, 5).limit(1).crossJoin(spark.range(3000))
+    months = months.withColumn("risk_score", F.col("id") / 3000).drop("id")
+    ranked = []
+    whole = measures.highest_scores
+    monkeypatch.setattr(measures, "highest_scores", lambda df, *rest: ranked.append(df.count()) or whole(df, *rest))
+    cube = measures.measure_cube(months, params=Params(top_risk_loans=5))
+    found = [r.risk_score for r in cube.where("risk_score IS NOT NULL").collect()]
+    assert sorted(found) == [i / 3000 for i in range(2995, 3000)]
+    assert 5 <= ranked[0] < 200
+
+
+def test_a_cube_of_whole_cents_equals_one_of_decimals(spark):
+    rng = random.Random(8)
+    scores = [None, float("nan"), -3.5, 0.0, 1.0, 1.0, 7.25, *(rng.random() for _ in range(60))]
+    given = []
+    for _ in range(3000):
+        cell = (rng.choice((day("2024-01-31"), None)), rng.choice(("Auto", None)), "Online", rng.choice(("Otago", None)))
+        amounts = [rng.choice((None, rng.randint(-(10**15), 10**15), rng.randint(-(10**4), 10**4))) for _ in range(6)]
+        given.append((*cell, rng.choice(("DPD_0", "DPD_60_89", None)), rng.choice(scores), *amounts))
+    # the sum of these leaves a long
+    top = [(day("2024-02-29"), "Auto", "Online", "Otago", "DPD_0", 0.5, *[9 * 10**17] * 6) for _ in range(40)]
+    names = ("eop_balance", *commercial.MEASURE_COLUMNS)
+    schema = "month_end date, product_type string, channel string, region string, dpd_bucket string, risk_score double, "
+    whole = spark.createDataFrame(given + top, schema + ", ".join(f"{c} long" for c in names))
+    decimals = whole.withColumns({c: (F.col(c) * F.lit(D("0.01"))).cast("decimal(18,2)") for c in names})
+    params = Params(top_risk_loans=7)
+    cubes = [measures.measure_cube(m, params=params) for m in (whole, decimals)]
+    assert cubes[0].schema == cubes[1].schema
+    assert str(rows(cubes[0])) == str(rows(cubes[1]))
+    (total,) = measures.cube_measures(cubes[0], ("month_end",), params).where("month_end = '2024-02-29'").collect()
+    assert total.nii_est == 40 * 9 * D(10) ** 15
+    for by in ((), ("product_type",), ("month_end", "region")):
+        expected = measures.measures_of(decimals, by, True, params)
+        found = measures.cube_measures(cubes[0], by, params)
+        columns = sorted(expected.columns)
+        assert str(rows(found, *columns)) == str(rows(expected, *columns)), by
+
+
 def test_a_cube_of_no_rows(spark):
     empty = measures.measure_cube(random_months(spark, 1, 5).limit(0))
     assert measures.cube_measures(empty, ("region",)).count() == 0
