@@ -5,7 +5,7 @@ from datetime import date
 from typing import Optional
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
@@ -84,12 +84,18 @@ def fit_encoder(df: DataFrame) -> PipelineModel:
     return encoder().fit(_numeric_as_double(df))
 
 
-def _check_numbers(df: DataFrame) -> None:
-    """Name the numeric columns that hold NULL before a fit fails on one."""
-    missing = df.agg(*[F.count(F.when(F.col(c).isNull(), 1)).alias(c) for c in NUMERIC]).first()
-    bad = ", ".join(f"{c} ({n})" for c, n in missing.asDict().items() if n)
+def _class_sizes(train: DataFrame) -> dict[int, int]:
+    """Rows of each class. Names the numeric columns that hold NULL before a fit fails on one."""
+    missing = [F.count(F.when(F.col(c).isNull(), 1)).alias(c) for c in NUMERIC]
+    found = train.groupBy(LABEL).agg(F.count(F.lit(1)).alias("rows"), *missing).collect()
+    sizes = {row[LABEL]: row["rows"] for row in found}
+    if set(sizes) != {0, 1}:
+        raise ValueError(f"training needs both classes, found {sorted(sizes)}")
+    counts = {c: sum(row[c] for row in found) for c in NUMERIC}
+    bad = ", ".join(f"{c} ({n})" for c, n in counts.items() if n)
     if bad:
         raise ValueError(f"NULL in numeric features: {bad}")
+    return sizes
 
 
 def fit_risk_model(train: DataFrame, params: Params = DEFAULTS) -> PipelineModel:
@@ -98,23 +104,24 @@ def fit_risk_model(train: DataFrame, params: Params = DEFAULTS) -> PipelineModel
     The weights sum to n, so a penalty weight of 1/n gives the usual sum objective. It is strictly
     convex, so its minimum is what any solver should find; `fit_gradient` tells how near it is.
     """
-    sizes = {row[LABEL]: row["count"] for row in train.groupBy(LABEL).count().collect()}
-    if set(sizes) != {0, 1}:
-        raise ValueError(f"training needs both classes, found {sorted(sizes)}")
-    n = sizes[0] + sizes[1]
+    sizes = _class_sizes(train)
+    encoding = fit_encoder(train)
+    fitted = _fit_regression(encoding.transform(_numeric_as_double(train)), sizes, params)
+    return PipelineModel([*encoding.stages, fitted])
+
+
+def _fit_regression(encoded: DataFrame, sizes: dict[int, int], params: Params) -> LogisticRegressionModel:
     regression = LogisticRegression(
         featuresCol="features",
         labelCol=LABEL,
         weightCol="class_weight",
         maxIter=params.max_iter,
-        regParam=1 / n,
+        regParam=1 / (sizes[0] + sizes[1]),
         elasticNetParam=0.0,
         standardization=False,
         tol=params.fit_tolerance,
     )
-    _check_numbers(train)
-    weighted = _numeric_as_double(train).withColumn("class_weight", _class_weight(sizes))
-    return Pipeline(stages=[*encoder().getStages(), regression]).fit(weighted)
+    return regression.fit(encoded.withColumn("class_weight", _class_weight(sizes)))
 
 
 def _class_weight(sizes: dict[int, int]) -> Column:
@@ -164,11 +171,23 @@ def score_with_coefficients(named: DataFrame, coefficients: dict[str, float], in
 def train_risk_model(t: Tables, params: Params = DEFAULTS, as_of: Optional[date] = None) -> TrainedRisk:
     """Train on a stratified share, evaluate on the rest, score every recent loan-month.
 
-    The labelled rows are written once: the split, the fit and the scoring all read them.
+    The labelled rows are written once for the split and the fit of the encoder. They are encoded once
+    as well: the passes of the regression and the scoring read the stored features. So do metrics and
+    scores with the scored rows.
     """
-    rows = materialise(stratified_split(materialise(training_set(t, params, as_of)), LABEL, params))
-    model = fit_risk_model(rows.where(~F.col("is_test")), params)
-    scored = score(model, rows)
+    rows = stratified_split(materialise(training_set(t, params, as_of)), LABEL, params)
+    train = ~F.col("is_test")
+    sizes = _class_sizes(rows.where(train))
+    encoding = fit_encoder(rows.where(train))
+    encoded = materialise(
+        encoding.transform(_numeric_as_double(rows)).select("loan_id", "month_end", LABEL, "is_test", "features")
+    )
+    regression = _fit_regression(encoded.where(train), sizes, params)
+    model = PipelineModel([*encoding.stages, regression])
+    probability = vector_to_array("probability")[1].alias("risk_score")
+    scored = materialise(
+        regression.transform(encoded).select("loan_id", "month_end", probability, LABEL, "is_test")
+    )
     metrics = evaluate_scores(
         scored.where("is_test").select("risk_score", LABEL), LABEL, params.threshold
     )

@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..params import DEFAULTS, Params
+from ..session import materialise
 
 CELL_BITS = 16
 
@@ -12,8 +13,8 @@ def stratified_split(df: DataFrame, label: str, params: Params = DEFAULTS) -> Da
     """Add `is_test`: the first share of each class in hash order of (loan_id, month_end).
 
     Rows are counted in 65,536 hash cells per class. Only the cell in which the share
-    ends is ranked row by row, so no task ever holds a whole class. `df` is read three
-    times; pass a materialised frame.
+    ends is ranked row by row, so no task ever holds a whole class. `df` is read twice
+    by jobs that run now and once for every read of the result; pass a materialised frame.
     """
     hashed = F.xxhash64("loan_id", "month_end", F.lit(params.split_seed))
     keyed = df.withColumn("_hash", hashed).withColumn(
@@ -43,6 +44,7 @@ def stratified_split(df: DataFrame, label: str, params: Params = DEFAULTS) -> Da
         .where(F.col("_place") == F.col("_needed"))
         .select(label, position.alias("_last"))
     )  # one row per class
+    last_row = materialise(last_row)
     return keyed.join(F.broadcast(last_row), label, "left").select(
         *df.columns, F.coalesce(position <= F.col("_last"), F.lit(False)).alias("is_test")
     )

@@ -175,3 +175,21 @@ def test_train_scores_every_recent_row(make_tables):
     metrics = trained.metrics.first()
     assert metrics.n == sum(-(-r["count"] // 4) for r in trained.scores.groupBy(risk.LABEL).count().collect())
     assert metrics.auc > 0.5
+
+
+def test_rows_are_encoded_and_scored_once(make_tables):
+    rng = random.Random(5)
+    loans, schedule, payments, people = [], [], [], []
+    for i in range(40):
+        people.append(customer(i, score=rng.randint(450, 850)))
+        loans.append(loan(i, customer_id=i, opened="2023-12-01"))
+        for m in MONTHS:
+            schedule.append(due(i, m, "100", "80"))
+            if rng.random() < (0.3 if i % 2 else 0.9):
+                payments.append(paid(i, m, "100"))
+    t = make_tables(loans, schedule, payments, people)
+    trained = ml.train_risk_model(t)
+    # what is returned reads stored scores
+    assert "UDF" not in trained.scores._jdf.queryExecution().optimizedPlan().toString()
+    again = ml.score(trained.model, risk.training_set(t)).select(*trained.scores.columns)
+    assert rows(trained.scores) == rows(again)
