@@ -11,7 +11,7 @@ are refined with the decoded bytes of the tokens.
 
 A single space between two other characters that are no white space always starts a token
 of both (checked on the vocabulary), so a text is encoded word by word, and a bounded memory
-keeps the words that repeat. Where this can't be proven, whole texts are encoded.
+keeps the words that repeat, over the tasks of a Python worker. Where this can't be proven, whole texts are encoded.
 
 Corpus counts of linked id pairs go in two steps: each task hands on blocks of some MB with
 their distinct pairs and counts, the counts of all blocks are summed in Spark, and each block
@@ -23,6 +23,7 @@ import hashlib
 import os
 import re
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -113,15 +114,26 @@ class Aligner:
         ids = range(max(len(self.bytes_a), self.n_b))
         self.written = [f"{i}{mark}" for i in ids for mark in ",|;"]
         self.forget()
+        self.forget_pairs()
 
     def forget(self) -> None:
+        """Forget the words; pairs keep their numbers."""
         self.known: dict[str, int] = {}
         self.strings: list[str] = []
         # per word: tokens of A, tokens of B, groups, links, 1 if its bytes differ
         self.sizes = np.zeros((0, 5), np.int64)
-        self.codes = np.zeros(0, np.int64)
+        # numbers of the pairs linked, word by word
+        self.numbers = np.zeros(0, np.int32)
         self.first = np.zeros(1, np.int64)
 
+    def forget_pairs(self) -> None:
+        """Number the pairs anew; only between blocks, whose documents hold the numbers."""
+        self.forget()
+        self.pairs = np.zeros(0, np.int64)
+        # the same in sorted order, and their numbers
+        self.sorted = np.zeros(0, np.int64)
+        self.number = np.zeros(0, np.int32)
+
     def words(self, text: str) -> Iterator[list[str]]:
         return _pieces(text, PIECE_CHARS) if self.alone else iter([[text]])
 
@@ -167,27 +179,41 @@ class Aligner:
             self._add(words, flat_a, flat_b, *self._ends(flat_a, flat_b, spans_a, spans_b))
         bad = [t for t, same in zip(texts, good.tolist(), strict=True) if not same]
         for (word,) in (t for t in bad if len(t) == 1):
-            self._remember([word], [""], np.array([[0, 0, 0, 0, 1]]), np.zeros(0, np.int64))
+            self._remember([word], [""], np.array([[0, 0, 0, 0, 1]]), np.zeros(0, np.int32))
         return [t for t in bad if len(t) > 1]
 
     def _add(self, words: list[str], ids_a, ids_b, ends_a, ends_b) -> None:
         """Add words that stand one after the other, each behind a space."""
         base = np.concatenate(([0], np.cumsum([len(w.encode()) + 1 for w in words])))
+        in_a, in_b = _marked(ends_a, base[-1]), _marked(ends_b, base[-1])
         # each stretch between neighbouring ends belongs to one token of each side
-        cuts = np.union1d(ends_a, ends_b)
-        shared = np.intersect1d(ends_a, ends_b, assume_unique=True)
-        codes = ids_a[np.searchsorted(ends_a, cuts)] * self.n_b + ids_b[np.searchsorted(ends_b, cuts)]
+        cuts = np.flatnonzero(in_a | in_b)
+        shared_a, shared_b = in_b[ends_a], in_a[ends_b]
+        codes = ids_a[_before(in_a[cuts])] * self.n_b + ids_b[_before(in_b[cuts])]
         of_word = lambda ends: np.diff(np.searchsorted(ends, base, side="right"))
-        sizes = np.stack([*map(of_word, (ends_a, ends_b, shared, cuts)), np.zeros(len(words), np.int64)], axis=1)
-        self._remember(words, self._texts(ids_a, ids_b, ends_a, ends_b, shared, base), sizes, codes)
-
-    def _remember(self, words: list[str], strings: Iterable[str], sizes: np.ndarray, codes: np.ndarray) -> None:
+        sizes = [of_word(ends) for ends in (ends_a, ends_b, ends_a[shared_a], cuts)]
+        sizes = np.stack([*sizes, np.zeros(len(words), np.int64)], axis=1)
+        self._remember(words, self._texts(ids_a, ids_b, shared_a, shared_b, sizes), sizes, self._numbers(codes))
+
+    def _numbers(self, codes: np.ndarray) -> np.ndarray:
+        """The number of each pair; new pairs get the next ones."""
+        distinct, at = np.unique(codes, return_inverse=True)
+        place = np.searchsorted(self.sorted, distinct)
+        new = np.append(self.sorted, -1)[place] != distinct
+        fresh = distinct[new]
+        added = np.arange(len(self.pairs), len(self.pairs) + len(fresh), dtype=np.int32)
+        self.pairs = np.concatenate((self.pairs, fresh))
+        self.sorted = np.insert(self.sorted, place[new], fresh)
+        self.number = np.insert(self.number, place[new], added)
+        return self.number[place + _before(new)][at]
+
+    def _remember(self, words: list[str], strings: Iterable[str], sizes: np.ndarray, numbers: np.ndarray) -> None:
         start = len(self.strings)
         self.known.update(zip(words, range(start, start + len(words)), strict=True))
         self.strings.extend(strings)
         self.sizes = np.concatenate((self.sizes, sizes))
         self.first = np.concatenate((self.first, self.first[-1] + np.cumsum(sizes[:, 3])))
-        self.codes = np.concatenate((self.codes, codes))
+        self.numbers = np.concatenate((self.numbers, numbers))
 
     @staticmethod
     def _same(raw: list[bytes], ids: np.ndarray, counts: np.ndarray, table: list[bytes]) -> np.ndarray:
@@ -215,37 +241,50 @@ class Aligner:
 
     def _ends(self, ids_a, ids_b, spans_a, spans_b) -> tuple[np.ndarray, np.ndarray]:
         """The byte at which each token ends: coarse cuts by spans, refined by decoded bytes."""
-        common = np.intersect1d(_span_cuts(spans_a), _span_cuts(spans_b))
+        n = max(spans_a[-1, 1], spans_b[-1, 1])
+        common = _marked(_span_cuts(spans_a), n) & _marked(_span_cuts(spans_b), n)
+        up_to = np.cumsum(common, dtype=np.int32)
+        starts = np.concatenate(([0], np.flatnonzero(common)))
         refined = []
         for ids, spans, length in ((ids_a, spans_a, self.length_a), (ids_b, spans_b, self.length_b)):
-            stretch = np.searchsorted(common, spans[:, 0], side="right")
+            stretch = up_to[spans[:, 0]]
             sums = np.cumsum(length[ids])
             opens = np.flatnonzero(np.diff(stretch, prepend=-1))
             before = np.repeat(sums[opens] - length[ids[opens]], np.diff(np.append(opens, len(ids))))
-            start = np.concatenate(([0], common))[stretch]
-            refined.append(start + sums - before)
+            refined.append(starts[stretch] + sums - before)
         return refined[0], refined[1]
 
-    def _texts(self, ids_a, ids_b, ends_a, ends_b, shared, base) -> Iterator[str]:
+    def _texts(self, ids_a, ids_b, shared_a, shared_b, sizes) -> Iterator[str]:
         """Per word its groups as `a1,a2|b1;a3|b2,b3;`."""
-        ids = np.concatenate((ids_a, ids_b))
-        group = np.concatenate((np.searchsorted(shared, ends_a), np.searchsorted(shared, ends_b)))
-        side = np.repeat([0, 1], [len(ids_a), len(ids_b)])
-        order = np.argsort(2 * group + side, kind="stable")
-        key = (2 * group + side)[order]
-        following = np.append(key[1:], key[-1] + 2)
-        mark = np.where(following == key, 0, np.where(key % 2 == 0, 1, 2))
-        written = self.written
-        parts = [written[k] for k in (3 * ids[order] + mark).tolist()]
-        last = np.searchsorted(shared[group[order]], base, side="right").tolist()
-        for i in range(len(base) - 1):
-            yield "".join(parts[last[i] : last[i + 1]])
+        # tokens of each side before each group, and before the end
+        to_a, to_b = (np.append(0, np.flatnonzero(ends) + 1) for ends in (shared_a, shared_b))
+        written = np.empty(len(ids_a) + len(ids_b), np.int64)
+        written[np.arange(len(ids_a)) + to_b[_before(shared_a)]] = 3 * ids_a + shared_a
+        written[np.arange(len(ids_b)) + to_a[_before(shared_b) + 1]] = 3 * ids_b + 2 * shared_b
+        table = self.written
+        parts = [table[k] for k in written.tolist()]
+        start = 0
+        for end in np.cumsum(sizes[:, 0] + sizes[:, 1]).tolist():
+            yield "".join(parts[start:end])
+            start = end
+
+
+def _marked(places: np.ndarray, n: int) -> np.ndarray:
+    """Whether each of 0 to n is among the places."""
+    marks = np.zeros(n + 1, bool)
+    marks[places] = True
+    return marks
+
+
+def _before(marks: np.ndarray) -> np.ndarray:
+    """Per entry the number of marks before it."""
+    return np.cumsum(marks) - marks
 
 
 def _span_cuts(spans: np.ndarray) -> np.ndarray:
     """Ends of spans at which the next span begins and that end a whole character."""
     meets = np.append(spans[1:, 0] == spans[:-1, 1], True)
-    return np.unique(spans[meets & (spans[:, 1] > spans[:, 0]), 1])
+    return spans[meets & (spans[:, 1] > spans[:, 0]), 1]
 
 
 class _Document:
@@ -257,58 +296,62 @@ class _Document:
         self.digest = hashlib.sha256()
         self.ahead = ""
         self.groups: list[str] | None = [] if with_groups else None
-        self.codes: list[np.ndarray] = []
-        self.times: list[np.ndarray] | None = None
+        self.numbers: list[np.ndarray] = []
+        self.times: np.ndarray | None = None
 
-    def add(self, sizes: np.ndarray, text: str, codes: np.ndarray) -> None:
+    def add(self, sizes: np.ndarray, text: str, numbers: np.ndarray) -> None:
         self.sizes += sizes
         written = self.ahead + text[:-1]
         self.ahead = text[-1:]
         self.digest.update(written.encode())
         if self.groups is not None:
             self.groups.append(written)
-        self.codes.append(codes)
+        self.numbers.append(numbers)
         if self.sizes[3] > LONG:
             self._gather()
 
     def _gather(self) -> None:
         """Distinct pairs with counts, as a very long document would hold every link."""
-        counts = [*(self.times or [np.ones(len(c), np.int64) for c in self.codes])]
-        counts += [np.ones(len(c), np.int64) for c in self.codes[len(counts) :]]
-        distinct, at = np.unique(np.concatenate(self.codes), return_inverse=True)
-        sums = np.zeros(len(distinct), np.int64)
-        np.add.at(sums, at, np.concatenate(counts))
-        self.codes, self.times = [distinct], [sums]
+        held = self.numbers if self.times is None else self.numbers[1:]
+        sums = np.bincount(np.concatenate(held), minlength=1 + max(int(n.max(initial=0)) for n in self.numbers))
+        if self.times is not None:
+            sums[self.numbers[0]] += self.times
+        distinct = np.flatnonzero(sums)
+        self.numbers, self.times = [distinct.astype(np.int32)], sums[distinct]
 
     def links(self) -> tuple[np.ndarray, np.ndarray | None]:
-        if self.sizes[4] or not self.codes:
-            return np.zeros(0, np.int64), None
-        return np.concatenate(self.codes), None if self.times is None else np.concatenate(self.times)
+        """Numbers of the pairs linked, one a link, or distinct ones with their counts."""
+        if self.sizes[4] or not self.numbers:
+            return np.zeros(0, np.int32), None
+        return np.concatenate(self.numbers), self.times
 
 
 def _aligned(aligner: Aligner, part: pa.RecordBatch, with_groups: bool) -> list[_Document]:
     """The documents of some rows (doc_id, text)."""
     documents, pending, held = [], [], 0
+    if len(aligner.pairs) > MEMORY // 4:
+        aligner.forget_pairs()
 
     def settle() -> None:
         nonlocal pending, held
         if not pending:
             return
-        if len(aligner.codes) > MEMORY:
+        if len(aligner.numbers) > MEMORY:
             aligner.forget()
         aligner.learn(words for _, words in pending)
         known, strings = aligner.known, aligner.strings
         ids = [[known[w] for w in words] for _, words in pending]
         counts = np.array([len(i) for i in ids], np.int64)
         flat = np.fromiter(chain.from_iterable(ids), np.int64, counts.sum())
-        sizes = np.add.reduceat(aligner.sizes[flat], np.concatenate(([0], np.cumsum(counts)[:-1])), axis=0)
-        n_links = aligner.sizes[flat, 3]
+        found = aligner.sizes[flat]
+        sizes = np.add.reduceat(found, np.concatenate(([0], np.cumsum(counts)[:-1])), axis=0)
+        n_links = found[:, 3]
         place = np.repeat(aligner.first[flat] - np.cumsum(n_links) + n_links, n_links) + np.arange(n_links.sum())
-        codes = aligner.codes[place]
+        numbers = aligner.numbers[place]
         ends = np.cumsum(sizes[:, 3])
         for k, (document, _) in enumerate(pending):
             written = "".join([strings[w] for w in ids[k]])
-            document.add(sizes[k], written, codes[ends[k] - sizes[k, 3] : ends[k]])
+            document.add(sizes[k], written, numbers[ends[k] - sizes[k, 3] : ends[k]])
         pending, held = [], 0
 
     for doc_id, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
@@ -323,21 +366,20 @@ def _aligned(aligner: Aligner, part: pa.RecordBatch, with_groups: bool) -> list[
     return documents
 
 
-def _block_rows(documents: list[_Document], block: int, with_groups: bool) -> list[dict]:
+def _block_rows(documents: list[_Document], pairs: np.ndarray, block: int, with_groups: bool) -> list[dict]:
     """One row per document; the first carries the distinct pairs of the block with counts."""
     found = [d.links() for d in documents]
-    codes = np.concatenate([c for c, _ in found])
-    times = np.concatenate([np.ones(len(c), np.int64) if t is None else t for c, t in found])
-    distinct, at = np.unique(codes, return_inverse=True)
-    sums = np.zeros(len(distinct), np.int64)
-    np.add.at(sums, at, times)
-    # the commonest pairs get the smallest numbers, which take the least room
-    order = np.argsort(-sums, kind="stable")
-    rank = np.empty(len(order), np.int64)
+    single = [n for n, times in found if times is None]
+    sums = np.bincount(np.concatenate([np.zeros(0, np.int32), *single]), minlength=len(pairs))
+    for numbers, times in found:
+        if times is not None:
+            sums[numbers] += times
+    # the commonest pairs get the smallest ranks, which take the least room
+    order = np.flatnonzero(sums)
+    order = order[np.argsort(-sums[order], kind="stable")]
+    rank = np.zeros(len(pairs), np.uint16 if len(order) <= 1 << 16 else np.uint32)
     rank[order] = np.arange(len(order))
-    kind = np.uint16 if len(order) <= 1 << 16 else np.uint32
-    numbers = rank[at].astype(kind)
-    rows, start = [], 0
+    rows = []
     for document, (own, counts) in zip(documents, found, strict=True):
         bad = bool(document.sizes[4]) or not document.sizes[0]
         n_a, n_b, n_groups, n_links = (0, 0, 0, 0) if bad else document.sizes[:4].tolist()
@@ -345,17 +387,22 @@ def _block_rows(documents: list[_Document], block: int, with_groups: bool) -> li
             {
                 "block": block, "doc_id": document.doc_id, "n_a": n_a, "n_b": n_b, "n_groups": n_groups,
                 "n_links": n_links, "groups_sha256": "" if bad else document.digest.hexdigest(),
-                "width": numbers.itemsize, "links": numbers[start : start + len(own)].tobytes(),
+                "width": rank.itemsize, "links": rank[own].tobytes(),
                 "times": b"" if counts is None else counts.tobytes(), "codes": None, "counts": None,
             }
         )
         if with_groups:
             rows[-1]["groups"] = "" if bad else "".join(document.groups)
-        start += len(own)
-    rows[0]["codes"], rows[0]["counts"] = distinct[order], sums[order]
+    rows[0]["codes"], rows[0]["counts"] = pairs[order], sums[order]
     return rows
 
 
+@lru_cache(maxsize=1)
+def _kept_aligner(definition: str, model: bytes) -> Aligner:
+    """The aligner of this Python worker, whose memory of words serves its next tasks too."""
+    return Aligner(definition, model)
+
+
 def _blocks(docs: DataFrame, a_path: str, b_path: str, doc_id: str, text: str, with_groups: bool) -> DataFrame:
     """Rows of documents by block, as `_block_rows` gives them."""
     with open(a_path, encoding="utf-8") as file:
@@ -370,7 +417,7 @@ def _blocks(docs: DataFrame, a_path: str, b_path: str, doc_id: str, text: str, w
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # a task has its core; the library would start a thread for each core of the machine
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        aligner = Aligner(*shared.value)
+        aligner = _kept_aligner(*shared.value)
         block = TaskContext.get().partitionId() << 32
         for batch in batches:
             of_id = batch.schema.field(0).type
@@ -383,7 +430,8 @@ def _blocks(docs: DataFrame, a_path: str, b_path: str, doc_id: str, text: str, w
             schema = pa.schema(fields + ([("groups", pa.string())] if with_groups else []))
             batch = pa.RecordBatch.from_arrays([batch.column(0), string_texts(batch, 1)], ["doc_id", "text"])
             for part in slices(batch, 1, BLOCK_BYTES):
-                rows = _block_rows(_aligned(aligner, part, with_groups), block, with_groups)
+                documents = _aligned(aligner, part, with_groups)
+                rows = _block_rows(documents, aligner.pairs, block, with_groups)
                 block += 1
                 yield pa.RecordBatch.from_pylist(rows, schema=schema)
 

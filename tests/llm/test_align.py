@@ -157,3 +157,28 @@ def test_clashing_columns_ids_and_empty_tables(spark):
     assert align.id_links(docs.limit(0), A, B).count() == 0
     only_empty = spark.createDataFrame([(1, None), (2, "")], "doc_id int, text string")
     assert [tuple(r)[1:] for r in align.alignments(only_empty, A, B).collect()] == [(0, 0, 0, 0, 0, 0, "")] * 2
+
+
+def test_memory_of_words_outlasts_a_task():
+    definition, model = open(A, encoding="utf-8").read(), open(B, "rb").read()
+    kept = align._kept_aligner(definition, model)
+    kept.learn([["kept", "words"]])
+    assert align._kept_aligner(definition, model) is kept and {"kept", "words"} <= set(kept.known)
+
+
+def test_pairs_keep_their_numbers_while_words_are_forgotten(monkeypatch):
+    import pyarrow as pa
+
+    aligner = align.Aligner(open(A, encoding="utf-8").read(), open(B, "rb").read())
+    texts = ["over the hills and far away", "away over hills 字 and 字"] * 3
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(6)), "text": texts})
+    once = align._block_rows(align._aligned(aligner, batch, False), aligner.pairs, 0, False)
+    monkeypatch.setattr(align, "PIECE_CHARS", 10)
+    monkeypatch.setattr(align, "LONG", 3)
+    for memory in (1, 1 << 20):
+        monkeypatch.setattr(align, "MEMORY", memory)
+        rows = align._block_rows(align._aligned(aligner, batch, False), aligner.pairs, 0, False)
+        assert dict(zip(rows[0]["codes"], rows[0]["counts"])) == dict(zip(once[0]["codes"], once[0]["counts"]))
+        assert [r["groups_sha256"] for r in rows] == [r["groups_sha256"] for r in once]
+        assert any(r["times"] for r in rows)
+    assert len(aligner.pairs) == len(set(aligner.pairs.tolist())) and (aligner.pairs[aligner.number] == aligner.sorted).all()
