@@ -116,19 +116,28 @@ def _within_ring(a: str, b: str, key: str) -> Column:
     return F.expr(f"bit_count({differ}) <= {DISTANCE} AND CASE shiftright({key}, 26) {' '.join(cases)} END")
 
 
+def _shuffled(frame: DataFrame) -> DataFrame:
+    """`frame` for a join that is never a broadcast by estimate.
+
+    Spark sizes exploded rows, and sums over them, as the rows before the explode: 65 rows a
+    fingerprint look as small as one.
+    """
+    return frame.hint("merge")
+
+
 def _close_links(distinct: DataFrame) -> DataFrame:
     """Links (a, b) through a shared value at most one bit away from both."""
     around = ["fp", *[f"fp ^ shiftleft(1L, {bit})" for bit in range(64)]]
     spread = distinct.select("fp", F.expr(f"explode(array({', '.join(around)}))").alias("near"))
     shared = spread.groupBy("near").agg(F.min("fp").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    return spread.join(shared.select("near", "a"), "near").select("a", F.col("fp").alias("b")).where("a <> b").distinct()
+    return spread.join(_shuffled(shared.select("near", "a")), "near").select("a", F.col("fp").alias("b")).where("a <> b").distinct()
 
 
 def _far_links(labelled: DataFrame) -> DataFrame:
     """Links between different classes of `labelled` (fp, label) by the pigeonring filter."""
     index = labelled.select("fp", "label", _keys(False).alias("key"))
     per_label = index.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
-    crowd = per_label.groupBy("key").agg(F.max_by("label", F.struct("n", "label")).alias("crowd"))
+    crowd = _shuffled(per_label.groupBy("key").agg(F.max_by("label", F.struct("n", "label")).alias("crowd")))
     indexed = index.join(crowd, "key").select(
         "key", (F.col("label") == F.col("crowd")).alias("crowded"), F.col("fp").alias("b"), F.col("label").alias("label_b")
     )
@@ -147,7 +156,7 @@ def _far_links(labelled: DataFrame) -> DataFrame:
     )
     return (
         probes.join(
-            indexed.withColumnRenamed("key", "key_b").withColumnRenamed("crowded", "crowded_b"),
+            _shuffled(indexed.withColumnRenamed("key", "key_b").withColumnRenamed("crowded", "crowded_b")),
             (F.col("key") == F.col("key_b"))
             & (F.col("crowded") == F.col("crowded_b"))
             & (F.col("label_a") != F.col("label_b"))

@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from lendspan.llm import simhash
 from lendspan.session import Scratch
@@ -49,6 +50,25 @@ def test_classes_equal_those_of_all_pairs(spark):
     assert found == brute_classes(prints)
 
 
+@pytest.mark.parametrize("links", [simhash._close_links, simhash._far_links])
+def test_exploded_rows_are_never_broadcast_by_estimate(spark, tmp_path, links):
+    # 16 KB by Spark's estimate and 65 rows each once exploded
+    prints = spark.range(2000).select(F.xxhash64("id").alias("fp"), F.xxhash64("id").alias("label"))
+    prints.write.parquet(str(tmp_path / "prints"))
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "10MB")
+    try:
+        found = links(spark.read.parquet(str(tmp_path / "prints")))
+        planned = found._jdf.queryExecution().executedPlan().toString()
+        found.collect()
+        ran = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(key, before)
+    assert "SortMergeJoin" in planned and "SortMergeJoin" in ran
+    assert "BroadcastExchange" not in planned + ran
+
+
 def test_fingerprint_by_definition():
     import xxhash
 
