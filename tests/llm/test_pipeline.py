@@ -4,6 +4,7 @@ import pytest
 
 import corpus_pipeline as pipeline
 from lendspan.llm import decontaminate, pii, simhash, toxicity
+from lendspan.session import Scratch
 
 PLAIN = [f"word{a}{b}" for a in "abcdefgh" for b in "klmnop"]
 
@@ -91,6 +92,22 @@ def test_each_stage_does_its_part(spark, folder):
     assert pipeline.run(spark, folder).count() == mixed.count()
 
 
+def test_near_duplicates_broadcast_no_exploded_rows(spark, folder, monkeypatch):
+    plans, plain = [], Scratch.store
+    monkeypatch.setattr(
+        Scratch, "store", lambda self, df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or plain(self, df)
+    )
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "10MB")
+    try:
+        pipeline.drop_near_duplicates(spark, spark.read.parquet(f"{folder}/documents.parquet"), folder)
+    finally:
+        spark.conf.set(key, before)
+    exploding = [plan for plan in plans if "Generate explode" in plan]
+    assert len(exploding) == 2 and not [plan for plan in exploding if "BroadcastExchange" in plan]
+
+
 def test_empty_documents(spark, folder):
     docs = spark.read.parquet(f"{folder}/documents.parquet").limit(0)
     for name, stage in pipeline.STAGES:
