@@ -15,6 +15,10 @@ Partitions are written under a new name each time, and a version then says which
 for which partition (see `sources.versions`). So a batch counts in all marts or in none, it can be
 repeated after a failure, and readers of the version before are not disturbed. (Overwriting
 partitions in place would delete them before their new rows are in place, one by one.)
+
+A large batch is computed in shares of its loans, one after the other, each written to the new
+partitions straight away. Each share filters the stored rows anew; in return the disk holds the
+shuffle files of one share, and no second copy of the new rows.
 """
 
 import posixpath
@@ -31,12 +35,16 @@ from ..operators.balance import SNAPSHOT_COLUMNS
 from ..operators.delinquency import migration_of, vintage_of
 from ..operators.ledger import FLOW_SUMS, LOAN_COLUMNS, by_loan, missed_installments, month_sums
 from ..params import DEFAULTS, Params
-from ..session import Scratch
+from ..session import Scratch, dropping_shuffles
 from ..sources.files import read_batch, stored_batches
 from ..sources.versions import Versions, children, delete
 from ..tables import Tables
 
 BUCKETS = 16
+# A batch is computed in shares of its loans, so that only the shuffle files of one share exist at a
+# time: as many shares as keep a share at this many loan-months, a power of two up to the second number.
+SHARE_ROWS = 2 << 20
+MOST_SHARES = 8
 
 _LOAN = {
     "customer_id": "long",
@@ -97,7 +105,12 @@ def _write(rows: DataFrame, folder: str, table: str, run: str) -> None:
     columns, by = _TABLES[table]
     typed = rows.select(*[F.col(c).cast(k).alias(c) for c, k in {**columns, **by}.items()])
     # a partition of the table may be larger than a task can hold; Spark cuts it into several files
-    typed.hint("rebalance", *[F.col(c) for c in by]).write.partitionBy(*by).parquet(posixpath.join(folder, table, f"run={run}"))
+    # rows of a loan compress better side by side
+    spread = typed.hint("rebalance", *[F.col(c) for c in by]).sortWithinPartitions(*by, "loan_id")
+    with dropping_shuffles(rows.sparkSession):
+        spread.write.mode("append").option("compression", "zstd").partitionBy(*by).parquet(
+            posixpath.join(folder, table, f"run={run}")
+        )
 
 
 def _in(parts: list[str], place: int, values: set[str]) -> list[str]:
@@ -136,13 +149,19 @@ def apply_batch(
             month_sums(batch).where("loan_id IS NOT NULL AND month_end IS NOT NULL").withColumn("loan_bucket", _bucket(buckets))
         )
         touched, held = _touched(spark, scratch, folder, delta, batch, buckets, stored)
-        new_rows = scratch.store(_new_rows(_old_rows(spark, folder, touched, stored), delta, touched, params))
-        changed = {_partition(r) for r in new_rows.select("month_end", "loan_bucket").distinct().collect()}
-        kept = _kept_rows(spark, folder, touched, {p: r for p, r in stored["loan_months"].items() if p in changed})
-        if changed:
+        later = _later_parts(touched, stored)
+        changed, new_count = _changed(scratch, _old_rows(_read(spark, folder, "loan_months", later), touched), delta)
+        again = {p: r for p, r in stored["loan_months"].items() if p in changed}
+        shares = _shares(new_count + _read(spark, folder, "loan_months", again).count())
+        for turn in range(shares if changed else 0):
+            own = _share(touched, shares, turn)
+            old, kept = (_share(_read(spark, folder, "loan_months", parts), shares, turn) for parts in (later, again))
+            new_rows = _new_rows(_old_rows(old, own), _share(delta, shares, turn), own, params)
+            kept = _kept_rows(kept, own)
             _write(kept.unionByName(new_rows.select(*kept.columns)), folder, "loan_months", run)
         if held:
-            _write(_new_state(spark, folder, touched, new_rows, held, stored), folder, "state", run)
+            written = _read(spark, folder, "loan_months", dict.fromkeys(changed, run))
+            _write(_new_state(spark, folder, touched, written, held, stored), folder, "state", run)
     parts = {
         "loan_months": {**stored["loan_months"], **dict.fromkeys(sorted(changed), run)},
         "state": {**stored["state"], **dict.fromkeys(sorted(held), run)},
@@ -156,6 +175,24 @@ def _bucket(buckets: int) -> Column:
     return F.pmod(F.xxhash64("loan_id"), F.lit(buckets)).cast("int")
 
 
+def _shares(count: int) -> int:
+    """Number of shares in which `count` loan-months are written."""
+    wanted = -(-count // SHARE_ROWS)
+    return min(MOST_SHARES, 1 << max(0, wanted - 1).bit_length())
+
+
+def _share(rows: DataFrame, shares: int, turn: int) -> DataFrame:
+    """The rows of one share of the loans."""
+    return rows if shares == 1 else rows.where(F.pmod(F.xxhash64("loan_id"), F.lit(shares)) == turn)
+
+
+def _changed(scratch: Scratch, old: DataFrame, delta: DataFrame) -> tuple[set[str], int]:
+    """The partitions in which rows of a batch lie, and at most how many rows that are."""
+    key = ("month_end", "loan_bucket")
+    found = scratch.store(old.select(*key).unionByName(delta.select(*key)).groupBy(*key).count()).collect()
+    return {_partition(r[:2]) for r in found}, sum(r["count"] for r in found)
+
+
 def _touched(
     spark: SparkSession, scratch: Scratch, folder: str, delta: DataFrame, batch: Tables, buckets: int, stored: dict
 ) -> tuple[DataFrame, set[str]]:
@@ -200,8 +237,8 @@ def _touched(
     )
 
 
-def _old_rows(spark: SparkSession, folder: str, touched: DataFrame, stored: dict) -> DataFrame:
-    """Stored rows of the loans of a batch from their floor on."""
+def _later_parts(touched: DataFrame, stored: dict) -> dict[str, str]:
+    """The stored partitions that may hold rows of the loans of a batch from their floor on."""
     floors = touched.where("floor IS NOT NULL").groupBy("loan_bucket").agg(F.min("floor").alias("floor"))
     first = {str(r.loan_bucket): str(r.floor) for r in floors.collect()}
     parts = {}
@@ -209,7 +246,11 @@ def _old_rows(spark: SparkSession, folder: str, touched: DataFrame, stored: dict
         month, bucket = part.split("/")
         if bucket in first and month >= first[bucket]:
             parts[part] = run
-    rows = _read(spark, folder, "loan_months", parts)
+    return parts
+
+
+def _old_rows(rows: DataFrame, touched: DataFrame) -> DataFrame:
+    """Those of stored rows that are of loans of a batch, from their floor on."""
     return rows.join(touched.select("loan_id", "floor"), "loan_id").where("month_end >= floor")
 
 
@@ -278,24 +319,26 @@ def _new_rows(old: DataFrame, delta: DataFrame, touched: DataFrame, params: Para
         F.when(visible & F.col("known") & on_books, money(left)).alias("eop_balance"),
         "month_end",
         "loan_bucket",
-        F.col("early_now").alias("early"),
     )
 
 
-def _kept_rows(spark: SparkSession, folder: str, touched: DataFrame, parts: dict[str, str]) -> DataFrame:
-    """Rows of partitions to be written again that the batch leaves as they are."""
-    rows = _read(spark, folder, "loan_months", parts)
+def _kept_rows(rows: DataFrame, touched: DataFrame) -> DataFrame:
+    """Those rows of partitions to be written again that the batch leaves as they are."""
     floors = touched.select("loan_id", "floor")
     kept = rows.join(floors, "loan_id", "left").where("floor IS NULL OR month_end < floor")
     return kept.select(*rows.columns)
 
 
 def _new_state(
-    spark: SparkSession, folder: str, touched: DataFrame, new_rows: DataFrame, held: set[str], stored: dict
+    spark: SparkSession, folder: str, touched: DataFrame, written: DataFrame, held: set[str], stored: dict
 ) -> DataFrame:
-    """The state of all loans in the buckets of a batch."""
+    """The state of all loans in the buckets of a batch.
+
+    `written` holds the partitions that the batch wrote, and so all months of a loan that was computed as a whole.
+    """
     state = _read(spark, folder, "state", {p: r for p, r in stored["state"].items() if p in held})
-    early = new_rows.groupBy("loan_id").agg(F.first("early").alias("early_now"))
+    before = F.col("month_end") < F.last_day("origination_date")
+    early = written.where(before).groupBy("loan_id").agg(F.sum("principal").alias("early_now"))
     fresh = (
         touched.join(early, "loan_id", "left")
         .withColumn("early", F.when(F.col("whole"), F.coalesce("early_now", no_cents())).otherwise(F.col("early")))

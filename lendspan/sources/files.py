@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from ..schemas import MACRO_MONTHLY, TABLE_SCHEMAS
+from ..session import dropping_shuffles
 from ..tables import Tables
 from . import dims
 from .versions import Conflict, Versions, children, delete, file_system
@@ -110,8 +111,14 @@ def reload_portfolio(tables: Tables, folder: str) -> None:
     """
     spark = tables.loans.sparkSession
     with _new_generation(spark, folder) as at:
-        for name, frame in tables.by_name().items():
-            frame.write.parquet(posixpath.join(at, name))
+        _store(tables, at)
+
+
+def _store(tables: Tables, folder: str) -> None:
+    """Every table as a folder; what one was computed from leaves no shuffle files beside the next."""
+    for name, frame in tables.by_name().items():
+        with dropping_shuffles(frame.sparkSession):
+            frame.write.option("compression", "zstd").parquet(posixpath.join(folder, name))
 
 
 def append_portfolio(tables: Tables, folder: str, batch_id: str | None = None) -> bool:
@@ -130,8 +137,7 @@ def append_portfolio(tables: Tables, folder: str, batch_id: str | None = None) -
     name = f"batch-{uuid.uuid4().hex}"
     path = posixpath.join(at, name)
     try:
-        for table, frame in tables.by_name().items():
-            frame.write.parquet(posixpath.join(path, table))
+        _store(tables, path)
         while True:
             grown = {**content, "batches": [*content.get("batches", []), {"id": batch_id, "folder": name}]}
             try:
@@ -156,8 +162,7 @@ def compact_portfolio(spark: SparkSession, folder: str) -> None:
     """Store the portfolio anew without separate batches; their ids still count once."""
     known = stored_batches(spark, folder)
     with _new_generation(spark, folder) as at:
-        for name, frame in read_parquet_portfolio(spark, folder).by_name().items():
-            frame.write.parquet(posixpath.join(at, name))
+        _store(read_parquet_portfolio(spark, folder), at)
         Versions(spark, at).commit(1, {"origin": known.origin, "merged": [*known.merged, *known.later]})
 
 

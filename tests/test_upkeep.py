@@ -78,6 +78,26 @@ def test_marts_follow_random_batches(spark, make_tables, tmp_path, seed):
     assert_up_to_date(spark, folder, parts, TELLING if seed else ())
 
 
+def test_a_large_batch_is_written_in_shares_of_its_loans(spark, make_tables, tmp_path, monkeypatch):
+    parts, folder = random_parts(make_tables, 4, 2, 30), str(tmp_path / "marts")
+    monkeypatch.setattr(upkeep, "SHARE_ROWS", 40, raising=False)
+    written, plain = [], upkeep._write
+
+    def watched(rows, folder, table, run):
+        if table == "loan_months":
+            written.append((run, {r.loan_id for r in rows.select("loan_id").distinct().collect()}))
+        plain(rows, folder, table, run)
+
+    monkeypatch.setattr(upkeep, "_write", watched)
+    for n, part in enumerate(parts):
+        upkeep.apply_batch(spark, folder, part, f"b{n}", buckets=2)
+    assert len(written) > 4 and len({run for run, _ in written}) == 2
+    for run in {run for run, _ in written}:
+        shares = [loans for r, loans in written if r == run]
+        assert sum(map(len, shares)) == len(set().union(*shares))
+    assert_up_to_date(spark, folder, parts)
+
+
 def test_payments_write_only_months_from_theirs_on(spark, make_tables, tmp_path):
     folder = str(tmp_path / "marts")
     months = [f"2024-{m:02d}-10" for m in range(1, 7)]
